@@ -7,8 +7,11 @@ import datetime as dt_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.literals import ntz, one_row
 from ..schemas import RUN_AUDIT
 
+RUN_KEY = ("run_id", "task")
+
 
 def run_row(
     spark: SparkSession, *, run_id: str, job: str, execution_date: dt_.date, created_ts: dt_.datetime, task: str = "ALL",
@@ -16,8 +19,12 @@ def run_row(
     duration_seconds: float | None = None, error_message: str | None = None,
 ) -> DataFrame:
     """One audit row."""
-    row = (run_id, job, task, execution_date, status, rows_inserted, rows_updated, duration_seconds, error_message, created_ts)
-    return spark.createDataFrame([row], RUN_AUDIT)
+    values = {
+        "run_id": run_id, "job": job, "task": task, "execution_date": execution_date, "status": status,
+        "rows_inserted": rows_inserted, "rows_updated": rows_updated, "duration_seconds": duration_seconds,
+        "error_message": error_message, "created_ts": created_ts,
+    }
+    return one_row(spark, RUN_AUDIT, values)
 
 
 def backfill_rows(days: DataFrame, *, job: str, created_ts: dt_.datetime | str, prefix: str = "backfill_") -> DataFrame:
@@ -27,7 +34,7 @@ def backfill_rows(days: DataFrame, *, job: str, created_ts: dt_.datetime | str,
         F.lit("ALL").alias("task"), F.col("dt").alias("execution_date"), F.lit("SUCCESS").alias("status"),
         F.lit(None).cast("bigint").alias("rows_inserted"), F.lit(None).cast("bigint").alias("rows_updated"),
         F.lit(None).cast("double").alias("duration_seconds"), F.lit(None).cast("string").alias("error_message"),
-        F.lit(str(created_ts)).cast("timestamp_ntz").alias("created_ts"),
+        ntz(created_ts).alias("created_ts"),
     )
 
 
@@ -45,7 +52,7 @@ def checkpoint_row(parsed: DataFrame, *, job: str, updated_ts: dt_.datetime | st
         F.max("event_ts").alias("last_event_ts"), F.max("ingest_ts").alias("last_ingest_ts"), F.max("dt").alias("last_dt")
     ).select(
         F.lit(job).alias("job"), "last_event_ts", "last_ingest_ts", "last_dt",
-        F.lit(str(updated_ts)).cast("timestamp_ntz").alias("updated_ts"),
+        ntz(updated_ts).alias("updated_ts"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import with_neighbour
+from ..functions.literals import date, ntz
 from ..functions.keys import numeric_key, surrogate_key
 from .dedupe import latest_by
 
@@ -44,7 +45,7 @@ def apply_snapshot(
     Customers absent from the snapshot keep their current version; applying the same snapshot
     again changes nothing.
     """
-    now = F.lit(str(as_of)).cast("timestamp_ntz")
+    now = ntz(as_of)
     incoming = snapshot.select("customer_id", *attributes, surrogate_key(*attributes).alias("record_hash"))
     columns = dim.columns
     current = dim.where("is_current").select("customer_id", F.col("record_hash").alias("known_hash"))
@@ -103,7 +104,7 @@ def rate_versions(rates: DataFrame) -> DataFrame:
 def date_dimension(spark: SparkSession, first: dt_.date | str, last: dt_.date | str) -> DataFrame:
     """One row per day, both ends included."""
     days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))).alias("date_id")
+        F.explode(F.sequence(date(first), date(last))).alias("date_id")
     )
     return calendar_columns(days)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.joins import by_month, keyed_join
 from ..functions.keys import surrogate_key
+from ..functions.literals import date, ntz
 from ..functions.money import share_of, total_amount, total_quantity
 from ..schemas import AMOUNT, PRICE
 from .usage import monthly_customer_cost, monthly_product_cost, weighted_price
@@ -27,15 +28,11 @@ def previous_month_columns(day: Column) -> tuple[Column, Column]:
     return F.trunc(before, "MONTH"), F.last_day(before)
 
 
-def _stamp(value: dt_.datetime | str) -> Column:
-    return F.lit(str(value)).cast("timestamp_ntz")
-
-
 def _header(rows: DataFrame, issued_ts: dt_.datetime | str, tax: Column, total: Column) -> DataFrame:
     """Header columns over rows that carry customer, period, subtotal and currency."""
     return rows.select(
         surrogate_key("customer_sk", "billing_period_start").alias("invoice_id"), "customer_sk",
-        "billing_period_start", "billing_period_end", _stamp(issued_ts).alias("issued_ts"),
+        "billing_period_start", "billing_period_end", ntz(issued_ts).alias("issued_ts"),
         F.lit("issued").alias("status"), "subtotal", tax.cast(AMOUNT).alias("tax"),
         total.cast(AMOUNT).alias("total"), "currency",
     )
@@ -45,7 +42,7 @@ def close_headers(
     costs: DataFrame, start: dt_.date | str, end: dt_.date | str, *, issued_ts: dt_.datetime | str, tax_rate: str = "0"
 ) -> DataFrame:
     """One invoice per customer with usage in the period; zero totals stay."""
-    first, last = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
+    first, last = date(start), date(end)
     totals = (
         costs.where(F.col("date_id").between(first, last))
         .groupBy("customer_sk")
@@ -60,7 +57,7 @@ def recent_month_headers(
     costs: DataFrame, today: dt_.date | str, *, issued_ts: dt_.datetime | str, months: int = 2, tax_rate: str = "0.08"
 ) -> DataFrame:
     """Invoices for this month and the ``months`` before it; tax and total rounded to cents, zero totals skipped."""
-    since = F.add_months(F.trunc(F.lit(str(today)).cast("date"), "MONTH"), -months)
+    since = F.add_months(F.trunc(date(today), "MONTH"), -months)
     totals = monthly_customer_cost(costs.where(F.col("date_id") >= since)).where("subtotal > 0")
     gross = str(1 + float(tax_rate))
     return _header(totals, issued_ts, share_of(F.col("subtotal"), tax_rate), share_of(F.col("subtotal"), gross))

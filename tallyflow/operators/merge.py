@@ -7,6 +7,7 @@ import datetime as dt_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.literals import ntz
 from ..schemas import USAGE_CLEAN
 from ..sources import lake as lk
 from ..session import stage
@@ -25,8 +26,8 @@ def as_clean(parsed: DataFrame, *, batch_id: str | Column | None = None, load_ts
     Without ``load_ts`` the row keeps its own ingest time, so a rerun stamps the same value.
     """
     batch = F.col("batch_id") if batch_id is None else (F.lit(batch_id) if isinstance(batch_id, str) else batch_id)
-    stamp = F.col("ingest_ts") if load_ts is None else (F.lit(load_ts) if isinstance(load_ts, str) else load_ts)
-    stamped = parsed.withColumn("batch_id", batch).withColumn("load_ts", stamp.cast("timestamp_ntz"))
+    stamp = ntz(F.col("ingest_ts") if load_ts is None else load_ts)
+    stamped = parsed.withColumn("batch_id", batch).withColumn("load_ts", stamp)
     return stamped.select(*USAGE_CLEAN.fieldNames())
 
 
@@ -111,6 +112,6 @@ def upsert_customers(dim: DataFrame, incoming: DataFrame, as_of: str | dt_.datet
         overwritten("customer_name"), overwritten("status"),
         F.when(new, F.col("s.country")).otherwise(F.col("d.country")).alias("country"),
         overwritten("plan_id"),
-        F.when(new, F.lit(str(as_of)).cast("timestamp_ntz")).otherwise(F.col("d.effective_start")).alias("effective_start"),
+        F.when(new, ntz(as_of)).otherwise(F.col("d.effective_start")).alias("effective_start"),
         F.when(seen, F.lit(True)).otherwise(F.col("d.is_current")).alias("is_current"),
     )

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import by_month, keyed_join, salted_join
 from ..functions.keys import surrogate_key
+from ..functions.literals import date, ntz
 from ..functions.money import amount_of
 from ..schemas import AMOUNT, PRICE, TOTAL_QUANTITY
 
@@ -22,14 +23,14 @@ def with_current_customer(usage: DataFrame, customers: DataFrame) -> DataFrame:
     return keyed_join(usage, current, ["customer_id"])
 
 
-def in_force(date: str):
+def in_force(day: str) -> Column:
     """Rate interval test, closed on both ends; no end means open."""
-    open_end = F.lit(OPEN_END).cast("date")
-    return F.col(f"l.{date}").between(F.col("r.effective_from"), F.coalesce(F.col("r.effective_to"), open_end))
+    open_end = date(OPEN_END)
+    return F.col(f"l.{day}").between(F.col("r.effective_from"), F.coalesce(F.col("r.effective_to"), open_end))
 
 
 def with_rate(
-    usage: DataFrame, rates: DataFrame, *, match_plan: bool, date: str = "event_date",
+    usage: DataFrame, rates: DataFrame, *, match_plan: bool, day: str = "event_date",
     spread_on: tuple[str, ...] = ("customer_id", "event_date"), how: str = "inner",
 ) -> DataFrame:
     """Rates valid on the usage date, by product and unit and, with ``match_plan``, by plan.
@@ -39,7 +40,7 @@ def with_rate(
     """
     keys = ["product_id", "unit", *(["plan_id"] if match_plan else [])]
     wanted = [c for c in RATE_COLUMNS if c in rates.columns and (c != "plan_id" or match_plan)]
-    return salted_join(usage, rates.select(*wanted), keys, spread_on, in_force(date), how)
+    return salted_join(usage, rates.select(*wanted), keys, spread_on, in_force(day), how)
 
 
 def daily_cost(daily: DataFrame, customers: DataFrame, rates: DataFrame, *, match_plan: bool = True) -> DataFrame:
@@ -72,7 +73,7 @@ def customer_at(usage: DataFrame, history: DataFrame, *, at: str, horizon: dt_.d
     Versions are laid out by calendar month up to ``horizon``, so usage of one customer meets only
     the versions of that month. ``horizon`` must not be before the newest usage.
     """
-    last = F.lit(str(horizon)).cast("timestamp_ntz")
+    last = ntz(horizon)
     versions = history.select(
         "customer_id", "customer_sk", "plan_id", "status", "effective_start", "effective_end",
         F.least(F.coalesce("effective_end", last), last).alias("_last"),

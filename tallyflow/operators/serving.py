@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.literals import date
 from ..functions.money import total_amount, total_quantity
 from ..schemas import AMOUNT
 
@@ -19,15 +20,11 @@ INVOICE_COLUMNS = (
 )
 
 
-def _day(value: Day) -> Column:
-    return F.lit(str(value)).cast("date")
-
-
 def _between(df: DataFrame, column: str, date_from: Day | None, date_to: Day | None) -> DataFrame:
     if date_from is not None:
-        df = df.where(F.col(column) >= _day(date_from))
+        df = df.where(F.col(column) >= date(date_from))
     if date_to is not None:
-        df = df.where(F.col(column) <= _day(date_to))
+        df = df.where(F.col(column) <= date(date_to))
     return df
 
 
@@ -42,7 +39,7 @@ def dashboard_summary(
     per-day totals, so no rows are paired.
     """
     per_day = costs.groupBy("date_id").agg(total_amount("cost_amount").alias("daily_total"))
-    this_month = F.col("date_id") >= F.trunc(_day(today), "MONTH")
+    this_month = F.col("date_id") >= F.trunc(date(today), "MONTH")
     month_total = F.sum(F.when(this_month, F.col("daily_total")))
     if as_run:
         revenue = month_total.cast("decimal(28,10)") * F.count(F.lit(1)).cast("decimal(9,0)")
@@ -53,7 +50,7 @@ def dashboard_summary(
     zero = F.lit(0).cast(AMOUNT)
     customer_count = customers.where("is_current").agg(F.countDistinct("customer_id")).scalar()
     invoice_count = invoices.where(F.col("status") == "issued").agg(F.count(F.lit(1))).scalar()
-    event_count = events.where(F.col("event_date") == _day(today)).agg(F.count(F.lit(1))).scalar()
+    event_count = events.where(F.col("event_date") == date(today)).agg(F.count(F.lit(1))).scalar()
     figures = per_day.agg(
         F.coalesce(revenue.cast(AMOUNT), zero).alias("total_revenue_mtd"),
         F.coalesce(average.cast("decimal(38,6)"), F.lit(0)).cast("decimal(38,6)").alias("avg_daily_revenue"),
@@ -127,7 +124,7 @@ def usage_report(
     The order is total, so the cut is the same on every run. ``limit=None`` keeps all rows, which
     is what the charts use.
     """
-    rows = costs.where(F.col("date_id") >= F.date_sub(_day(today), USAGE_DAYS))
+    rows = costs.where(F.col("date_id") >= F.date_sub(date(today), USAGE_DAYS))
     rows = _between(rows, "date_id", date_from, date_to)
     if product_id:
         rows = rows.where(F.col("product_id") == product_id)

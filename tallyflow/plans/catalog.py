@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.literals import ntz
 from ..functions.keys import surrogate_key
 from ..operators import (
     audit, dashboard, dedupe, dimensions, invoicing, merge, parse, pricing, quality, reconcile, serving, usage,
 )
 from ..schemas import CUSTOMER_STATUSES, PRODUCTS
-from ..session import scratch_path
+from ..session import scratch_path, stage
 from ..sources import files, sample
 from ..sources import lake as lk
 from ..streaming import usage as streams
@@ -59,7 +60,7 @@ def a2_newest_customer_snapshot(spark, d):
     folder = scratch_path(spark, "customers")
     snapshots = sample.snapshots(spark, d)
     for moment in sample.SNAPSHOT_TIMES:
-        one = snapshots.where(F.col("ingest_ts") == F.lit(moment).cast("timestamp_ntz"))
+        one = snapshots.where(F.col("ingest_ts") == ntz(moment))
         sample.customer_json(one).write.text(f"{folder}/customers_{moment[:10]}.jsonl")
     raw = files.ingest_customers(spark, folder, batch_id="seed", ingest_ts=AS_OF, dt=AS_OF.date())
     return parse.parse_customers(raw)
@@ -113,7 +114,7 @@ def a5_batch_reload(spark, d):
 @query
 def a6_day_rebuild(spark, d):
     lake = _new_lake(spark)
-    stamps = [F.lit(AS_OF).cast("timestamp_ntz").alias("load_ts"), F.lit("run").alias("batch_id")]
+    stamps = [ntz(AS_OF).alias("load_ts"), F.lit("run").alias("batch_id")]
     right = sample.daily(spark, d).select("*", *stamps)
     # A first load with wrong quantities, and the same rows once more on a day that has no usage.
     wrong = right.withColumn("total_quantity", F.col("total_quantity") + 1)
@@ -127,7 +128,7 @@ def a6_day_rebuild(spark, d):
 @query
 def a7_append_once(spark, d):
     lake = _new_lake(spark)
-    stamps = [F.lit(AS_OF).cast("timestamp_ntz").alias("load_ts"), F.lit("run").alias("batch_id")]
+    stamps = [ntz(AS_OF).alias("load_ts"), F.lit("run").alias("batch_id")]
     invoices = sample.invoices(spark, d).select("*", *stamps)
     for _ in range(2):
         lake.append_new(lk.INVOICES, invoices, ["invoice_id"])
@@ -144,15 +145,24 @@ def a8_backfill(spark, d):
 # ---- parse, type, reject
 
 
+def _raw(spark: SparkSession, d: str) -> DataFrame:
+    """The raw table: text is parsed to VARIANT once, when it is written."""
+    return stage(sample.raw_usage(spark, d), "raw")
+
+
+def _classified(spark: SparkSession, d: str) -> DataFrame:
+    return stage(parse.classify_usage(sample.defective_json(spark, d)), "classified")
+
+
 @query
 def b1_parse_usage(spark, d):
-    return parse.parse_usage(sample.raw_usage(spark, d)).drop("raw_hash")
+    return parse.parse_usage(_raw(spark, d)).drop("raw_hash")
 
 
 @query
 def b2_parse_customers(spark, d):
     raw = sample.customer_json(sample.snapshots(spark, d)).select(
-        F.lit(AS_OF).cast("timestamp_ntz").alias("ingest_ts"), F.lit("seed").alias("batch_id"), F.try_parse_json("value").alias("payload")
+        ntz(AS_OF).alias("ingest_ts"), F.lit("seed").alias("batch_id"), F.try_parse_json("value").alias("payload")
     )
     return parse.parse_customers(raw)
 
@@ -164,18 +174,18 @@ def b3_parse_rates(spark, d):
 
 @query
 def b4_payload_hash(spark, d):
-    raw = sample.raw_usage(spark, d)
+    raw = _raw(spark, d)
     return raw.select(parse.field("event_id").alias("event_id"), "ingest_ts", parse.payload_hash().alias("raw_hash"))
 
 
 @query
 def b5_quarantine(spark, d):
-    return parse.quarantined(parse.classify_usage(sample.defective_json(spark, d))).drop("raw")
+    return parse.quarantined(_classified(spark, d)).drop("raw")
 
 
 @query
 def b5_accepted(spark, d):
-    return parse.accepted(parse.classify_usage(sample.defective_json(spark, d))).drop("raw_hash")
+    return parse.accepted(_classified(spark, d)).drop("raw_hash")
 
 
 # ---- deduplicate, merge, dimensions
@@ -420,25 +430,25 @@ def f3_model_order_headers(spark, d):
 
 @query
 def f4_lines_by_rate(spark, d):
-    return sample.lines(spark, d, match_plan=False)
+    return sample.billing(spark, d, match_plan=False).lines
 
 
 @query
 def f5_lines_without_rate(spark, d):
-    facts = sample.costs(spark, d, match_plan=False)
+    facts = sample.billing(spark, d, match_plan=False).costs
     headers = invoicing.recent_month_headers(facts, sample.TODAY, issued_ts=sample.ISSUED)
     return invoicing.usage_lines(facts, headers, sample.rates(spark), calc_batch_id="close", split_by_rate=False)
 
 
 @query
 def f6_model_lines(spark, d):
-    facts = sample.costs(spark, d, match_plan=False)
+    facts = sample.billing(spark, d, match_plan=False).costs
     return invoicing.model_lines(facts, invoicing.model_headers(facts, issued_ts=sample.ISSUED))
 
 
 @query
 def f6_model_order_lines(spark, d):
-    facts = sample.order_costs(spark, d)
+    facts = stage(sample.order_costs(spark, d), "costs")
     return invoicing.model_lines(facts, invoicing.model_headers(facts, issued_ts=sample.ISSUED))
 
 
@@ -452,28 +462,24 @@ def f7_period_bounds(spark, d):
 @query
 def f8_audit_trail(spark, d):
     days = sample.daily(spark, d).withColumn("batch_id", F.concat(F.lit("run_"), F.col("event_date").cast("string")))
-    customers = sample.customers(spark, d)
-    facts = pricing.daily_cost(days, customers, sample.rates(spark))
-    headers = invoicing.close_headers(facts, *sample.PERIOD, issued_ts=sample.ISSUED)
-    lines = invoicing.usage_lines(facts, headers, sample.rates(spark), calc_batch_id="close")
-    return invoicing.audit_trail(lines, headers, customers, days)
+    bills = sample.billing(spark, d)
+    return invoicing.audit_trail(bills.lines, bills.headers, sample.customers(spark, d), days)
 
 
 @query
 def f9_invoice_document(spark, d):
-    return invoicing.invoice_document(sample.invoices(spark, d), sample.lines(spark, d), sample.customers(spark, d))
+    bills = sample.billing(spark, d)
+    return invoicing.invoice_document(bills.headers, bills.lines, sample.customers(spark, d))
 
 
 # ---- late arrivals: invoices are built from the events that were there in time
 
 
-def _late(spark: SparkSession, d: str, match_plan: bool = True) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(late events, headers, lines, customers)"""
-    in_time = sample.on_time_events(spark, d)
-    headers = sample.invoices(spark, d, match_plan=match_plan, source=in_time)
-    lines = sample.lines(spark, d, match_plan=match_plan, source=in_time)
+def _late(spark: SparkSession, d: str, match_plan: bool = True) -> tuple[DataFrame, sample.Billing, DataFrame]:
+    """(late events, what was billed, customers)"""
+    bills = sample.billing(spark, d, match_plan=match_plan, source=sample.on_time_events(spark, d))
     customers = sample.customers(spark, d)
-    return reconcile.late_events(sample.events(spark, d), headers, customers), headers, lines, customers
+    return reconcile.late_events(sample.events(spark, d), bills.headers, customers), bills, customers
 
 
 @query
@@ -483,42 +489,40 @@ def g1_late_events(spark, d):
 
 @query
 def g2_late_priced_asrun(spark, d):
-    late, _, lines, customers = _late(spark, d, match_plan=False)
+    late, bills, customers = _late(spark, d, match_plan=False)
     return reconcile.price_late_events(
-        late, customers, sample.rates(spark), lines, match_plan=False, skip_adjusted=False
+        late, customers, sample.rates(spark), bills.lines, match_plan=False, skip_adjusted=False
     ).drop("line_item_id")
 
 
 @query
 def g2_late_priced_fixed(spark, d):
     """A third of the adjustments exist already."""
-    late, _, lines, customers = _late(spark, d)
-    rates = sample.rates(spark)
-    known = reconcile.price_late_events(late.where("event_id % 3 = 0"), customers, rates, lines)
-    lines = lines.unionByName(reconcile.adjustment_lines(known, calc_batch_id="earlier"))
+    late, bills, customers = _late(spark, d)
+    late, rates = stage(late, "late"), sample.rates(spark)
+    known = reconcile.price_late_events(late.where("event_id % 3 = 0"), customers, rates, bills.lines)
+    lines = bills.lines.unionByName(reconcile.adjustment_lines(known, calc_batch_id="earlier"))
     return reconcile.price_late_events(late, customers, rates, lines)
 
 
 @query
 def g3_adjustment_lines(spark, d):
-    late, _, lines, customers = _late(spark, d)
-    candidates = reconcile.price_late_events(late, customers, sample.rates(spark), lines)
+    late, bills, customers = _late(spark, d)
+    candidates = reconcile.price_late_events(late, customers, sample.rates(spark), bills.lines)
     return reconcile.adjustment_lines(candidates, calc_batch_id="late")
 
 
 @query
 def g4_adjusted_headers(spark, d):
-    late, headers, lines, customers = _late(spark, d)
-    candidates = reconcile.price_late_events(late, customers, sample.rates(spark), lines)
-    return reconcile.adjusted_headers(headers, reconcile.adjustment_lines(candidates, calc_batch_id="late"))
+    late, bills, customers = _late(spark, d)
+    candidates = reconcile.price_late_events(late, customers, sample.rates(spark), bills.lines)
+    return reconcile.adjusted_headers(bills.headers, reconcile.adjustment_lines(candidates, calc_batch_id="late"))
 
 
 @query
 def g5_price_differences(spark, d):
-    in_time = sample.on_time_events(spark, d)
-    headers = sample.invoices(spark, d, source=in_time)
-    lines = sample.lines(spark, d, source=in_time)
-    return reconcile.price_differences(sample.costs(spark, d), headers, lines)
+    bills = sample.billing(spark, d, source=sample.on_time_events(spark, d))
+    return reconcile.price_differences(sample.costs(spark, d), bills.headers, bills.lines)
 
 
 @query
@@ -538,7 +542,7 @@ def h1_duplicate_events(spark, d):
 
 @query
 def h2_negative_quantity(spark, d):
-    return quality.negative_quantity(parse.parse_usage(sample.defective_json(spark, d)))
+    return quality.negative_quantity(parse.parse_usage(stage(sample.defective_json(spark, d), "raw")))
 
 
 @query
@@ -559,20 +563,21 @@ def h3_unpriced_rows(spark, d):
 @query
 def h4_invoice_integrity(spark, d):
     """Headers over all events against lines of the events that were there in time."""
-    return quality.invoice_integrity(sample.invoices(spark, d), sample.lines(spark, d, source=sample.on_time_events(spark, d)))
+    return quality.invoice_integrity(sample.invoices(spark, d), sample.billing(spark, d, source=sample.on_time_events(spark, d)).lines)
 
 
 @query
 def h5_integrity_asrun(spark, d):
-    return quality.fan_out_difference(sample.invoices(spark, d, match_plan=False), sample.lines(spark, d, match_plan=False))
+    bills = sample.billing(spark, d, match_plan=False)
+    return quality.fan_out_difference(bills.headers, bills.lines)
 
 
 @query
 def h6_gate(spark, d):
     events = dedupe.dedupe_events(sample.deliveries(spark, d))
-    headers, lines = sample.invoices(spark, d), sample.lines(spark, d)
+    bills = sample.billing(spark, d)
     return quality.gated(quality.all_checks(
-        quality.duplicate_events(events), quality.negative_quantity(events), quality.invoice_integrity(headers, lines)
+        quality.duplicate_events(events), quality.negative_quantity(events), quality.invoice_integrity(bills.headers, bills.lines)
     ))
 
 
@@ -584,9 +589,10 @@ def h7_not_null(spark, d):
 
 @query
 def h8_unique(spark, d):
+    bills = sample.billing(spark, d)
     return quality.all_checks(
         quality.unique(sample.deliveries(spark, d), "event_id"), quality.unique(sample.customers(spark, d), "customer_id"),
-        quality.unique(sample.invoices(spark, d), "invoice_id"), quality.unique(sample.lines(spark, d), "line_item_id"),
+        quality.unique(bills.headers, "invoice_id"), quality.unique(bills.lines, "line_item_id"),
     )
 
 
@@ -600,10 +606,10 @@ def h9_accepted_values(spark, d):
 
 @query
 def h10_relationships(spark, d):
-    facts = sample.costs(spark, d)
+    facts = sample.billing(spark, d).costs
     headers = invoicing.model_headers(facts, issued_ts=sample.ISSUED)
     orders = sample.table(spark, d, "orders").select(F.col("o_custkey").alias("customer_sk"))
-    buyers = sample.costs(spark, d).select("customer_sk").distinct()
+    buyers = facts.select("customer_sk").distinct()
     return quality.all_checks(
         quality.relationship(invoicing.model_lines(facts, headers), headers, "invoice_id"),
         quality.relationship(orders, buyers, "customer_sk"),
@@ -628,7 +634,7 @@ def i2_merge_counters(spark, d):
 
 @query
 def i3_checkpoint(spark, d):
-    return audit.checkpoint_row(parse.parse_usage(sample.raw_usage(spark, d)), job=daily_job.JOB, updated_ts=AS_OF)
+    return audit.checkpoint_row(parse.parse_usage(_raw(spark, d)), job=daily_job.JOB, updated_ts=AS_OF)
 
 
 @query
@@ -642,22 +648,18 @@ def i3_after_checkpoint(spark, d):
 # ---- serving
 
 
-def _serving(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(costs, customers, invoices)"""
-    return sample.costs(spark, d), sample.customers(spark, d), sample.invoices(spark, d)
-
-
 @query
 def j1_dashboard_asrun(spark, d):
-    costs = sample.costs(spark, d, match_plan=False)
-    invoices = sample.invoices(spark, d, match_plan=False)
-    return serving.dashboard_summary(costs, sample.customers(spark, d), invoices, sample.events(spark, d), sample.TODAY, as_run=True)
+    bills = sample.billing(spark, d, match_plan=False)
+    return serving.dashboard_summary(
+        bills.costs, sample.customers(spark, d), bills.headers, sample.events(spark, d), sample.TODAY, as_run=True
+    )
 
 
 @query
 def j1_dashboard_fixed(spark, d):
-    costs, customers, invoices = _serving(spark, d)
-    return serving.dashboard_summary(costs, customers, invoices, sample.events(spark, d), sample.TODAY)
+    bills = sample.billing(spark, d)
+    return serving.dashboard_summary(bills.costs, sample.customers(spark, d), bills.headers, sample.events(spark, d), sample.TODAY)
 
 
 @query
@@ -672,35 +674,32 @@ def j2_customers_all(spark, d):
 
 @query
 def j3_customer_usage(spark, d):
-    costs, customers, _ = _serving(spark, d)
+    costs, customers = sample.costs(spark, d), sample.customers(spark, d)
     return serving.customer_usage(costs, customers, "cust_1", "2024-01-05", "2024-01-31")
 
 
 @query
 def j4_invoices(spark, d):
-    _, customers, invoices = _serving(spark, d)
+    customers, invoices = sample.customers(spark, d), sample.invoices(spark, d)
     return serving.list_invoices(invoices, customers, status="issued")
 
 
 @query
 def j4_invoices_of_customer(spark, d):
-    _, customers, invoices = _serving(spark, d)
+    customers, invoices = sample.customers(spark, d), sample.invoices(spark, d)
     return serving.list_invoices(invoices, customers, customer_id="cust_1")
 
 
-def _stamped_lines(spark: SparkSession, d: str) -> DataFrame:
-    return sample.lines(spark, d).withColumn("load_ts", F.lit(sample.ISSUED).cast("timestamp_ntz"))
-
-
 @query
 def j5_invoice_detail(spark, d):
-    _, customers, invoices = _serving(spark, d)
-    return serving.invoice_detail(invoices, _stamped_lines(spark, d), customers)
+    bills = sample.billing(spark, d)
+    lines = bills.lines.withColumn("load_ts", ntz(sample.ISSUED))
+    return serving.invoice_detail(bills.headers, lines, sample.customers(spark, d))
 
 
 @query
 def j6_usage_report(spark, d):
-    costs, customers, _ = _serving(spark, d)
+    costs, customers = sample.costs(spark, d), sample.customers(spark, d)
     return serving.usage_report(costs, customers, sample.TODAY)
 
 
@@ -726,7 +725,7 @@ def j8_current_rates(spark, d):
 
 
 def _report(spark: SparkSession, d: str) -> DataFrame:
-    costs, customers, _ = _serving(spark, d)
+    costs, customers = sample.costs(spark, d), sample.customers(spark, d)
     return serving.usage_report(costs, customers, sample.TODAY, limit=None)
 
 
@@ -757,7 +756,7 @@ def k5_products_present(spark, d):
 
 @query
 def k6_customer_cost_by_day(spark, d):
-    costs, customers, _ = _serving(spark, d)
+    costs, customers = sample.costs(spark, d), sample.customers(spark, d)
     return dashboard.revenue_over_time(serving.customer_usage(costs, customers, "cust_1"))
 
 
@@ -773,7 +772,7 @@ def k7_customer_search(spark, d):
 
 @query
 def k8_recent_invoices(spark, d):
-    _, customers, invoices = _serving(spark, d)
+    customers, invoices = sample.customers(spark, d), sample.invoices(spark, d)
     return dashboard.recent_invoices(serving.list_invoices(invoices, customers))
 
 
@@ -792,7 +791,7 @@ def k10_usage_matrix(spark, d):
 
 @query
 def l1_payload_paths(spark, d):
-    raw = sample.raw_usage(spark, d)
+    raw = _raw(spark, d)
     return raw.select(parse.field("event_id").alias("event_id"), parse.field("quantity", "double").alias("quantity"), parse.field("nothing").alias("nothing"))
 
 
@@ -822,7 +821,7 @@ def l4_dates(spark, d):
 
 @query
 def l5_run_time(spark, d):
-    now = F.lit(AS_OF).cast("timestamp_ntz")
+    now = ntz(AS_OF)
     return sample.events(spark, d).select("event_id", now.alias("as_of"), (F.col("load_ts") > now).alias("after_run"))
 
 
@@ -933,9 +932,10 @@ def m4_stream_upsert(spark, d):
 def m5_stream_late_routing(spark, d):
     lake = _new_lake(spark)
     in_time, customers, rates = sample.on_time_events(spark, d), sample.customers(spark, d), sample.rates(spark)
-    stamp = F.lit(sample.ISSUED).cast("timestamp_ntz")
-    lake.replace(lk.INVOICES, sample.invoices(spark, d, source=in_time).select("*", stamp.alias("load_ts"), F.lit("close").alias("batch_id")))
-    lake.replace(lk.LINE_ITEMS, sample.lines(spark, d, source=in_time).withColumn("load_ts", stamp))
+    stamp = ntz(sample.ISSUED)
+    bills = sample.billing(spark, d, source=in_time)
+    lake.replace(lk.INVOICES, bills.headers.select("*", stamp.alias("load_ts"), F.lit("close").alias("batch_id")))
+    lake.replace(lk.LINE_ITEMS, bills.lines.withColumn("load_ts", stamp))
     late = sample.events(spark, d).join(in_time.select("event_id"), "event_id", "left_anti")
     raw = streams.raw_stream(spark, _land_usage(spark, d, late), source="API", batch_id="late", ingest_ts=str(AS_OF))
     streams.drain_late(raw, lake, customers, rates, scratch_path(spark, "checkpoint"), run_id="late", as_of=AS_OF).awaitTermination()

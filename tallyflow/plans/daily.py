@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.literals import ntz
 from ..operators import audit, merge, parse, pricing, quality, usage
 from ..schemas import PRODUCTS
 from ..session import stage
@@ -50,7 +51,7 @@ def bill(
     clean = lake.read(lk.USAGE_CLEAN)
     # Filters on the partition column, so only the rebuilt days are read.
     daily = usage.daily_usage(clean, days).select(
-        "*", F.lit(as_of).cast("timestamp_ntz").alias("load_ts"), F.lit(run_id).alias("batch_id")
+        "*", ntz(as_of).alias("load_ts"), F.lit(run_id).alias("batch_id")
     )
     lake.replace_days(lk.USAGE_DAILY, daily, days)
 
@@ -60,15 +61,16 @@ def bill(
     )
     quality.enforce(checks)
     costs = pricing.daily_cost(rebuilt, customers, rates, match_plan=match_plan).select(
-        "*", F.lit(as_of).cast("timestamp_ntz").alias("load_ts"), F.lit(run_id).alias("batch_id")
+        "*", ntz(as_of).alias("load_ts"), F.lit(run_id).alias("batch_id")
     )
     lake.replace_days(lk.DAILY_COST, costs, days)
 
     counters = audit.merge_counters(merged).first()
-    lake.replace(lk.RUN_AUDIT, audit.run_row(
+    done = audit.run_row(
         lake.spark, run_id=run_id, job=JOB, execution_date=as_of.date(), created_ts=as_of,
         rows_inserted=counters.rows_inserted, rows_updated=counters.rows_updated, duration_seconds=time.monotonic() - began,
-    ))
+    )
+    lake.append_new(lk.RUN_AUDIT, done, audit.RUN_KEY)
     lake.replace(lk.CHECKPOINTS, audit.checkpoint_row(classified, job=JOB, updated_ts=as_of))
     return days
 
@@ -86,5 +88,5 @@ def backfill(
     raw = lake.read(lk.USAGE_RAW).where(F.col("source") == "BACKFILL")
     days = bill(lake, raw, customers, rates, run_id=f"backfill_{as_of:%Y%m%d%H%M%S}", as_of=as_of, match_plan=match_plan, products=None)
     file_days = raw.select("dt").where("dt IS NOT NULL").distinct()
-    lake.replace(lk.RUN_AUDIT, audit.backfill_rows(file_days, job=JOB, created_ts=as_of))
+    lake.append_new(lk.RUN_AUDIT, audit.backfill_rows(file_days, job=JOB, created_ts=as_of), audit.RUN_KEY)
     return days

@@ -7,6 +7,7 @@ import datetime as dt_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.literals import ntz
 from ..operators import reconcile
 from ..session import stage
 from ..sources import lake as lk
@@ -25,7 +26,7 @@ def reconcile_late(
     late = stage(reconcile.late_events(source, lake.read(lk.INVOICES), customers), "late")
     candidates = reconcile.price_late_events(late, customers, rates, lake.read(lk.LINE_ITEMS), match_plan=match_plan)
     new_lines = reconcile.adjustment_lines(candidates, calc_batch_id=run_id).withColumn(
-        "load_ts", F.lit(as_of).cast("timestamp_ntz")
+        "load_ts", ntz(as_of)
     )
     added = lake.append_new(lk.LINE_ITEMS, new_lines, ["invoice_id", "line_item_id"])
     rebuild_totals(lake, late)

@@ -7,6 +7,7 @@ import datetime as dt_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.literals import date, ntz
 from ..operators import invoicing, pricing, quality
 from ..session import stage
 from ..sources import lake as lk
@@ -23,13 +24,13 @@ def close_period(
     again would bill the late usage twice. With ``customers`` and ``plans`` a base-fee line is
     written per invoice; it is not part of the usage subtotal.
     """
-    period = F.col("billing_period_start") == F.lit(start)
+    period = F.col("billing_period_start") == date(start)
     adjusted = lake.read(lk.LINE_ITEMS).where(period & (F.col("line_type") == "adjustment"))
     if not adjusted.isEmpty():
         raise ValueError(f"period {start} has adjustments and cannot be closed again")
 
-    stamp = F.lit(issued_ts).cast("timestamp_ntz")
-    costs = lake.read(lk.DAILY_COST).where(F.col("date_id").between(F.lit(start), F.lit(end)))
+    stamp = ntz(issued_ts)
+    costs = lake.read(lk.DAILY_COST).where(F.col("date_id").between(date(start), date(end)))
     headers = stage(
         invoicing.close_headers(costs, start, end, issued_ts=issued_ts, tax_rate=tax_rate)
         .select("*", stamp.alias("load_ts"), F.lit(run_id).alias("batch_id")),

@@ -218,7 +218,8 @@ SELECT customer_id, customer_name, status, country, plan_id, {AS_OF} AS ingest_t
 _oracle("b3_parse_rates", f"""
 SELECT product_id, plan_id, unit, cast(price AS DECIMAL(18,10)) AS unit_price, currency, effective_from, effective_to,
   {AS_OF} AS ingest_ts, 'seed' AS batch_id FROM v_catalog""")
-_oracle("b4_payload_hash", "SELECT event_id, load_ts AS ingest_ts, md5(doc) AS raw_hash FROM v_json")
+_oracle("b4_payload_hash", """
+SELECT event_id, load_ts AS ingest_ts, md5(regexp_replace(doc, '"quantity":([0-9.]+)', '"quantity":"\\1"')) AS raw_hash FROM v_json""")
 _block("v_defects", """
 SELECT *, CASE n % 20 WHEN 1 THEN 'missing_event_id' WHEN 2 THEN 'missing_customer_id' WHEN 3 THEN 'missing_product_id'
   WHEN 4 THEN 'bad_timestamp' WHEN 5 THEN 'bad_quantity' WHEN 6 THEN 'negative_quantity' WHEN 7 THEN 'bad_json'

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.literals import date, no_rows, ntz
 from ..schemas import SNAPSHOT_RAW, USAGE_RAW
 
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
@@ -19,12 +20,6 @@ PRICING_COLUMNS = (
 )
 
 
-def ntz(value: dt_.datetime | str | Column) -> Column:
-    if isinstance(value, Column):
-        return value.cast("timestamp_ntz")
-    return F.lit(str(value)).cast("timestamp_ntz")
-
-
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame | None:
     reader = spark.read.option("recursiveFileLookup", "true")
     try:
@@ -46,12 +41,12 @@ def ingest_usage(
     """
     lines = _lines(spark, path)
     if lines is None:
-        return spark.createDataFrame([], USAGE_RAW)
+        return no_rows(spark, USAGE_RAW)
     named = F.regexp_extract(F.col("_metadata.file_path"), DATE_IN_NAME, 1).try_cast("date")
     payload = F.try_parse_json("value")
     batch = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
     return (
-        lines.withColumn("dt", F.lit(dt) if dt else named)
+        lines.withColumn("dt", date(dt) if dt else named)
         .withColumn("file_name", F.col("_metadata.file_name"))
         .select(
             ntz(ingest_ts).alias("ingest_ts"), F.lit(source).alias("source"), "dt",
@@ -89,9 +84,9 @@ def ingest_customers(
     path = newest_snapshot(spark, folder)
     lines = _lines(spark, path) if path else None
     if lines is None:
-        return spark.createDataFrame([], SNAPSHOT_RAW)
+        return no_rows(spark, SNAPSHOT_RAW)
     return lines.select(
-        ntz(ingest_ts).alias("ingest_ts"), F.lit(str(dt)).cast("date").alias("dt"),
+        ntz(ingest_ts).alias("ingest_ts"), date(dt).alias("dt"),
         F.lit(batch_id).alias("batch_id"), F.try_parse_json("value").alias("payload"),
     )
 
@@ -109,7 +104,7 @@ def pack_pricing(catalog: DataFrame, *, batch_id: str, ingest_ts: Column | str,
         "effective_from", "effective_to",
     )
     return catalog.select(
-        ntz(ingest_ts).alias("ingest_ts"), F.lit(str(dt)).cast("date").alias("dt"),
+        ntz(ingest_ts).alias("ingest_ts"), date(dt).alias("dt"),
         F.lit(batch_id).alias("batch_id"), F.to_variant_object(packed).alias("payload"),
     )
 

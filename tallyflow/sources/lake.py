@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.literals import no_rows
 from ..session import stage
 
 
@@ -31,7 +32,7 @@ USAGE_DAILY = Table("silver/usage_daily_agg", schemas.USAGE_DAILY, ("event_date"
 DAILY_COST = Table("gold/fact_customer_daily_usage", schemas.DAILY_COST, ("date_id",))
 INVOICES = Table("gold/fact_invoices", schemas.INVOICES, ("billing_period_start",))
 LINE_ITEMS = Table("gold/fact_invoice_line_items", schemas.LINE_ITEMS, ("billing_period_start", "line_type"))
-RUN_AUDIT = Table("ops/pipeline_run_audit", schemas.RUN_AUDIT, ("run_id",))
+RUN_AUDIT = Table("ops/pipeline_run_audit", schemas.RUN_AUDIT, ("job",))
 CHECKPOINTS = Table("ops/pipeline_checkpoints", schemas.CHECKPOINTS, ("job",))
 
 
@@ -49,7 +50,7 @@ class Lake:
             return self.spark.read.schema(table.schema).parquet(self.path(table)).select(*table.schema.fieldNames())
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], table.schema)
+                return no_rows(self.spark, table.schema)
             raise
 
     def replace(self, table: Table, rows: DataFrame) -> None:
@@ -76,7 +77,7 @@ class Lake:
         self.replace(table, staged)
         body = T.StructType([f for f in table.schema.fields if f.name != day])
         for gone in sorted(wanted - present):
-            nothing = self.spark.createDataFrame([], body)
+            nothing = no_rows(self.spark, body)
             nothing.write.mode("overwrite").parquet(f"{self.path(table)}/{day}={gone.isoformat()}")
 
     def append_new(self, table: Table, rows: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -6,12 +6,16 @@ are added on top of the full event set, nothing is left out.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.literals import ntz
 from ..functions.keys import surrogate_key
 from ..operators import invoicing, pricing, usage
 from ..schemas import AMOUNT, PLANS, PRICE, QUANTITY, REGIONS
+from ..session import stage
 
 TODAY = "2024-01-30"
 PERIOD = ("2024-01-01", "2024-01-31")
@@ -41,8 +45,20 @@ PLAN_ROWS = """
 """
 
 
+# Columns of the test tables, so that reading one needs no schema-inference job.
+TABLE_COLUMNS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+    "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _by_type(*values: str) -> Column:
@@ -141,7 +157,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer at three snapshot times; some change plan at the second, some at the third."""
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     customer = table(spark, sf_dir, "customer").join(nation, "c_nationkey")
-    at = F.posexplode(F.array(*[F.lit(t).cast("timestamp_ntz") for t in SNAPSHOT_TIMES])).alias("round", "ingest_ts")
+    at = F.posexplode(F.array(*[ntz(t) for t in SNAPSHOT_TIMES])).alias("round", "ingest_ts")
     rows = customer.select("*", at)
     moves = F.when((F.col("round") >= 1) & (F.col("c_custkey") % 7 == 0), 1).otherwise(0) + F.when(
         (F.col("round") >= 2) & (F.col("c_custkey") % 11 == 0), 1
@@ -155,7 +171,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_at(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
-    moment = F.lit(SNAPSHOT_TIMES[number]).cast("timestamp_ntz")
+    moment = ntz(SNAPSHOT_TIMES[number])
     return snapshots(spark, sf_dir).where(F.col("ingest_ts") == moment)
 
 
@@ -173,7 +189,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").join(nation, "c_nationkey").select(
         F.col("c_custkey").alias("customer_sk"), F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("customer_id"),
         F.col("c_name").alias("customer_name"), status.alias("status"), F.col("n_name").alias("country"),
-        _pick(PLANS, _plan_index()).alias("plan_id"), F.lit(SNAPSHOT_TIMES[0]).cast("timestamp_ntz").alias("effective_start"),
+        _pick(PLANS, _plan_index()).alias("plan_id"), ntz(SNAPSHOT_TIMES[0]).alias("effective_start"),
         F.lit(True).alias("is_current"),
     )
 
@@ -224,7 +240,7 @@ def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The large catalog typed, with a load time per rate."""
-    loaded = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+    loaded = ntz("2024-01-01 00:00:00") + F.make_dt_interval(
         secs=F.substring("rate_id", 6, 20).cast("decimal(18,6)")
     )
     return part_catalog(spark, sf_dir).select(
@@ -263,7 +279,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def on_time_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events loaded before the invoices were issued."""
-    return events(spark, sf_dir).where(F.col("load_ts") <= F.lit(ISSUED).cast("timestamp_ntz"))
+    return events(spark, sf_dir).where(F.col("load_ts") <= ntz(ISSUED))
 
 
 def costs(spark: SparkSession, sf_dir: str, *, match_plan: bool = True, source: DataFrame | None = None) -> DataFrame:
@@ -271,12 +287,19 @@ def costs(spark: SparkSession, sf_dir: str, *, match_plan: bool = True, source:
     return pricing.daily_cost(days, customers(spark, sf_dir), rates(spark), match_plan=match_plan)
 
 
-def invoices(spark: SparkSession, sf_dir: str, *, match_plan: bool = True, source: DataFrame | None = None) -> DataFrame:
-    facts = costs(spark, sf_dir, match_plan=match_plan, source=source)
-    return invoicing.close_headers(facts, *PERIOD, issued_ts=ISSUED)
+class Billing(NamedTuple):
+    """A daily cost table written once, and the invoices and lines closed from it."""
 
+    costs: DataFrame
+    headers: DataFrame
+    lines: DataFrame
 
-def lines(spark: SparkSession, sf_dir: str, *, match_plan: bool = True, source: DataFrame | None = None) -> DataFrame:
-    facts = costs(spark, sf_dir, match_plan=match_plan, source=source)
+
+def billing(spark: SparkSession, sf_dir: str, *, match_plan: bool = True, source: DataFrame | None = None) -> Billing:
+    facts = stage(costs(spark, sf_dir, match_plan=match_plan, source=source), "costs")
     headers = invoicing.close_headers(facts, *PERIOD, issued_ts=ISSUED)
-    return invoicing.usage_lines(facts, headers, rates(spark), calc_batch_id="close")
+    return Billing(facts, headers, invoicing.usage_lines(facts, headers, rates(spark), calc_batch_id="close"))
+
+
+def invoices(spark: SparkSession, sf_dir: str, *, match_plan: bool = True) -> DataFrame:
+    return invoicing.close_headers(costs(spark, sf_dir, match_plan=match_plan), *PERIOD, issued_ts=ISSUED)

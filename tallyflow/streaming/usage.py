@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.literals import ntz
 from ..functions.money import total_quantity
 from ..operators import merge, parse
 from ..plans import late_arrivals
@@ -38,7 +39,7 @@ def raw_stream(
         .option("maxFilesPerTrigger", files_per_batch).load(landing)
     )
     payload = F.try_parse_json("value")
-    stamp = files.ntz(ingest_ts) if ingest_ts else F.col("_metadata.file_modification_time").cast("timestamp_ntz")
+    stamp = ntz(ingest_ts) if ingest_ts else F.col("_metadata.file_modification_time").cast("timestamp_ntz")
     return lines.select(
         stamp.alias("ingest_ts"), F.lit(source).alias("source"),
         F.regexp_extract(F.col("_metadata.file_path"), files.DATE_IN_NAME, 1).try_cast("date").alias("dt"),
