@@ -9,7 +9,6 @@ sizes), and above it the same keys give an even shuffle join.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,15 +23,12 @@ def keyed_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], within: Column | None = None, how: str = "inner"
 ) -> DataFrame:
     """Equi join on ``on`` with an optional residual condition; keys come out once, from the left."""
-    l, r = left.alias("l"), right.alias("r")
-    match = reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in on])
-    if within is not None:
-        match = match & within
-    joined = l.join(r, match, how)
-    columns = [F.col(f"l.{c}") for c in left.columns]
+    match = F.expr(" AND ".join(f"l.`{k}` = r.`{k}`" for k in on))
+    joined = left.alias("l").join(right.alias("r"), match if within is None else match & within, how)
+    columns = [f"l.`{c}`" for c in left.columns]
     if how not in _LEFT_ONLY:
-        columns += [F.col(f"r.{c}") for c in right.columns if c not in on]
-    return joined.select(*columns)
+        columns += [f"r.`{c}`" for c in right.columns if c not in on]
+    return joined.selectExpr(*columns)
 
 
 def salted_join(
@@ -44,16 +40,16 @@ def salted_join(
     The right side (a catalog) is repeated per salt; every left row meets each right row of
     its key exactly once, so results equal the plain join.
     """
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_on), F.lit(salts)).cast("int"))
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted_left = left.selectExpr("*", f"cast(pmod(xxhash64({', '.join(spread_on)}), {salts}) AS INT) AS _salt")
+    salted_right = right.selectExpr("*", f"explode(sequence(0, {salts - 1})) AS _salt")
     return keyed_join(salted_left, salted_right, [*on, "_salt"], within, how).drop("_salt")
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
     """Keys holding at least 1/share of the rows, hence at most ``share`` of them."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.groupBy(*on).agg(F.expr("count(1)").alias("_rows"))
     total = counts.agg(F.sum("_rows").alias("_total")).scalar()
-    return counts.where(F.col("_rows") * F.lit(share) >= total).select(*on, F.lit(True).alias("_hot"))
+    return counts.where(F.col("_rows") * F.lit(share) >= total).selectExpr(*on, "true AS _hot")
 
 
 def skew_join(
@@ -66,14 +62,27 @@ def skew_join(
     keys' rows. The list of hot keys is broadcast: it has at most ``share`` rows by definition.
     """
     hot = F.broadcast(hot_keys(left, on, share))
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*spread_on), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    fan = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_left = left.join(hot, list(on), "left").withColumn("_salt", salt).drop("_hot")
-    salted_right = right.join(hot, list(on), "left").withColumn("_salt", F.explode(fan)).drop("_hot")
+    salted_left = left.join(hot, list(on), "left").selectExpr(
+        *[f"`{c}`" for c in left.columns],
+        f"CASE WHEN _hot THEN cast(pmod(xxhash64({', '.join(spread_on)}), {salts}) AS INT) ELSE 0 END AS _salt",
+    )
+    salted_right = right.join(hot, list(on), "left").selectExpr(
+        *[f"`{c}`" for c in right.columns],
+        f"explode(CASE WHEN _hot THEN sequence(0, {salts - 1}) ELSE array(0) END) AS _salt",
+    )
     return keyed_join(salted_left, salted_right, [*on, "_salt"], within, how).drop("_salt")
 
 
+def with_details(heads: DataFrame, details: DataFrame, key: str, spread_on: Sequence[str]) -> DataFrame:
+    """Each head with its detail rows, heads without details kept; one head may own most of the details.
+
+    A left join from the heads could not split such a head, so matched and bare heads are two parts.
+    """
+    matched = skew_join(details, heads, [key], spread_on)
+    bare = heads.join(details.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(bare, allowMissingColumns=True)
+
+
 def by_month(df: DataFrame, start: str, end: str, name: str = "_month") -> DataFrame:
     """One row per calendar month an interval touches: gives a range join a second equi key."""
     first, last = F.trunc(F.col(start), "MONTH"), F.trunc(F.col(end), "MONTH")

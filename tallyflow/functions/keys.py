@@ -1,4 +1,7 @@
-"""Rerun-stable keys: a hash of the natural key instead of a sequence or a random id."""
+"""Rerun-stable keys: a hash of the natural key instead of a sequence or a random id.
+
+Parts are SQL expressions: a column name, or a quoted constant such as "'usage'".
+"""
 
 from __future__ import annotations
 
@@ -8,17 +11,15 @@ from pyspark.sql import functions as F
 NULL_TOKEN = "_null_"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _parts(expressions: tuple[str, ...]) -> str:
+    return ", ".join(f"coalesce(cast({e} AS STRING), '{NULL_TOKEN}')" for e in expressions)
 
 
-def surrogate_key(*columns: Column | str) -> Column:
-    """md5 over the columns as text, joined by '-'; NULL takes a token so it stays distinct from ''."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_TOKEN)) for c in columns]
-    return F.md5(F.concat_ws("-", *parts))
+def surrogate_key(*expressions: str) -> Column:
+    """md5 over the parts as text, joined by '-'; NULL takes a token so it stays distinct from ''."""
+    return F.expr(f"md5(concat_ws('-', {_parts(expressions)}))")
 
 
-def numeric_key(*columns: Column | str) -> Column:
+def numeric_key(*expressions: str) -> Column:
     """64-bit key for dimension rows, needing no global counter."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_TOKEN)) for c in columns]
-    return F.xxhash64(*parts)
+    return F.expr(f"xxhash64({_parts(expressions)})")

@@ -22,9 +22,9 @@ def customer_history(
     """All customer versions from all snapshots: a version starts where the attribute hash changes.
 
     Intervals are half open. ``bucket`` splits a customer's snapshots for the neighbour lookups
-    (default: the month of the snapshot), so a customer with very many snapshots is not one task.
+    (default: the day of the snapshot), so a customer with very many snapshots is not one task.
     """
-    bucket = F.trunc("ingest_ts", "MONTH") if bucket is None else bucket
+    bucket = F.col("ingest_ts").cast("date") if bucket is None else bucket
     hashed = snapshots.select("customer_id", *attributes, "ingest_ts", surrogate_key(*attributes).alias("record_hash"))
     moments = latest_by(hashed, ["customer_id", "ingest_ts"], [F.desc("record_hash")])
     with_before = with_neighbour(moments, ["customer_id"], "ingest_ts", "record_hash", "_before", bucket)

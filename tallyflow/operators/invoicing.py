@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..functions.joins import by_month, keyed_join
+from ..functions.joins import by_month, keyed_join, with_details
 from ..functions.keys import surrogate_key
 from ..functions.literals import date, ntz
 from ..functions.money import share_of, total_amount, total_quantity
@@ -31,10 +31,11 @@ def previous_month_columns(day: Column) -> tuple[Column, Column]:
 def _header(rows: DataFrame, issued_ts: dt_.datetime | str, tax: Column, total: Column) -> DataFrame:
     """Header columns over rows that carry customer, period, subtotal and currency."""
     return rows.select(
-        surrogate_key("customer_sk", "billing_period_start").alias("invoice_id"), "customer_sk",
-        "billing_period_start", "billing_period_end", ntz(issued_ts).alias("issued_ts"),
-        F.lit("issued").alias("status"), "subtotal", tax.cast(AMOUNT).alias("tax"),
-        total.cast(AMOUNT).alias("total"), "currency",
+        "*", surrogate_key("customer_sk", "billing_period_start").alias("invoice_id"), ntz(issued_ts).alias("issued_ts"),
+        tax.cast(AMOUNT).alias("tax"), total.cast(AMOUNT).alias("total"),
+    ).selectExpr(
+        "invoice_id", "customer_sk", "billing_period_start", "billing_period_end", "issued_ts", "'issued' AS status", "subtotal",
+        "tax", "total", "currency",
     )
 
 
@@ -93,7 +94,7 @@ def usage_lines(
     ).join(rates.select("rate_sk", "unit_price"), "rate_sk", "left")
     if split_by_rate:
         lines = per_rate.withColumn("unit_price", F.col("unit_price").cast(PRICE))
-        line_key = surrogate_key("invoice_id", F.lit("usage"), "product_id", "unit", "rate_sk")
+        line_key = surrogate_key("invoice_id", "'usage'", "product_id", "unit", "rate_sk")
     else:
         lines = per_rate.groupBy(*keys).agg(
             total_quantity("quantity").alias("quantity"), total_amount("amount").alias("amount"),
@@ -101,7 +102,7 @@ def usage_lines(
             F.max("usage_window_end").alias("usage_window_end"),
             weighted_price().alias("unit_price"), F.max("rate_sk").alias("rate_sk"),
         )
-        line_key = surrogate_key("invoice_id", F.lit("usage"), "product_id", "unit")
+        line_key = surrogate_key("invoice_id", "'usage'", "product_id", "unit")
     return lines.select(
         "invoice_id", line_key.alias("line_item_id"), F.lit("usage").alias("line_type"), "product_id", "unit",
         "quantity", "unit_price", "amount", "rate_sk", "usage_window_start", "usage_window_end",
@@ -170,4 +171,4 @@ def invoice_document(headers: DataFrame, lines: DataFrame, customers: DataFrame)
         "unit", text.money_text(F.col("unit_price"), 4).alias("unit_price_text"),
         text.money_text(F.col("amount")).alias("amount_text"),
     )
-    return head.join(body, "invoice_id", "left")
+    return with_details(head, body, "invoice_id", ["line_item_id"])

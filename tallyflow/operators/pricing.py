@@ -93,7 +93,7 @@ def base_fee_lines(
     plan_of = customers.select("customer_sk", "plan_id")
     priced = headers.join(plan_of, "customer_sk").join(plans.select("plan_id", "base_fee"), "plan_id")
     return priced.select(
-        "invoice_id", surrogate_key("invoice_id", F.lit("base_fee")).alias("line_item_id"),
+        "invoice_id", surrogate_key("invoice_id", "'base_fee'").alias("line_item_id"),
         F.lit("base_fee").alias("line_type"), F.lit(None).cast("string").alias("product_id"),
         F.lit(None).cast("string").alias("unit"), F.lit(1).cast(TOTAL_QUANTITY).alias("quantity"),
         F.col("base_fee").cast(PRICE).alias("unit_price"), F.col("base_fee").cast(AMOUNT).alias("amount"),

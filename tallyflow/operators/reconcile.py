@@ -46,7 +46,7 @@ def late_events(events: DataFrame, invoices: DataFrame, customers: DataFrame) ->
 
 def adjustment_key() -> Column:
     """Line id of an adjustment: the same event and rate on the same invoice give the same id."""
-    return surrogate_key("invoice_id", F.lit("adjustment"), "event_id", "rate_sk")
+    return surrogate_key("invoice_id", "'adjustment'", "event_id", "rate_sk")
 
 
 def price_late_events(
@@ -59,7 +59,7 @@ def price_late_events(
     looks for lines of type 'adjustment_ref' carrying the event id, a type nothing writes.
     """
     current = customers.where("is_current").select("customer_sk", "plan_id")
-    planned = late.join(current, "customer_sk")
+    planned = skew_join(late, current, ["customer_sk"], ["event_id"])
     priced = with_rate(planned, rates, match_plan=match_plan, spread_on=("event_id",)).select(
         "event_id", "event_date", "invoice_id", "billing_period_start", "product_id", "unit", "quantity",
         "unit_price", amount_of(F.col("quantity"), F.col("unit_price")).alias("adjustment_amount"), "rate_sk",

@@ -7,6 +7,7 @@ import datetime as dt_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import with_details
 from ..functions.literals import date
 from ..functions.money import total_amount, total_quantity
 from ..schemas import AMOUNT
@@ -112,7 +113,7 @@ def invoice_detail(
         lines = lines.where(F.col("invoice_id") == invoice_id)
     body = lines.select("invoice_id", "line_item_id", "line_type", "product_id", "unit", "quantity", "unit_price", "amount", "load_ts")
     head = _with_names(invoices, customers).select(*INVOICE_COLUMNS)
-    return head.join(body, "invoice_id", "left").orderBy("invoice_id", "load_ts", "line_item_id")
+    return with_details(head, body, "invoice_id", ["line_item_id"]).orderBy("invoice_id", "load_ts", "line_item_id")
 
 
 def usage_report(

@@ -448,7 +448,7 @@ def f6_model_lines(spark, d):
 
 @query
 def f6_model_order_lines(spark, d):
-    facts = stage(sample.order_costs(spark, d), "costs")
+    facts = sample.order_costs(spark, d)
     return invoicing.model_lines(facts, invoicing.model_headers(facts, issued_ts=sample.ISSUED))
 
 
@@ -479,7 +479,7 @@ def _late(spark: SparkSession, d: str, match_plan: bool = True) -> tuple[DataFra
     """(late events, what was billed, customers)"""
     bills = sample.billing(spark, d, match_plan=match_plan, source=sample.on_time_events(spark, d))
     customers = sample.customers(spark, d)
-    return reconcile.late_events(sample.events(spark, d), bills.headers, customers), bills, customers
+    return stage(reconcile.late_events(sample.events(spark, d), bills.headers, customers), "late"), bills, customers
 
 
 @query
@@ -499,7 +499,7 @@ def g2_late_priced_asrun(spark, d):
 def g2_late_priced_fixed(spark, d):
     """A third of the adjustments exist already."""
     late, bills, customers = _late(spark, d)
-    late, rates = stage(late, "late"), sample.rates(spark)
+    rates = sample.rates(spark)
     known = reconcile.price_late_events(late.where("event_id % 3 = 0"), customers, rates, bills.lines)
     lines = bills.lines.unionByName(reconcile.adjustment_lines(known, calc_batch_id="earlier"))
     return reconcile.price_late_events(late, customers, rates, lines)

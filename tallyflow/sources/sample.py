@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.literals import ntz
-from ..functions.keys import surrogate_key
 from ..operators import invoicing, pricing, usage
 from ..schemas import AMOUNT, PLANS, PRICE, QUANTITY, REGIONS
 from ..session import stage
@@ -61,13 +60,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _by_type(*values: str) -> Column:
-    """One value per event type: click, view, purchase, signup, anything else."""
-    kind = F.col("event_type")
-    chosen = F.when(kind == "click", values[0]).when(kind == "view", values[1])
-    return chosen.when(kind == "purchase", values[2]).when(kind == "signup", values[3]).otherwise(values[4])
-
-
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
 
@@ -78,18 +70,19 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Event type 'error' maps to a product no rate covers. Every fiftieth event was loaded 40 days
     after it happened, the rest one hour after.
     """
-    late = F.col("event_id") % 50 == 0
-    ts = F.col("ts").cast("timestamp_ntz")
-    load_ts = F.when(late, ts + F.expr("INTERVAL 40 DAYS")).otherwise(ts + F.expr("INTERVAL 1 HOUR"))
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").cast("string").alias("event_id"), ts.alias("event_ts"), ts.cast("date").alias("event_date"),
-        F.concat(F.lit("cust_"), F.col("user_id").cast("string")).alias("customer_id"),
-        _by_type("prod_api_requests", "prod_storage_gb", "prod_compute_minutes", "prod_ai_tokens", "prod_unknown").alias("product_id"),
-        _pick(PLANS[1:], F.col("event_id")).alias("plan_id"), _pick(REGIONS, F.col("user_id")).alias("region"),
-        _by_type("requests", "gb_month", "minutes", "tokens", "count").alias("unit"),
-        F.col("value").cast(QUANTITY).alias("quantity"), F.lit("API").alias("source"), load_ts.alias("load_ts"),
-        F.concat(F.lit("run_"), ts.cast("date").cast("string")).alias("batch_id"),
-        surrogate_key("event_id", "value").alias("raw_hash"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "cast(event_id AS STRING) AS event_id", "ts AS event_ts", "cast(ts AS DATE) AS event_date",
+        "concat('cust_', user_id) AS customer_id",
+        "CASE event_type WHEN 'click' THEN 'prod_api_requests' WHEN 'view' THEN 'prod_storage_gb'"
+        " WHEN 'purchase' THEN 'prod_compute_minutes' WHEN 'signup' THEN 'prod_ai_tokens' ELSE 'prod_unknown' END AS product_id",
+        f"element_at(array{PLANS[1:]}, cast(event_id % 3 + 1 AS INT)) AS plan_id",
+        f"element_at(array{REGIONS}, cast(user_id % 3 + 1 AS INT)) AS region",
+        "CASE event_type WHEN 'click' THEN 'requests' WHEN 'view' THEN 'gb_month' WHEN 'purchase' THEN 'minutes'"
+        " WHEN 'signup' THEN 'tokens' ELSE 'count' END AS unit",
+        f"cast(value AS {QUANTITY.simpleString()}) AS quantity", "'API' AS source",
+        "ts + CASE WHEN event_id % 50 = 0 THEN INTERVAL 40 DAYS ELSE INTERVAL 1 HOUR END AS load_ts",
+        "concat('run_', cast(ts AS DATE)) AS batch_id",
+        "md5(concat_ws('-', cast(event_id AS STRING), cast(value AS STRING))) AS raw_hash",
     )
 
 
@@ -184,24 +177,23 @@ def customer_json(rows: DataFrame) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One current version per customer, from the first snapshot."""
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    status = F.when(F.col("c_custkey") % 5 < 3, "active").when(F.col("c_custkey") % 5 == 3, "delinquent").otherwise("cancelled")
-    return table(spark, sf_dir, "customer").join(nation, "c_nationkey").select(
-        F.col("c_custkey").alias("customer_sk"), F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("customer_id"),
-        F.col("c_name").alias("customer_name"), status.alias("status"), F.col("n_name").alias("country"),
-        _pick(PLANS, _plan_index()).alias("plan_id"), ntz(SNAPSHOT_TIMES[0]).alias("effective_start"),
-        F.lit(True).alias("is_current"),
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+    return table(spark, sf_dir, "customer").join(nation, "c_nationkey").selectExpr(
+        "c_custkey AS customer_sk", "concat('cust_', c_custkey) AS customer_id", "c_name AS customer_name",
+        "CASE WHEN c_custkey % 5 < 3 THEN 'active' WHEN c_custkey % 5 = 3 THEN 'delinquent' ELSE 'cancelled' END AS status",
+        "n_name AS country",
+        "CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'plan_free' WHEN 'AUTOMOBILE' THEN 'plan_starter'"
+        " WHEN 'MACHINERY' THEN 'plan_enterprise' ELSE 'plan_pro' END AS plan_id",
+        f"TIMESTAMP_NTZ'{SNAPSHOT_TIMES[0]}' AS effective_start", "true AS is_current",
     )
 
 
 def rates(spark: SparkSession) -> DataFrame:
     """The ten catalog rates, valid from 2024-01-01 with an open end."""
     rows = spark.sql(f"SELECT * FROM VALUES {CATALOG} AS t(rate_sk, product_id, plan_id, unit, unit_price)")
-    return rows.select(
-        F.col("rate_sk").cast("bigint").alias("rate_sk"), "product_id", "plan_id", "unit",
-        F.col("unit_price").cast(PRICE).alias("unit_price"), F.lit("USD").alias("currency"),
-        F.lit("2024-01-01").cast("date").alias("effective_from"), F.lit(None).cast("date").alias("effective_to"),
-        F.lit(True).alias("is_current"),
+    return rows.selectExpr(
+        "cast(rate_sk AS BIGINT) AS rate_sk", "product_id", "plan_id", "unit", f"cast(unit_price AS {PRICE.simpleString()}) AS unit_price",
+        "'USD' AS currency", "DATE'2024-01-01' AS effective_from", "cast(NULL AS DATE) AS effective_to", "true AS is_current",
     )
 
 
