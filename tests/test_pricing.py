@@ -16,7 +16,7 @@ RATES = [
 
 def test_amounts_keep_every_digit(spark):
     df = table(spark, [(Decimal("999999999999.999999"), Decimal("0.000002")), (Decimal("0.000001"), Decimal("0.0001"))], "q decimal(28,6), p decimal(18,10)")
-    assert [str(r[0]) for r in df.select(amount_of(F.col("q"), F.col("p"))).collect()] == ["2000000.0000000000", "0.0000000001"]
+    assert [r[0] for r in df.select(amount_of(F.col("q"), F.col("p"))).collect()] == [Decimal("2000000"), Decimal("0.0000000001")]
 
 
 def test_share_is_rounded_to_cents(spark):
