@@ -273,7 +273,7 @@ SELECT product_id, plan_id, unit, cast(price AS DECIMAL(18,10)) AS unit_price, c
 _oracle("c5_customer_upsert", f"""
 SELECT s.customer_id, s.customer_name, s.status, coalesce(d.country, s.country) AS country, s.plan_id,
   coalesce(d.effective_start, TIMESTAMP '{SNAPSHOT_TIMES[2]}') AS effective_start, true AS is_current
-FROM v_snapshots s LEFT JOIN v_customers d ON d.customer_id = s.customer_id AND d.customer_sk % 3 <> 0 WHERE s.k = 2""")
+FROM v_snapshots s LEFT JOIN v_customers d ON d.customer_id = s.customer_id AND d.status <> 'cancelled' WHERE s.k = 2""")
 _block("v_history", f"""
 SELECT customer_id, customer_name, status, country, plan_id, ingest_ts AS effective_start,
   lead(ingest_ts) OVER (PARTITION BY customer_id ORDER BY ingest_ts) AS effective_end, record_hash
@@ -466,7 +466,7 @@ _block("v_candidates", _candidates("v_late", True))
 _oracle("g1_late_events", "SELECT * EXCLUDE (customer_sk, plan_id, n) FROM v_late")
 _block("v_candidates_all", _candidates("v_late_all", False))
 _oracle("g2_late_priced_asrun", "SELECT * EXCLUDE (n, line_item_id) FROM v_candidates_all")
-_oracle("g2_late_priced_fixed", "SELECT * EXCLUDE (n) FROM v_candidates WHERE n % 3 <> 0")
+_oracle("g2_late_priced_fixed", "SELECT * EXCLUDE (n) FROM v_candidates WHERE product_id <> 'prod_storage_gb'")
 _oracle("g3_adjustment_lines", """
 SELECT invoice_id, line_item_id, 'adjustment' AS line_type, product_id, unit, cast(quantity AS DECIMAL(28,6)) AS quantity, unit_price,
   adjustment_amount AS amount, rate_sk, event_date AS usage_window_start, event_date AS usage_window_end, 'late' AS calc_batch_id,

@@ -6,11 +6,13 @@ Watermarks need an instant, so event times are read as UTC wall clock.
 from __future__ import annotations
 
 import datetime as dt_
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.joins import SALTS
 from ..functions.literals import ntz
 from ..functions.money import total_quantity
 from ..operators import merge, parse
@@ -56,12 +58,18 @@ def drain_raw(raw: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def deduplicated(parsed: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """First delivery of each event; ids are forgotten once the watermark passes them."""
-    return (
-        parsed.withColumn("event_time", _instant("event_ts")).withWatermark("event_time", lateness)
-        .dropDuplicatesWithinWatermark(["event_id"])
-    )
+def deduplicated(parsed: DataFrame, lateness: str = LATENESS, spread_on: Sequence[str] = ()) -> DataFrame:
+    """First delivery of each event; ids are forgotten once the watermark passes them.
+
+    ``spread_on`` names columns that differ between repeats of one event, such as the file day and
+    load time. Repeats are then first reduced within each of ``SALTS`` parts, so an id that is
+    delivered over and over is not one task's work. It keeps a second state, hence off by default.
+    """
+    timed = parsed.withColumn("event_time", _instant("event_ts")).withWatermark("event_time", lateness)
+    if spread_on:
+        part = F.expr(f"pmod(xxhash64({', '.join(spread_on)}), {SALTS})")
+        timed = timed.withColumn("_part", part).dropDuplicatesWithinWatermark(["event_id", "_part"]).drop("_part")
+    return timed.dropDuplicatesWithinWatermark(["event_id"])
 
 
 def drain_rows(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

@@ -154,6 +154,9 @@ def test_stream_dedup_and_daily_equal_batch(spark, landing, tmp_path):
     streams.drain_rows(streams.deduplicated(parsed()), str(tmp_path / "d"), str(tmp_path / "ck1")).awaitTermination()
     unique = spark.read.parquet(str(tmp_path / "d"))
     assert rows(unique.select("event_id")) == [("a",), ("b",), ("c",), ("late",)]
+    spread = streams.deduplicated(parsed(), spread_on=["dt"])
+    streams.drain_rows(spread, str(tmp_path / "s"), str(tmp_path / "ck3")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "s")).select("event_id")) == rows(unique.select("event_id"))
     target = str(tmp_path / "days")
     streams.drain_daily(streams.daily_windows(parsed()), target, str(tmp_path / "ck2")).awaitTermination()
     got = streams.current_daily(spark, target).select(F.col("event_date").cast("string"), F.col("total_quantity").cast("int"), "event_count")
@@ -180,3 +183,10 @@ def test_stream_routes_late_events(spark, lake, landing, tmp_path):
         raw = streams.raw_stream(spark, str(folder), source="API", batch_id="s", ingest_ts="2024-02-03 00:00:00", files_per_batch=1)
         streams.drain_late(raw, lake, people(spark), prices, str(tmp_path / f"ck{attempt}"), run_id="late", as_of=ts("2024-02-03T06:00:00")).awaitTermination()
     assert rows(lake.read(lk.INVOICES).select(F.col("total").cast("double"))) == [(12.5,)]
+
+
+def test_a_day_without_a_file_changes_nothing(spark, lake, landing, tmp_path):
+    prices = rates(spark, *RATES)
+    assert daily.backfill(lake, str(tmp_path / "nothing"), people(spark), prices, as_of=ts("2024-01-12T06:00:00")) == []
+    assert lake.read(lk.DAILY_COST).count() == 0
+    assert lake.read(lk.USAGE_CLEAN).count() == 0
