@@ -22,13 +22,11 @@ def late_events(events: DataFrame, invoices: DataFrame, customers: DataFrame) ->
     The invoice's customer id comes from a join on the customer key. Events are not aggregated
     here, so a customer with most of the late events is split by the skew join.
     """
-    owner = customers.select("customer_sk", "customer_id")
-    issued = (
-        invoices.where(F.col("status") == "issued")
-        .select("invoice_id", "customer_sk", "billing_period_start", "billing_period_end", "issued_ts")
-        .join(owner, "customer_sk")
+    issued = invoices.where(F.col("status") == "issued").select(
+        "invoice_id", "customer_sk", "billing_period_start", "billing_period_end", "issued_ts"
     )
-    periods = by_month(issued, "billing_period_start", "billing_period_end")
+    owned = issued.join(customers.select("customer_sk", "customer_id"), "customer_sk")
+    periods = by_month(owned, "billing_period_start", "billing_period_end")
     late = F.col("l.event_date").between(F.col("r.billing_period_start"), F.col("r.billing_period_end")) & (
         F.col("l.load_ts") > F.col("r.issued_ts")
     )
