@@ -53,6 +53,7 @@ def exact_groups(
     rows = _keyed(docs, id_col, text_col, hash_fn)
     narrow = staged(rows.select("_id", "_len", "_hash", F.sha2("_norm", 256).alias("text_sha256")), "exact-narrow")
     groups = narrow.groupBy("_hash").agg(F.min(_rank("_len", "_id")).alias("_keep"), F.count(F.lit(1)).alias("group_size"))
+    groups = staged(groups, "exact-groups")  # used twice; and a join of two tables lets Spark split a hot hash
     collided = collisions(rows, groups)
     plain = narrow
     parts = []

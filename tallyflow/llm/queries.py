@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, exact_dedup, mixing
+from tallyflow.llm import bpe, exact_dedup, mixing, quality, secrets, url_filter
 from tallyflow.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenise(table(spark, sf_dir, "documents"), vocabulary_path(), split_pattern(), ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality weights from the labels: 2 for good, 1/2 for bad, 1 for documents without a label."""
     quality = F.max("quality")
@@ -35,11 +43,20 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base, spans = secrets.written(F.col("base_spans")), secrets.written(F.col("spans"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op5_mixing": op5_mixing, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {
+    "op1_bpe": op1_bpe, "op2_url_filter": op2_url_filter, "op3_quality_rules": op3_quality_rules, "op5_mixing": op5_mixing,
+    "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup,
+}
 
 ORACLES = {
     "op10_exact_dedup": r"""
