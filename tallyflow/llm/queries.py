@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, exact_dedup, mixing, near_dedup, quality, secrets, url_filter
+from tallyflow.llm import bpe, exact_dedup, line_dedup, mixing, near_dedup, quality, secrets, url_filter
 from tallyflow.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -35,6 +35,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality weights from the labels: 2 for good, 1/2 for bad, 1 for documents without a label."""
     quality = F.max("quality")
@@ -58,11 +63,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_bpe": op1_bpe, "op2_url_filter": op2_url_filter, "op3_quality_rules": op3_quality_rules, "op5_mixing": op5_mixing, "op6_near_dedup": op6_near_dedup,
+    "op1_bpe": op1_bpe, "op2_url_filter": op2_url_filter, "op3_quality_rules": op3_quality_rules,
+    "op4_line_dedup": op4_line_dedup, "op5_mixing": op5_mixing, "op6_near_dedup": op6_near_dedup,
     "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES = {
+    "op4_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+            FROM documents),
+        k AS (
+            SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM l),
+        f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+        FROM k LEFT JOIN f ON k.key = f.key
+        GROUP BY doc_id
+    """,
     "op10_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS len,
