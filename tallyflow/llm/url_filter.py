@@ -120,6 +120,7 @@ def filter_urls(
         counted = counted.drop("labelled", "bad").join(labels.select("host", "path", "labelled", "bad"), ["host", "path"], "left").fillna(0, ["labelled", "bad"])
     tree = templates(staged(counted, "url-paths"))
     leaves = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    decided = tree.select("host", "path", "template").join(pools(staged(leaves, "url-leaves")), ["host", "template"])
+    verdicts = staged(pools(staged(leaves, "url-leaves")), "url-pools")  # joined as a table, so that Spark can split a hot template
+    decided = tree.select("host", "path", "template").join(verdicts, ["host", "template"])
     says = F.coalesce("_verdict", F.when(F.col("rejected"), "block").otherwise("allow"))
     return rows.join(decided, ["host", "path"]).select(F.col("_id").alias(id_col), "host", "path", "rule", says.alias("verdict"), "template", "purity")
