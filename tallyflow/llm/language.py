@@ -263,7 +263,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return read.select(F.col("_id").alias(id_col), held_out(F.col("_id")).alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score"))
 
 
-def known_language(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **settings) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised with at least ``least``, with all their columns."""
+def known_language(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **settings) -> DataFrame:
+    """The rows of ``docs`` that have a language, with all their columns: ``und`` rows go, and scores below ``least``.
+
+    The score of a short clean text can be low, so the default asks for none.
+    """
     read = with_language(docs, fit(docs, id_col, text_col, lang_col, **settings), text_col)
     return read.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])
