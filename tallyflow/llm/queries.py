@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, exact_dedup, language, line_dedup, mixing, near_dedup, quality, secrets, url_filter
+from tallyflow.llm import bpe, exact_dedup, language, line_dedup, mixing, near_dedup, pii, quality, secrets, url_filter
 from tallyflow.llm.common import table
 
+#: The key of the registered query; a deployment passes its own.
+SURROGATE_KEY = "tallyflow"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -52,6 +54,10 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), size=4)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -69,7 +75,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe, "op2_url_filter": op2_url_filter, "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup, "op5_mixing": op5_mixing, "op6_near_dedup": op6_near_dedup,
-    "op8_language_id": op8_language_id, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup,
+    "op7_pii": op7_pii, "op8_language_id": op8_language_id, "op9_secret_scan": op9_secret_scan, "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES = {
