@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pieces of at most this length are remembered by a task, at most CACHE_ENTRIES of them.
-CACHED_LENGTH, CACHE_ENTRIES = 64, 400_000
+CACHED_LENGTH, CACHE_ENTRIES = 64, 200_000
 #: sentencepiece looks at inputs as a whole; longer pre-tokens would still be exact, but only this many are sent at once.
 ENCODE_AT_ONCE = 20_000
 

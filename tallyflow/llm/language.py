@@ -233,18 +233,18 @@ def with_language(docs: DataFrame, model: tuple[Network, list[str]] | None, text
     """
     width = len(docs.columns)
     schema = T.StructType([*docs.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_lang_score", T.DoubleType())])
-    ready = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.when(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.col(f"`{text_col}`")).alias("_read"))
+    place = docs.columns.index(text_col)
+    ready = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False)).alias("_read"))
     if model is None:
         return ready.withColumn("_lang_pred", F.lit(UNKNOWN)).withColumn("_lang_score", F.lit(0.0)).drop("_read")
     net, names = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column(width)
-            p = document_probabilities(net, text)
+            p = document_probabilities(net, batch.column(place))
             best = p.argmax(axis=1)
             score = np.clip(p[np.arange(len(best)), best], 0.0, 1.0)
-            known = text.is_valid().to_numpy(zero_copy_only=False)
+            known = batch.column(width).to_numpy(zero_copy_only=False)
             labels = [names[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist())]
             columns = [*batch.columns[:width], pa.array(labels, pa.string()), pa.array(np.where(known, score, 0.0), pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:width], "_lang_pred", "_lang_score"])

@@ -6,9 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes hashed at once; a chunk ends between words, so one longer word makes a longer chunk.
 CHUNK = 1 << 19
+#: Bytes of text whose shingles are in memory together, beyond one text.
+SLICE = 1 << 21
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = (_U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB))
@@ -95,11 +98,24 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), offsets)
 
 
+def slices(column: pa.Array, most: int = SLICE) -> Iterator[pa.Array]:
+    """The column in runs of whole texts of about ``most`` bytes, so that work arrays stay small."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
+    parts = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(column)]
+    return (column.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:]) if b > a)
+
+
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     """For each text its distinct shingles of ``size`` words as sorted hashes.
 
     A text of fewer words has the whole sequence as its one shingle; a text without words, or null, has none.
     """
+    for part in slices(column):
+        yield from _sets_of(part, size)
+
+
+def _sets_of(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     words, first = word_hashes(column)
     n = max(0, len(words) - size + 1)
     rolled = np.zeros(n, dtype=np.uint64)
