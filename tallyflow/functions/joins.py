@@ -83,12 +83,6 @@ def with_details(heads: DataFrame, details: DataFrame, key: str, spread_on: Sequ
     return matched.unionByName(bare, allowMissingColumns=True)
 
 
-def by_month(df: DataFrame, start: str, end: str, name: str = "_month") -> DataFrame:
-    """One row per calendar month an interval touches: gives a range join a second equi key."""
-    first, last = F.trunc(F.col(start), "MONTH"), F.trunc(F.col(end), "MONTH")
-    return df.withColumn(name, F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))))
-
-
 def with_neighbour(
     df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, bucket: Column, following: bool = False
 ) -> DataFrame:

@@ -8,15 +8,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NULL_TOKEN = "_null_"
+NULL_TOKEN = "n"
 
 
 def _parts(expressions: tuple[str, ...]) -> str:
-    return ", ".join(f"coalesce(cast({e} AS STRING), '{NULL_TOKEN}')" for e in expressions)
+    """Each part with its length in front, so that parts cannot run into each other; NULL is unlike any text."""
+    texts = [f"cast({e} AS STRING)" for e in expressions]
+    return ", ".join(f"coalesce(cast(length({t}) AS STRING) || ':' || {t}, '{NULL_TOKEN}')" for t in texts)
 
 
 def surrogate_key(*expressions: str) -> Column:
-    """md5 over the parts as text, joined by '-'; NULL takes a token so it stays distinct from ''."""
+    """md5 over the parts as text, each with its length, joined by '-'."""
     return F.expr(f"md5(concat_ws('-', {_parts(expressions)}))")
 
 

@@ -14,7 +14,7 @@ def product_label(product_id: Column) -> Column:
 def plan_label(plan_id: Column) -> Column:
     """plan_pro -> Pro (only the first letter changes)"""
     bare = F.replace(plan_id, F.lit("plan_"), F.lit(""))
-    return F.concat(F.upper(F.substring(bare, 1, 1)), F.substring(bare, 2, 1_000_000))
+    return F.concat(F.upper(F.substring(bare, 1, 1)), F.substr(bare, F.lit(2)))
 
 
 def short_id(value: Column, length: int = 8) -> Column:

@@ -56,6 +56,13 @@ def checkpoint_row(parsed: DataFrame, *, job: str, updated_ts: dt_.datetime | st
     )
 
 
+def advanced(checkpoint: DataFrame, stored: DataFrame) -> DataFrame:
+    """The checkpoint of a run joined with the stored one: each mark is the later of both, so it never goes back."""
+    marks = ("last_event_ts", "last_ingest_ts", "last_dt", "updated_ts")
+    both = checkpoint.unionByName(stored.select(*checkpoint.columns).join(checkpoint.select("job"), "job", "left_semi"))
+    return both.groupBy("job").agg(*[F.max(m).alias(m) for m in marks])
+
+
 def after_checkpoint(raw: DataFrame, checkpoints: DataFrame, job: str) -> DataFrame:
     """Raw rows ingested after the job's checkpoint; all rows where there is none."""
     last = checkpoints.where(F.col("job") == job).agg(F.max("last_ingest_ts")).scalar()

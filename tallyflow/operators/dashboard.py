@@ -65,6 +65,13 @@ def rates_by_plan(rates: DataFrame) -> DataFrame:
 
 
 def usage_matrix(usage: DataFrame, products: Sequence[str] = PRODUCTS) -> DataFrame:
-    """One row per day, one quantity column per product; days without a product show 0."""
-    wide = usage.groupBy("date_id").pivot("product_id", list(products)).agg(total_quantity("total_quantity"))
-    return wide.fillna(0, subset=list(products)).orderBy("date_id")
+    """One row per day, one quantity column per listed product and one for all others; empty cells show 0."""
+    columns = [total_quantity(F.when(F.col("product_id") == p, F.col("total_quantity"))).alias(p) for p in products]
+    known = F.coalesce(F.col("product_id").isin(list(products)), F.lit(False))
+    other = total_quantity(F.when(~known, F.col("total_quantity"))).alias("other_products")
+    return usage.groupBy("date_id").agg(*columns, other).fillna(0).orderBy("date_id")
+
+
+def usage_by_day_and_product(usage: DataFrame) -> DataFrame:
+    """The matrix in long form, for any number of products."""
+    return usage.groupBy("date_id", "product_id").agg(total_quantity("total_quantity").alias("quantity"))

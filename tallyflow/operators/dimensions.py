@@ -21,7 +21,8 @@ def customer_history(
 ) -> DataFrame:
     """All customer versions from all snapshots: a version starts where the attribute hash changes.
 
-    Intervals are half open. ``bucket`` splits a customer's snapshots for the neighbour lookups
+    Intervals are half open. All versions of a customer have the same key, so facts, invoices and names stay
+    together when a version changes. ``bucket`` splits a customer's snapshots for the neighbour lookups
     (default: the day of the snapshot), so a customer with very many snapshots is not one task.
     """
     bucket = F.col("ingest_ts").cast("date") if bucket is None else bucket
@@ -31,7 +32,7 @@ def customer_history(
     starts = with_before.where(~F.col("_before").eqNullSafe(F.col("record_hash"))).drop("_before")
     with_end = with_neighbour(starts, ["customer_id"], "ingest_ts", "ingest_ts", "effective_end", bucket, following=True)
     return with_end.select(
-        numeric_key("customer_id", "ingest_ts").alias("customer_sk"), "customer_id", *attributes,
+        numeric_key("customer_id").alias("customer_sk"), "customer_id", *attributes,
         F.col("ingest_ts").alias("effective_start"), "effective_end",
         F.col("effective_end").isNull().alias("is_current"), "record_hash",
     )
@@ -62,7 +63,7 @@ def apply_snapshot(
     added = opened.select(
         "customer_id", *attributes, "record_hash", now.alias("effective_start"),
         F.lit(None).cast("timestamp_ntz").alias("effective_end"), F.lit(True).alias("is_current"),
-    ).withColumn("customer_sk", numeric_key("customer_id", "effective_start"))
+    ).withColumn("customer_sk", numeric_key("customer_id"))
     return kept.unionByName(added.select(*columns))
 
 

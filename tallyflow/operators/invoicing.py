@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt_
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..functions.joins import by_month, keyed_join, with_details
+from ..functions.joins import keyed_join, with_details
 from ..functions.keys import surrogate_key
 from ..functions.literals import date, ntz
 from ..functions.money import share_of, total_amount, total_quantity
@@ -54,13 +55,22 @@ def close_headers(
     return _header(totals, issued_ts, tax, F.col("subtotal") + tax)
 
 
+def with_fees(headers: DataFrame, fees: DataFrame, tax_rate: str = "0") -> DataFrame:
+    """Headers with their fee lines in subtotal, tax and total."""
+    sums = fees.groupBy("invoice_id").agg(total_amount("amount").alias("_fee"))
+    joined = headers.join(sums, "invoice_id", "left")
+    subtotal = (F.col("subtotal") + F.coalesce("_fee", F.lit(0).cast(AMOUNT))).cast(AMOUNT)
+    added = joined.withColumn("subtotal", subtotal).withColumn("tax", share_of(F.col("subtotal"), tax_rate))
+    return added.withColumn("total", (F.col("subtotal") + F.col("tax")).cast(AMOUNT)).select(*headers.columns)
+
+
 def recent_month_headers(
     costs: DataFrame, today: dt_.date | str, *, issued_ts: dt_.datetime | str, months: int = 2, tax_rate: str = "0.08"
 ) -> DataFrame:
     """Invoices for this month and the ``months`` before it; tax and total rounded to cents, zero totals skipped."""
     since = F.add_months(F.trunc(date(today), "MONTH"), -months)
     totals = monthly_customer_cost(costs.where(F.col("date_id") >= since)).where("subtotal > 0")
-    gross = str(1 + float(tax_rate))
+    gross = str(1 + Decimal(tax_rate))
     return _header(totals, issued_ts, share_of(F.col("subtotal"), tax_rate), share_of(F.col("subtotal"), gross))
 
 
@@ -75,17 +85,12 @@ def usage_lines(
 ) -> DataFrame:
     """Usage lines of the given invoices, one per product, unit and, with ``split_by_rate``, rate.
 
-    Invoices are laid out by month, so the period test rides on an equi join by customer and month.
-    Prices are looked up after the aggregation, on one row per invoice, product, unit and rate.
+    Costs meet the invoices of their customer, few rows each, with the period as residual. Prices
+    are looked up after the aggregation, on one row per invoice, product, unit and rate.
     """
-    periods = by_month(
-        headers.select("invoice_id", "customer_sk", "billing_period_start", "billing_period_end"),
-        "billing_period_start", "billing_period_end",
-    )
+    periods = headers.select("invoice_id", "customer_sk", "billing_period_start", "billing_period_end")
     inside = F.col("l.date_id").between(F.col("r.billing_period_start"), F.col("r.billing_period_end"))
-    billed = keyed_join(
-        costs.withColumn("_month", F.trunc("date_id", "MONTH")), periods, ["customer_sk", "_month"], inside
-    )
+    billed = keyed_join(costs, periods, ["customer_sk"], inside)
     keys = ["invoice_id", "billing_period_start", "product_id", "unit"]
     per_rate = billed.groupBy(*keys, "rate_sk").agg(
         total_quantity("billable_quantity").alias("quantity"), total_amount("cost_amount").alias("amount"),
@@ -130,18 +135,17 @@ def daily_row_hash() -> Column:
 
 def audit_trail(lines: DataFrame, headers: DataFrame, customers: DataFrame, daily: DataFrame) -> DataFrame:
     """Every line item with the daily aggregate rows behind it."""
-    owner = headers.select("invoice_id", "customer_sk").join(customers.select("customer_sk", "customer_id"), "customer_sk")
+    owner = headers.select("invoice_id", "customer_sk").join(customers.select("customer_sk", "customer_id").distinct(), "customer_sk")
     owned = lines.select(
         "invoice_id", "line_item_id", "product_id", "unit", "rate_sk", "calc_batch_id",
         "usage_window_start", "usage_window_end",
     ).join(owner.drop("customer_sk"), "invoice_id")
-    windows = by_month(owned, "usage_window_start", "usage_window_end")
     rows = daily.select(
         "customer_id", "product_id", "unit", "event_date", F.col("batch_id").alias("source_batch_id"),
-        daily_row_hash().alias("agg_row_hash"), F.trunc("event_date", "MONTH").alias("_month"),
+        daily_row_hash().alias("agg_row_hash"),
     )
     inside = F.col("l.event_date").between(F.col("r.usage_window_start"), F.col("r.usage_window_end"))
-    traced = keyed_join(rows, windows, ["customer_id", "product_id", "unit", "_month"], inside)
+    traced = keyed_join(rows, owned, ["customer_id", "product_id", "unit"], inside)
     return traced.select(
         "invoice_id", "line_item_id", "customer_id", "product_id", "event_date", "source_batch_id",
         "agg_row_hash", "rate_sk", "calc_batch_id",

@@ -7,6 +7,7 @@ import datetime as dt_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import numeric_key
 from ..functions.literals import ntz
 from ..schemas import USAGE_CLEAN
 from ..sources import lake as lk
@@ -97,7 +98,7 @@ def upsert_customers(dim: DataFrame, incoming: DataFrame, as_of: str | dt_.datet
     ``incoming`` holds one row per customer. The one-version form of the dimension; the history
     form is ``dimensions.apply_snapshot``.
     """
-    key = F.xxhash64(F.lit("customer"), F.col("s.customer_id"))
+    key = numeric_key("s.customer_id")  # as in the history form
     s = incoming.alias("s")
     d = dim.alias("d")
     joined = d.join(s, F.col("d.customer_id") == F.col("s.customer_id"), "full_outer")

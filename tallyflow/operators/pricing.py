@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import by_month, keyed_join, salted_join
+from ..functions.joins import keyed_join, salted_join, skew_join
 from ..functions.keys import surrogate_key
-from ..functions.literals import date, ntz
+from ..functions.literals import date
 from ..functions.money import amount_of
 from ..schemas import AMOUNT, PRICE, TOTAL_QUANTITY
 
@@ -67,30 +65,24 @@ def daily_cost_model(daily: DataFrame, customers: DataFrame, latest_rates: DataF
     )
 
 
-def customer_at(usage: DataFrame, history: DataFrame, *, at: str, horizon: dt_.date | str) -> DataFrame:
-    """Usage with the customer version valid at ``at`` (half-open intervals).
+def customer_at(usage: DataFrame, history: DataFrame, *, at: str, spread_on: tuple[str, ...] = ("event_date", "product_id")) -> DataFrame:
+    """Usage with the customer version valid at ``at`` (half-open intervals, open versions never end).
 
-    Versions are laid out by calendar month up to ``horizon``, so usage of one customer meets only
-    the versions of that month. ``horizon`` must not be before the newest usage.
+    Usage meets the versions of its customer with the interval as residual; a customer with a large share of the
+    usage is spread by ``spread_on``.
     """
-    last = ntz(horizon)
-    versions = history.select(
-        "customer_id", "customer_sk", "plan_id", "status", "effective_start", "effective_end",
-        F.least(F.coalesce("effective_end", last), last).alias("_last"),
-    ).where(F.col("effective_start") <= F.col("_last"))
-    monthly = by_month(versions, "effective_start", "_last").drop("_last")
+    versions = history.select("customer_id", "customer_sk", "plan_id", "status", "effective_start", "effective_end")
     valid = (F.col("r.effective_start") <= F.col(f"l.{at}")) & (
         F.col("r.effective_end").isNull() | (F.col(f"l.{at}") < F.col("r.effective_end"))
     )
-    stamped = usage.withColumn("_month", F.trunc(at, "MONTH"))
-    return keyed_join(stamped, monthly, ["customer_id", "_month"], valid).drop("_month")
+    return skew_join(usage, versions, ["customer_id"], spread_on, valid)
 
 
 def base_fee_lines(
     headers: DataFrame, customers: DataFrame, plans: DataFrame, *, calc_batch_id: str
 ) -> DataFrame:
-    """One base-fee line per invoice, from the plan of the invoiced customer."""
-    plan_of = customers.select("customer_sk", "plan_id")
+    """One base-fee line per invoice, from the current plan of the invoiced customer."""
+    plan_of = customers.where("is_current").select("customer_sk", "plan_id")
     priced = headers.join(plan_of, "customer_sk").join(plans.select("plan_id", "base_fee"), "plan_id")
     return priced.select(
         "invoice_id", surrogate_key("invoice_id", "'base_fee'").alias("line_item_id"),

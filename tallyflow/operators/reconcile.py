@@ -7,7 +7,7 @@ import datetime as dt_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import by_month, skew_join
+from ..functions.joins import keyed_join, skew_join
 from ..functions.keys import surrogate_key
 from ..functions.money import amount_of, total_amount, total_quantity
 from ..schemas import AMOUNT, PRICE, TOTAL_QUANTITY
@@ -19,23 +19,20 @@ EVENT_COLUMNS = ("event_id", "event_date", "customer_id", "product_id", "unit",
 def late_events(events: DataFrame, invoices: DataFrame, customers: DataFrame) -> DataFrame:
     """Events inside an issued invoice's period whose load time is after the issue time.
 
-    The invoice's customer id comes from a join on the customer key. Events are not aggregated
-    here, so a customer with most of the late events is split by the skew join.
+    The invoice's customer id comes from a join on the customer key. Events meet the few invoices of their
+    customer; they are not aggregated here, so a customer with most of the late events is split by the skew join.
     """
     issued = invoices.where(F.col("status") == "issued").select(
         "invoice_id", "customer_sk", "billing_period_start", "billing_period_end", "issued_ts"
     )
-    owned = issued.join(customers.select("customer_sk", "customer_id"), "customer_sk")
-    periods = by_month(owned, "billing_period_start", "billing_period_end")
+    periods = issued.join(customers.select("customer_sk", "customer_id").distinct(), "customer_sk")
     late = F.col("l.event_date").between(F.col("r.billing_period_start"), F.col("r.billing_period_end")) & (
         F.col("l.load_ts") > F.col("r.issued_ts")
     )
     # Nothing loaded before the first invoice was issued can be late: cut it before the shuffle.
     first_issue = issued.agg(F.min("issued_ts")).scalar()
-    stamped = events.where(F.col("load_ts") > first_issue).select(
-        *EVENT_COLUMNS, F.trunc("event_date", "MONTH").alias("_month")
-    )
-    joined = skew_join(stamped, periods, ["customer_id", "_month"], ["event_id"], late)
+    stamped = events.where(F.col("load_ts") > first_issue).select(*EVENT_COLUMNS)
+    joined = skew_join(stamped, periods, ["customer_id"], ["event_id"], late)
     return joined.select(
         "event_id", "event_date", "customer_id", "product_id", "quantity", "unit", "invoice_id", "customer_sk",
         "billing_period_start", "issued_ts",
@@ -98,13 +95,13 @@ def adjusted_headers(headers: DataFrame, new_lines: DataFrame) -> DataFrame:
 
 
 def headers_from_lines(headers: DataFrame, lines: DataFrame) -> DataFrame:
-    """Headers whose subtotal is the sum of their usage and adjustment lines; total moves by the same amount.
+    """Headers whose subtotal is the sum of their usage, fee and adjustment lines; total moves by the same amount.
 
     Gives the same headers however often it runs, so a run broken between writing lines and
     totals is repaired by the next one.
     """
     sums = (
-        lines.where(F.col("line_type").isin("usage", "adjustment"))
+        lines.where(F.col("line_type").isin("usage", "adjustment", "base_fee"))
         .groupBy("invoice_id").agg(total_amount("amount").alias("_sum"))
     )
     subtotal = F.coalesce("_sum", "subtotal")
@@ -120,17 +117,15 @@ def price_differences(costs: DataFrame, headers: DataFrame, lines: DataFrame) ->
     """Recomputed minus billed amount per invoice, product and unit; equal groups are left out.
 
     ``costs`` is the daily cost fact recomputed with everything known now; ``lines`` are all
-    usage and adjustment lines billed so far.
+    usage and adjustment lines billed so far. Days join the period they lie in, whatever its bounds.
     """
-    periods = by_month(
-        headers.select("invoice_id", "customer_sk", "billing_period_start", "billing_period_end"),
-        "billing_period_start", "billing_period_end",
-    ).drop("billing_period_start", "billing_period_end")
-    monthly = costs.groupBy("customer_sk", F.trunc("date_id", "MONTH").alias("_month"), "product_id", "unit").agg(
+    periods = headers.select("invoice_id", "customer_sk", "billing_period_start", "billing_period_end")
+    inside = F.col("l.date_id").between(F.col("r.billing_period_start"), F.col("r.billing_period_end"))
+    per_day = costs.groupBy("customer_sk", "date_id", "product_id", "unit").agg(
         total_quantity("billable_quantity").alias("quantity"), total_amount("cost_amount").alias("amount")
     )
     keys = ["invoice_id", "product_id", "unit"]
-    now = monthly.join(periods, ["customer_sk", "_month"]).groupBy(*keys).agg(
+    now = keyed_join(per_day, periods, ["customer_sk"], inside).groupBy(*keys).agg(
         total_quantity("quantity").alias("_q_now"), total_amount("amount").alias("_now")
     )
     billed = (

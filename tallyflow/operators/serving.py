@@ -13,8 +13,6 @@ from ..functions.money import total_amount, total_quantity
 from ..schemas import AMOUNT
 
 Day = dt_.date | str
-USAGE_LIMIT = 5000
-USAGE_DAYS = 90
 INVOICE_COLUMNS = (
     "invoice_id", "customer_sk", "customer_name", "billing_period_start", "billing_period_end", "issued_ts",
     "status", "subtotal", "tax", "total", "currency",
@@ -118,15 +116,16 @@ def invoice_detail(
 
 def usage_report(
     costs: DataFrame, customers: DataFrame, today: Day, *, customer_id: str | None = None, date_from: Day | None = None,
-    date_to: Day | None = None, product_id: str | None = None, limit: int | None = USAGE_LIMIT,
+    date_to: Day | None = None, product_id: str | None = None, days: int | None = None, limit: int | None = None,
 ) -> DataFrame:
-    """Usage by day, product and unit over the last 90 days, newest first, first ``limit`` rows.
+    """Usage by day, product and unit, newest first.
 
-    The order is total, so the cut is the same on every run. ``limit=None`` keeps all rows, which
-    is what the charts use.
+    ``days`` looks back from ``today`` unless ``date_from`` is given, ``limit`` keeps the first rows of a total
+    order; without them all rows are reported.
     """
-    rows = costs.where(F.col("date_id") >= F.date_sub(date(today), USAGE_DAYS))
-    rows = _between(rows, "date_id", date_from, date_to)
+    if days is not None and date_from is None:
+        costs = costs.where(F.col("date_id") >= F.date_sub(date(today), days))
+    rows = _between(costs, "date_id", date_from, date_to)
     if product_id:
         rows = rows.where(F.col("product_id") == product_id)
     known = customers.where("is_current")

@@ -382,12 +382,24 @@ def e5_plan_aware_cost(spark, d):
 @query
 def e6_point_in_time_customer(spark, d):
     history = dimensions.customer_history(sample.snapshots(spark, d))
-    found = pricing.customer_at(sample.daily(spark, d), history, at="last_event_ts", horizon="2024-02-01")
+    found = pricing.customer_at(sample.daily(spark, d), history, at="last_event_ts")
     return found.select(
         "event_date", "customer_id", "product_id", "unit", "total_quantity", "last_event_ts", "plan_id", "status", "effective_start"
     )
 
 
+@query
+def e6_after_last_snapshot(spark, d):
+    """Usage of two months after the newest version still has that version."""
+    history = dimensions.customer_history(sample.snapshots(spark, d))
+    later = sample.daily(spark, d).select(
+        F.date_add("event_date", 60).alias("event_date"), "customer_id", "product_id", "unit", "total_quantity",
+        (F.col("last_event_ts") + F.make_dt_interval(days=F.lit(60))).alias("last_event_ts"),
+    )
+    found = pricing.customer_at(later, history, at="last_event_ts")
+    return found.select("event_date", "customer_id", "product_id", "unit", "total_quantity", "plan_id", "effective_start")
+
+
 @query
 def e7_base_fee_lines(spark, d):
     return pricing.base_fee_lines(
@@ -418,6 +430,12 @@ def f2_recent_order_headers(spark, d):
     return invoicing.recent_month_headers(sample.order_costs(spark, d), "2001-06-15", issued_ts=sample.ISSUED)
 
 
+@query
+def f2_odd_tax_rate(spark, d):
+    costs = sample.costs(spark, d, match_plan=False)
+    return invoicing.recent_month_headers(costs, sample.TODAY, issued_ts=sample.ISSUED, tax_rate="0.08875")
+
+
 @query
 def f3_model_headers(spark, d):
     return invoicing.model_headers(sample.costs(spark, d), issued_ts=sample.ISSUED)
@@ -700,12 +718,12 @@ def j5_invoice_detail(spark, d):
 @query
 def j6_usage_report(spark, d):
     costs, customers = sample.costs(spark, d), sample.customers(spark, d)
-    return serving.usage_report(costs, customers, sample.TODAY)
+    return serving.usage_report(costs, customers, sample.TODAY, days=90)
 
 
 @query
 def j6_order_usage_report(spark, d):
-    """Many months of order usage, cut to the newest 5000 rows."""
+    """Many months of order usage, all rows."""
     customers = sample.customers(spark, d)
     return serving.usage_report(sample.order_costs(spark, d), customers, "1995-01-01", date_from="1995-01-01")
 
@@ -726,7 +744,7 @@ def j8_current_rates(spark, d):
 
 def _report(spark: SparkSession, d: str) -> DataFrame:
     costs, customers = sample.costs(spark, d), sample.customers(spark, d)
-    return serving.usage_report(costs, customers, sample.TODAY, limit=None)
+    return serving.usage_report(costs, customers, sample.TODAY, days=90)
 
 
 @query
@@ -783,7 +801,13 @@ def k9_rates_by_plan(spark, d):
 
 @query
 def k10_usage_matrix(spark, d):
-    return dashboard.usage_matrix(_report(spark, d))
+    """Three products have a column of their own; the fourth is in the last column."""
+    return dashboard.usage_matrix(_report(spark, d), PRODUCTS[:3])
+
+
+@query
+def k10_usage_by_product(spark, d):
+    return dashboard.usage_by_day_and_product(_report(spark, d))
 
 
 # ---- scalar function families, each over a whole table
@@ -893,10 +917,15 @@ def l13_money_and_numbers(spark, d):
 # ---- streams, drained and compared with their batch forms
 
 
+def _stream(spark: SparkSession, landing: str, batch_id: str) -> DataFrame:
+    """The landing folder in several micro-batches."""
+    return streams.raw_stream(spark, landing, source="API", batch_id=batch_id, ingest_ts=str(AS_OF), files_per_batch=12)
+
+
 @query
 def m1_stream_ingest(spark, d):
     target, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "checkpoint")
-    raw = streams.raw_stream(spark, _land_usage(spark, d), source="API", batch_id="run_1", ingest_ts=str(AS_OF))
+    raw = _stream(spark, _land_usage(spark, d), "run_1")
     streams.drain_raw(raw, target, checkpoint).awaitTermination()
     stored = spark.read.parquet(target)
     return stored.select("ingest_ts", "source", F.col("dt").cast("date").alias("dt"), parse.field("event_id").alias("event_id"))
@@ -905,29 +934,47 @@ def m1_stream_ingest(spark, d):
 @query
 def m2_stream_dedup(spark, d):
     target, checkpoint = scratch_path(spark, "dedup"), scratch_path(spark, "checkpoint")
-    parsed = parse.parse_usage(streams.raw_stream(spark, _land_usage(spark, d), source="API", batch_id="run_1", ingest_ts=str(AS_OF)))
-    # Late events come 40 days after they happened, so ids are kept longer than that.
-    streams.drain_rows(streams.deduplicated(parsed, "45 days"), target, checkpoint).awaitTermination()
-    return spark.read.parquet(target).select("event_id", "customer_id", "product_id", "quantity")
+    parsed = parse.parse_usage(_stream(spark, _land_usage(spark, d), "run_1"))
+    streams.drain_unique(parsed, target, checkpoint).awaitTermination()
+    return streams.current_unique(spark, target).select("event_id", "event_ts", "customer_id", "product_id", "quantity")
 
 
 @query
 def m3_stream_daily_usage(spark, d):
     target, checkpoint = scratch_path(spark, "daily"), scratch_path(spark, "checkpoint")
     landing = _land_usage(spark, d, sample.events(spark, d))
-    parsed = parse.parse_usage(streams.raw_stream(spark, landing, source="API", batch_id="run_1", ingest_ts=str(AS_OF)))
-    streams.drain_daily(streams.daily_windows(parsed, "45 days"), target, checkpoint).awaitTermination()
+    parsed = parse.parse_usage(_stream(spark, landing, "run_1"))
+    streams.drain_daily(parsed, target, checkpoint).awaitTermination()
     return streams.current_daily(spark, target)
 
 
+@query
+def m3_compacted(spark, d):
+    target, checkpoint = scratch_path(spark, "daily"), scratch_path(spark, "checkpoint")
+    landing = _land_usage(spark, d, sample.events(spark, d))
+    parsed = parse.parse_usage(_stream(spark, landing, "run_1"))
+    streams.drain_daily(parsed, target, checkpoint).awaitTermination()
+    return streams.compact_daily(spark, target, scratch_path(spark, "compacted"))
+
+
 @query
 def m4_stream_upsert(spark, d):
     lake = _new_lake(spark)
-    raw = streams.raw_stream(spark, _land_usage(spark, d), source="API", batch_id="run_1", ingest_ts=str(AS_OF))
-    streams.drain_clean(raw, lake, scratch_path(spark, "checkpoint"), merge.REPLACE).awaitTermination()
+    raw = _stream(spark, _land_usage(spark, d), "run_1")
+    streams.drain_clean(raw, lake, scratch_path(spark, "checkpoint"), merge.REPLACE, None).awaitTermination()
     return lake.read(lk.USAGE_CLEAN).drop("raw_hash")
 
 
+@query
+def m4_stream_rejects(spark, d):
+    """Defective JSON: what the stream leaves in quarantine, over several micro-batches."""
+    lake, path = _new_lake(spark), scratch_path(spark, "landing")
+    rows = sample.defective_json(spark, d).select("dt", F.coalesce("bad_text", F.to_json("payload")).alias("value"))
+    rows.hint("rebalance", F.col("dt")).write.partitionBy("dt").text(path)
+    streams.drain_clean(_stream(spark, path, "run"), lake, scratch_path(spark, "checkpoint")).awaitTermination()
+    return lake.read(lk.QUARANTINE).groupBy("error_reason").agg(F.count(F.lit(1)).alias("rejected"))
+
+
 @query
 def m5_stream_late_routing(spark, d):
     lake = _new_lake(spark)
@@ -936,7 +983,8 @@ def m5_stream_late_routing(spark, d):
     bills = sample.billing(spark, d, source=in_time)
     lake.replace(lk.INVOICES, bills.headers.select("*", stamp.alias("load_ts"), F.lit("close").alias("batch_id")))
     lake.replace(lk.LINE_ITEMS, bills.lines.withColumn("load_ts", stamp))
-    late = sample.events(spark, d).join(in_time.select("event_id"), "event_id", "left_anti")
-    raw = streams.raw_stream(spark, _land_usage(spark, d, late), source="API", batch_id="late", ingest_ts=str(AS_OF))
-    streams.drain_late(raw, lake, customers, rates, scratch_path(spark, "checkpoint"), run_id="late", as_of=AS_OF).awaitTermination()
+    # All events, each with its own load time: the routing has to leave out those that came in time.
+    landing = _land_usage(spark, d, sample.events(spark, d))
+    raw = _stream(spark, landing, "late").withColumn("ingest_ts", F.col("dt").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS"))
+    streams.drain_late(raw, lake, customers, rates, scratch_path(spark, "checkpoint"), run_id="late", as_of=AS_OF, products=None).awaitTermination()
     return lake.read(lk.INVOICES).drop("load_ts", "batch_id")

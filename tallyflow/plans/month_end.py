@@ -21,8 +21,9 @@ def close_period(
 
     Keys are hashes of customer and period, and the period's partitions are replaced, so a rerun
     gives the same invoices again. A period that has adjustments is closed for good: closing it
-    again would bill the late usage twice. With ``customers`` and ``plans`` a base-fee line is
-    written per invoice; it is not part of the usage subtotal.
+    again would bill the late usage twice. With ``customers`` and ``plans`` each invoice has a
+    base-fee line, which is part of its subtotal, tax and total; with ``customers`` the daily rows
+    behind every line are stored as well. A customer billed in two currencies stops the close.
     """
     period = F.col("billing_period_start") == date(start)
     adjusted = lake.read(lk.LINE_ITEMS).where(period & (F.col("line_type") == "adjustment"))
@@ -31,20 +32,26 @@ def close_period(
 
     stamp = ntz(issued_ts)
     costs = lake.read(lk.DAILY_COST).where(F.col("date_id").between(date(start), date(end)))
-    headers = stage(
-        invoicing.close_headers(costs, start, end, issued_ts=issued_ts, tax_rate=tax_rate)
-        .select("*", stamp.alias("load_ts"), F.lit(run_id).alias("batch_id")),
-        "headers",
-    )
-    lines = stage(
-        invoicing.usage_lines(costs, headers, rates, calc_batch_id=run_id).withColumn("load_ts", stamp), "lines"
+    headers = invoicing.close_headers(costs, start, end, issued_ts=issued_ts, tax_rate=tax_rate).select(
+        "*", stamp.alias("load_ts"), F.lit(run_id).alias("batch_id")
     )
+    headers = stage(headers, "headers")
+    lines = invoicing.usage_lines(costs, headers, rates, calc_batch_id=run_id).withColumn("load_ts", stamp)
+    if customers is not None and plans is not None:
+        fees = stage(pricing.base_fee_lines(headers, customers, plans, calc_batch_id=run_id).withColumn("load_ts", stamp), "fees")
+        headers = stage(invoicing.with_fees(headers, fees, tax_rate), "headers")
+        lines = lines.unionByName(fees)
+    lines = stage(lines, "lines")
     quality.enforce(quality.all_checks(
         quality.invoice_integrity(headers, lines), quality.unique(headers, "invoice_id"), quality.unique(lines, "line_item_id"),
+        quality.single_currency(costs, "customer_sk"),
     ))
-    lake.replace(lk.INVOICES, headers)
-    lake.replace(lk.LINE_ITEMS, lines)
-    if customers is not None and plans is not None:
-        fees = pricing.base_fee_lines(headers, customers, plans, calc_batch_id=run_id).withColumn("load_ts", stamp)
-        lake.replace(lk.LINE_ITEMS, fees)
+    lake.replace_values(lk.INVOICES, headers, [start])
+    lake.replace_values(lk.LINE_ITEMS, lines, [start])
+    if customers is not None:
+        usage_lines = lines.where(F.col("line_type") == "usage")
+        trail = invoicing.audit_trail(usage_lines, headers, customers, lake.read(lk.USAGE_DAILY)).select(
+            "*", stamp.alias("created_ts"), date(start).alias("billing_period_start")
+        )
+        lake.replace_values(lk.BILLING_AUDIT, trail, [start])
     return headers.count()

@@ -6,6 +6,7 @@ Statements share named building blocks; ``_sql`` puts the blocks a statement nee
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from ..sources.sample import CATALOG, ISSUED, PLAN_ROWS, SNAPSHOT_TIMES, TODAY
 
@@ -43,7 +44,8 @@ def _oracle(name: str, body: str) -> None:
 
 
 def _key(*parts: str) -> str:
-    return "md5(concat_ws('-', " + ", ".join(f"coalesce(cast({p} AS VARCHAR), '_null_')" for p in parts) + "))"
+    texts = [f"cast({p} AS VARCHAR)" for p in parts]
+    return "md5(concat_ws('-', " + ", ".join(f"coalesce(cast(length({t}) AS VARCHAR) || ':' || {t}, 'n')" for t in texts) + "))"
 
 
 def _money(q: str, p: str) -> str:
@@ -72,7 +74,7 @@ SELECT cast(event_id AS VARCHAR) AS event_id, ts AS event_ts, cast(ts AS DATE) A
   cast(value AS DECIMAL(18,6)) AS quantity, 'API' AS source,
   CASE WHEN event_id % 50 = 0 THEN ts + INTERVAL 40 DAY ELSE ts + INTERVAL 1 HOUR END AS load_ts,
   'run_' || cast(cast(ts AS DATE) AS VARCHAR) AS batch_id,
-  """ + _key("event_id", "value") + """ AS raw_hash, event_id AS n
+  md5(concat_ws('-', cast(event_id AS VARCHAR), cast(value AS VARCHAR))) AS raw_hash, event_id AS n
 FROM events""")
 _block("v_deliveries", """
 SELECT * FROM v_events UNION ALL
@@ -357,6 +359,10 @@ _oracle("e6_point_in_time_customer", """
 SELECT event_date, g.customer_id, product_id, unit, total_quantity, last_event_ts, plan_id, status, effective_start
 FROM v_daily g JOIN v_history h ON h.customer_id = g.customer_id AND last_event_ts >= effective_start
   AND (effective_end IS NULL OR last_event_ts < effective_end)""")
+_oracle("e6_after_last_snapshot", """
+SELECT event_date + 60 AS event_date, g.customer_id, product_id, unit, total_quantity, plan_id, effective_start
+FROM v_daily g JOIN v_history h ON h.customer_id = g.customer_id AND last_event_ts + INTERVAL 60 DAY >= effective_start
+  AND (effective_end IS NULL OR last_event_ts + INTERVAL 60 DAY < effective_end)""")
 _oracle("e7_base_fee_lines", f"""
 SELECT invoice_id, {_key("invoice_id", "'base_fee'")} AS line_item_id, 'base_fee' AS line_type, cast(NULL AS VARCHAR) AS product_id,
   cast(NULL AS VARCHAR) AS unit, cast(1 AS DECIMAL(28,6)) AS quantity, cast(base_fee AS DECIMAL(18,10)) AS unit_price,
@@ -370,12 +376,12 @@ _oracle("f1_close_headers", "SELECT * FROM v_invoices_all")
 _oracle("f1_close_headers_plan_aware", "SELECT * FROM v_invoices")
 
 
-def _month_headers(costs: str, where: str, taxed: bool) -> str:
-    def cents(rate: str) -> str:
-        return f"cast(round(cast(cast(sum(cost_amount) AS DECIMAL(32,10)) * cast({rate} AS DECIMAL(5,2)) AS DECIMAL(38,12)), 2) AS DECIMAL(38,10))"
+def _month_headers(costs: str, where: str, taxed: bool, rate: str = "0.08") -> str:
+    def cents(factor: str) -> str:
+        return f"cast(round(cast(sum(cost_amount) AS DECIMAL(28,10)) * cast({factor} AS DECIMAL(9,8)), 2) AS DECIMAL(38,10))"
 
     total = _sum_amount("cost_amount")
-    tax, gross = (cents("0.08"), cents("1.08")) if taxed else ("cast(0 AS DECIMAL(38,10))", total)
+    tax, gross = (cents(f"'{rate}'"), cents(f"'{1 + Decimal(rate)}'")) if taxed else ("cast(0 AS DECIMAL(38,10))", total)
     start = "cast(date_trunc('month', date_id) AS DATE)"
     return f"""
 SELECT {_key("customer_sk", start)} AS invoice_id, customer_sk, {start} AS billing_period_start, last_day(min(date_id)) AS billing_period_end,
@@ -388,6 +394,7 @@ _block("v_model", _month_headers("v_costs", "true", False))
 _block("v_model_all", _month_headers("v_costs_all", "true", False))
 _block("v_model_orders", _month_headers("v_order_costs", "true", False))
 _oracle("f2_recent_month_headers", "SELECT * FROM v_recent")
+_oracle("f2_odd_tax_rate", _month_headers("v_costs_all", "date_id >= DATE '2023-11-01'", True, "0.08875"))
 _oracle("f2_recent_order_headers", _month_headers("v_order_costs", "date_id >= DATE '2001-04-01'", True))
 _oracle("f3_model_headers", "SELECT * FROM v_model")
 _oracle("f3_model_order_headers", "SELECT * FROM v_model_orders")
@@ -598,9 +605,8 @@ SELECT date_id, product_id, unit, {_sum_quantity("total_quantity")} AS total_qua
 
 
 _block("v_report", _report("v_costs", f"date_id >= DATE '{TODAY}' - 90"))
-_CUT = " ORDER BY date_id DESC, product_id, unit LIMIT 5000"
-_oracle("j6_usage_report", "SELECT * FROM v_report" + _CUT)
-_oracle("j6_order_usage_report", _report("v_order_costs", "date_id >= DATE '1995-01-01'") + _CUT)
+_oracle("j6_usage_report", "SELECT * FROM v_report")
+_oracle("j6_order_usage_report", _report("v_order_costs", "date_id >= DATE '1995-01-01'"))
 _oracle("j7_latest_runs", f"SELECT run_id, job, status, created_ts FROM ({_AUDIT}) ORDER BY created_ts DESC, run_id DESC LIMIT 10")
 _oracle("j8_current_rates", """
 SELECT product_id, plan_id, unit, unit_price, currency, effective_from, effective_to FROM v_versions WHERE is_current""")
@@ -625,8 +631,10 @@ SELECT plan_id, upper(replace(plan_id, 'plan_', '')[1]) || replace(plan_id, 'pla
 FROM v_versions WHERE is_current""")
 _oracle("k10_usage_matrix", "SELECT date_id, " + ", ".join(
     f"cast(coalesce(sum(total_quantity) FILTER (WHERE product_id = '{p}'), 0) AS DECIMAL(28,6)) AS {p}"
-    for p in ("prod_api_requests", "prod_storage_gb", "prod_compute_minutes", "prod_ai_tokens")
-) + " FROM v_report GROUP BY date_id")
+    for p in ("prod_api_requests", "prod_storage_gb", "prod_compute_minutes")
+) + """, cast(coalesce(sum(total_quantity) FILTER (WHERE product_id = 'prod_ai_tokens'), 0) AS DECIMAL(28,6)) AS other_products
+FROM v_report GROUP BY date_id""")
+_oracle("k10_usage_by_product", f"SELECT date_id, product_id, {_sum_quantity('total_quantity')} AS quantity FROM v_report GROUP BY 1, 2")
 
 # ---- scalar functions
 
@@ -670,7 +678,9 @@ FROM (SELECT o_orderkey, cast(cast(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS
 # ---- streams: the batch results
 
 _oracle("m1_stream_ingest", f"SELECT {AS_OF} AS ingest_ts, 'API' AS source, dt, event_id FROM v_landed")
-_oracle("m2_stream_dedup", "SELECT event_id, customer_id, product_id, quantity FROM v_events")
+_oracle("m2_stream_dedup", "SELECT event_id, event_ts, customer_id, product_id, quantity FROM v_unique")
+_oracle("m3_compacted", "SELECT * FROM v_daily")
+_oracle("m4_stream_rejects", "SELECT error_reason, count(*) AS rejected FROM v_defects WHERE error_reason IS NOT NULL GROUP BY 1")
 _oracle("m3_stream_daily_usage", "SELECT * FROM v_daily")
 _oracle("m4_stream_upsert", f"""
 SELECT event_id, event_ts, event_date, customer_id, product_id, plan_id, region, unit, quantity, 'API' AS source, {AS_OF} AS load_ts,

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Decimal rule. Spark caps precision at 38 and gives up scale first, so both factors of a
-# money product are narrowed to 18 digits before multiplying: the product is then
-# decimal(37,16), exact, and is rounded once to AMOUNT.  A value that does not fit raises
-# under ANSI mode instead of losing cents.
+# Decimal rule. Spark caps precision at 38 and gives up scale first, so money products are
+# taken in two exact parts (functions.money) and rounded once to AMOUNT.  A value that does
+# not fit raises under ANSI mode instead of losing cents.
 QUANTITY = T.DecimalType(18, 6)
 PRICE = T.DecimalType(18, 10)
 AMOUNT = T.DecimalType(38, 10)
@@ -72,6 +71,10 @@ LINE_ITEMS = _schema(
     ("usage_window_start", D), ("usage_window_end", D), ("calc_batch_id", S), ("load_ts", TS),
     ("billing_period_start", D),
 )
+BILLING_AUDIT = _schema(
+    ("invoice_id", S), ("line_item_id", S), ("customer_id", S), ("product_id", S), ("event_date", D), ("source_batch_id", S),
+    ("agg_row_hash", S), ("rate_sk", L), ("calc_batch_id", S), ("created_ts", TS), ("billing_period_start", D),
+)
 RUN_AUDIT = _schema(
     ("run_id", S), ("job", S), ("task", S), ("execution_date", D), ("status", S), ("rows_inserted", L),
     ("rows_updated", L), ("duration_seconds", T.DoubleType()), ("error_message", S), ("created_ts", TS),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,6 +22,7 @@ def build_session(app: str = "tallyflow", master: str | None = None, **conf: str
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.ansi.enabled": "true",  # a value that does not fit raises instead of becoming NULL
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -32,10 +34,15 @@ def build_session(app: str = "tallyflow", master: str | None = None, **conf: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the cluster names, or a new local one in tests."""
+    """Folder every executor can reach: the one the cluster names, or a new local one on a local master.
+
+    Elsewhere a local folder would exist once per machine and reads would miss rows, so its absence raises.
+    """
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if not named:
         context = spark.sparkContext
+        if context.getCheckpointDir() is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyflow-"))
         named = context.getCheckpointDir()

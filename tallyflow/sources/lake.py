@@ -32,6 +32,7 @@ USAGE_DAILY = Table("silver/usage_daily_agg", schemas.USAGE_DAILY, ("event_date"
 DAILY_COST = Table("gold/fact_customer_daily_usage", schemas.DAILY_COST, ("date_id",))
 INVOICES = Table("gold/fact_invoices", schemas.INVOICES, ("billing_period_start",))
 LINE_ITEMS = Table("gold/fact_invoice_line_items", schemas.LINE_ITEMS, ("billing_period_start", "line_type"))
+BILLING_AUDIT = Table("gold/billing_audit", schemas.BILLING_AUDIT, ("billing_period_start",))
 RUN_AUDIT = Table("ops/pipeline_run_audit", schemas.RUN_AUDIT, ("job",))
 CHECKPOINTS = Table("ops/pipeline_checkpoints", schemas.CHECKPOINTS, ("job",))
 
@@ -67,18 +68,28 @@ class Lake:
             .partitionBy(*table.partitions).parquet(self.path(table))
         )
 
+    def clear(self, table: Table, values: Iterable[object]) -> None:
+        """Remove the partitions whose first partition column has one of ``values``, through Spark's file system."""
+        jvm = self.spark._jvm
+        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        for value in sorted(set(map(str, values))):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{table.partitions[0]}={escape(value)}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def replace_values(self, table: Table, rows: DataFrame, values: Iterable[object]) -> None:
+        """Make ``rows`` all there is under ``values`` of the first partition column; what was there before goes.
+
+        Unlike ``replace`` it also clears partitions that get no rows this time. Rows of other values are
+        added as by ``replace``. Rows are staged first, as they may come from the table itself.
+        """
+        staged = stage(rows, "replacing")
+        self.clear(table, values)
+        self.replace(table, staged)
+
     def replace_days(self, table: Table, rows: DataFrame, days: Iterable[dt_.date]) -> None:
         """Rebuild whole days: days with no rows end up empty, other days stay as they are."""
-        (day,) = table.partitions
-        wanted = set(days)
-        staged = stage(rows.where(F.col(day).isin(sorted(wanted))), "days")
-        # At most one row per day asked for.
-        present = {r[0] for r in staged.select(day).distinct().collect()}
-        self.replace(table, staged)
-        body = T.StructType([f for f in table.schema.fields if f.name != day])
-        for gone in sorted(wanted - present):
-            nothing = no_rows(self.spark, body)
-            nothing.write.mode("overwrite").parquet(f"{self.path(table)}/{day}={gone.isoformat()}")
+        wanted = sorted(set(days))
+        self.replace_values(table, rows.where(F.col(table.partitions[0]).isin(wanted)), wanted)
 
     def append_new(self, table: Table, rows: DataFrame, key: Sequence[str]) -> DataFrame:
         """Append the rows whose key is not in the table yet; returns what was added.

@@ -233,7 +233,7 @@ def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The large catalog typed, with a load time per rate."""
     loaded = ntz("2024-01-01 00:00:00") + F.make_dt_interval(
-        secs=F.substring("rate_id", 6, 20).cast("decimal(18,6)")
+        secs=F.substr("rate_id", F.lit(6)).cast("decimal(18,6)")
     )
     return part_catalog(spark, sf_dir).select(
         "product_id", "plan_id", "unit", F.col("unit_price").cast(PRICE).alias("unit_price"), "currency",

@@ -1,6 +1,7 @@
 """Streams over landed usage files. Each drains what is there (``availableNow``) and can be rerun.
 
-Watermarks need an instant, so event times are read as UTC wall clock.
+Billing must not lose an event by its age, so results are kept as tables that add up over micro-batches, not as
+state behind a watermark.
 """
 
 from __future__ import annotations
@@ -12,23 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.joins import SALTS
 from ..functions.literals import ntz
 from ..functions.money import total_quantity
 from ..operators import merge, parse
 from ..plans import late_arrivals
+from ..schemas import PRODUCTS
+from ..session import stage
 from ..sources import files
 from ..sources import lake as lk
 
-LATENESS = "7 days"
 DAY_KEYS = ("event_date", "customer_id", "product_id", "unit")
 
 
-def _instant(column: str):
-    """A zone-free timestamp as the instant with the same wall clock in UTC."""
-    return F.expr(f"TIMESTAMP'1970-01-01 00:00:00Z' + ({column} - TIMESTAMP_NTZ'1970-01-01 00:00:00')")
-
-
 def raw_stream(
     spark: SparkSession, landing: str, *, source: str, batch_id: str, ingest_ts: str | None = None, files_per_batch: int = 1000
 ) -> DataFrame:
@@ -58,66 +54,89 @@ def drain_raw(raw: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def deduplicated(parsed: DataFrame, lateness: str = LATENESS, spread_on: Sequence[str] = ()) -> DataFrame:
-    """First delivery of each event; ids are forgotten once the watermark passes them.
+def drain_unique(parsed: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Keep the newest delivery of each event, however late the others come.
 
-    ``spread_on`` names columns that differ between repeats of one event, such as the file day and
-    load time. Repeats are then first reduced within each of ``SALTS`` parts, so an id that is
-    delivered over and over is not one task's work. It keeps a second state, hence off by default.
+    Each micro-batch stores its own newest deliveries under its epoch, a replayed epoch overwrites its folder, and
+    ``current_unique`` picks the newest over all epochs by the rule of the batch operator. Nothing is dropped by
+    age and no state grows in memory. The log belongs to one checkpoint.
     """
-    timed = parsed.withColumn("event_time", _instant("event_ts")).withWatermark("event_time", lateness)
-    if spread_on:
-        part = F.expr(f"pmod(xxhash64({', '.join(spread_on)}), {SALTS})")
-        timed = timed.withColumn("_part", part).dropDuplicatesWithinWatermark(["event_id", "_part"]).drop("_part")
-    return timed.dropDuplicatesWithinWatermark(["event_id"])
+    def write(batch: DataFrame, epoch: int) -> None:
+        merge.dedupe_events(batch).write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
 
+    return parsed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
-def drain_rows(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    return (
-        rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start(target)
-    )
 
+def current_unique(spark: SparkSession, target: str) -> DataFrame:
+    return merge.dedupe_events(_log(spark, target).drop("epoch"))
 
-def daily_windows(parsed: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Running daily usage per day, customer, product and unit."""
-    timed = parsed.withColumn("event_time", _instant("event_ts")).withWatermark("event_time", lateness)
-    return (
-        timed.groupBy(F.window("event_time", "1 day"), *DAY_KEYS)
-        .agg(
-            total_quantity("quantity").alias("total_quantity"), F.count(F.lit(1)).alias("event_count"),
-            F.max("event_ts").alias("last_event_ts"),
-        )
-        .drop("window")
+
+def _log(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.option("basePath", target).parquet(f"{target}/epoch=*")
+
+
+def daily_parts(parsed: DataFrame) -> DataFrame:
+    """Daily usage of the rows at hand, per day, customer, product and unit; parts of a day add up."""
+    return parsed.groupBy(*DAY_KEYS).agg(
+        total_quantity("quantity").alias("total_quantity"), F.count(F.lit(1)).alias("event_count"), F.max("event_ts").alias("last_event_ts")
     )
 
 
-def drain_daily(windows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Write each micro-batch's changed groups under its epoch.
+def drain_daily(parsed: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Write each micro-batch's part of daily usage under its epoch.
 
-    Update mode, so the newest days come out too. An epoch that is replayed overwrites its own
-    folder; no earlier rows are rewritten. ``current_daily`` reads the newest value per group.
+    Parts add up, so an event counts in whatever batch it comes, late or not, and no state is held. An epoch that
+    is replayed overwrites its own folder. The log belongs to one checkpoint; ``compact_daily`` shortens it.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+        daily_parts(batch).write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
 
-    return (
-        windows.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).foreachBatch(write).start()
+    return parsed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
+def _added_up(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*DAY_KEYS).agg(
+        total_quantity("total_quantity").alias("total_quantity"), F.sum("event_count").alias("event_count"), F.max("last_event_ts").alias("last_event_ts")
     )
 
 
 def current_daily(spark: SparkSession, target: str) -> DataFrame:
-    """Newest value per day and key; counts only grow, so the newest epoch is the full one."""
-    log = spark.read.parquet(target)
-    values = F.struct("total_quantity", "event_count", "last_event_ts")
-    return log.groupBy(*DAY_KEYS).agg(F.max_by(values, "epoch").alias("v")).select(*DAY_KEYS, "v.*")
+    """Daily usage over all micro-batches."""
+    return _added_up(_log(spark, target))
+
+
+def compact_daily(spark: SparkSession, target: str, compacted: str) -> DataFrame:
+    """The log as one folder at a new place, while no stream writes to it; readers then take the new place.
+
+    The newest epoch number is kept as the folder's name, so that a stream that goes on at the new place adds later
+    epochs. The old log stays until it is removed by hand.
+    """
+    log = _log(spark, target)
+    newest = log.agg(F.max("epoch")).first()[0]
+    _added_up(log).write.mode("overwrite").parquet(f"{compacted}/epoch={newest}")
+    return current_daily(spark, compacted)
 
 
-def drain_clean(raw: DataFrame, lake: lk.Lake, checkpoint: str, on_match: str = merge.TOUCH_CHANGED) -> StreamingQuery:
-    """Merge each micro-batch into the clean table. Merging a batch twice changes nothing."""
+def _accepted(lake: lk.Lake, batch: DataFrame, epoch: int, products: Sequence[str] | None) -> DataFrame:
+    """Rows of a micro-batch that can be billed; the rest goes to quarantine under the batch id and the epoch.
+
+    ``products=None`` accepts every product. A replayed epoch replaces its own quarantine rows.
+    """
+    classified = parse.classify_usage(batch, products or ())
+    if products is None:
+        classified = classified.withColumn("error_reason", F.when(F.col("error_reason") != "unknown_product", F.col("error_reason")))
+    classified = stage(classified, "stream-batch")
+    rejects = parse.quarantined(classified).withColumn("batch_id", F.concat_ws("-", "batch_id", F.lit(str(epoch))))
+    lake.replace_values(lk.QUARANTINE, rejects, [r[0] for r in rejects.select("batch_id").distinct().collect()])
+    return parse.accepted(classified)
+
+
+def drain_clean(
+    raw: DataFrame, lake: lk.Lake, checkpoint: str, on_match: str = merge.TOUCH_CHANGED, products: Sequence[str] | None = PRODUCTS
+) -> StreamingQuery:
+    """Merge the sound rows of each micro-batch into the clean table. Merging a batch twice changes nothing."""
     def upsert(batch: DataFrame, epoch: int) -> None:
-        merge.merge_into_clean(lake, merge.as_clean(parse.parse_usage(batch)), on_match)
+        merge.merge_into_clean(lake, merge.as_clean(_accepted(lake, batch, epoch, products)), on_match)
 
     return (
         raw.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(upsert).start()
@@ -126,11 +145,11 @@ def drain_clean(raw: DataFrame, lake: lk.Lake, checkpoint: str, on_match: str =
 
 def drain_late(
     raw: DataFrame, lake: lk.Lake, customers: DataFrame, rates: DataFrame, checkpoint: str, *, run_id: str,
-    as_of: dt_.datetime, match_plan: bool = True,
+    as_of: dt_.datetime, match_plan: bool = True, products: Sequence[str] | None = PRODUCTS,
 ) -> StreamingQuery:
-    """Adjust issued invoices for the late events of each micro-batch."""
+    """Adjust issued invoices for the late events among the sound rows of each micro-batch."""
     def route(batch: DataFrame, epoch: int) -> None:
-        events = merge.dedupe_events(merge.as_clean(parse.parse_usage(batch)))
+        events = merge.dedupe_events(merge.as_clean(_accepted(lake, batch, epoch, products)))
         late_arrivals.reconcile_late(lake, customers, rates, run_id=run_id, as_of=as_of, match_plan=match_plan, events=events)
 
     return (

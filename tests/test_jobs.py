@@ -79,13 +79,15 @@ def test_close_then_late_then_rerun(spark, lake, landing):
     assert close() == 1
     assert (rows(lake.read(lk.INVOICES)), rows(lake.read(lk.LINE_ITEMS))) == first
     assert rows(lake.read(lk.LINE_ITEMS).select("line_type", F.col("amount").cast("double"))) == [("base_fee", 99.0), ("usage", 8.5)]
+    assert quality.invoice_integrity(lake.read(lk.INVOICES), lake.read(lk.LINE_ITEMS)).first().violations == 0
+    assert rows(lake.read(lk.BILLING_AUDIT).select(F.col("event_date").cast("string"))) == [("2024-01-10",), ("2024-01-11",)]
 
     merge.merge_into_clean(lake, events(spark, event("after", "2024-01-20", quantity="10", load="2024-02-03")))
     for run in ("late_1", "late_2"):
         late_arrivals.reconcile_late(lake, people(spark), prices, run_id=run, as_of=ts("2024-02-04T06:00:00"))
-    assert rows(lake.read(lk.INVOICES).select(F.col("total").cast("double"))) == [(13.5,)]
+    assert rows(lake.read(lk.INVOICES).select(F.col("total").cast("double"))) == [(112.5,)]
     assert lake.read(lk.LINE_ITEMS).where("line_type = 'adjustment'").count() == 1
-    assert quality.invoice_integrity(lake.read(lk.INVOICES), lake.read(lk.LINE_ITEMS).where("line_type != 'base_fee'")).first().violations == 0
+    assert quality.invoice_integrity(lake.read(lk.INVOICES), lake.read(lk.LINE_ITEMS)).first().violations == 0
     with pytest.raises(ValueError):
         close()
 
@@ -102,6 +104,72 @@ def test_a_run_broken_between_lines_and_totals_is_repaired(spark, lake, landing)
     assert rows(lake.read(lk.INVOICES).select(F.col("total").cast("double"))) == [(13.5,)]
 
 
+def test_close_without_plans_clears_fee_lines_and_mixed_currencies_stop_it(spark, lake, landing):
+    prices = rates(spark, *RATES)
+    daily.backfill(lake, landing, people(spark), prices, as_of=ts("2024-01-12T06:00:00"))
+    plans = table(spark, [("plan_pro", 99)], "plan_id string, fee int").select("plan_id", F.col("fee").cast("decimal(18,2)").alias("base_fee"))
+    close = lambda **kw: month_end.close_period(
+        lake, prices, day("2024-01-01"), day("2024-01-31"), run_id="close", issued_ts=ts("2024-02-01T04:00:00"), tax_rate="0.08875", **kw
+    )
+    close(customers=people(spark), plans=plans)
+    assert rows(lake.read(lk.INVOICES).select(F.col("subtotal").cast("double"), F.col("tax").cast("double"))) == [(107.5, 9.54)]
+    close()
+    assert rows(lake.read(lk.LINE_ITEMS).select("line_type")) == [("usage",)]
+    assert rows(lake.read(lk.INVOICES).select(F.col("tax").cast("double"))) == [(0.75,)]
+    lake.append_new(lk.DAILY_COST, lake.read(lk.DAILY_COST).withColumn("currency", F.lit("EUR")), ["date_id", "currency"])
+    with pytest.raises(quality.QualityError, match="mixed_currency"):
+        close()
+
+
+def test_a_smaller_reload_leaves_no_old_rows(spark, lake, tmp_path):
+    for name, days in (("first", ("2024-01-10", "2024-01-11")), ("second", ("2024-01-10",))):
+        folder = tmp_path / name
+        os.makedirs(folder)
+        for d in days:
+            (folder / f"usage_events_{d}.jsonl").write_text(line(d, f"{d}T00:00:00", -1 if name == "first" else 1))
+        daily.load_raw(lake, str(folder), source="API", batch_id="one", ingest_ts=ts("2024-01-12T06:00:00"))
+        daily.bill(lake, lake.read(lk.USAGE_RAW), people(spark), rates(spark, *RATES), run_id=name, as_of=ts("2024-01-12T06:00:00"))
+    assert lake.read(lk.USAGE_RAW).count() == 1
+    assert lake.read(lk.QUARANTINE).count() == 0
+
+
+def test_checkpoint_never_goes_back_and_failures_are_recorded(spark, lake, landing, monkeypatch):
+    run = lambda **kw: daily.bill(lake, lake.read(lk.USAGE_RAW), people(spark), rates(spark, *RATES), as_of=ts("2024-01-12T06:00:00"), **kw)
+    daily.load_raw(lake, landing, source="API", batch_id="one", ingest_ts=ts("2024-01-12T06:00:00"))
+    run(run_id="full")
+    daily.bill(lake, lake.read(lk.USAGE_RAW).where("dt = DATE'2024-01-10'"), people(spark), rates(spark, *RATES), run_id="old", as_of=ts("2024-01-11T06:00:00"))
+    assert lake.read(lk.CHECKPOINTS).first().last_dt == day("2024-01-11")
+    with monkeypatch.context() as patch:
+        patch.setattr(quality, "negative_quantity", lambda df: quality.column_checks(df.withColumn("z", F.lit(None)), not_null=["z"]))
+        with pytest.raises(quality.QualityError):
+            run(run_id="broken")
+    failed = lake.read(lk.RUN_AUDIT).where("run_id = 'broken'").first()
+    assert failed.status == "FAILED" and "QualityError" in failed.error_message
+    run(run_id="broken")
+    assert rows(lake.read(lk.RUN_AUDIT).select("run_id", "status")) == [("broken", "SUCCESS"), ("full", "SUCCESS"), ("old", "SUCCESS")]
+
+
+def test_plan_change_inside_the_month_gives_one_invoice(spark, lake):
+    snaps = table(
+        spark, [("cust_1", "n", "active", "US", plan, at) for plan, at in (("plan_pro", "2024-01-01"), ("plan_free", "2024-01-11"))],
+        "customer_id string, customer_name string, status string, country string, plan_id string, at string",
+    ).withColumn("ingest_ts", F.col("at").cast("timestamp_ntz"))
+    from tallyflow.operators import dimensions, reconcile, serving, pricing, usage
+
+    first, later = (dimensions.customer_history(snaps.where(f"at <= '{at}'")) for at in ("2024-01-01", "2024-01-11"))
+    prices = rates(spark, *RATES, (2, "prod_api_requests", "plan_free", "requests", "2", "2024-01-01", None))
+    early, late = (usage.daily_usage(events(spark, event(i, d, quantity="10", load=load))) for i, d, load in (("a", "2024-01-05", "2024-01-05"), ("b", "2024-01-20", "2024-01-20")))
+    costs = pricing.daily_cost(early, first, prices).unionByName(pricing.daily_cost(late, later, prices))
+    headers = invoicing.close_headers(costs, day("2024-01-01"), day("2024-01-31"), issued_ts=ts("2024-02-01T04:00:00"))
+    assert [float(r.subtotal) for r in headers.collect()] == [25.0]
+    after = events(spark, event("c", "2024-01-06", quantity="1", load="2024-02-03"))
+    found = reconcile.late_events(after, headers, later)
+    lines = invoicing.usage_lines(costs, headers, prices, calc_batch_id="x")
+    assert found.count() == 1 and reconcile.price_late_events(found, later, prices, lines).count() == 1
+    report = serving.usage_report(costs, later, "2024-01-31")
+    assert float(report.agg(F.sum("cost_amount")).first()[0]) == 25.0
+
+
 def test_failed_gate_publishes_no_cost(spark, lake, landing, monkeypatch):
     monkeypatch.setattr(quality, "negative_quantity", lambda df: quality.column_checks(df.withColumn("z", F.lit(None)), not_null=["z"]))
     with pytest.raises(quality.QualityError):
@@ -151,23 +219,42 @@ def test_stream_dedup_and_daily_equal_batch(spark, landing, tmp_path):
         raw = streams.raw_stream(spark, landing, source="API", batch_id="s", files_per_batch=1)
         return parse.parse_usage(raw).where("quantity >= 0")
 
-    streams.drain_rows(streams.deduplicated(parsed()), str(tmp_path / "d"), str(tmp_path / "ck1")).awaitTermination()
-    unique = spark.read.parquet(str(tmp_path / "d"))
+    streams.drain_unique(parsed(), str(tmp_path / "d"), str(tmp_path / "ck1")).awaitTermination()
+    unique = streams.current_unique(spark, str(tmp_path / "d"))
     assert rows(unique.select("event_id")) == [("a",), ("b",), ("c",), ("late",)]
-    spread = streams.deduplicated(parsed(), spread_on=["dt"])
-    streams.drain_rows(spread, str(tmp_path / "s"), str(tmp_path / "ck3")).awaitTermination()
-    assert rows(spark.read.parquet(str(tmp_path / "s")).select("event_id")) == rows(unique.select("event_id"))
     target = str(tmp_path / "days")
-    streams.drain_daily(streams.daily_windows(parsed()), target, str(tmp_path / "ck2")).awaitTermination()
-    got = streams.current_daily(spark, target).select(F.col("event_date").cast("string"), F.col("total_quantity").cast("int"), "event_count")
-    assert rows(got) == [("2024-01-10", 17, 5), ("2024-01-11", 5, 1)]
+    streams.drain_daily(parsed(), target, str(tmp_path / "ck2")).awaitTermination()
+    days = lambda df: rows(df.select(F.col("event_date").cast("string"), F.col("total_quantity").cast("int"), "event_count"))
+    assert days(streams.current_daily(spark, target)) == [("2024-01-10", 17, 5), ("2024-01-11", 5, 1)]
+    assert days(streams.compact_daily(spark, target, str(tmp_path / "short"))) == [("2024-01-10", 17, 5), ("2024-01-11", 5, 1)]
+
+
+def test_events_count_however_late_they_come(spark, tmp_path):
+    folder = tmp_path / "in"
+    os.makedirs(folder)
+    for n, at in enumerate(("2024-05-01T00:00:00", "2024-01-01T00:00:00", "2023-01-01T00:00:00", "yesterday")):
+        (folder / f"usage_events_2024-05-0{n + 1}.jsonl").write_text(line(f"e{n}", at, n + 1))
+    parsed = parse.parse_usage(streams.raw_stream(spark, str(folder), source="API", batch_id="s", files_per_batch=1)).where("event_ts IS NOT NULL")
+    streams.drain_daily(parsed, str(tmp_path / "d"), str(tmp_path / "ck")).awaitTermination()
+    assert streams.current_daily(spark, str(tmp_path / "d")).agg(F.sum("event_count")).first()[0] == 3
+
+
+def test_a_poison_row_goes_to_quarantine_and_the_stream_goes_on(spark, lake, tmp_path):
+    folder = tmp_path / "in"
+    os.makedirs(folder)
+    (folder / "usage_events_2024-01-10.jsonl").write_text("\n".join([line("bad", "yesterday"), line("neg", "2024-01-10T00:00:00", -1), "broken"]))
+    (folder / "usage_events_2024-01-11.jsonl").write_text(line("good", "2024-01-11T00:00:00"))
+    raw = streams.raw_stream(spark, str(folder), source="API", batch_id="s", ingest_ts="2024-01-12 00:00:00", files_per_batch=1)
+    streams.drain_clean(raw, lake, str(tmp_path / "ck")).awaitTermination()
+    assert rows(lake.read(lk.USAGE_CLEAN).select("event_id")) == [("good",)]
+    assert rows(lake.read(lk.QUARANTINE).select("error_reason")) == [("bad_json",), ("bad_timestamp",), ("negative_quantity",)]
 
 
 def test_stream_merge_equals_batch_merge(spark, lake, landing, tmp_path):
     raw = streams.raw_stream(spark, landing, source="API", batch_id="s", ingest_ts="2024-01-12 00:00:00", files_per_batch=1)
     streams.drain_clean(raw, lake, str(tmp_path / "ck")).awaitTermination()
     batch = files.ingest_usage(spark, landing, source="API", batch_id="s", ingest_ts="2024-01-12 00:00:00")
-    expected = merge.dedupe_events(merge.as_clean(parse.parse_usage(batch)))
+    expected = merge.dedupe_events(merge.as_clean(parse.accepted(parse.classify_usage(batch))))
     assert rows(lake.read(lk.USAGE_CLEAN)) == rows(expected)
 
 
