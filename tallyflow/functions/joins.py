@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 SALTS = 16
 HOT_SHARE = 200  # a key is hot when it holds at least 1/200 of the rows: never more than 200 keys
 
@@ -47,7 +49,7 @@ def salted_join(
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
     """Keys holding at least 1/share of the rows, hence at most ``share`` of them."""
-    counts = df.groupBy(*on).agg(F.expr("count(1)").alias("_rows"))
+    counts = stage(df.groupBy(*on).agg(F.expr("count(1)").alias("_rows")), "key-counts")  # the rows are counted once
     total = counts.agg(F.sum("_rows").alias("_total")).scalar()
     return counts.where(F.col("_rows") * F.lit(share) >= total).selectExpr(*on, "true AS _hot")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.literals import ntz
 from ..functions.keys import surrogate_key
+from ..functions.money import total_amount
 from ..operators import (
     audit, dashboard, dedupe, dimensions, invoicing, merge, parse, pricing, quality, reconcile, serving, usage,
 )
@@ -20,6 +21,7 @@ from ..sources import files, sample
 from ..sources import lake as lk
 from ..streaming import usage as streams
 from . import daily as daily_job
+from . import dimension_load, month_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -264,6 +266,24 @@ def c7_append_rates(spark, d):
     return dimensions.append_rates(sample.catalog_rates(spark, d)).drop("rate_sk")
 
 
+@query
+def c6_stored_history(spark, d):
+    """Three snapshots loaded one after the other, the last one twice."""
+    lake = _new_lake(spark)
+    for number in (0, 1, 2, 2):
+        dimension_load.load_customers(lake, sample.snapshot_at(spark, d, number), sample.SNAPSHOT_TIMES[number])
+    return lake.read(lk.CUSTOMER_DIM).drop("customer_sk")
+
+
+@query
+def c7_second_load(spark, d):
+    """The same catalog twice: the second load adds nothing."""
+    lake = _new_lake(spark)
+    for _ in range(2):
+        dimension_load.load_rates(lake, sample.catalog_rates(spark, d))
+    return lake.read(lk.RATE_DIM).drop("rate_sk")
+
+
 @query
 def c8_rate_versions(spark, d):
     return dimensions.rate_versions(sample.catalog_rates(spark, d))
@@ -466,7 +486,7 @@ def f6_model_lines(spark, d):
 
 @query
 def f6_model_order_lines(spark, d):
-    facts = sample.order_costs(spark, d)
+    facts = stage(sample.order_costs(spark, d), "order-costs")  # headers and lines need different columns of the same join
     return invoicing.model_lines(facts, invoicing.model_headers(facts, issued_ts=sample.ISSUED))
 
 
@@ -543,6 +563,15 @@ def g5_price_differences(spark, d):
     return reconcile.price_differences(sample.costs(spark, d), bills.headers, bills.lines)
 
 
+@query
+def g5_half_month(spark, d):
+    """Invoices for the first half of the month only."""
+    facts = stage(sample.costs(spark, d, source=sample.on_time_events(spark, d)), "costs")
+    headers = invoicing.close_headers(facts, "2024-01-01", "2024-01-15", issued_ts=sample.ISSUED)
+    lines = invoicing.usage_lines(facts, headers, sample.rates(spark), calc_batch_id="close")
+    return reconcile.price_differences(sample.costs(spark, d), headers, lines)
+
+
 @query
 def g6_unmerged_days(spark, d):
     parsed = sample.deliveries(spark, d).withColumn("dt", F.col("load_ts").cast("date"))
@@ -584,6 +613,19 @@ def h4_invoice_integrity(spark, d):
     return quality.invoice_integrity(sample.invoices(spark, d), sample.billing(spark, d, source=sample.on_time_events(spark, d)).lines)
 
 
+@query
+def h4_with_fees(spark, d):
+    """A stored close with base fees: header totals, and the lines they must add up to."""
+    lake = _new_lake(spark)
+    lake.replace(lk.DAILY_COST, sample.costs(spark, d).select("*", ntz(AS_OF).alias("load_ts"), F.lit("run").alias("batch_id")))
+    month_end.close_period(
+        lake, sample.rates(spark), dt_.date(2024, 1, 1), dt_.date(2024, 1, 31), run_id="close", issued_ts=sample.ISSUED,
+        customers=sample.customers(spark, d), plans=sample.plans(spark),
+    )
+    sums = lake.read(lk.LINE_ITEMS).groupBy("invoice_id").agg(total_amount("amount").alias("line_total"))
+    return lake.read(lk.INVOICES).join(sums, "invoice_id").select("invoice_id", "subtotal", "total", "line_total")
+
+
 @query
 def h5_integrity_asrun(spark, d):
     bills = sample.billing(spark, d, match_plan=False)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.literals import ntz
 from ..operators import audit, merge, parse, pricing, quality, usage
 from ..schemas import PRODUCTS
-from ..session import stage
+from ..session import cleaned, stage
 from ..sources import files
 from ..sources import lake as lk
 
@@ -48,7 +48,8 @@ def bill(
     """
     began = time.monotonic()
     try:
-        return _bill(lake, raw, customers, rates, run_id, as_of, match_plan, on_match, products, began)
+        with cleaned(lake.spark):
+            return _bill(lake, raw, customers, rates, run_id, as_of, match_plan, on_match, products, began)
     except Exception as error:
         failed = audit.run_row(
             lake.spark, run_id=run_id, job=JOB, execution_date=as_of.date(), created_ts=as_of, status="FAILED",

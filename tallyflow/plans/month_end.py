@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.literals import date, ntz
 from ..operators import invoicing, pricing, quality
-from ..session import stage
+from ..session import cleaned, stage
 from ..sources import lake as lk
 
 
@@ -25,6 +25,14 @@ def close_period(
     base-fee line, which is part of its subtotal, tax and total; with ``customers`` the daily rows
     behind every line are stored as well. A customer billed in two currencies stops the close.
     """
+    with cleaned(lake.spark):
+        return _close(lake, rates, start, end, run_id, issued_ts, tax_rate, customers, plans)
+
+
+def _close(
+    lake: lk.Lake, rates: DataFrame, start: dt_.date, end: dt_.date, run_id: str, issued_ts: dt_.datetime,
+    tax_rate: str, customers: DataFrame | None, plans: DataFrame | None,
+) -> int:
     period = F.col("billing_period_start") == date(start)
     adjusted = lake.read(lk.LINE_ITEMS).where(period & (F.col("line_type") == "adjustment"))
     if not adjusted.isEmpty():

@@ -286,9 +286,13 @@ WHERE before IS DISTINCT FROM record_hash""")
 _HISTORY = "SELECT *, effective_end IS NULL AS is_current FROM v_history"
 _oracle("c6_customer_history", _HISTORY)
 _oracle("c6_apply_snapshot", _HISTORY)
+_oracle("c6_stored_history", _HISTORY)
 _oracle("c7_append_rates", """
 SELECT cast(NULL AS VARCHAR) AS rate_id, product_id, plan_id, unit, cast(price AS DECIMAL(18,10)) AS unit_price, currency,
   effective_from, effective_to, true AS is_current FROM v_catalog""")
+_oracle("c7_second_load", """
+SELECT DISTINCT cast(NULL AS VARCHAR) AS rate_id, product_id, plan_id, unit, cast(price AS DECIMAL(18,10)) AS unit_price, currency,
+  effective_from, effective_to, true AS is_current FROM v_catalog""")
 _block("v_versions", f"""
 SELECT {_key("product_id", "plan_id", "unit", "effective_from")} AS rate_id, product_id, plan_id, unit,
   cast(price AS DECIMAL(18,10)) AS unit_price, currency, effective_from,
@@ -496,6 +500,18 @@ SELECT * FROM (
   FULL JOIN (SELECT invoice_id, product_id, unit, sum(amount) AS billed, sum(quantity) AS q_billed FROM v_lines_in_time GROUP BY 1, 2, 3) b
     ON b.invoice_id = w.invoice_id AND b.product_id = w.product_id AND b.unit = w.unit)
 WHERE adjustment_amount <> 0 OR quantity_difference <> 0""")
+_half = "SELECT {inv} AS invoice_id, product_id, unit, sum(cost_amount) AS amount, sum(billable_quantity) AS q FROM {costs} WHERE date_id BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' GROUP BY 1, 2, 3"
+_oracle("g5_half_month", f"""
+SELECT * FROM (
+  SELECT coalesce(w.invoice_id, b.invoice_id) AS invoice_id, coalesce(w.product_id, b.product_id) AS product_id, coalesce(w.unit, b.unit) AS unit,
+    cast(coalesce(w.amount, 0) AS DECIMAL(38,10)) AS recomputed_amount, cast(coalesce(b.amount, 0) AS DECIMAL(38,10)) AS billed_amount,
+    cast(coalesce(w.q, 0) - coalesce(b.q, 0) AS DECIMAL(28,6)) AS quantity_difference,
+    cast(coalesce(w.amount, 0) - coalesce(b.amount, 0) AS DECIMAL(38,10)) AS adjustment_amount
+  FROM (SELECT * FROM ({_half.format(inv=_key("customer_sk", "DATE '2024-01-01'"), costs="v_costs")}) x WHERE invoice_id IN (
+    SELECT {_key("customer_sk", "DATE '2024-01-01'")} FROM v_costs_in_time WHERE date_id BETWEEN DATE '2024-01-01' AND DATE '2024-01-15')) w
+  FULL JOIN ({_half.format(inv=_key("customer_sk", "DATE '2024-01-01'"), costs="v_costs_in_time")}) b
+    ON b.invoice_id = w.invoice_id AND b.product_id = w.product_id AND b.unit = w.unit)
+WHERE adjustment_amount <> 0 OR quantity_difference <> 0""")
 _oracle("g6_unmerged_days", """
 SELECT event_date, count(*) AS missing_events, cast(sum(c) AS BIGINT) AS deliveries FROM (
   SELECT event_id, event_date, count(*) AS c FROM v_landed WHERE event_date <> dt GROUP BY 1, 2) s
@@ -523,6 +539,10 @@ _MISMATCH = """
 SELECT count(*) FROM {} i JOIN (SELECT invoice_id, sum(amount) AS s FROM {} GROUP BY 1) l ON l.invoice_id = i.invoice_id
 WHERE abs(subtotal - s) > 0.01"""
 _oracle("h4_invoice_integrity", _check("invoice_integrity", _MISMATCH.format("v_invoices", "v_lines_in_time")))
+_oracle("h4_with_fees", """
+SELECT invoice_id, t AS subtotal, t AS total, t AS line_total FROM (
+  SELECT invoice_id, cast(subtotal + base_fee AS DECIMAL(38,10)) AS t
+  FROM v_invoices i JOIN v_customers c ON c.customer_sk = i.customer_sk JOIN v_plans p ON p.plan_id = c.plan_id)""")
 _oracle("h5_integrity_asrun", """
 SELECT header_total, line_total, cast(abs(header_total - line_total) AS DECIMAL(38,10)) AS difference FROM (
   SELECT cast(coalesce(sum(i.total), 0) AS DECIMAL(38,10)) AS header_total, cast(coalesce(sum(l.amount), 0) AS DECIMAL(38,10)) AS line_total

@@ -55,6 +55,12 @@ RATE_DIM = _schema(
     ("rate_sk", L), ("rate_id", S), ("product_id", S), ("plan_id", S), ("unit", S), ("unit_price", PRICE),
     ("currency", S), ("effective_from", D), ("effective_to", D), ("is_current", B),
 )
+PRODUCT_DIM = _schema(("product_id", S), ("product_name", S), ("category", S), ("description", S))
+PLAN_DIM = _schema(("plan_id", S), ("plan_name", S), ("base_fee", FEE), ("currency", S))
+DATE_DIM = _schema(
+    ("date_id", D), ("year", T.IntegerType()), ("month", T.IntegerType()), ("day", T.IntegerType()),
+    ("quarter", T.IntegerType()), ("day_of_week", T.IntegerType()), ("is_weekend", B),
+)
 DAILY_COST = _schema(
     ("date_id", D), ("customer_sk", L), ("product_id", S), ("unit", S),
     ("total_quantity", TOTAL_QUANTITY), ("billable_quantity", TOTAL_QUANTITY), ("cost_amount", AMOUNT),

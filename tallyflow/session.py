@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_JOBS = threading.local()  # streams run their batches in threads of their own
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -50,8 +54,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder. Inside ``cleaned`` it is removed at the end of the job."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in getattr(_JOBS, "open", []):
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """A job whose intermediate tables go when it ends, also when it fails.
+
+    For jobs that return plain values only: a DataFrame over a staged table could not be read any more.
+    """
+    _JOBS.open = [*getattr(_JOBS, "open", []), []]
+    try:
+        yield
+    finally:
+        paths = _JOBS.open[-1]
+        _JOBS.open = _JOBS.open[:-1]
+        for text in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(text)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -32,6 +32,11 @@ USAGE_DAILY = Table("silver/usage_daily_agg", schemas.USAGE_DAILY, ("event_date"
 DAILY_COST = Table("gold/fact_customer_daily_usage", schemas.DAILY_COST, ("date_id",))
 INVOICES = Table("gold/fact_invoices", schemas.INVOICES, ("billing_period_start",))
 LINE_ITEMS = Table("gold/fact_invoice_line_items", schemas.LINE_ITEMS, ("billing_period_start", "line_type"))
+CUSTOMER_DIM = Table("gold/dim_customer", schemas.CUSTOMER_DIM, ())
+RATE_DIM = Table("gold/dim_rate", schemas.RATE_DIM, ("currency",))
+PRODUCT_DIM = Table("gold/dim_product", schemas.PRODUCT_DIM, ())
+PLAN_DIM = Table("gold/dim_plan", schemas.PLAN_DIM, ())
+DATE_DIM = Table("gold/dim_date", schemas.DATE_DIM, ())
 BILLING_AUDIT = Table("gold/billing_audit", schemas.BILLING_AUDIT, ("billing_period_start",))
 RUN_AUDIT = Table("ops/pipeline_run_audit", schemas.RUN_AUDIT, ("job",))
 CHECKPOINTS = Table("ops/pipeline_checkpoints", schemas.CHECKPOINTS, ("job",))
@@ -91,6 +96,11 @@ class Lake:
         wanted = sorted(set(days))
         self.replace_values(table, rows.where(F.col(table.partitions[0]).isin(wanted)), wanted)
 
+    def overwrite(self, table: Table, rows: DataFrame) -> None:
+        """Replace a table without partitions by ``rows``, which may come from the table itself."""
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]
+        stage(rows.select(*columns), "overwriting").write.mode("overwrite").parquet(self.path(table))
+
     def append_new(self, table: Table, rows: DataFrame, key: Sequence[str]) -> DataFrame:
         """Append the rows whose key is not in the table yet; returns what was added.
 

@@ -290,7 +290,7 @@ class Billing(NamedTuple):
 def billing(spark: SparkSession, sf_dir: str, *, match_plan: bool = True, source: DataFrame | None = None) -> Billing:
     facts = stage(costs(spark, sf_dir, match_plan=match_plan, source=source), "costs")
     headers = invoicing.close_headers(facts, *PERIOD, issued_ts=ISSUED)
-    return Billing(facts, headers, invoicing.usage_lines(facts, headers, rates(spark), calc_batch_id="close"))
+    return Billing(facts, headers, stage(invoicing.usage_lines(facts, headers, rates(spark), calc_batch_id="close"), "lines"))
 
 
 def invoices(spark: SparkSession, sf_dir: str, *, match_plan: bool = True) -> DataFrame:

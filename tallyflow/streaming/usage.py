@@ -18,7 +18,7 @@ from ..functions.money import total_quantity
 from ..operators import merge, parse
 from ..plans import late_arrivals
 from ..schemas import PRODUCTS
-from ..session import stage
+from ..session import cleaned, stage
 from ..sources import files
 from ..sources import lake as lk
 
@@ -136,7 +136,8 @@ def drain_clean(
 ) -> StreamingQuery:
     """Merge the sound rows of each micro-batch into the clean table. Merging a batch twice changes nothing."""
     def upsert(batch: DataFrame, epoch: int) -> None:
-        merge.merge_into_clean(lake, merge.as_clean(_accepted(lake, batch, epoch, products)), on_match)
+        with cleaned(lake.spark):
+            merge.merge_into_clean(lake, merge.as_clean(_accepted(lake, batch, epoch, products)), on_match)
 
     return (
         raw.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(upsert).start()
@@ -149,8 +150,9 @@ def drain_late(
 ) -> StreamingQuery:
     """Adjust issued invoices for the late events among the sound rows of each micro-batch."""
     def route(batch: DataFrame, epoch: int) -> None:
-        events = merge.dedupe_events(merge.as_clean(_accepted(lake, batch, epoch, products)))
-        late_arrivals.reconcile_late(lake, customers, rates, run_id=run_id, as_of=as_of, match_plan=match_plan, events=events)
+        with cleaned(lake.spark):
+            events = merge.dedupe_events(merge.as_clean(_accepted(lake, batch, epoch, products)))
+            late_arrivals.reconcile_late(lake, customers, rates, run_id=run_id, as_of=as_of, match_plan=match_plan, events=events)
 
     return (
         raw.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(route).start()
