@@ -40,9 +40,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def list_side(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A staged list of keys, marked for broadcast only when counting shows at most ``rows`` of them.
 
-    A longer list is returned as it is, and the join on it becomes a shuffle join.
+    A longer list is returned as it is, and the join on it becomes a shuffle join. Counting a staged table reads
+    file footers only.
     """
-    return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
+    return F.broadcast(keys) if keys.count() <= rows else keys
 
 
 def lower_ascii(text: Column) -> Column:

@@ -7,8 +7,8 @@
 3. Representatives with an equal band meet in a bucket. A bucket of n gives n - 1 star edges, never all pairs; each
    band draws its own centre.
 4. Edges are confirmed on full sets; confirmed edges are closed into components on tables.
-5. A bucket that still holds several components gets a new star: its centre is the document with most links so far,
-   its edges go to the members outside the centre's component. Rounds go on until they find nothing new.
+5. A bucket with links that still holds several components gets new stars: their centres are the documents with most
+   links so far, their edges go to the members outside the centre's component. Rounds go on until they find nothing.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ IDLE_ROUNDS = 1
 #: A pair is dropped before its full sets are compared only when its sketches agree this much less often than those of
 #: sets at the threshold: in about one of 10**9 similar pairs.
 SIGMAS = 6.0
+#: Sketches, of 128 bytes each, that may be broadcast, and the new centres of a bucket in one round.
+BROADCAST_SKETCHES, CENTRES = 100_000, 4
 #: At similarity 0.8 a pair shares no band once in 2e7; at 0.5 it shares one in 87 of 100 cases.
 BANDS, ROWS = 32, 4
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -101,13 +103,15 @@ def _sets(size: int, bands: int, rows: int):
         bins = 1 << (bands * rows - 1).bit_length()
         for batch in batches:
             for part in slices(batch.column(0)):
-                digests, sketches, found = [], [], []
+                digests, sizes, sketches, found = [], [], [], []
                 for shingles in shingle_sets(part, size):
                     found.append(shingles.tobytes())
                     digests.append(hashlib.blake2b(found[-1], digest_size=16).digest())
+                    sizes.append(len(shingles))
                     sketches.append(sketch(signature(shingles, bins)) if len(shingles) else b"")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()), pa.array(found, pa.binary())], names=["_node", "_sketch", "_set"]
+                    [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(found, pa.binary())],
+                    names=["_node", "_size", "_sketch", "_set"],
                 )
 
     return run
@@ -153,8 +157,10 @@ def _pairs(members: DataFrame, percent: int) -> DataFrame:
 
 def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     """(a, b, left, right, size): pairs with a column of both sides. A centre in many pairs is a hot key that Spark splits."""
-    left = sets.select(F.col("_node").alias("a"), F.col(column).alias("_left"), (F.octet_length("_set") / 8).cast("long").alias("_size"))
+    left = sets.select(F.col("_node").alias("a"), F.col(column).alias("_left"), "_size")
     right = sets.select(F.col("_node").alias("b"), F.col(column).alias("_right"))
+    if column == "_sketch" and sets.count() <= BROADCAST_SKETCHES:
+        left, right = F.broadcast(left), F.broadcast(right)
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_left", "_right", "_size")
 
 
@@ -174,10 +180,10 @@ def components(edges: DataFrame) -> DataFrame:
     both = staged(edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "near"), "near-edges")
     labels = staged(both.groupBy("node").agg(F.min("near").alias("_near")).select("node", F.least("node", "_near").alias("root")), "near-labels")
     while True:
-        seen = both.join(labels.select(F.col("node").alias("near"), F.col("root").alias("_root")), "near")
+        seen = both.join(list_side(labels.select(F.col("node").alias("near"), F.col("root").alias("_root"))), "near")
         least = staged(seen.groupBy("node").agg(F.min("_root").alias("_least")), "near-least")
-        step = labels.join(least, "node").select("node", "root", F.least("root", "_least").alias("_next"))
-        above = labels.select(F.col("node").alias("_next"), F.col("root").alias("_above"))
+        step = labels.join(list_side(least), "node").select("node", "root", F.least("root", "_least").alias("_next"))
+        above = list_side(labels.select(F.col("node").alias("_next"), F.col("root").alias("_above")))
         step = staged(step.join(above, "_next", "left").select("node", F.least("_next", F.coalesce("_above", "_next")).alias("_new"), "root"), "near-labels")
         changed = not step.where("_new <> root").isEmpty()
         labels = step.select("node", F.col("_new").alias("root"))
@@ -190,21 +196,23 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     if labels is None:
         return components(links)
     for side in ("a", "b"):
-        roots = labels.select(F.col("node").alias(side), F.col("root").alias("_r"))
+        roots = list_side(labels.select(F.col("node").alias(side), F.col("root").alias("_r")))
         links = links.join(roots, side, "left").withColumn(f"_{side}", F.coalesce("_r", side)).drop("_r")
     moved = components(links.select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b").distinct())
     moved = staged(moved, "near-moved")
-    known = labels.join(moved.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
-    fresh = moved.join(labels.select("node"), "node", "left_anti").select("node", "root")
+    known = labels.join(list_side(moved.select(F.col("node").alias("root"), F.col("root").alias("_to"))), "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+    fresh = moved.join(list_side(labels.select("node")), "node", "left_anti").select("node", "root")
     return staged(known.unionByName(fresh), "near-labels")
 
 
 def _unsettled(members: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold several components, each with its bucket's next centre.
+    """Members of the buckets that hold several components and a link, each with its bucket's next centres.
 
-    The next centre is the document with most confirmed links among those that were no centre of the bucket yet: in
-    a group of near copies that is the one the others derive from, which reaches most of what is left. A bucket
-    whose members have all been centre is settled.
+    The next centres are documents with most confirmed links among those that were no centre of the bucket yet, one
+    from each of CENTRES parts of the bucket: in a group of near copies these are the ones the others derive from,
+    which reach most of what is left. A bucket is settled when it is one component, when all its members have been
+    centre, or when no member has a link in any of its buckets: a similar pair among those would have been found,
+    as it shares 13 buckets on average, small ones among them, and each has tried a centre of its own.
     """
     degrees = links.select(F.col("a").alias("_node")).union(links.select(F.col("b"))).groupBy("_node").agg(F.count(F.lit(1)).alias("_links"))
     known = labels.select(F.col("node").alias("_node"), F.col("root").alias("_root")).join(degrees, "_node", "left")
@@ -213,12 +221,13 @@ def _unsettled(members: DataFrame, labels: DataFrame, links: DataFrame) -> DataF
     )
     current = staged(current, "near-current")
     rank = F.struct(F.col("_links"), F.xxhash64("_node", "_key").alias("_draw"), F.col("_node"), F.col("_size"), F.col("_root"))
-    chosen = current.groupBy("_key").agg(F.max(F.when(~F.col("_used"), rank)).alias("_centre"), F.min("_root").alias("_low"), F.max("_root").alias("_high"))
-    chosen = staged(chosen.where("_low <> _high AND _centre IS NOT NULL").select("_key", "_centre"), "near-chosen")
-    return staged(
-        current.join(list_side(chosen), "_key")
-        .withColumn("_used", F.col("_used") | (F.col("_node") == F.col("_centre._node"))), "near-members"
-    )
+    part = F.pmod(F.xxhash64("_node"), F.lit(CENTRES)).cast("int")
+    tops = [F.max(F.when(~F.col("_used") & (part == i), rank)).alias(f"_c{i}") for i in range(CENTRES)]
+    chosen = current.groupBy("_key").agg(*tops, F.min("_root").alias("_low"), F.max("_root").alias("_high"), F.max("_links").alias("_most"))
+    chosen = chosen.where("_low <> _high AND _most > 0").select("_key", F.array_compact(F.array(*[f"_c{i}" for i in range(CENTRES)])).alias("_centres"))
+    chosen = staged(chosen.where(F.size("_centres") > 0), "near-chosen")
+    taken = F.exists("_centres", lambda c: c["_node"] == F.col("_node"))
+    return staged(current.join(list_side(chosen), "_key").withColumn("_used", F.col("_used") | taken), "near-members")
 
 
 def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
@@ -241,17 +250,17 @@ def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
     members = members.select("_key", "_node", "_size", (F.col("_node") == F.col("_centre._node")).alias("_used"))
     while idle < IDLE_ROUNDS:
         members = _unsettled(members, labels, all_links)
-        apart = members.where(F.col("_root") != F.col("_centre._root"))
-        pairs = staged(_pairs(apart, percent).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        apart = members.select("_node", "_size", F.explode(F.filter("_centres", lambda c: c["_root"] != F.col("_root"))).alias("_centre"))
+        pairs = staged(_pairs(apart, percent).join(list_side(tested), ["a", "b"], "left_anti"), "near-pairs")
         links = staged(confirm(pairs, sets, percent), "near-links")
         if links.isEmpty():
             idle += 1
         else:
             idle, labels, all_links = 0, _merged(labels, links), all_links.unionByName(links)
         tested = tested.unionByName(pairs)
-        members = members.select("_key", "_node", "_size", "_used")
-        if members.isEmpty():
+        if pairs.isEmpty():
             break
+        members = members.select("_key", "_node", "_size", "_used")
     return labels
 
 
@@ -278,7 +287,7 @@ def near_groups(
     def sets_of(wanted: DataFrame) -> DataFrame:
         ids = staged(nodes.join(list_side(wanted), "_node", "left_semi").select("_id").distinct(), "near-ids")
         rows_of = texts.alias("t").join(list_side(ids).alias("i"), F.col("t._id").eqNullSafe(F.col("i._id")), "left_semi").select("_text")
-        found = rows_of.mapInArrow(_sets(size, bands, rows), "_node binary, _sketch binary, _set binary")
+        found = rows_of.mapInArrow(_sets(size, bands, rows), "_node binary, _size long, _sketch binary, _set binary")
         return found.join(list_side(wanted), "_node", "left_semi").dropDuplicates(["_node"])
 
     labels = _linked(nodes.select("_node", "_size", "_bands"), sets_of, percent)
