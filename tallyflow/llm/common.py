@@ -37,6 +37,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, name)
 
 
+def staged_in_batches(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """``staged`` for a plan that sends long rows to Python: at most ``rows`` of them are in a worker's memory at once."""
+    conf, setting = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(setting)
+    conf.set(setting, str(rows))
+    try:
+        return staged(df, name)
+    finally:
+        conf.set(setting, before)
+
+
+def staged_list(df: DataFrame, name: str) -> DataFrame:
+    """``staged`` for a list that is short beside the documents: an eighth as many files as shuffle partitions."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(df.coalesce(max(8, partitions // 8)), name)
+
+
 def list_side(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A staged list of keys, marked for broadcast only when counting shows at most ``rows`` of them.
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyflow.llm.common import staged
+from tallyflow.llm.common import staged, staged_in_batches
 
 WINDOW, HIDDEN = 64, 8
 #: The training sample: at most this many documents per language, those with the smallest id hashes, and windows
@@ -24,6 +24,8 @@ SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 150, 12
 STEPS, BATCH, RATE = 350, 128, 0.02
 #: Windows computed at once.
 AT_ONCE = 2048
+#: Texts that a Python worker holds at once.
+TEXTS_AT_ONCE = 2_000
 UNKNOWN = "und"
 
 _LETTER = np.zeros(256, dtype=np.float32)
@@ -249,7 +251,7 @@ def with_language(docs: DataFrame, model: tuple[Network, list[str]] | None, text
             columns = [*batch.columns[:width], pa.array(labels, pa.string()), pa.array(np.where(known, score, 0.0), pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:width], "_lang_pred", "_lang_score"])
 
-    return ready.mapInArrow(run, schema)
+    return staged_in_batches(ready.mapInArrow(run, schema), "language-read", TEXTS_AT_ONCE)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **settings) -> DataFrame:

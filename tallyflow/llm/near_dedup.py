@@ -5,10 +5,10 @@
 2. A representative's set is split into bins by the top bits of its hashes, the least hash of each bin is its
    signature; empty bins borrow from bins that the same hash sequence picks for every document.
 3. Representatives with an equal band meet in a bucket. A bucket of n gives n - 1 star edges, never all pairs; each
-   band draws its own centre.
+   bucket draws its own centre.
 4. Edges are confirmed on full sets; confirmed edges are closed into components on tables.
 5. A bucket with links that still holds several components gets new stars: their centres are the documents with most
-   links so far, their edges go to the members outside the centre's component. Rounds go on until they find nothing.
+   links so far, their edges go to the members outside the centre's component. Rounds go on until one finds nothing.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import list_side, staged
+from tallyflow.llm.common import list_side, staged, staged_in_batches, staged_list
 from tallyflow.llm.shingles import mix, shingle_sets, slices
 
 SIZE = 5
@@ -30,10 +30,12 @@ PERCENT = 80
 #: Rounds of new centres without a new link after which the search ends.
 IDLE_ROUNDS = 1
 #: A pair is dropped before its full sets are compared only when its sketches agree this much less often than those of
-#: sets at the threshold: in about one of 10**9 similar pairs.
-SIGMAS = 6.0
+#: sets at the threshold: in less than one of 10**6 pairs at the threshold.
+SIGMAS = 5.0
 #: Sketches, of 128 bytes each, that may be broadcast, and the new centres of a bucket in one round.
-BROADCAST_SKETCHES, CENTRES = 100_000, 4
+BROADCAST_SKETCHES, CENTRES = 100_000, 2
+#: Long rows that a Python worker holds at once: texts, and pairs of full sets.
+TEXTS_AT_ONCE, PAIRS_AT_ONCE = 2_000, 500
 #: At similarity 0.8 a pair shares no band once in 2e7; at 0.5 it shares one in 87 of 100 cases.
 BANDS, ROWS = 32, 4
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -168,7 +170,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that the full sets confirm; full sets travel only for pairs whose sketches leave it open."""
     open_pairs = _beside(pairs, sets, "_sketch").mapInArrow(_possible(percent), "a binary, b binary")
     wide = _beside(staged(open_pairs, "near-open"), sets, "_set").drop("_size")
-    return wide.mapInArrow(_confirmed(percent), "a binary, b binary")
+    return staged_in_batches(wide.mapInArrow(_confirmed(percent), "a binary, b binary"), "near-links", PAIRS_AT_ONCE)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -177,14 +179,14 @@ def components(edges: DataFrame) -> DataFrame:
     Each round a node takes the least root among its neighbours' roots, and then that root's own root; paths halve,
     so the number of rounds grows with the logarithm of the longest path. Every round is staged.
     """
-    both = staged(edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "near"), "near-edges")
-    labels = staged(both.groupBy("node").agg(F.min("near").alias("_near")).select("node", F.least("node", "_near").alias("root")), "near-labels")
+    both = staged_list(edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "near"), "near-edges")
+    labels = staged_list(both.groupBy("node").agg(F.min("near").alias("_near")).select("node", F.least("node", "_near").alias("root")), "near-labels")
     while True:
         seen = both.join(list_side(labels.select(F.col("node").alias("near"), F.col("root").alias("_root"))), "near")
-        least = staged(seen.groupBy("node").agg(F.min("_root").alias("_least")), "near-least")
+        least = staged_list(seen.groupBy("node").agg(F.min("_root").alias("_least")), "near-least")
         step = labels.join(list_side(least), "node").select("node", "root", F.least("root", "_least").alias("_next"))
         above = list_side(labels.select(F.col("node").alias("_next"), F.col("root").alias("_above")))
-        step = staged(step.join(above, "_next", "left").select("node", F.least("_next", F.coalesce("_above", "_next")).alias("_new"), "root"), "near-labels")
+        step = staged_list(step.join(above, "_next", "left").select("node", F.least("_next", F.coalesce("_above", "_next")).alias("_new"), "root"), "near-labels")
         changed = not step.where("_new <> root").isEmpty()
         labels = step.select("node", F.col("_new").alias("root"))
         if not changed:
@@ -199,33 +201,33 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
         roots = list_side(labels.select(F.col("node").alias(side), F.col("root").alias("_r")))
         links = links.join(roots, side, "left").withColumn(f"_{side}", F.coalesce("_r", side)).drop("_r")
     moved = components(links.select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b").distinct())
-    moved = staged(moved, "near-moved")
+    moved = staged_list(moved, "near-moved")
     known = labels.join(list_side(moved.select(F.col("node").alias("root"), F.col("root").alias("_to"))), "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
     fresh = moved.join(list_side(labels.select("node")), "node", "left_anti").select("node", "root")
-    return staged(known.unionByName(fresh), "near-labels")
+    return staged_list(known.unionByName(fresh), "near-labels")
 
 
 def _unsettled(members: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components and a link, each with its bucket's next centres.
 
-    The next centres are documents with most confirmed links among those that were no centre of the bucket yet, one
-    from each of CENTRES parts of the bucket: in a group of near copies these are the ones the others derive from,
-    which reach most of what is left. A bucket is settled when it is one component, when all its members have been
-    centre, or when no member has a link in any of its buckets: a similar pair among those would have been found,
-    as it shares 13 buckets on average, small ones among them, and each has tried a centre of its own.
+    The next centres are the documents with most confirmed links that were no centre of the bucket yet, one from each of
+    CENTRES parts of the bucket: in a group of near copies these are the ones the others derive from, which reach
+    most of what is left. A bucket is settled when it is one component, or when all its linked members have been
+    centre: two similar documents without any link yet share 13 buckets on average, small ones among them, where
+    one of both was the first centre.
     """
     degrees = links.select(F.col("a").alias("_node")).union(links.select(F.col("b"))).groupBy("_node").agg(F.count(F.lit(1)).alias("_links"))
     known = labels.select(F.col("node").alias("_node"), F.col("root").alias("_root")).join(degrees, "_node", "left")
-    current = members.join(list_side(staged(known, "near-known")), "_node", "left").select(
+    current = members.join(list_side(staged_list(known, "near-known")), "_node", "left").select(
         "_key", "_node", "_size", "_used", F.coalesce("_root", "_node").alias("_root"), F.coalesce("_links", F.lit(0)).alias("_links")
     )
     current = staged(current, "near-current")
     rank = F.struct(F.col("_links"), F.xxhash64("_node", "_key").alias("_draw"), F.col("_node"), F.col("_size"), F.col("_root"))
     part = F.pmod(F.xxhash64("_node"), F.lit(CENTRES)).cast("int")
-    tops = [F.max(F.when(~F.col("_used") & (part == i), rank)).alias(f"_c{i}") for i in range(CENTRES)]
-    chosen = current.groupBy("_key").agg(*tops, F.min("_root").alias("_low"), F.max("_root").alias("_high"), F.max("_links").alias("_most"))
-    chosen = chosen.where("_low <> _high AND _most > 0").select("_key", F.array_compact(F.array(*[f"_c{i}" for i in range(CENTRES)])).alias("_centres"))
-    chosen = staged(chosen.where(F.size("_centres") > 0), "near-chosen")
+    tops = [F.max(F.when(~F.col("_used") & (F.col("_links") > 0) & (part == i), rank)).alias(f"_c{i}") for i in range(CENTRES)]
+    chosen = current.groupBy("_key").agg(*tops, F.min("_root").alias("_low"), F.max("_root").alias("_high"))
+    chosen = chosen.where("_low <> _high").select("_key", F.array_compact(F.array(*[f"_c{i}" for i in range(CENTRES)])).alias("_centres"))
+    chosen = staged_list(chosen.where(F.size("_centres") > 0), "near-chosen")
     taken = F.exists("_centres", lambda c: c["_node"] == F.col("_node"))
     return staged(current.join(list_side(chosen), "_key").withColumn("_used", F.col("_used") | taken), "near-members")
 
@@ -236,14 +238,15 @@ def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
     ``nodes`` has (_node, _size, _bands); ``sets_of(list of nodes)`` gives their full sets.
     """
     banded = nodes.select("_node", "_size", F.explode("_bands").alias("_key"))
+    # an order of its own for each bucket: were it one for all, two similar documents behind a third would never meet
     rank = F.struct(F.xxhash64("_node", "_key").alias("_draw"), F.col("_node"), F.col("_size"))
     buckets = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.max(rank).alias("_centre")).where("_n > 1").select("_key", "_centre")
-    members = staged(banded.join(list_side(staged(buckets, "near-buckets")), "_key"), "near-members")
-    pairs = staged(_pairs(members, percent), "near-pairs")
+    members = staged(banded.join(list_side(staged_list(buckets, "near-buckets")), "_key"), "near-members")
+    pairs = staged_list(_pairs(members, percent), "near-pairs")
     if pairs.isEmpty():
         return None
-    sets = staged(sets_of(staged(members.select("_node").distinct(), "near-candidates")), "near-sets")
-    links = staged(confirm(pairs, sets, percent), "near-links")
+    sets = staged_in_batches(sets_of(staged_list(members.select("_node").distinct(), "near-candidates")), "near-sets", TEXTS_AT_ONCE)
+    links = confirm(pairs, sets, percent)
     if links.isEmpty():
         return None
     labels, all_links, tested, idle = _merged(None, links), links, pairs, 0
@@ -251,8 +254,8 @@ def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
     while idle < IDLE_ROUNDS:
         members = _unsettled(members, labels, all_links)
         apart = members.select("_node", "_size", F.explode(F.filter("_centres", lambda c: c["_root"] != F.col("_root"))).alias("_centre"))
-        pairs = staged(_pairs(apart, percent).join(list_side(tested), ["a", "b"], "left_anti"), "near-pairs")
-        links = staged(confirm(pairs, sets, percent), "near-links")
+        pairs = staged_list(_pairs(apart, percent).join(list_side(tested), ["a", "b"], "left_anti"), "near-pairs")
+        links = confirm(pairs, sets, percent)
         if links.isEmpty():
             idle += 1
         else:
@@ -278,14 +281,14 @@ def near_groups(
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     kind = texts.schema[0].dataType.simpleString()
     signed = texts.mapInArrow(_signed(size, bands, rows), f"_id {kind}, n_shingles long, _node binary, _bands array<bigint>")
-    signed = staged(signed, "near-signed")
+    signed = staged_in_batches(signed, "near-signed", TEXTS_AT_ONCE)
     nodes = signed.where("_node IS NOT NULL").groupBy("_node").agg(
         F.min("_id").alias("_id"), F.first("n_shingles").alias("_size"), F.first("_bands").alias("_bands")
     )
     nodes = staged(nodes, "near-nodes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        ids = staged(nodes.join(list_side(wanted), "_node", "left_semi").select("_id").distinct(), "near-ids")
+        ids = staged_list(nodes.join(list_side(wanted), "_node", "left_semi").select("_id").distinct(), "near-ids")
         rows_of = texts.alias("t").join(list_side(ids).alias("i"), F.col("t._id").eqNullSafe(F.col("i._id")), "left_semi").select("_text")
         found = rows_of.mapInArrow(_sets(size, bands, rows), "_node binary, _size long, _sketch binary, _set binary")
         return found.join(list_side(wanted), "_node", "left_semi").dropDuplicates(["_node"])
