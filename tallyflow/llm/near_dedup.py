@@ -9,6 +9,8 @@
 4. Edges are confirmed on full sets; confirmed edges are closed into components on tables.
 5. A bucket with links that still holds several components gets new stars: their centres are the documents with most
    links so far, their edges go to the members outside the centre's component. Rounds go on until one finds nothing.
+6. Last, each bucket that still holds several components has all its pairs across components compared by sketches,
+   block by block inside the tasks; what the sketches leave open is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ IDLE_ROUNDS = 1
 SIGMAS = 5.0
 #: Sketches, of 128 bytes each, that may be broadcast, and the new centres of a bucket in one round.
 BROADCAST_SKETCHES, CENTRES = 100_000, 2
+#: Members in a block of a bucket: two blocks are compared at once. Pairs of sketches compared in one step.
+BLOCK, SKETCHES_AT_ONCE = 1_024, 1 << 16
 #: Long rows that a Python worker holds at once: texts, and pairs of full sets.
 TEXTS_AT_ONCE, PAIRS_AT_ONCE = 2_000, 500
 #: At similarity 0.8 a pair shares no band once in 2e7; at 0.5 it shares one in 87 of 100 cases.
@@ -126,12 +130,63 @@ def _possible(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
-            agree = (one == two).mean(axis=1)
-            drawn = np.minimum(np.asarray(batch.column(4)), one.shape[1])  # a small set fills fewer bins of its own
-            like = percent / 100
-            keep = agree >= like - SIGMAS * np.sqrt(like * (1 - like) / drawn)
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            one, two = (_stacked(batch.column(i)) for i in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array(_open(one, two, np.asarray(batch.column(4)), percent), pa.bool_()))
+
+    return run
+
+
+def _stacked(sketches: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches.to_pylist()), dtype=np.uint8).reshape(len(sketches), -1)
+
+
+def _open(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether two rows of sketches agree as often as those of sets at the threshold may."""
+    drawn = np.minimum(sizes, one.shape[1])  # a small set fills fewer bins of its own
+    like = percent / 100
+    return (one == two).mean(axis=1) >= like - SIGMAS * np.sqrt(like * (1 - like) / drawn)
+
+
+def _across(percent: int):
+    """Task side: open pairs (a, b) of each pair of blocks, whose rows follow each other: different roots, sizes and sketches that allow it."""
+
+    def pairs(group: pa.Table) -> pa.RecordBatch | None:
+        first, second, own, sizes = (group.column(c).to_numpy() for c in ("_first", "_second", "_own", "_size"))
+        roots = group.column("_root").combine_chunks().dictionary_encode().indices.to_numpy()
+        same = first[0] == second[0]
+        left, right = np.flatnonzero(own == first[0]), np.flatnonzero(own == second[0])
+        if not len(left) or not len(right) or (same and roots.min() == roots.max()):
+            return None
+        sketches = _stacked(group.column("_sketch").combine_chunks())
+        ones, twos, step = [], [], max(1, SKETCHES_AT_ONCE // len(right))
+        for at in range(0, len(left), step):
+            rows = left[at:at + step, None]
+            may = (roots[rows] != roots[right]) & (100 * np.minimum(sizes[rows], sizes[right]) >= percent * np.maximum(sizes[rows], sizes[right]))
+            if same:
+                may &= rows < right
+            i, j = np.nonzero(may)
+            i, j = left[at + i], right[j]
+            fits = _open(sketches[i], sketches[j], np.minimum(sizes[i], sizes[j]), percent)
+            ones.append(i[fits])
+            twos.append(j[fits])
+        nodes = group.column("_node").combine_chunks()
+        return pa.RecordBatch.from_arrays([nodes.take(pa.array(np.concatenate(x))) for x in (ones, twos)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+            marks = np.stack([rows.column(c).to_numpy() for c in ("_key", "_first", "_second")])
+            starts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist()]
+            for low, high in zip(starts, starts[1:]):
+                if (found := pairs(rows.slice(low, high - low))) is not None:
+                    yield found
+            held = rows.slice(starts[-1])
+        if held is not None and (found := pairs(held)) is not None:
+            yield found
 
     return run
 
@@ -212,9 +267,7 @@ def _unsettled(members: DataFrame, labels: DataFrame, links: DataFrame) -> DataF
 
     The next centres are the documents with most confirmed links that were no centre of the bucket yet, one from each of
     CENTRES parts of the bucket: in a group of near copies these are the ones the others derive from, which reach
-    most of what is left. A bucket is settled when it is one component, or when all its linked members have been
-    centre: two similar documents without any link yet share 13 buckets on average, small ones among them, where
-    one of both was the first centre.
+    most of what is left. This only makes large components early; what it leaves out is for ``_untried``.
     """
     degrees = links.select(F.col("a").alias("_node")).union(links.select(F.col("b"))).groupBy("_node").agg(F.count(F.lit(1)).alias("_links"))
     known = labels.select(F.col("node").alias("_node"), F.col("root").alias("_root")).join(degrees, "_node", "left")
@@ -232,6 +285,31 @@ def _unsettled(members: DataFrame, labels: DataFrame, links: DataFrame) -> DataF
     return staged(current.join(list_side(chosen), "_key").withColumn("_used", F.col("_used") | taken), "near-members")
 
 
+def _untried(members: DataFrame, labels: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b) that sketches leave open, of all pairs of a bucket's members in different components.
+
+    A bucket is dealt into blocks of some BLOCK members; each pair of blocks is compared in one place, so only open pairs
+    become rows. A bucket of two is left out, as its star was its only pair.
+    """
+    current = members.select("_key", "_node", "_size")
+    if labels is None:
+        current = current.withColumn("_root", F.col("_node"))
+    else:
+        roots = list_side(labels.select(F.col("node").alias("_node"), F.col("root").alias("_root")))
+        current = current.join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
+    current = staged(current, "near-current")
+    mixed = current.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_root").alias("_low"), F.max("_root").alias("_high"))
+    mixed = mixed.where("_n > 2 AND _low <> _high").select("_key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
+    dealt = current.join(list_side(staged_list(mixed, "near-mixed")), "_key").withColumn("_own", F.pmod(F.xxhash64("_node"), "_blocks").cast("int"))
+    sketches = sets.select("_node", "_sketch")
+    dealt = dealt.join(F.broadcast(sketches) if sets.count() <= BROADCAST_SKETCHES else sketches, "_node")
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    blocks = dealt.select("_key", F.least("_own", "_other").alias("_first"), F.greatest("_own", "_other").alias("_second"), "_own", "_node", "_size", "_root", "_sketch")
+    blocks = blocks.repartition("_key", "_first", "_second").sortWithinPartitions("_key", "_first", "_second")
+    found = blocks.mapInArrow(_across(percent), "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
     """(node, root) of all nodes with a link; None where there is no link.
 
@@ -247,11 +325,11 @@ def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
         return None
     sets = staged_in_batches(sets_of(staged_list(members.select("_node").distinct(), "near-candidates")), "near-sets", TEXTS_AT_ONCE)
     links = confirm(pairs, sets, percent)
-    if links.isEmpty():
-        return None
-    labels, all_links, tested, idle = _merged(None, links), links, pairs, 0
+    labels = None if links.isEmpty() else _merged(None, links)
+    all_links, tested, idle = links, pairs, 0
+    everyone = members
     members = members.select("_key", "_node", "_size", (F.col("_node") == F.col("_centre._node")).alias("_used"))
-    while idle < IDLE_ROUNDS:
+    while labels is not None and idle < IDLE_ROUNDS:
         members = _unsettled(members, labels, all_links)
         apart = members.select("_node", "_size", F.explode(F.filter("_centres", lambda c: c["_root"] != F.col("_root"))).alias("_centre"))
         pairs = staged_list(_pairs(apart, percent).join(list_side(tested), ["a", "b"], "left_anti"), "near-pairs")
@@ -264,7 +342,9 @@ def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
         if pairs.isEmpty():
             break
         members = members.select("_key", "_node", "_size", "_used")
-    return labels
+    rest = staged_list(_untried(everyone, labels, sets, percent).join(list_side(tested), ["a", "b"], "left_anti"), "near-rest")
+    links = confirm(rest, sets, percent)
+    return labels if links.isEmpty() else _merged(labels, links)
 
 
 def near_groups(
