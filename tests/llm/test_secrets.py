@@ -80,3 +80,13 @@ def test_battery_statistics(spark):
 
 def test_no_rows(spark):
     assert secrets.scan(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("signs, padding", [("", ""), ("+/", "=="), ("-_", "=")])
+def test_long_random_strings_are_found(spark, signs, padding):
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + signs
+    tokens = [name + s + padding for size in (100, 400, 800, 1700, 5000) for name in ("", "key=") for s in random_strings(10, letters, size, size)]
+    rows = [*enumerate(f"left {t} right" for t in tokens)]
+    found = {r.doc_id: [tuple(s) for s in r.spans if s.kind == 3] for r in secrets.scan(documents(spark, rows)).collect()}
+    hits = [(5, 3, 5 + len(t)) in found[i] for i, t in enumerate(tokens)]
+    assert all(sum(hits[at:at + 10]) >= 8 for at in range(0, len(hits), 10))
