@@ -7,6 +7,7 @@ are the mean over all its positions that hold a letter byte. The network is smal
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,9 @@ AT_ONCE = 2048
 #: Texts that a Python worker holds at once.
 TEXTS_AT_ONCE = 2_000
 UNKNOWN = "und"
+#: Bytes of text for which the least score of a language is learned, and the share of clean texts that may lie below
+#: three times that score.
+LENGTHS, LOW_SHARE = (8, 16, 32, 64, 128, 256, 512), 0.01
 
 _LETTER = np.zeros(256, dtype=np.float32)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
@@ -197,20 +201,17 @@ def _evenly(windows: int):
     return run
 
 
-def fit(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    documents: int = SAMPLE_DOCUMENTS, windows: int = SAMPLE_WINDOWS, steps: int = STEPS,
-) -> tuple[Network, list[str]] | None:
-    """Network and its languages, from a bounded sample of rows that are not held out and have text and lang.
+def learning_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, documents: int, windows: int) -> dict[str, list[tuple[int, bytes]]]:
+    """(id hash, window) lists by language, of a bounded sample of rows that are not held out and have text and lang.
 
     Rows per language are counted first; each language then gives the share of its rows, by id hash, that holds
-    ``documents`` rows on average, cut to ``documents``. None when no row can be learned from.
+    ``documents`` rows on average, cut to ``documents``. Empty when no row can be learned from.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"), F.col(f"`{lang_col}`").cast("string").alias("_lang"))
     rows = rows.where(F.col("_id").isNotNull() & F.col("_lang").isNotNull() & F.col("_text").isNotNull() & ~held_out(F.col("_id")))
     counts = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per language
     if not counts:
-        return None
+        return {}
     scale = 2**30
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(scale, int(scale * 1.5 * documents / n) + 1)))])
     draw = F.pmod(F.xxhash64("_id"), F.lit(scale)).cast("long")
@@ -219,12 +220,59 @@ def fit(
     by_lang: dict[str, list] = {}
     for r in sample:
         by_lang.setdefault(r["lang"], []).append((r["draw"], bytes(r["cut"])))
-    names, cuts, labels = sorted(by_lang), [], []
-    for k, name in enumerate(names):
-        some = sorted(by_lang[name])[:documents * windows]
-        cuts += [c for _, c in some]
+    return {name: sorted(some)[:documents * windows] for name, some in by_lang.items()}
+
+
+def fit(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    documents: int = SAMPLE_DOCUMENTS, windows: int = SAMPLE_WINDOWS, steps: int = STEPS,
+) -> tuple[Network, list[str]] | None:
+    """Network and its languages, from a bounded sample; None when no row can be learned from."""
+    sample = learning_sample(docs, id_col, text_col, lang_col, documents, windows)
+    return trained(sample, steps) if sample else None
+
+
+def trained(sample: dict[str, list[tuple[int, bytes]]], steps: int, others: list[bytes] | None = None) -> tuple[Network, list[str]]:
+    """Network and its languages; windows of ``others`` make one more output behind them."""
+    names, cuts, labels = sorted(sample), [], []
+    for k, some in enumerate([*([c for _, c in sample[name]] for name in names), *([others] if others else [])]):
+        cuts += some
         labels += [k] * len(some)
-    return (train(cuts, np.array(labels), len(names), steps), names) if names else None
+    return train(cuts, np.array(labels), len(names) + bool(others), steps), names
+
+
+def no_language(count: int, seed: int = 7) -> list[bytes]:
+    """Windows of what no language is: dumps in hex and base64, numbers and tables of them, signs, a stray letter."""
+    pick = random.Random(seed)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    kinds = (digits + "abcdef", digits + "ABCDEF", upper + lower + digits + "+/", upper + lower + digits + "-_", digits, digits, digits + "#%*+-/=<>|:;,.")
+    out = []
+    for i in range(count):
+        size, letters, between = pick.choice((8, 16, 32, WINDOW, WINDOW)), kinds[i % len(kinds)], pick.choice(("", "", " ", ",", "\n", "\t", ";", " | "))
+        text = ""
+        while len(text) < size:
+            point = "." if letters == digits and pick.random() < 0.5 else ""
+            text += "".join(pick.choices(letters, k=pick.randrange(1, 9))) + point + "".join(pick.choices(letters, k=pick.randrange(1, 9))) + between
+        at = pick.randrange(size)
+        text = text[:at] + pick.choice(upper + lower) + text[at + 1:] if pick.random() < 0.5 else text
+        out.append(text[:size].encode())
+    return out
+
+
+def score_floors(model: tuple[Network, list[str]], sample: dict[str, list[tuple[int, bytes]]]) -> list[tuple[int, float]]:
+    """(bytes, floor): texts of so many bytes and more need that score, a third of what 99 of 100 sample texts of the length reach."""
+    net, names = model
+    texts: dict[tuple[str, int], bytes] = {}
+    for name in names:
+        for draw, cut in sample[name]:
+            texts[name, draw] = texts.get((name, draw), b"") + cut
+    out = []
+    for size in LENGTHS:
+        cuts = [t[:size] for t in texts.values() if len(t) >= size and _LETTER[np.frombuffer(t[:size], dtype=np.uint8)].any()]
+        if cuts:
+            best = document_probabilities(net, pa.array(cuts, pa.binary()))[:, :len(names)].max(axis=1)
+            out.append((size, float(np.quantile(best, LOW_SHARE)) / 3))
+    return out
 
 
 def with_language(docs: DataFrame, model: tuple[Network, list[str]] | None, text_col: str = "text") -> DataFrame:
@@ -243,7 +291,7 @@ def with_language(docs: DataFrame, model: tuple[Network, list[str]] | None, text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = document_probabilities(net, batch.column(place))
+            p = document_probabilities(net, batch.column(place))[:, :len(names)]
             best = p.argmax(axis=1)
             score = np.clip(p[np.arange(len(best)), best], 0.0, 1.0)
             known = batch.column(width).to_numpy(zero_copy_only=False)
@@ -265,10 +313,21 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return read.select(F.col("_id").alias(id_col), held_out(F.col("_id")).alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score"))
 
 
-def known_language(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **settings) -> DataFrame:
-    """The rows of ``docs`` that have a language, with all their columns: ``und`` rows go, and scores below ``least``.
+def known_language(
+    docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    documents: int = SAMPLE_DOCUMENTS, windows: int = SAMPLE_WINDOWS, steps: int = STEPS,
+) -> DataFrame:
+    """The rows of ``docs`` that have a language, with all their columns.
 
-    The score of a short clean text can be low, so the default asks for none.
+    ``und`` rows go, and scores below ``least`` or below the floor of the text's length. The network here has one output
+    more, for what is no language, so such texts score low. Where nothing can be learned, all rows with a letter stay.
     """
-    read = with_language(docs, fit(docs, id_col, text_col, lang_col, **settings), text_col)
-    return read.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    sample = learning_sample(docs, id_col, text_col, lang_col, documents, windows)
+    if not sample:
+        return docs.where(F.col(f"`{text_col}`").rlike(r"\p{L}"))
+    model = trained(sample, steps, no_language(documents * windows))
+    floor = F.lit(least)
+    for size, score in score_floors(model, sample):
+        floor = F.when(F.octet_length(F.col(f"`{text_col}`")) >= size, F.lit(max(least, score))).otherwise(floor)
+    read = with_language(docs, model, text_col)
+    return read.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= floor)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,3 +1,4 @@
+import base64
 import random
 import zlib
 
@@ -104,3 +105,20 @@ def test_nothing_to_learn_from(spark):
     docs = documents(spark, [(1, "abc", None, None)])
     assert [(r.lang_pred, r.score) for r in identify(docs).collect()] == [("und", 0.0)]
     assert identify(documents(spark, [])).count() == 0
+
+
+def test_texts_of_no_language_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    pick = random.Random(4)
+    junk = [
+        pick.randbytes(1500).hex(), base64.b64encode(pick.randbytes(1500)).decode(), "x " + " ".join(str(pick.randrange(10**6)) for _ in range(500)),
+        "a,b\n" + "\n".join(f"{pick.random():.4f},{pick.random():.4f}" for _ in range(100)), " ".join(pick.randbytes(4).hex() for _ in range(200)),
+    ]
+    odd = spark.createDataFrame([(9000 + i, t, None, "src0", len(t)) for i, t in enumerate(junk)], docs.schema)
+    stay = {r.doc_id for r in known_language(docs.unionByName(odd)).collect()}
+    assert stay == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+
+
+def test_letters_stay_where_nothing_can_be_learned(spark):
+    docs = documents(spark, [(1, "abc", None, None), (2, "12", None, None), (3, None, None, None)])
+    assert [r.doc_id for r in known_language(docs).collect()] == [1]
