@@ -21,23 +21,27 @@ PHONE = (
     r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\p{L}\p{N}])"
 )
 CARD = r"(?<![\p{L}\p{N}])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?![\p{L}\p{N}])"
-MALE, FEMALE = "Mr|Herr|Señor|Sr|Monsieur|Signor", "Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Signora"
-PERSON = rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?+"
+MALE, FEMALE = "Mr|Herr|Señor|Sr|Monsieur|Signor|Sir|Lord", "Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Signora|Fräulein|Señorita|Srta|Mademoiselle|Mlle|Lady|Dame|Dra"
+TITLES = rf"(?:(?:{MALE}|{FEMALE}|Dr|Doctor|Doktor|Prof|Professor|Rev|Reverend)\.? )++"
+INITIALS = r"\p{Lu}\.(?:-?\p{Lu}\.)*+"
+NAME = rf"(?:{INITIALS}|\p{{Lu}}\p{{L}}*+(?:['’-](?!s(?!\p{{L}}))\p{{L}}++)*+)"
+PERSON = rf"(?<![\p{{L}}\p{{N}}]){TITLES}(?:(?:von|van|de|der|den|del|della|di|da|du|la|le|zu) )*+{NAME}(?: (?:(?:von|van|de|der|den|del|della|di|da|du|la|le|zu) )*+{NAME})*+"
 KINDS = ("email", "ip", "phone", "card", "person")
 ANY = "|".join((EMAIL, IP, PHONE, CARD, PERSON))
 
 #: Draws with a format of fixed length; entities that still collide then get longer surrogates.
 SAME_LENGTH_DRAWS = 8
-_PART = "struct<lit:string,kind:string,canon:string>"
+_PART = "struct<lit:string,kind:string,canon:string,person:int>"
 
 
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D+", "")
 
 
-def _part(lit: Column, kind: Column | None = None, canon: Column | None = None) -> Column:
+def _part(lit: Column, kind: Column | None = None, canon: Column | None = None, person: Column | None = None) -> Column:
+    """``person`` is 1 in the part where the mention of a person is counted."""
     none = F.lit(None).cast("string")
-    return F.struct(lit.alias("lit"), (none if kind is None else kind).alias("kind"), (none if canon is None else canon).alias("canon"))
+    return F.struct(lit.alias("lit"), (none if kind is None else kind).alias("kind"), (none if canon is None else canon).alias("canon"), (F.lit(0) if person is None else person).alias("person"))
 
 
 def _luhn(digits: Column) -> Column:
@@ -62,13 +66,16 @@ def _tokens(match: Column) -> Column:
     email = F.array(_part(local, lit("email"), F.lower(match)), _part(lit("@")), _part(domain, lit("domain"), lower_ascii(domain)))
     country = F.regexp_extract(match, r"\A\+(\d{1,3})[ .(-]", 1)
     number = F.when(country != "", F.concat(lit("+"), country, lit(":"), F.substring(_digits(match), F.char_length(country) + 1, F.char_length(match)))).otherwise(_digits(match))
-    title = F.regexp_extract(match, r"\A(\S+ )", 1)
-    gender = F.when(match.rlike(rf"\A(?:{FEMALE})\.? "), "f").otherwise("m")
-    names = F.split(F.regexp_extract(match, r"\A\S+ (.*)\z", 1), " ")
-    given = _part(names[0], F.concat(lit("given_"), gender), F.lower(names[0]))
-    person = F.when(F.size(names) > 1, F.array(_part(title), given, _part(lit(" ")), _part(names[1], lit("surname"), F.lower(names[1])))).otherwise(
-        F.array(_part(title), _part(names[0], lit("surname"), F.lower(names[0])))
-    )
+    title = F.regexp_extract(match, rf"\A({TITLES})", 1)
+    gender = F.when(title.rlike(rf"(?<!\S)(?:{FEMALE})\.? "), "f").when(title.rlike(rf"(?<!\S)(?:{MALE})\.? "), "m").otherwise("n")
+    names = F.split(F.regexp_replace(match, rf"\A{TITLES}", ""), " ")
+
+    def name(x: Column, i: Column, last: Column) -> Column:
+        kind = F.when(i == last, "surname").otherwise(F.concat(lit("given_"), gender))
+        one = F.when(x.rlike(rf"\A{INITIALS}\z"), _part(F.regexp_replace(x, r"\p{Lu}", "X"))).when(x.rlike(r"\A\p{Lu}"), _part(x, kind, F.lower(x))).otherwise(_part(x))
+        return F.when(i == 0, F.array(one)).otherwise(F.array(_part(lit(" ")), one))
+
+    person = let(names, lambda n: F.concat(F.array(_part(title, person=lit(1))), F.flatten(F.transform(n, lambda x, i: name(x, i, F.size(n) - 1)))))
     one = lambda kind, canon: F.array(_part(match, lit(kind), canon))
     by = {"email": email, "ip": one("ip", match), "phone": one("phone", number), "card": one("card", _digits(match)), "person": person}
     kind = kind_of(match)
@@ -79,7 +86,32 @@ def parts(text: Column) -> Column:
     """The whole text as parts, in order: what lies between matches, and each match's own parts."""
     pieces, matches = F.split(text, ANY, -1), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     both = F.zip_with(pieces, matches, lambda p, m: F.concat(F.array(_part(p)), F.when(m.isNull(), F.array().cast(f"array<{_PART}>")).otherwise(_tokens(m))))
-    return F.filter(F.flatten(both), lambda x: x["kind"].isNotNull() | (x["lit"] != ""))
+    return let(F.filter(F.flatten(both), lambda x: x["kind"].isNotNull() | (x["lit"] != "")), _again)
+
+
+def _again(found: Column) -> Column:
+    """The parts of a text with the names found after titles looked up in the rest of it, each with one kind in the text."""
+    is_name = lambda x: F.coalesce(x["kind"].isin("given_f", "given_m", "given_n", "surname"), F.lit(False))
+    names = F.filter(found, lambda x: is_name(x) & (F.char_length(x["lit"]) > 1))
+    known = F.sort_array(F.array_distinct(F.transform(names, lambda x: F.struct(x["canon"].alias("canon"), x["kind"].alias("kind")))))
+
+    def looked_up(k: Column) -> Column:
+        kind_in = lambda x, canon: F.coalesce(F.filter(k, lambda y: y["canon"] == canon)[0]["kind"], x["kind"])
+        # longer names first: one can begin with another
+        either = F.array_join(F.sort_array(F.transform(k, lambda y: y["canon"]), asc=False), "|")
+        pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?=\p{Lu})(?iu:"), either, F.lit(r")(?![\p{L}\p{N}])"))
+
+        def cut(x: Column) -> Column:
+            kind = lambda m: F.filter(k, lambda y: y["canon"] == F.lower(m))[0]["kind"]
+            both = F.zip_with(F.split(x["lit"], pattern, F.lit(-1)), F.regexp_extract_all(x["lit"], pattern, F.lit(0)), lambda p, m: F.when(m.isNull(), F.array(_part(p))).otherwise(
+                F.array(_part(p), _part(m, kind(m), F.lower(m), F.when(kind(m) == "surname", 1).otherwise(0)))))
+            return F.filter(F.flatten(both), lambda y: y["kind"].isNotNull() | (y["lit"] != ""))
+
+        one = lambda x: F.when(is_name(x), F.array(_part(x["lit"], kind_in(x, x["canon"]), x["canon"], x["person"]))).when(
+            x["kind"].isNull() & (x["person"] == 0) & x["lit"].rlike(r"\p{L}"), cut(x)).otherwise(F.array(x))
+        return F.when(F.size(k) == 0, found).otherwise(F.flatten(F.transform(found, one)))
+
+    return let(known, looked_up)
 
 
 def _draw(seed: Column, i: Column | int) -> Column:
@@ -174,7 +206,7 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     """(id, text, n_email, n_ip, n_phone, n_card, n_person) for every row, entities replaced.
 
     Null text stays null with no entities; empty text stays empty. Digit strings count as cards only with a valid
-    check digit. Repeated rows are replaced alike. The same entity has the same surrogate in all rows, for the same
+    check digit. Names found after a title are replaced wherever the same text has them. Repeated rows are replaced alike. The same entity has the same surrogate in all rows, for the same
     key. Other columns are not looked at. An empty table gives no rows. Texts without entities stay where they are;
     the parts of the others meet again by row, and a hot entity is a hot join key that Spark splits.
     """
@@ -185,12 +217,12 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     pieces = cut.select("_row", "_id", F.posexplode("_parts").alias("_at", "_part")).select("_row", "_id", "_at", "_part.*")
     entities = staged(pieces.where("kind IS NOT NULL").select("kind", "canon").distinct(), "pii-entities")
     named = pieces.where("kind IS NOT NULL").join(mapping(entities, key), ["kind", "canon"])
-    named = named.select("_row", "_id", "_at", _written(F.col("lit"), F.col("kind"), F.col("surrogate")).alias("_out"), "kind")
-    plain = pieces.where("kind IS NULL").select("_row", "_id", "_at", F.col("lit").alias("_out"), "kind")
+    named = named.select("_row", "_id", "_at", _written(F.col("lit"), F.col("kind"), F.col("surrogate")).alias("_out"), "kind", "person")
+    plain = pieces.where("kind IS NULL").select("_row", "_id", "_at", F.col("lit").alias("_out"), "kind", "person")
     count = lambda *kinds: F.count(F.when(F.col("kind").isin(*kinds), 1))
     counts = [
         count("email").alias("n_email"), count("ip").alias("n_ip"), count("phone").alias("n_phone"), count("card").alias("n_card"),
-        count("surname").alias("n_person"),
+        F.sum("person").alias("n_person"),
     ]
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", "_out"))), lambda x: x["_out"]), "")
     whole = named.unionByName(plain).groupBy("_row", "_id").agg(joined.alias("text"), *counts).drop("_row")

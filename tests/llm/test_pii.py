@@ -87,3 +87,13 @@ def test_key_decides(spark):
 
 def test_no_rows(spark):
     assert replace_pii(spark.createDataFrame([], "doc_id long, text string"), "k").count() == 0
+
+
+def test_whole_names_and_later_mentions(spark):
+    rows = [(1, "Mrs Anna Maria Schmidt came. Schmidt said that Anna-Lena and SCHMIDT's friend left; schmidt Schmidtke"), (2, "Mr. J. Smith and Prof. Dr. Eva K. O'Brien met Smith. O'Brien was late"), (3, "Schmidt alone")]
+    got = {r.doc_id: r for r in replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    one = re.fullmatch(r"Mrs (\w+) (\w+) (\w+) came\. (\w+) said that (\w+)-Lena and (\w+)'s friend left; schmidt Schmidtke", got[1].text).groups()
+    assert one[2] == one[3] == one[5].title() != "Schmidt" and one[5].isupper() and one[0] == one[4] != "Anna" and one[1] != "Maria" and got[1].n_person == 3
+    two = re.fullmatch(r"Mr\. X\. (\w+) and Prof\. Dr\. (\w+) X\. (\w'\w+) met (\w+)\. (\w'\w+) was late", got[2].text).groups()
+    assert two[0] == two[3] != "Smith" and two[1] != "Eva" and two[2] == two[4] != "O'Brien" and got[2].n_person == 4
+    assert got[3].text == "Schmidt alone" and got[3].n_person == 0
