@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -31,9 +32,9 @@ SIZE = 5
 PERCENT = 80
 #: Rounds of new centres without a new link after which the search ends.
 IDLE_ROUNDS = 1
-#: A pair is dropped before its full sets are compared only when its sketches agree this much less often than those of
-#: sets at the threshold: in less than one of 10**6 pairs at the threshold.
-SIGMAS = 5.0
+#: A pair is dropped before its full sets are compared only when its sketches agree so rarely that a pair at the threshold
+#: does with at most this probability, by the exact binomial tail.
+TAIL = 1e-9
 #: Sketches, of 128 bytes each, that may be broadcast, and the new centres of a bucket in one round.
 BROADCAST_SKETCHES, CENTRES = 100_000, 2
 #: Members in a block of a bucket: two blocks are compared at once. Pairs of sketches compared in one step.
@@ -124,7 +125,7 @@ def _sets(size: int, bands: int, rows: int):
 
 
 def _possible(percent: int):
-    """Task side: the pairs whose sketches agree as often as similar sets do, within SIGMAS standard deviations."""
+    """Task side: the pairs whose sketches agree as often as similar sets do, all but TAIL of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,9 +143,23 @@ def _stacked(sketches: pa.Array) -> np.ndarray:
 
 def _open(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     """Whether two rows of sketches agree as often as those of sets at the threshold may."""
-    drawn = np.minimum(sizes, one.shape[1])  # a small set fills fewer bins of its own
-    like = percent / 100
-    return (one == two).mean(axis=1) >= like - SIGMAS * np.sqrt(like * (1 - like) / drawn)
+    bins = one.shape[1]
+    full = np.maximum(1.0, bins * (1 - (1 - 1 / bins) ** sizes))
+    # a bin that a small set leaves empty repeats another: so many independent draws have the same variance
+    drawn = np.clip(1 / (1 / full + (bins - full) / bins**2), 1, bins).round(6).astype(int)
+    return (one == two).mean(axis=1) >= least_agreement(bins, percent)[drawn]
+
+
+@cache
+def least_agreement(bins: int, percent: int) -> np.ndarray:
+    """By number of draws up to ``bins``: the largest share of agreements below which the binomial tail is at most TAIL."""
+    like, out = percent / 100, [0.0]
+    for n in range(1, bins + 1):
+        below, k = 0.0, 0
+        while k < n and (below := below + math.comb(n, k) * like**k * (1 - like) ** (n - k)) <= TAIL:
+            k += 1
+        out.append(k / n)
+    return np.array(out)
 
 
 def _across(percent: int):

@@ -1,5 +1,7 @@
+import math
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -130,3 +132,14 @@ def test_pairs_in_crowded_buckets_without_a_link(spark, monkeypatch):
     assert {1, 1001, 2001} <= {g[0] for g in want if not g[3]}
     monkeypatch.setattr(near_dedup, "BLOCK", 40)  # several blocks a bucket
     assert sorted(tuple(r) for r in near_groups(documents(spark, rows)).collect()) == want
+
+
+def test_sketch_cut_is_the_exact_tail():
+    cut = near_dedup.least_agreement(128, 80)
+    for n in (20, 40, 64, 128):
+        tail = lambda k, n=n: sum(Fraction(math.comb(n, i) * 4**i, 5**n) for i in range(k))
+        assert tail(round(cut[n] * n)) <= Fraction(1, 10**9) < tail(round(cut[n] * n) + 1)
+    sketches = np.zeros((2, 128), dtype=np.uint8)
+    other = sketches.copy()
+    other[0, int(128 * (0.8 - 5.5 * (0.16 / 128) ** 0.5)):], other[1] = 1, 1
+    assert near_dedup._open(sketches, other, np.array([10**6, 10**6]), 80).tolist() == [True, False]
