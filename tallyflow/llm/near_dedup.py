@@ -4,13 +4,15 @@
    copies cost one representative.
 2. A representative's set is split into bins by the top bits of its hashes, the least hash of each bin is its
    signature; empty bins borrow from bins that the same hash sequence picks for every document.
-3. Representatives with an equal band meet in a bucket. A bucket of n gives n - 1 star edges, never all pairs; each
-   bucket draws its own centre.
+3. Representatives with an equal band meet in a bucket. A bucket gives one star, around its most central member: the
+   one that meets most others over all its buckets, as a text does that others derive from.
 4. Edges are confirmed on full sets; confirmed edges are closed into components on tables.
-5. A bucket with links that still holds several components gets new stars: their centres are the documents with most
-   links so far, their edges go to the members outside the centre's component. Rounds go on until one finds nothing.
-6. Last, each bucket that still holds several components has all its pairs across components compared by sketches,
-   block by block inside the tasks; what the sketches leave open is confirmed on full sets.
+5. Buckets that still hold several components are split by further bytes of the signatures, more of them the larger
+   the bucket, SPLITS times over, until parts have some CROWD members. Each part gives stars around CENTRES drawn
+   members to members of other components. Sketches are compared inside the tasks, so that only open pairs become rows.
+6. All links together are closed into components once more.
+
+The number of edges grows with the number of members, never with the square of a bucket.
 """
 
 from __future__ import annotations
@@ -30,17 +32,16 @@ from tallyflow.llm.shingles import mix, shingle_sets, slices
 
 SIZE = 5
 PERCENT = 80
-#: Rounds of new centres without a new link after which the search ends.
-IDLE_ROUNDS = 1
 #: A pair is dropped before its full sets are compared only when its sketches agree so rarely that a pair at the threshold
 #: does with at most this probability, by the exact binomial tail.
 TAIL = 1e-9
-#: Sketches, of 128 bytes each, that may be broadcast, and the new centres of a bucket in one round.
-BROADCAST_SKETCHES, CENTRES = 100_000, 2
-#: Members in a block of a bucket: two blocks are compared at once. Pairs of sketches compared in one step.
-BLOCK, SKETCHES_AT_ONCE = 1_024, 1 << 16
+#: Members that a part of a bucket should have, and the similarity of those that a split tells apart.
+CROWD, APART = 16, 0.75
+#: Splits of a crowded bucket, most signature bytes a split looks at, and drawn centres of a part: a member takes part in
+#: at most BANDS * SPLITS * CENTRES comparisons of sketches after its BANDS star edges.
+SPLITS, SPLIT_BYTES, CENTRES = 4, 24, 4
 #: Long rows that a Python worker holds at once: texts, and pairs of full sets.
-TEXTS_AT_ONCE, PAIRS_AT_ONCE = 2_000, 500
+TEXTS_AT_ONCE, PAIRS_AT_ONCE = 1_000, 100
 #: At similarity 0.8 a pair shares no band once in 2e7; at 0.5 it shares one in 87 of 100 cases.
 BANDS, ROWS = 32, 4
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -162,46 +163,71 @@ def least_agreement(bins: int, percent: int) -> np.ndarray:
     return np.array(out)
 
 
-def _across(percent: int):
-    """Task side: open pairs (a, b) of each pair of blocks, whose rows follow each other: different roots, sizes and sketches that allow it."""
-
-    def pairs(group: pa.Table) -> pa.RecordBatch | None:
-        first, second, own, sizes = (group.column(c).to_numpy() for c in ("_first", "_second", "_own", "_size"))
-        roots = group.column("_root").combine_chunks().dictionary_encode().indices.to_numpy()
-        same = first[0] == second[0]
-        left, right = np.flatnonzero(own == first[0]), np.flatnonzero(own == second[0])
-        if not len(left) or not len(right) or (same and roots.min() == roots.max()):
-            return None
-        sketches = _stacked(group.column("_sketch").combine_chunks())
-        ones, twos, step = [], [], max(1, SKETCHES_AT_ONCE // len(right))
-        for at in range(0, len(left), step):
-            rows = left[at:at + step, None]
-            may = (roots[rows] != roots[right]) & (100 * np.minimum(sizes[rows], sizes[right]) >= percent * np.maximum(sizes[rows], sizes[right]))
-            if same:
-                may &= rows < right
-            i, j = np.nonzero(may)
-            i, j = left[at + i], right[j]
-            fits = _open(sketches[i], sketches[j], np.minimum(sizes[i], sizes[j]), percent)
-            ones.append(i[fits])
-            twos.append(j[fits])
-        nodes = group.column("_node").combine_chunks()
-        return pa.RecordBatch.from_arrays([nodes.take(pa.array(np.concatenate(x))) for x in (ones, twos)], names=["a", "b"])
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task side: members of buckets (key, n, node, size, root, sketch) with a part for each split of the bucket.
+
+    A split of a bucket looks at signature bytes that its key draws, as many as part members that are APART alike into
+    CROWD; beyond SPLIT_BYTES members are also dealt by their own digest.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, n = (batch.column(i).to_numpy() for i in (0, 1))
+        keys = keys.view(np.uint64)
+        sketches = _stacked(batch.column(5))
+        own = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64)[::2]
+        looks = np.ceil(np.log(np.maximum(n / CROWD, 1)) / -math.log(APART)).astype(np.int64)
+        deals = np.where(looks > SPLIT_BYTES, np.ceil(n * APART**SPLIT_BYTES / CROWD), 1).astype(np.uint64)
+        looks = np.minimum(looks, SPLIT_BYTES)
+        rows, parts = [], []
+        for split in range(SPLITS):
+            used = np.flatnonzero((looks > 0) | (split == 0))
+            part = mix(keys[used] + np.uint64(split + 1))
+            at = part.copy()
+            for look in range(int(looks[used].max(initial=0))):
+                at = mix(at + np.uint64(look + 1))
+                value = sketches[used, (at % np.uint64(sketches.shape[1])).astype(np.int64)].astype(np.uint64) + np.uint64(1)
+                part = np.where(look < looks[used], mix(part + value), part)
+            rows.append(used)
+            parts.append(mix(part + own[used] % deals[used]))
+        taken = batch.select([2, 3, 4, 5]).take(pa.array(np.concatenate(rows)))
+        part = np.concatenate(parts)
+        draw = mix(part ^ np.concatenate([own[r] for r in rows]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part.view(np.int64)), pa.array(draw.view(np.int64)), *taken.columns], names=["_part", "_draw", "_node", "_size", "_root", "_sketch"])
+
+
+def _stars(percent: int):
+    """Task side: open pairs (a, b) of members of each part with its first CENTRES members; rows come part by part.
+
+    Pairs have different roots, and sizes and sketches that allow a link. Only the centres are kept between batches.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        current, centres = None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = pa.Table.from_batches([batch])
-            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
-            marks = np.stack([rows.column(c).to_numpy() for c in ("_key", "_first", "_second")])
-            starts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist()]
-            for low, high in zip(starts, starts[1:]):
-                if (found := pairs(rows.slice(low, high - low))) is not None:
-                    yield found
-            held = rows.slice(starts[-1])
-        if held is not None and (found := pairs(held)) is not None:
-            yield found
+            parts, sizes = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+            nodes, roots = batch.column(2).to_pylist(), np.array(batch.column(4).to_pylist(), object)
+            sketches = _stacked(batch.column(5))
+            ones, twos = [], []
+            edges = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
+            for low, high in zip(edges, edges[1:]):
+                if parts[low] != current:
+                    current, centres = parts[low], []
+                for at in range(low, min(high, low + CENTRES - len(centres))):
+                    centres.append((nodes[at], sizes[at], roots[at], sketches[at]))
+                for node, size, root, sketch_ in centres:
+                    span = slice(low, high)
+                    may = (roots[span] != root) & (100 * np.minimum(sizes[span], size) >= percent * np.maximum(sizes[span], size))
+                    which = low + np.flatnonzero(may)
+                    if len(which):
+                        fits = _open(sketches[which], np.broadcast_to(sketch_, (len(which), len(sketch_))), np.minimum(sizes[which], size), percent)
+                        for i in which[fits]:
+                            ones.append(min(node, nodes[i]))
+                            twos.append(max(node, nodes[i]))
+            yield pa.RecordBatch.from_arrays([pa.array(ones, pa.binary()), pa.array(twos, pa.binary())], names=["a", "b"])
 
     return run
 
@@ -223,16 +249,14 @@ def _confirmed(percent: int):
 
 def _pairs(members: DataFrame, percent: int) -> DataFrame:
     """Distinct (a, b), a < b, of members and their bucket's centre whose set sizes allow the similarity."""
-    sizes = (100 * F.least("_size", "_centre._size") >= percent * F.greatest("_size", "_centre._size")) & (F.col("_node") != F.col("_centre._node"))
-    return members.where(sizes).select(F.least("_node", "_centre._node").alias("a"), F.greatest("_node", "_centre._node").alias("b")).distinct()
+    sizes = (100 * F.least("_size", "_beside") >= percent * F.greatest("_size", "_beside")) & (F.col("_node") != F.col("_other"))
+    return members.where(sizes).select(F.least("_node", "_other").alias("a"), F.greatest("_node", "_other").alias("b")).distinct()
 
 
 def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     """(a, b, left, right, size): pairs with a column of both sides. A centre in many pairs is a hot key that Spark splits."""
     left = sets.select(F.col("_node").alias("a"), F.col(column).alias("_left"), "_size")
     right = sets.select(F.col("_node").alias("b"), F.col(column).alias("_right"))
-    if column == "_sketch" and sets.count() <= BROADCAST_SKETCHES:
-        left, right = F.broadcast(left), F.broadcast(right)
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_left", "_right", "_size")
 
 
@@ -252,10 +276,10 @@ def components(edges: DataFrame) -> DataFrame:
     both = staged_list(edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "near"), "near-edges")
     labels = staged_list(both.groupBy("node").agg(F.min("near").alias("_near")).select("node", F.least("node", "_near").alias("root")), "near-labels")
     while True:
-        seen = both.join(list_side(labels.select(F.col("node").alias("near"), F.col("root").alias("_root"))), "near")
+        seen = both.join(labels.select(F.col("node").alias("near"), F.col("root").alias("_root")), "near")
         least = staged_list(seen.groupBy("node").agg(F.min("_root").alias("_least")), "near-least")
-        step = labels.join(list_side(least), "node").select("node", "root", F.least("root", "_least").alias("_next"))
-        above = list_side(labels.select(F.col("node").alias("_next"), F.col("root").alias("_above")))
+        step = labels.join(least, "node").select("node", "root", F.least("root", "_least").alias("_next"))
+        above = labels.select(F.col("node").alias("_next"), F.col("root").alias("_above"))
         step = staged_list(step.join(above, "_next", "left").select("node", F.least("_next", F.coalesce("_above", "_next")).alias("_new"), "root"), "near-labels")
         changed = not step.where("_new <> root").isEmpty()
         labels = step.select("node", F.col("_new").alias("root"))
@@ -263,66 +287,24 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """Roots after new links: components are taken of the roots the links connect, so later rounds stay small."""
-    if labels is None:
-        return components(links)
-    for side in ("a", "b"):
-        roots = list_side(labels.select(F.col("node").alias(side), F.col("root").alias("_r")))
-        links = links.join(roots, side, "left").withColumn(f"_{side}", F.coalesce("_r", side)).drop("_r")
-    moved = components(links.select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b").distinct())
-    moved = staged_list(moved, "near-moved")
-    known = labels.join(list_side(moved.select(F.col("node").alias("root"), F.col("root").alias("_to"))), "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
-    fresh = moved.join(list_side(labels.select("node")), "node", "left_anti").select("node", "root")
-    return staged_list(known.unionByName(fresh), "near-labels")
-
-
-def _unsettled(members: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components and a link, each with its bucket's next centres.
-
-    The next centres are the documents with most confirmed links that were no centre of the bucket yet, one from each of
-    CENTRES parts of the bucket: in a group of near copies these are the ones the others derive from, which reach
-    most of what is left. This only makes large components early; what it leaves out is for ``_untried``.
-    """
-    degrees = links.select(F.col("a").alias("_node")).union(links.select(F.col("b"))).groupBy("_node").agg(F.count(F.lit(1)).alias("_links"))
-    known = labels.select(F.col("node").alias("_node"), F.col("root").alias("_root")).join(degrees, "_node", "left")
-    current = members.join(list_side(staged_list(known, "near-known")), "_node", "left").select(
-        "_key", "_node", "_size", "_used", F.coalesce("_root", "_node").alias("_root"), F.coalesce("_links", F.lit(0)).alias("_links")
-    )
-    current = staged(current, "near-current")
-    rank = F.struct(F.col("_links"), F.xxhash64("_node", "_key").alias("_draw"), F.col("_node"), F.col("_size"), F.col("_root"))
-    part = F.pmod(F.xxhash64("_node"), F.lit(CENTRES)).cast("int")
-    tops = [F.max(F.when(~F.col("_used") & (F.col("_links") > 0) & (part == i), rank)).alias(f"_c{i}") for i in range(CENTRES)]
-    chosen = current.groupBy("_key").agg(*tops, F.min("_root").alias("_low"), F.max("_root").alias("_high"))
-    chosen = chosen.where("_low <> _high").select("_key", F.array_compact(F.array(*[f"_c{i}" for i in range(CENTRES)])).alias("_centres"))
-    chosen = staged_list(chosen.where(F.size("_centres") > 0), "near-chosen")
-    taken = F.exists("_centres", lambda c: c["_node"] == F.col("_node"))
-    return staged(current.join(list_side(chosen), "_key").withColumn("_used", F.col("_used") | taken), "near-members")
-
-
-def _untried(members: DataFrame, labels: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b) that sketches leave open, of all pairs of a bucket's members in different components.
-
-    A bucket is dealt into blocks of some BLOCK members; each pair of blocks is compared in one place, so only open pairs
-    become rows. A bucket of two is left out, as its star was its only pair.
-    """
-    current = members.select("_key", "_node", "_size")
+def _unsettled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of the buckets that hold several components, with their bucket's size and their root."""
     if labels is None:
-        current = current.withColumn("_root", F.col("_node"))
+        current = members.withColumn("_root", F.col("_node"))
     else:
-        roots = list_side(labels.select(F.col("node").alias("_node"), F.col("root").alias("_root")))
-        current = current.join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
-    current = staged(current, "near-current")
+        current = members.join(labels.select(F.col("node").alias("_node"), F.col("root").alias("_root")), "_node", "left")
+        current = current.withColumn("_root", F.coalesce("_root", "_node"))
+    current = staged(current.select("_key", "_node", "_size", "_root"), "near-current")
     mixed = current.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_root").alias("_low"), F.max("_root").alias("_high"))
-    mixed = mixed.where("_n > 2 AND _low <> _high").select("_key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
-    dealt = current.join(list_side(staged_list(mixed, "near-mixed")), "_key").withColumn("_own", F.pmod(F.xxhash64("_node"), "_blocks").cast("int"))
-    sketches = sets.select("_node", "_sketch")
-    dealt = dealt.join(F.broadcast(sketches) if sets.count() <= BROADCAST_SKETCHES else sketches, "_node")
-    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    blocks = dealt.select("_key", F.least("_own", "_other").alias("_first"), F.greatest("_own", "_other").alias("_second"), "_own", "_node", "_size", "_root", "_sketch")
-    blocks = blocks.repartition("_key", "_first", "_second").sortWithinPartitions("_key", "_first", "_second")
-    found = blocks.mapInArrow(_across(percent), "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return current.join(mixed.where("_n > 2 AND _low <> _high").select("_key", "_n"), "_key")  # a bucket of two was one star
+
+
+def _in_parts(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct open pairs (a, b) across components from the stars of the parts of crowded buckets."""
+    held = members.join(sets.select("_node", "_sketch"), "_node").select("_key", "_n", "_node", "_size", "_root", "_sketch")
+    parts = held.mapInArrow(_split, "_part long, _draw long, _node binary, _size long, _root binary, _sketch binary")
+    ordered = parts.repartition("_part").sortWithinPartitions("_part", "_draw")
+    return ordered.mapInArrow(_stars(percent), "a binary, b binary").distinct()
 
 
 def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
@@ -331,35 +313,24 @@ def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
     ``nodes`` has (_node, _size, _bands); ``sets_of(list of nodes)`` gives their full sets.
     """
     banded = nodes.select("_node", "_size", F.explode("_bands").alias("_key"))
-    # an order of its own for each bucket: were it one for all, two similar documents behind a third would never meet
-    rank = F.struct(F.xxhash64("_node", "_key").alias("_draw"), F.col("_node"), F.col("_size"))
-    buckets = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.max(rank).alias("_centre")).where("_n > 1").select("_key", "_centre")
-    members = staged(banded.join(list_side(staged_list(buckets, "near-buckets")), "_key"), "near-members")
-    pairs = staged_list(_pairs(members, percent), "near-pairs")
-    if pairs.isEmpty():
+    counts = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    members = staged(banded.join(counts, "_key"), "near-members")
+    if members.isEmpty():
         return None
-    sets = staged_in_batches(sets_of(staged_list(members.select("_node").distinct(), "near-candidates")), "near-sets", TEXTS_AT_ONCE)
+    met = staged_list(members.groupBy("_node").agg(F.sum("_n").alias("_met")), "near-met")
+    ranked = members.join(met, "_node")
+    centre = F.max(F.struct(F.col("_met"), F.xxhash64("_node", "_key"), F.col("_node"), F.col("_size"))).alias("_centre")
+    buckets = staged_list(ranked.groupBy("_key").agg(centre).select("_key", "_centre._node", "_centre._size"), "near-buckets")
+    starred = members.join(buckets.toDF("_key", "_other", "_beside"), "_key")
+    pairs = staged_list(_pairs(starred, percent), "near-pairs")
+    sets = staged_in_batches(sets_of(staged_list(met.select("_node"), "near-candidates")), "near-sets", TEXTS_AT_ONCE)
     links = confirm(pairs, sets, percent)
-    labels = None if links.isEmpty() else _merged(None, links)
-    all_links, tested, idle = links, pairs, 0
-    everyone = members
-    members = members.select("_key", "_node", "_size", (F.col("_node") == F.col("_centre._node")).alias("_used"))
-    while labels is not None and idle < IDLE_ROUNDS:
-        members = _unsettled(members, labels, all_links)
-        apart = members.select("_node", "_size", F.explode(F.filter("_centres", lambda c: c["_root"] != F.col("_root"))).alias("_centre"))
-        pairs = staged_list(_pairs(apart, percent).join(list_side(tested), ["a", "b"], "left_anti"), "near-pairs")
-        links = confirm(pairs, sets, percent)
-        if links.isEmpty():
-            idle += 1
-        else:
-            idle, labels, all_links = 0, _merged(labels, links), all_links.unionByName(links)
-        tested = tested.unionByName(pairs)
-        if pairs.isEmpty():
-            break
-        members = members.select("_key", "_node", "_size", "_used")
-    rest = staged_list(_untried(everyone, labels, sets, percent).join(list_side(tested), ["a", "b"], "left_anti"), "near-rest")
-    links = confirm(rest, sets, percent)
-    return labels if links.isEmpty() else _merged(labels, links)
+    labels = None if links.isEmpty() else components(links)
+    rest = _in_parts(_unsettled(members, labels), sets, percent).join(pairs, ["a", "b"], "left_anti")
+    more = confirm(staged(rest, "near-rest"), sets, percent)
+    if more.isEmpty():
+        return labels
+    return components(links.unionByName(more))
 
 
 def near_groups(
@@ -383,16 +354,16 @@ def near_groups(
     nodes = staged(nodes, "near-nodes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        ids = staged_list(nodes.join(list_side(wanted), "_node", "left_semi").select("_id").distinct(), "near-ids")
-        rows_of = texts.alias("t").join(list_side(ids).alias("i"), F.col("t._id").eqNullSafe(F.col("i._id")), "left_semi").select("_text")
+        ids = staged_list(nodes.join(wanted, "_node", "left_semi").select("_id").distinct(), "near-ids")
+        rows_of = texts.alias("t").join(ids.alias("i"), F.col("t._id").eqNullSafe(F.col("i._id")), "left_semi").select("_text")
         found = rows_of.mapInArrow(_sets(size, bands, rows), "_node binary, _size long, _sketch binary, _set binary")
-        return found.join(list_side(wanted), "_node", "left_semi").dropDuplicates(["_node"])
+        return found.join(wanted, "_node", "left_semi").dropDuplicates(["_node"])
 
     labels = _linked(nodes.select("_node", "_size", "_bands"), sets_of, percent)
     if labels is None:
         smallest = nodes.select("_node", F.col("_id").alias("component_id"))
     else:
-        rooted = nodes.select("_node", "_id").join(list_side(labels.withColumnRenamed("node", "_node")), "_node", "left")
+        rooted = nodes.select("_node", "_id").join(labels.withColumnRenamed("node", "_node"), "_node", "left")
         rooted = staged(rooted.select("_node", "_id", F.coalesce("root", "_node").alias("_root")), "near-rooted")
         least = rooted.groupBy("_root").agg(F.min("_id").alias("component_id"))
         smallest = rooted.join(least, "_root").select("_node", "component_id")
@@ -405,7 +376,15 @@ def near_groups(
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each group, by ``near_groups``."""
-    dropped = near_groups(docs, id_col, text_col, **settings).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    dropped = list_side(staged(dropped, "near-dropped"))
-    return docs.join(dropped, F.col(f"`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: one row of each group, by ``near_groups``.
+
+    The row with the smallest id stays, a null id loses against any other; of rows that repeat an id, or have none,
+    one stays. Rows without words all stay. Groups are kept and dropped by row, never by id alone, so ids may be
+    repeated or null in any number. Columns of any name pass as they are.
+    """
+    named = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("_row"), named.alias("_doc")), "near-rows")
+    ident = F.struct(F.col(f"_doc.`{id_col}`").isNull().alias("no"), F.col(f"_doc.`{id_col}`").alias("id"), F.col("_row").alias("row"))
+    groups = near_groups(rows.select(ident.alias("_ident"), F.col(f"_doc.`{text_col}`").alias("_text")), "_ident", "_text", **settings)
+    dropped = list_side(staged(groups.where("NOT kept").select(F.col("_ident.row").alias("_row")), "near-dropped"))
+    return rows.join(dropped, "_row", "left_anti").select("_doc.*")

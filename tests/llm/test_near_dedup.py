@@ -126,14 +126,70 @@ def template_families(seed):
     return rows
 
 
-def test_pairs_in_crowded_buckets_without_a_link(spark, monkeypatch):
+def test_pairs_in_crowded_buckets_without_a_link(spark):
     rows = template_families(2)
     want = brute_groups(rows, 5)
     assert {1, 1001, 2001} <= {g[0] for g in want if not g[3]}
-    monkeypatch.setattr(near_dedup, "BLOCK", 40)  # several blocks a bucket
     assert sorted(tuple(r) for r in near_groups(documents(spark, rows)).collect()) == want
 
 
+def crowded_pairs(seed):
+    """400 texts of one template, 0.74 alike; 60 of them have a partner at 0.81, no more central than the others."""
+    pick, rows = random.Random(seed), []
+    template = [f"t{i}" for i in range(1000)]
+    for member in range(340):
+        words = list(template)
+        changed = pick.sample(range(1000), 16)
+        for at in changed:
+            words[at] = f"own{member}x{at}"
+        rows.append((member, " ".join(words)))
+        if member < 60:
+            for at in pick.sample(changed, 10):  # shares six changes with its partner
+                words[at] = f"mate{member}x{at}"
+            for at in pick.sample(sorted(set(range(1000)) - set(changed)), 11):
+                words[at] = f"mate{member}x{at}"
+            rows.append((1000 + member, " ".join(words)))
+    return rows
+
+
+def test_recall_in_a_crowd(spark):
+    rows = crowded_pairs(3)
+    want = {g[0]: g[2] for g in brute_groups(rows, 5)}
+    got = {r.doc_id: r.component_id for r in near_groups(documents(spark, rows)).collect()}
+    linked = [i for i, c in want.items() if i != c]
+    assert len(linked) > 20
+    assert all(want[i] == want[got[i]] for i in want)  # no link that is none
+    assert sum(got[i] == want[i] for i in linked) >= 0.9 * len(linked)
+
+
+def test_a_crowd_gives_rows_in_proportion(spark, monkeypatch):
+    seen = []
+    confirm = near_dedup.confirm
+    monkeypatch.setattr(near_dedup, "confirm", lambda pairs, *rest: seen.append(pairs.count()) or confirm(pairs, *rest))
+    rows = crowded_pairs(4)
+    for some in (rows[:100], rows):
+        near_groups(documents(spark, some)).count()
+    # 400 texts have 79,800 pairs
+    assert seen[0] + seen[1] <= 100 * 100 and seen[2] + seen[3] <= 400 * 100
+
+
+def test_dropping_goes_by_row(spark):
+    a, b = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen"
+    c, d = " ".join(f"c{i}" for i in range(60)), " ".join(f"d{i}" for i in range(9))
+    near_c = c + " more"
+    rows = [(1, a), (None, a), (None, b), (2, c), (7, near_c), (7, d), (7, d), (None, None), (None, " ")]
+    out = near_dedup.near_dedup(documents(spark, rows).selectExpr("*", "3 AS _gone", "4 AS _doc", "5 AS _row", "6 AS _ident"))
+    assert out.columns == ["doc_id", "text", "_node", "component_id", "_gone", "_doc", "_row", "_ident"]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted([tuple(r)[:2] for r in out.collect()], key=key) == sorted([(1, a), (None, b), (2, c), (7, d), (None, None), (None, " ")], key=key)
+
+
+def test_all_ids_null(spark):
+    rows = [(None, t) for t in ("a b c d e f", "A b c d e f", "g h i j k l", None)]
+    out = near_dedup.near_dedup(documents(spark, rows)).collect()
+    assert sorted((r.text or "").lower() for r in out) == ["", "a b c d e f", "g h i j k l"]
+
+
 def test_sketch_cut_is_the_exact_tail():
     cut = near_dedup.least_agreement(128, 80)
     for n in (20, 40, 64, 128):
