@@ -102,6 +102,57 @@ def rate_versions(rates: DataFrame) -> DataFrame:
     )
 
 
+RATE_KEYS = ("product_id", "plan_id", "unit")
+
+
+def splice_rates(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The history of the keys in ``incoming`` after one more load: (kept pieces and new versions) of those keys only.
+
+    ``stored`` has intervals that do not overlap inside a key, both ends included, a null end is open. A load wins on
+    the days it names: an older version is closed before it, resumes after it where the new one ends, and goes where it is
+    covered. A version without an end reaches to the next start of its key, be that stored or new; among new versions
+    with one start the newest load time wins. Loading the same rates again changes nothing. Rows of keys without a
+    product, plan or unit match by null.
+    """
+    keys = list(RATE_KEYS)
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"s.{key}").eqNullSafe(F.col(f"n.{key}"))
+    fresh = rate_versions(incoming).select(*keys, "unit_price", "currency", "effective_from", "effective_to")
+    touched = stored.alias("s").join(fresh.select(*keys).distinct().alias("n"), same, "left_semi")
+    # An open new version ends before the next stored start; closed ones keep their end.
+    later = fresh.where("effective_to IS NULL").alias("n").join(
+        touched.select(*keys, F.col("effective_from").alias("next")).alias("s"), same & (F.col("s.next") > F.col("n.effective_from")))
+    ends = later.groupBy(*[F.col(f"n.{k}").alias(k) for k in keys]).agg(F.date_sub(F.min("next"), 1).alias("until"))
+    added = fresh.alias("s").join(ends.alias("n"), same, "left").select(
+        *[f"s.{c}" for c in (*keys, "unit_price", "currency", "effective_from")],
+        F.coalesce("s.effective_to", F.col("n.until")).alias("effective_to"))
+    # What is left of a stored version between the new ones that meet it; a key has at most one new version a day.
+    meets = same & (F.col("n.effective_from") <= F.coalesce("s.effective_to", F.col("n.effective_from"))) & (
+        F.coalesce("n.effective_to", F.col("s.effective_from")) >= F.col("s.effective_from"))
+    own = [F.col(f"s.{c}").alias(c) for c in (*keys, "unit_price", "currency", "effective_from", "effective_to")]
+    cut = F.struct(F.col("n.effective_from").alias("first"), F.coalesce("n.effective_to", F.lit("9999-12-31").cast("date")).alias("last"))
+    met = touched.alias("s").join(added.alias("n"), meets, "left").select(*own, F.when(F.col("n.effective_from").isNotNull(), cut).alias("cut"))
+    held = met.groupBy(*[c for c in met.columns if c != "cut"]).agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
+    starts = F.concat(F.array("effective_from"), F.transform("cuts", lambda c: F.when(c["last"] < F.lit("9999-12-31").cast("date"), F.date_add(c["last"], 1))))
+    stops = F.concat(F.transform("cuts", lambda c: F.date_sub(c["first"], 1)), F.array("effective_to"))
+    pieces = held.select(*keys, "unit_price", "currency", F.explode(F.arrays_zip(starts.alias("from"), stops.alias("to"))).alias("piece"))
+    kept = pieces.select(*keys, "unit_price", "currency", F.col("piece.from").alias("effective_from"), F.col("piece.to").alias("effective_to"))
+    kept = kept.where("effective_from IS NOT NULL AND (effective_to IS NULL OR effective_from <= effective_to)")
+    whole = kept.unionByName(added).withColumn("_next", F.lead("effective_from").over(Window.partitionBy(*keys).orderBy("effective_from")))
+    natural = ("product_id", "plan_id", "unit", "effective_from", "unit_price", "currency", "effective_to")
+    return whole.select(
+        numeric_key(*natural).alias("rate_sk"), surrogate_key(*keys, "effective_from").alias("rate_id"), *keys, "unit_price", "currency",
+        "effective_from", "effective_to", F.col("_next").isNull().alias("is_current"),
+    )
+
+
+def overlapping_rates(rates: DataFrame) -> DataFrame:
+    """Versions that still hold on the day the next version of their key starts: usage of that day would be billed twice."""
+    following = F.lead("effective_from").over(Window.partitionBy(*RATE_KEYS).orderBy("effective_from", "effective_to"))
+    return rates.withColumn("_next", following).where("_next <= coalesce(effective_to, _next)").drop("_next")
+
+
 def date_dimension(spark: SparkSession, first: dt_.date | str, last: dt_.date | str) -> DataFrame:
     """One row per day, both ends included."""
     days = spark.range(1).select(

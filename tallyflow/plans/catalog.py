@@ -15,7 +15,7 @@ from ..functions.money import total_amount
 from ..operators import (
     audit, dashboard, dedupe, dimensions, invoicing, merge, parse, pricing, quality, reconcile, serving, usage,
 )
-from ..schemas import CUSTOMER_STATUSES, PRODUCTS
+from ..schemas import CUSTOMER_STATUSES, PRICE, PRODUCTS
 from ..session import scratch_path, stage
 from ..sources import files, sample
 from ..sources import lake as lk
@@ -289,6 +289,28 @@ def c8_rate_versions(spark, d):
     return dimensions.rate_versions(sample.catalog_rates(spark, d))
 
 
+@query
+def c8_stored_versions(spark, d):
+    """The large catalog in two loads, every other rate in each, and the second load once more."""
+    lake = _new_lake(spark)
+    rates = sample.catalog_rates(spark, d)
+    even = F.second("ingest_ts") % 2 == 0
+    for load in (rates.where(~even), rates.where(even), rates.where(even)):
+        dimension_load.load_rate_history(lake, load)
+    return lake.read(lk.RATE_DIM).drop("rate_sk")
+
+
+@query
+def c8_stored_prices(spark, d):
+    """A changed price comes with a second load: usage is priced through the stored table, once a day."""
+    lake = _new_lake(spark)
+    rates = sample.rates(spark)
+    doubled = rates.withColumn("unit_price", (F.col("unit_price") * 2).cast(PRICE)).withColumn("effective_from", F.lit("2024-01-16").cast("date"))
+    for moment, load in (("2024-01-01", rates), ("2024-01-16", doubled), ("2024-01-16", doubled)):
+        dimension_load.load_rate_history(lake, load.withColumn("ingest_ts", ntz(moment)))
+    return pricing.daily_cost(sample.daily(spark, d), sample.customers(spark, d), lake.read(lk.RATE_DIM)).drop("rate_sk")
+
+
 @query
 def c9_surrogate_keys(spark, d):
     part = sample.part_catalog(spark, d)

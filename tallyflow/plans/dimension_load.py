@@ -7,6 +7,7 @@ import datetime as dt_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.literals import ntz
 from ..operators import dimensions
 from ..session import stage
 from ..sources import lake as lk
@@ -22,13 +23,32 @@ def load_rates(lake: lk.Lake, rates: DataFrame) -> DataFrame:
     return lake.append_new(lk.RATE_DIM, dimensions.append_rates(rates).dropDuplicates(["rate_sk"]), ["rate_sk"])
 
 
+def load_rate_history(lake: lk.Lake, rates: DataFrame) -> None:
+    """Splice one catalog load, with its load times, into the stored rate versions; loading it again changes nothing.
+
+    Only the currencies of touched keys are written again. A history that would bill a day twice is not stored.
+    """
+    stored = lake.read(lk.RATE_DIM)
+    spliced = stage(dimensions.splice_rates(stored, rates), "spliced")
+    if not dimensions.overlapping_rates(spliced).isEmpty():
+        raise ValueError("rate versions overlap")
+    keys = list(dimensions.RATE_KEYS)
+    same = F.expr(" AND ".join(f"s.{k} <=> n.{k}" for k in keys))
+    touched = spliced.select(*keys).distinct().alias("n")
+    others = stored.alias("s").join(touched, same, "left_anti")
+    # One row per currency.
+    currencies = spliced.select("currency").union(stored.alias("s").join(touched, same, "left_semi").select("currency")).distinct()
+    values = [r.currency for r in currencies.collect()]
+    lake.replace_values(lk.RATE_DIM, others.where(F.col("currency").isin(values)).unionByName(spliced), values)
+
+
 def load_all(
     lake: lk.Lake, *, snapshot: DataFrame, rates: DataFrame, products: DataFrame, plans: DataFrame, as_of: dt_.datetime,
     first_day: dt_.date, last_day: dt_.date,
 ) -> None:
     """All dimensions of one load. Products and plans are replaced, dates span the given days."""
     load_customers(lake, stage(snapshot, "snapshot"), as_of)
-    load_rates(lake, rates)
+    load_rate_history(lake, rates if "ingest_ts" in rates.columns else rates.withColumn("ingest_ts", ntz(as_of)))
     lake.overwrite(lk.PRODUCT_DIM, products)
     lake.overwrite(lk.PLAN_DIM, plans)
     lake.overwrite(lk.DATE_DIM, dimensions.date_dimension(lake.spark, first_day, last_day))

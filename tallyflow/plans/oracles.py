@@ -303,6 +303,40 @@ FROM (
   FROM (SELECT *, row_number() OVER (PARTITION BY product_id, plan_id, unit, effective_from ORDER BY ingest_ts DESC) AS rk FROM v_catalog)
   WHERE rk = 1)""")
 _oracle("c8_rate_versions", "SELECT * FROM v_versions")
+# Day by day: the second load's version where it has one, else the first's; an open version holds to the next start of all.
+_oracle("c8_stored_versions", f"""
+SELECT * FROM (WITH newest AS (
+  SELECT *, extract(second FROM ingest_ts)::INTEGER % 2 = 0 AS second,
+    row_number() OVER (PARTITION BY product_id, plan_id, unit, effective_from, extract(second FROM ingest_ts)::INTEGER % 2 ORDER BY ingest_ts DESC) AS rk
+  FROM v_catalog),
+alone AS (
+  SELECT *, lead(effective_from) OVER (PARTITION BY product_id, plan_id, unit, second ORDER BY effective_from) AS following
+  FROM newest WHERE rk = 1),
+closed AS (
+  SELECT a.*, CASE WHEN following IS NOT NULL THEN least(coalesce(effective_to, following - 1), following - 1)
+    WHEN effective_to IS NOT NULL THEN effective_to
+    ELSE coalesce((SELECT min(o.effective_from) - 1 FROM alone o WHERE a.second AND NOT o.second AND o.product_id = a.product_id
+      AND o.plan_id = a.plan_id AND o.unit = a.unit AND o.effective_from > a.effective_from), DATE '9999-12-31') END AS until
+  FROM alone a),
+edges AS (
+  SELECT product_id, plan_id, unit, effective_from AS d FROM closed UNION SELECT product_id, plan_id, unit, (until + 1)::DATE FROM closed WHERE until < DATE '9999-12-31'),
+spans AS (
+  SELECT *, coalesce(lead(d) OVER (PARTITION BY product_id, plan_id, unit ORDER BY d) - 1, DATE '9999-12-31') AS last FROM edges),
+won AS (
+  SELECT s.*, c.effective_from AS started, c.price, c.currency, c.second
+  FROM spans s JOIN closed c ON c.product_id = s.product_id AND c.plan_id = s.plan_id AND c.unit = s.unit AND s.d BETWEEN c.effective_from AND c.until
+  QUALIFY row_number() OVER (PARTITION BY s.product_id, s.plan_id, s.unit, s.d ORDER BY c.second DESC) = 1),
+runs AS (
+  SELECT *, sum(CASE WHEN started = was AND second = side AND d = before + 1 THEN 0 ELSE 1 END) OVER (PARTITION BY product_id, plan_id, unit ORDER BY d) AS run
+  FROM (SELECT *, lag(started) OVER w AS was, lag(second) OVER w AS side, lag(last) OVER w AS before FROM won WINDOW w AS (PARTITION BY product_id, plan_id, unit ORDER BY d))),
+versions AS (
+  SELECT product_id, plan_id, unit, cast(any_value(price) AS DECIMAL(18,10)) AS unit_price, any_value(currency) AS currency, min(d) AS effective_from,
+    nullif(max(last), DATE '9999-12-31') AS effective_to
+  FROM runs GROUP BY product_id, plan_id, unit, run)
+SELECT {_key("product_id", "plan_id", "unit", "effective_from")} AS rate_id, *,
+  lead(effective_from) OVER (PARTITION BY product_id, plan_id, unit ORDER BY effective_from) IS NULL AS is_current
+FROM versions)""")
+_oracle("c8_stored_prices", "SELECT * EXCLUDE (rate_sk) FROM v_costs_split")
 _oracle("c9_surrogate_keys", f"""
 SELECT rate_id, {_key("product_id", "plan_id", "unit", "effective_to")} AS rate_key,
   {_key("product_id", "plan_id", "unit", "effective_from")} AS version_key FROM v_catalog""")

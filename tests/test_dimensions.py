@@ -1,10 +1,13 @@
+import datetime as dt
 import random
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from making import day, rows, table, ts
 from tallyflow.functions.keys import surrogate_key
 from tallyflow.operators import dimensions
+from tallyflow.sources import lake as lk
 
 SNAPSHOT = "customer_id string, customer_name string, status string, country string, plan_id string, ingest_ts timestamp_ntz"
 
@@ -82,3 +85,51 @@ def test_date_dimension_is_iso(spark):
     assert len(got) == 5
     assert got["2024-03-03"].day_of_week == 7 and got["2024-03-03"].is_weekend
     assert got["2024-02-29"].day_of_week == 4 and not got["2024-02-29"].is_weekend and got["2024-02-29"].quarter == 1
+
+
+def spliced(spark, *loads):
+    """Versions (price, from, to, is_current) of one key after loads of (price, from, to)."""
+    from tallyflow import schemas
+
+    stored = table(spark, [], schemas.RATE_DIM)
+    for number, load in enumerate(loads):
+        items = [("p", "pro", "u", Decimal(price), "USD", day(start), day(end) if end else None, ts("2024-01-01") + dt.timedelta(days=number)) for price, start, end in load]
+        incoming = table(spark, items, "product_id string, plan_id string, unit string, unit_price decimal(18,10), currency string, effective_from date, effective_to date, ingest_ts timestamp_ntz")
+        out = dimensions.splice_rates(stored, incoming)
+        stored = table(spark, [tuple(r) for r in out.collect()], schemas.RATE_DIM)
+        assert dimensions.overlapping_rates(stored).isEmpty()
+    got = stored.orderBy("effective_from").collect()
+    return [(str(int(r.unit_price)), str(r.effective_from), r.effective_to and str(r.effective_to), r.is_current) for r in got]
+
+
+def test_a_new_price_closes_the_old_one_and_a_reload_changes_nothing(spark):
+    old, new = [("1", "2024-01-01", None)], [("2", "2024-02-01", None)]
+    want = [("1", "2024-01-01", "2024-01-31", False), ("2", "2024-02-01", None, True)]
+    assert spliced(spark, old, new) == want
+    assert spliced(spark, old, new, new) == want
+    assert spliced(spark, new, old) == want  # the older price comes late
+
+
+def test_a_closed_price_splits_an_open_one_and_swallows_what_it_covers(spark):
+    base = [("1", "2024-01-01", None)]
+    assert spliced(spark, base, [("5", "2024-02-01", "2024-02-14")]) == [
+        ("1", "2024-01-01", "2024-01-31", False), ("5", "2024-02-01", "2024-02-14", False), ("1", "2024-02-15", None, True)]
+    many = [("1", "2024-01-01", "2024-01-10"), ("2", "2024-01-20", "2024-01-25"), ("3", "2024-02-01", None)]
+    assert spliced(spark, many, [("9", "2024-01-05", "2024-02-03")]) == [
+        ("1", "2024-01-01", "2024-01-04", False), ("9", "2024-01-05", "2024-02-03", False), ("3", "2024-02-04", None, True)]
+    assert spliced(spark, base, [("7", "2024-01-10", "2024-01-12"), ("8", "2024-01-20", "2024-01-20")]) == [
+        ("1", "2024-01-01", "2024-01-09", False), ("7", "2024-01-10", "2024-01-12", False), ("1", "2024-01-13", "2024-01-19", False),
+        ("8", "2024-01-20", "2024-01-20", False), ("1", "2024-01-21", None, True)]
+
+
+def test_stored_history_prices_a_day_once(spark, lake):
+    from tallyflow.plans import dimension_load
+
+    load = "product_id string, plan_id string, unit string, unit_price decimal(18,10), currency string, effective_from date, effective_to date, ingest_ts timestamp_ntz"
+    first = [(p, "pro", "u", Decimal(1), c, day("2024-01-01"), None, ts("2024-01-01")) for p, c in (("p", "USD"), ("q", "EUR"), ("r", "USD"))]
+    second = [("p", "pro", "u", Decimal(2), "EUR", day("2024-02-01"), None, ts("2024-02-01"))]
+    for items in (first, second, second):
+        dimension_load.load_rate_history(lake, table(spark, items, load))
+    got = lake.read(lk.RATE_DIM).where("DATE'2024-03-10' BETWEEN effective_from AND coalesce(effective_to, DATE'9999-12-31')")
+    assert sorted((r.product_id, int(r.unit_price), r.currency) for r in got.collect()) == [("p", 2, "EUR"), ("q", 1, "EUR"), ("r", 1, "USD")]
+    assert lake.read(lk.RATE_DIM).count() == 4
