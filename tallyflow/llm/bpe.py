@@ -13,12 +13,15 @@ import struct
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyflow.llm.common import in_slices, list_array
+
 #: Pieces of at most this length are remembered by a task, at most CACHE_ENTRIES of them.
-CACHED_LENGTH, CACHE_ENTRIES = 64, 200_000
+CACHED_LENGTH, CACHE_ENTRIES = 64, 100_000
 #: sentencepiece looks at inputs as a whole; longer pre-tokens would still be exact, but only this many are sent at once.
 ENCODE_AT_ONCE = 20_000
 
@@ -139,17 +142,18 @@ def tokenise(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(*shipped.value, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in in_slices(whole, 1)):
             columns: dict[str, list] = {o: [] for o in wanted}
             for text in batch.column(1):
                 ids, joined = codec.encode(text.as_py() or "")
                 decoded = codec.decode(ids) if decoding else b""
                 for name in wanted:
                     columns[name].append(
-                        len(ids) if name == "n_tokens" else ids if name == "ids" else decoded if name == "decoded"
+                        len(ids) if name == "n_tokens" else np.array(ids, np.int32) if name == "ids" else decoded if name == "decoded"
                         else hashlib.sha256(joined.encode() if name == "ids_sha256" else decoded).hexdigest()
                     )
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(columns[o], _ARROW[o]) for o in wanted)], names=[id_col, *wanted])
+            made = (list_array(columns[o], pa.int32()) if o == "ids" else pa.array(columns[o], _ARROW[o]) for o in wanted)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=[id_col, *wanted])
 
     return docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, schema)
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +69,18 @@ def list_side(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, all other characters as they are."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def in_slices(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows whose ``column`` of text or bytes has about ``most`` bytes, so that what is made of them
+    stays small; a longer text is a run of its own."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1).tolist(), len(sizes)]
+    return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
+def list_array(rows: Sequence[np.ndarray], kind: pa.DataType) -> pa.Array:
+    """Arrays as one Arrow list column, without an object per value."""
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]).astype(np.int32)
+    values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
