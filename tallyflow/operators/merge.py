@@ -13,6 +13,7 @@ from ..schemas import USAGE_CLEAN
 from ..sources import lake as lk
 from ..session import stage
 from .dedupe import dedupe_events
+from .event_index import build_index, groups_holding
 
 TOUCH = "touch"  # matched: load stamp, batch and hash move, the first payload stays
 TOUCH_CHANGED = "touch_changed"  # as touch, but only where the payload hash differs
@@ -67,23 +68,38 @@ def merge_events(
     return joined.select(*[pick(name) for name in columns], action.alias("action"))
 
 
+def days_that_may_hold(lake: lk.Lake, ids: DataFrame) -> list[dt_.date]:
+    """Days of the clean table that may hold one of the event ids, by the stored filters; a day without one counts as such."""
+    index = lake.read(lk.EVENT_INDEX)
+    unindexed = set(lake.values(lk.USAGE_CLEAN)) - set(lake.values(lk.EVENT_INDEX))
+    # One row per calendar day.
+    held = [r.event_date for r in groups_holding(index, ids, "event_date").collect()]
+    return sorted({*held, *(dt_.date.fromisoformat(d) for d in unindexed if d[:1].isdigit())})
+
+
 def merge_into_clean(lake: lk.Lake, incoming: DataFrame, on_match: str = TOUCH_CHANGED) -> tuple[DataFrame, list[dt_.date]]:
     """Merge into the stored clean table, rewriting only touched days.
 
-    Returns the rows written (with ``action``) and the days they cover. Event ids are unique
-    over all days, so the lookup scans the id and day columns of the whole table; only days that
-    hold a matched or a new event are read in full and rewritten.
+    Returns the rows written (with ``action``) and the days they cover. Event ids are unique over all days. Filters
+    stored per day name the days that may hold one of the incoming ids; only of those days ids are read, and only days
+    that do hold a matched or a new event are read in full and rewritten.
+
+    The filters of a day are written before its rows and cover what it held before as well, so a run that stops in
+    between leaves filters that name too much, never too little.
     """
     target = lake.read(lk.USAGE_CLEAN)
     source = stage(dedupe_events(incoming), "incoming")
-    matched_days = target.select("event_id", "event_date").join(source.select("event_id"), "event_id", "left_semi")
+    maybe = target.where(F.col("event_date").isin(days_that_may_hold(lake, source)))
+    matched_days = maybe.select("event_id", "event_date").join(source.select("event_id"), "event_id", "left_semi")
     days = matched_days.select("event_date").union(source.select("event_date")).distinct()
     # One row per calendar day touched.
     touched = sorted(r.event_date for r in days.collect())
-    merged = stage(
-        merge_events(target.where(F.col("event_date").isin(touched)), source, on_match, incoming_is_unique=True),
-        "merged",
-    )
+    before = target.where(F.col("event_date").isin(touched))
+    merged = stage(merge_events(before, source, on_match, incoming_is_unique=True), "merged")
+    held = merged.select("event_date", "event_id")
+    if on_match == REPLACE:
+        held = held.union(before.select("event_date", "event_id")).distinct()
+    lake.replace(lk.EVENT_INDEX, build_index(held, "event_date"))
     if on_match == REPLACE:
         # A replaced event may move to another day, so a day it leaves can end up empty.
         lake.replace_days(lk.USAGE_CLEAN, merged.drop("action"), touched)

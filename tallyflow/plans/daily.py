@@ -81,10 +81,11 @@ def _bill(
     lake.replace_days(lk.USAGE_DAILY, daily, days)
 
     rebuilt = lake.read(lk.USAGE_DAILY).where(F.col("event_date").isin(days))
-    # Only ids that this run wrote can be new duplicates.
-    written = merged.where(F.col("action") != "keep").select("event_id").distinct()
+    # Only ids that this run wrote can be new duplicates, and only on days whose filters name them.
+    written = stage(merged.where(F.col("action") != "keep").select("event_id").distinct(), "written")
+    holding = clean.where(F.col("event_date").isin(merge.days_that_may_hold(lake, written)))
     checks = quality.all_checks(
-        quality.duplicate_events(clean.join(written, "event_id", "left_semi")), quality.negative_quantity(clean.where(F.col("event_date").isin(days)))
+        quality.duplicate_events(holding.join(written, "event_id", "left_semi")), quality.negative_quantity(clean.where(F.col("event_date").isin(days)))
     )
     quality.enforce(checks)
     costs = pricing.daily_cost(rebuilt, customers, rates, match_plan=match_plan).select(

@@ -733,9 +733,9 @@ FROM (SELECT o_orderkey, cast(cast(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS
 
 _oracle("m1_stream_ingest", f"SELECT {AS_OF} AS ingest_ts, 'API' AS source, dt, event_id FROM v_landed")
 _oracle("m2_stream_dedup", "SELECT event_id, event_ts, customer_id, product_id, quantity FROM v_unique")
-_oracle("m3_compacted", "SELECT * FROM v_daily")
+_oracle("m3_compacted", "SELECT * FROM v_daily_unique")
 _oracle("m4_stream_rejects", "SELECT error_reason, count(*) AS rejected FROM v_defects WHERE error_reason IS NOT NULL GROUP BY 1")
-_oracle("m3_stream_daily_usage", "SELECT * FROM v_daily")
+_oracle("m3_stream_daily_usage", "SELECT * FROM v_daily_unique")
 _oracle("m4_stream_upsert", f"""
 SELECT event_id, event_ts, event_date, customer_id, product_id, plan_id, region, unit, quantity, 'API' AS source, {AS_OF} AS load_ts,
   'run_1' AS batch_id FROM v_unique""")

@@ -39,6 +39,7 @@ USAGE_CLEAN = _schema(
     ("plan_id", S), ("region", S), ("unit", S), ("quantity", QUANTITY), ("source", S),
     ("load_ts", TS), ("batch_id", S), ("raw_hash", S),
 )
+EVENT_INDEX = _schema(("event_date", D), ("blocks", L), ("block", L), ("bits", T.BinaryType()))
 QUARANTINE = _schema(
     ("ingest_ts", TS), ("dt", D), ("source", S), ("error_reason", S), ("raw", S), ("batch_id", S),
 )

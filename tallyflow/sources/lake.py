@@ -27,6 +27,7 @@ USAGE_RAW = Table("bronze/usage_events_raw", schemas.USAGE_RAW, ("batch_id", "dt
 CUSTOMERS_RAW = Table("bronze/customers_raw", schemas.SNAPSHOT_RAW, ("batch_id",))
 PRICING_RAW = Table("bronze/pricing_catalog_raw", schemas.SNAPSHOT_RAW, ("batch_id",))
 USAGE_CLEAN = Table("silver/usage_events_clean", schemas.USAGE_CLEAN, ("event_date",))
+EVENT_INDEX = Table("silver/usage_event_index", schemas.EVENT_INDEX, ("event_date",))
 QUARANTINE = Table("silver/usage_events_quarantine", schemas.QUARANTINE, ("batch_id",))
 USAGE_DAILY = Table("silver/usage_daily_agg", schemas.USAGE_DAILY, ("event_date",))
 DAILY_COST = Table("gold/fact_customer_daily_usage", schemas.DAILY_COST, ("date_id",))
@@ -59,6 +60,18 @@ class Lake:
                 return no_rows(self.spark, table.schema)
             raise
 
+    def values(self, table: Table) -> list[str]:
+        """Stored values of the first partition column as text, from the folder names alone."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path(table))
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(path) if status.isDirectory()]
+        unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        start = f"{table.partitions[0]}="
+        return sorted(unescape(name[len(start):]) for name in names if name.startswith(start))
+
     def replace(self, table: Table, rows: DataFrame) -> None:
         """Overwrite exactly the partitions ``rows`` touches; a rerun gives the same table.
 

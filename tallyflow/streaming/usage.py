@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt_
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.literals import ntz
 from ..functions.money import total_quantity
 from ..operators import merge, parse
+from ..operators.event_index import build_index, groups_holding
 from ..plans import late_arrivals
 from ..schemas import PRODUCTS
 from ..session import cleaned, stage
@@ -75,45 +77,109 @@ def _log(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.option("basePath", target).parquet(f"{target}/epoch=*")
 
 
-def daily_parts(parsed: DataFrame) -> DataFrame:
-    """Daily usage of the rows at hand, per day, customer, product and unit; parts of a day add up."""
-    return parsed.groupBy(*DAY_KEYS).agg(
-        total_quantity("quantity").alias("total_quantity"), F.count(F.lit(1)).alias("event_count"), F.max("event_ts").alias("last_event_ts")
+def _changes(source: DataFrame, known: DataFrame | None) -> DataFrame:
+    """What new deliveries change: the newest delivery of an event comes with ``sign`` 1, the one it replaces with -1.
+
+    ``moved`` marks a replaced delivery that counted for another day, customer, product or unit. A delivery that is
+    no newer than the known one changes nothing.
+    """
+    columns = [*DAY_KEYS, "event_id", "event_ts", "raw_hash", "quantity"]
+    s = source.select(F.col("event_id").alias("s_id"), F.struct(*columns).alias("s"))
+    if known is None:
+        pairs = s.withColumn("k", F.lit(None).cast(s.schema["s"].dataType))
+    else:
+        pairs = s.join(known.select(F.col("event_id").alias("k_id"), F.struct(*columns).alias("k")), F.col("s_id") == F.col("k_id"), "left")
+    newer = F.col("k").isNull() | (F.struct("s.event_ts", "s.raw_hash") > F.struct("k.event_ts", "k.raw_hash"))
+    stays = F.struct(*[f"s.{c}" for c in DAY_KEYS]).eqNullSafe(F.struct(*[f"k.{c}" for c in DAY_KEYS]))
+    both = F.array(
+        F.struct(F.col("s").alias("e"), F.lit(1).alias("sign"), F.lit(False).alias("moved")),
+        F.struct(F.col("k").alias("e"), F.lit(-1).alias("sign"), (~stays).alias("moved")),
     )
+    return pairs.where(newer).select(F.inline(both)).where("e IS NOT NULL").select("e.*", "sign", "moved")
 
 
-def drain_daily(parsed: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Write each micro-batch's part of daily usage under its epoch.
+def daily_parts(changes: DataFrame) -> DataFrame:
+    """What changes add to daily usage, per day, customer, product and unit; parts of a day add up."""
+    return changes.groupBy(*DAY_KEYS).agg(
+        total_quantity(F.when(F.col("sign") > 0, F.col("quantity")).otherwise(-F.col("quantity"))).alias("total_quantity"), F.sum("sign").cast("bigint").alias("event_count"),
+        F.max(F.when(F.col("sign") > 0, F.col("event_ts"))).alias("last_event_ts"), F.bool_or("moved").alias("moved"),
+    )
+
+
+def _known(spark: SparkSession, target: str, epoch: int, ids: DataFrame) -> DataFrame | None:
+    """The newest stored delivery of each of ``ids`` from the epochs before this one; None in the first epoch.
+
+    The filters of the epochs name the few that may hold an id, so the others are not read.
+    """
+    try:
+        index = _log(spark, f"{target}/index").where(F.col("epoch") < epoch)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    holding = [r.epoch for r in groups_holding(index, ids, "epoch").collect()]  # one row per micro-batch
+    stored = _log(spark, f"{target}/events").where(F.col("epoch").isin(holding))
+    return merge.dedupe_events(stored.join(ids.select("event_id"), "event_id", "left_semi"))
+
 
-    Parts add up, so an event counts in whatever batch it comes, late or not, and no state is held. An epoch that
-    is replayed overwrites its own folder. The log belongs to one checkpoint; ``compact_daily`` shortens it.
+def drain_daily(parsed: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Daily usage where each event counts once, by its newest delivery, however late and often it is delivered.
+
+    A micro-batch looks its events up among those of earlier epochs and writes, under its own epoch, the deliveries that
+    are new, filters over their ids, and signed parts of daily usage: plus the new delivery, minus the one it replaces.
+    Parts add up, no state is held in memory and nothing is dropped by age. An epoch that is replayed sees the same
+    earlier epochs and overwrites its own folders with the same rows. Rows without an event id are left out: nothing
+    tells their deliveries apart, and ``parse.accepted`` has none. The log belongs to one checkpoint; ``compact_daily``
+    shortens it.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        daily_parts(batch).write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+        spark = batch.sparkSession
+        with cleaned(spark):
+            source = stage(merge.dedupe_events(batch.where("event_id IS NOT NULL")), "stream-events")
+            changes = stage(_changes(source, _known(spark, target, epoch, source)), "stream-changes")
+            new = changes.where("sign > 0").drop("sign", "moved")
+            _write_epoch(target, epoch, new, daily_parts(changes))
 
     return parsed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
 
-def _added_up(parts: DataFrame) -> DataFrame:
-    return parts.groupBy(*DAY_KEYS).agg(
-        total_quantity("total_quantity").alias("total_quantity"), F.sum("event_count").alias("event_count"), F.max("last_event_ts").alias("last_event_ts")
-    )
+def _write_epoch(target: str, epoch: int, events: DataFrame, parts: DataFrame) -> None:
+    index = build_index(events.select("event_id", F.lit(epoch).alias("of")), "of").drop("of")
+    for name, rows in (("index", index), ("events", events), ("parts", parts)):
+        rows.write.mode("overwrite").parquet(f"{target}/{name}/epoch={epoch}")
 
 
 def current_daily(spark: SparkSession, target: str) -> DataFrame:
-    """Daily usage over all micro-batches."""
-    return _added_up(_log(spark, target))
+    """Daily usage over all micro-batches.
+
+    The newest time of a day that lost an event to another one is taken from the stored events of that day again.
+    """
+    added = _log(spark, f"{target}/parts").groupBy(*DAY_KEYS).agg(
+        total_quantity("total_quantity").alias("total_quantity"), F.sum("event_count").alias("event_count"),
+        F.max("last_event_ts").alias("last_event_ts"), F.bool_or("moved").alias("moved"),
+    ).where("event_count > 0")
+    lost = added.where("moved").select(*DAY_KEYS)
+    if lost.isEmpty():
+        return added.drop("moved")
+    same = F.expr(" AND ".join(f"a.{k} <=> b.{k}" for k in DAY_KEYS))
+    events = merge.dedupe_events(_log(spark, f"{target}/events").drop("epoch")).alias("a").join(lost.alias("b"), same, "left_semi")
+    times = events.groupBy(*DAY_KEYS).agg(F.max("event_ts").alias("newest"))
+    return added.alias("a").join(times.alias("b"), same, "left").select(
+        *[f"a.{k}" for k in DAY_KEYS], "total_quantity", "event_count",
+        F.when(F.col("moved"), F.col("newest")).otherwise(F.col("last_event_ts")).alias("last_event_ts"),
+    )
 
 
 def compact_daily(spark: SparkSession, target: str, compacted: str) -> DataFrame:
-    """The log as one folder at a new place, while no stream writes to it; readers then take the new place.
+    """The log as one epoch at a new place, while no stream writes to it; readers and the stream then take the new place.
 
     The newest epoch number is kept as the folder's name, so that a stream that goes on at the new place adds later
     epochs. The old log stays until it is removed by hand.
     """
-    log = _log(spark, target)
-    newest = log.agg(F.max("epoch")).first()[0]
-    _added_up(log).write.mode("overwrite").parquet(f"{compacted}/epoch={newest}")
+    newest = _log(spark, f"{target}/parts").agg(F.max("epoch")).first()[0]
+    with cleaned(spark):
+        events = stage(merge.dedupe_events(_log(spark, f"{target}/events").drop("epoch")), "compacting")
+        _write_epoch(compacted, newest, events, current_daily(spark, target).withColumn("moved", F.lit(False)))
     return current_daily(spark, compacted)
 
 
