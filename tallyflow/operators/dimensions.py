@@ -44,13 +44,14 @@ def apply_snapshot(
     """One snapshot (one row per customer) onto the history: changed versions close, new ones open.
 
     Customers absent from the snapshot keep their current version; applying the same snapshot
-    again changes nothing.
+    again changes nothing. A customer whose current version starts later than ``as_of`` is left as it is:
+    ``splice_snapshot`` puts older snapshots in.
     """
     now = ntz(as_of)
     incoming = snapshot.select("customer_id", *attributes, surrogate_key(*attributes).alias("record_hash"))
     columns = dim.columns
-    current = dim.where("is_current").select("customer_id", F.col("record_hash").alias("known_hash"))
-    compared = incoming.join(current, "customer_id", "left")
+    current = dim.where("is_current").select("customer_id", F.col("record_hash").alias("known_hash"), F.col("effective_start").alias("_since"))
+    compared = incoming.join(current, "customer_id", "left").where(F.col("_since").isNull() | (F.col("_since") <= now)).drop("_since")
     opened = compared.where(~F.col("known_hash").eqNullSafe(F.col("record_hash")))
     closing = opened.where(F.col("known_hash").isNotNull()).select("customer_id", F.lit(True).alias("_closes"))
     closes = F.col("is_current") & F.coalesce("_closes", F.lit(False))
@@ -67,6 +68,21 @@ def apply_snapshot(
     return kept.unionByName(added.select(*columns))
 
 
+def splice_snapshot(
+    dim: DataFrame, seen: DataFrame, touched: DataFrame, attributes: Sequence[str] = CUSTOMER_ATTRIBUTES
+) -> DataFrame:
+    """The history with the versions of ``touched`` customers (one row each) made anew from all that was ever seen of them.
+
+    ``seen`` holds the rows of all snapshots with their ``ingest_ts``, in whatever order they were loaded, so the result
+    is that of ``customer_history`` over all snapshots; only rows of touched customers are worked on. Rows without a
+    customer id have no version.
+    """
+    ids = touched.select("customer_id").where("customer_id IS NOT NULL")
+    logged = seen.join(ids, "customer_id", "left_semi").select("customer_id", *attributes, "ingest_ts")
+    made = customer_history(logged, attributes)
+    return dim.join(ids, "customer_id", "left_anti").select(*dim.columns).unionByName(made.select(*dim.columns))
+
+
 def append_rates(rates: DataFrame) -> DataFrame:
     """Rate dimension rows straight from the catalog, all marked current, keyed by content.
 

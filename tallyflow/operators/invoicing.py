@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt_
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,10 @@ from ..schemas import AMOUNT, PRICE
 from .usage import monthly_customer_cost, monthly_product_cost, weighted_price
 
 
+#: Customers that owe a base fee: all but cancelled ones.
+BILLED_STATUSES = ("active", "delinquent")
+
+
 def previous_month(run_date: dt_.date) -> tuple[dt_.date, dt_.date]:
     """First and last day of the calendar month before ``run_date``."""
     last = run_date.replace(day=1) - dt_.timedelta(days=1)
@@ -64,6 +69,37 @@ def with_fees(headers: DataFrame, fees: DataFrame, tax_rate: str = "0") -> DataF
     return added.withColumn("total", (F.col("subtotal") + F.col("tax")).cast(AMOUNT)).select(*headers.columns)
 
 
+def billable_periods(
+    customers: DataFrame, first: dt_.date | str, last: dt_.date | str, statuses: Sequence[str] = BILLED_STATUSES
+) -> DataFrame:
+    """One row per customer and calendar month from ``first`` to ``last`` that owes a base fee, used or not.
+
+    A month is billed by the version that holds when it ends: ``plan_id`` is that version's, a customer that is
+    cancelled by then or comes later owes none. ``customers`` are versions with half-open intervals; without
+    ``effective_end`` a version holds from its start on.
+    """
+    months = F.sequence(F.trunc(date(first), "MONTH"), date(last), F.make_ym_interval(months=F.lit(1)))
+    ends = F.col("effective_end") if "effective_end" in customers.columns else F.lit(None).cast("timestamp_ntz")
+    monthly = customers.select(
+        "customer_sk", "customer_id", "plan_id", "status", "effective_start", ends.alias("effective_end"),
+        F.explode(months).alias("billing_period_start"),
+    ).withColumn("billing_period_end", F.last_day("billing_period_start"))
+    over = F.date_add("billing_period_end", 1).cast("timestamp_ntz")
+    holds = (F.col("effective_start") < over) & (F.col("effective_end").isNull() | (F.col("effective_end") >= over))
+    return monthly.where(holds & F.col("status").isin(*statuses)).select(
+        "customer_sk", "customer_id", "plan_id", "billing_period_start", "billing_period_end"
+    )
+
+
+def headers_without_usage(billable: DataFrame, headers: DataFrame, plans: DataFrame, *, issued_ts: dt_.datetime | str) -> DataFrame:
+    """Invoices over nothing for customers and months that owe a fee and have no invoice; in the plan's currency."""
+    bare = billable.join(headers.select("customer_sk", "billing_period_start"), ["customer_sk", "billing_period_start"], "left_anti")
+    priced = bare.join(plans.select("plan_id", "currency"), "plan_id").select(
+        "customer_sk", F.lit(0).cast(AMOUNT).alias("subtotal"), "currency", "billing_period_start", "billing_period_end"
+    )
+    return _header(priced, issued_ts, F.lit(0), F.lit(0))
+
+
 def recent_month_headers(
     costs: DataFrame, today: dt_.date | str, *, issued_ts: dt_.datetime | str, months: int = 2, tax_rate: str = "0.08"
 ) -> DataFrame:

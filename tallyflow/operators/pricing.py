@@ -83,7 +83,20 @@ def base_fee_lines(
 ) -> DataFrame:
     """One base-fee line per invoice, from the current plan of the invoiced customer."""
     plan_of = customers.where("is_current").select("customer_sk", "plan_id")
-    priced = headers.join(plan_of, "customer_sk").join(plans.select("plan_id", "base_fee"), "plan_id")
+    return _fee_lines(headers.join(plan_of, "customer_sk").join(plans.select("plan_id", "base_fee"), "plan_id"), calc_batch_id)
+
+
+def period_fee_lines(headers: DataFrame, billable: DataFrame, plans: DataFrame, *, calc_batch_id: str) -> DataFrame:
+    """One base-fee line per customer and month of ``billable`` (``invoicing.billable_periods``), by the plan of that month.
+
+    Each of these has an invoice in ``headers``. An invoice of a customer that owes no fee gets no line.
+    """
+    plan_of = billable.select("customer_sk", "billing_period_start", "plan_id")
+    owed = headers.join(plan_of, ["customer_sk", "billing_period_start"]).join(plans.select("plan_id", "base_fee"), "plan_id")
+    return _fee_lines(owed, calc_batch_id)
+
+
+def _fee_lines(priced: DataFrame, calc_batch_id: str) -> DataFrame:
     return priced.select(
         "invoice_id", surrogate_key("invoice_id", "'base_fee'").alias("line_item_id"),
         F.lit("base_fee").alias("line_type"), F.lit(None).cast("string").alias("product_id"),

@@ -49,6 +49,11 @@ def pricing_coverage(daily: DataFrame, rates: DataFrame, customers: DataFrame |
     return _count("unpriced_usage", unpriced_usage(daily, rates, customers))
 
 
+def unknown_plans(billable: DataFrame, plans: DataFrame) -> DataFrame:
+    """Customers and months that owe the fee of a plan nobody priced (or of none)."""
+    return _count("unknown_plan", billable.join(plans.select("plan_id"), "plan_id", "left_anti"))
+
+
 def header_mismatches(headers: DataFrame, lines: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
     """Invoices whose subtotal differs from the sum of their lines; lines are summed first."""
     sums = lines.groupBy("invoice_id").agg(total_amount("amount").alias("line_total"))

@@ -275,6 +275,15 @@ def c6_stored_history(spark, d):
     return lake.read(lk.CUSTOMER_DIM).drop("customer_sk")
 
 
+@query
+def c6_any_order(spark, d):
+    """Snapshots in the wrong order, one of them twice: the history is that of all snapshots."""
+    lake = _new_lake(spark)
+    for number in (2, 0, 1, 0):
+        dimension_load.load_customer_history(lake, sample.snapshot_at(spark, d, number), sample.SNAPSHOT_TIMES[number])
+    return lake.read(lk.CUSTOMER_DIM).drop("customer_sk")
+
+
 @query
 def c7_second_load(spark, d):
     """The same catalog twice: the second load adds nothing."""
@@ -449,6 +458,28 @@ def e7_base_fee_lines(spark, d):
     )
 
 
+@query
+def e7_fees_by_month(spark, d):
+    """What every customer owes for three months, by the version that holds at the end of each."""
+    owed = invoicing.billable_periods(dimensions.customer_history(sample.snapshots(spark, d)), "2023-12-01", "2024-02-29")
+    return owed.join(sample.plans(spark), "plan_id").select("customer_id", "billing_period_start", "billing_period_end", "plan_id", "base_fee")
+
+
+@query
+def e7_close_all_customers(spark, d):
+    """A stored close where customers without usage are billed their fee as well."""
+    lake = _new_lake(spark)
+    lake.replace(lk.DAILY_COST, sample.costs(spark, d).select("*", ntz(AS_OF).alias("load_ts"), F.lit("run").alias("batch_id")))
+    month_end.close_period(
+        lake, sample.rates(spark), dt_.date(2024, 1, 1), dt_.date(2024, 1, 31), run_id="close", issued_ts=sample.ISSUED,
+        customers=sample.customers(spark, d), plans=sample.plans(spark), bill_all=True,
+    )
+    fees = lake.read(lk.LINE_ITEMS).groupBy("invoice_id").agg(
+        total_amount("amount").alias("line_total"), F.count_if(F.col("line_type") == "base_fee").alias("fee_lines")
+    )
+    return lake.read(lk.INVOICES).join(fees, "invoice_id", "left").select("invoice_id", "customer_sk", "subtotal", "total", "currency", "line_total", "fee_lines")
+
+
 # ---- invoicing
 
 

@@ -18,6 +18,27 @@ def load_customers(lake: lk.Lake, snapshot: DataFrame, as_of: dt_.datetime | str
     lake.overwrite(lk.CUSTOMER_DIM, dimensions.apply_snapshot(lake.read(lk.CUSTOMER_DIM), snapshot, as_of))
 
 
+def load_customer_history(lake: lk.Lake, snapshot: DataFrame, as_of: dt_.datetime | str) -> None:
+    """One snapshot into the stored history, whatever snapshots were loaded before it; a snapshot loaded again is replaced.
+
+    All snapshots are logged. Versions are made anew for the customers of this one and for those that an earlier load of
+    the same snapshot named. Customers with versions but without a row in the log are logged by the starts of their
+    versions first, so a history from before the log goes on.
+    """
+    name = str(as_of)
+    columns = [f for f in lk.CUSTOMERS_SEEN.schema.fieldNames() if f not in ("ingest_ts", "snapshot")]
+    rows = stage(snapshot.select(*columns).where("customer_id IS NOT NULL").select("*", ntz(as_of).alias("ingest_ts"), F.lit(name).alias("snapshot")), "snapshot")
+    seen, dim = lake.read(lk.CUSTOMERS_SEEN), lake.read(lk.CUSTOMER_DIM)
+    touched = stage(rows.select("customer_id").union(seen.where(F.col("snapshot") == name).select("customer_id")).distinct(), "touched")
+    lost = dim.join(touched, "customer_id", "left_semi").join(seen.select("customer_id"), "customer_id", "left_anti")
+    old = lost.select(*columns, F.col("effective_start").alias("ingest_ts"), F.lit("before the log").alias("snapshot"))
+    old = stage(old, "unlogged")
+    if not old.isEmpty():
+        lake.replace(lk.CUSTOMERS_SEEN, stage(seen.where("snapshot = 'before the log'").unionByName(old), "old-log"))
+    lake.replace_values(lk.CUSTOMERS_SEEN, rows, [name])
+    lake.overwrite(lk.CUSTOMER_DIM, dimensions.splice_snapshot(dim, lake.read(lk.CUSTOMERS_SEEN), touched))
+
+
 def load_rates(lake: lk.Lake, rates: DataFrame) -> DataFrame:
     """Append the rates that are not stored yet, known by their content; returns what was added."""
     return lake.append_new(lk.RATE_DIM, dimensions.append_rates(rates).dropDuplicates(["rate_sk"]), ["rate_sk"])
@@ -47,7 +68,7 @@ def load_all(
     first_day: dt_.date, last_day: dt_.date,
 ) -> None:
     """All dimensions of one load. Products and plans are replaced, dates span the given days."""
-    load_customers(lake, stage(snapshot, "snapshot"), as_of)
+    load_customer_history(lake, snapshot, as_of)
     load_rate_history(lake, rates if "ingest_ts" in rates.columns else rates.withColumn("ingest_ts", ntz(as_of)))
     lake.overwrite(lk.PRODUCT_DIM, products)
     lake.overwrite(lk.PLAN_DIM, plans)

@@ -287,6 +287,7 @@ _HISTORY = "SELECT *, effective_end IS NULL AS is_current FROM v_history"
 _oracle("c6_customer_history", _HISTORY)
 _oracle("c6_apply_snapshot", _HISTORY)
 _oracle("c6_stored_history", _HISTORY)
+_oracle("c6_any_order", _HISTORY)
 _oracle("c7_append_rates", """
 SELECT cast(NULL AS VARCHAR) AS rate_id, product_id, plan_id, unit, cast(price AS DECIMAL(18,10)) AS unit_price, currency,
   effective_from, effective_to, true AS is_current FROM v_catalog""")
@@ -407,6 +408,19 @@ SELECT invoice_id, {_key("invoice_id", "'base_fee'")} AS line_item_id, 'base_fee
   cast(base_fee AS DECIMAL(38,10)) AS amount, cast(NULL AS BIGINT) AS rate_sk, billing_period_start AS usage_window_start,
   billing_period_end AS usage_window_end, 'close' AS calc_batch_id, billing_period_start
 FROM v_invoices i JOIN v_customers c ON c.customer_sk = i.customer_sk JOIN v_plans p ON p.plan_id = c.plan_id""")
+_oracle("e7_fees_by_month", """
+SELECT customer_id, m AS billing_period_start, last_day(m) AS billing_period_end, h.plan_id, base_fee
+FROM v_history h, (VALUES (DATE '2023-12-01'), (DATE '2024-01-01'), (DATE '2024-02-01')) AS months(m), v_plans p
+WHERE p.plan_id = h.plan_id AND h.status <> 'cancelled' AND effective_start < m + INTERVAL 1 MONTH
+  AND (effective_end IS NULL OR effective_end >= m + INTERVAL 1 MONTH)""")
+_oracle("e7_close_all_customers", f"""
+SELECT coalesce(i.invoice_id, {_key("c.customer_sk", "DATE '2024-01-01'")}) AS invoice_id, c.customer_sk, t AS subtotal, t AS total, 'USD' AS currency,
+  t AS line_total, CASE WHEN c.status = 'cancelled' THEN 0 ELSE 1 END AS fee_lines
+FROM (
+  SELECT c.*, cast(coalesce(i.subtotal, 0) + CASE WHEN c.status = 'cancelled' THEN 0 ELSE p.base_fee END AS DECIMAL(38,10)) AS t
+  FROM v_customers c JOIN v_plans p ON p.plan_id = c.plan_id LEFT JOIN v_invoices i ON i.customer_sk = c.customer_sk
+) c LEFT JOIN v_invoices i ON i.customer_sk = c.customer_sk
+WHERE i.invoice_id IS NOT NULL OR c.status <> 'cancelled'""")
 
 # ---- invoicing
 

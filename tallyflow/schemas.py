@@ -48,6 +48,9 @@ USAGE_DAILY = _schema(
     ("total_quantity", TOTAL_QUANTITY), ("event_count", L), ("last_event_ts", TS),
     ("load_ts", TS), ("batch_id", S),
 )
+CUSTOMERS_SEEN = _schema(
+    ("customer_id", S), ("customer_name", S), ("status", S), ("country", S), ("plan_id", S), ("ingest_ts", TS), ("snapshot", S),
+)
 CUSTOMER_DIM = _schema(
     ("customer_sk", L), ("customer_id", S), ("customer_name", S), ("status", S), ("country", S),
     ("plan_id", S), ("effective_start", TS), ("effective_end", TS), ("is_current", B), ("record_hash", S),
