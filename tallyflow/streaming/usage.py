@@ -136,7 +136,8 @@ def drain_daily(parsed: DataFrame, target: str, checkpoint: str) -> StreamingQue
         spark = batch.sparkSession
         with cleaned(spark):
             source = stage(merge.dedupe_events(batch.where("event_id IS NOT NULL")), "stream-events")
-            changes = stage(_changes(source, _known(spark, target, epoch, source)), "stream-changes")
+            changed = _changes(source, _known(spark, target, epoch, source)).withColumn("of", F.lit(epoch))
+            changes = stage(changed, "stream-changes")
             new = changes.where("sign > 0").drop("sign", "moved")
             _write_epoch(target, epoch, new, daily_parts(changes))
 
@@ -144,8 +145,9 @@ def drain_daily(parsed: DataFrame, target: str, checkpoint: str) -> StreamingQue
 
 
 def _write_epoch(target: str, epoch: int, events: DataFrame, parts: DataFrame) -> None:
-    index = build_index(events.select("event_id", F.lit(epoch).alias("of")), "of").drop("of")
-    for name, rows in (("index", index), ("events", events), ("parts", parts)):
+    """``events`` carry the epoch as a stored column ``of``: a constant would turn the join on it into a nested loop."""
+    index = build_index(events, "of").drop("of")
+    for name, rows in (("index", index), ("events", events.drop("of")), ("parts", parts)):
         rows.write.mode("overwrite").parquet(f"{target}/{name}/epoch={epoch}")
 
 
@@ -178,7 +180,8 @@ def compact_daily(spark: SparkSession, target: str, compacted: str) -> DataFrame
     """
     newest = _log(spark, f"{target}/parts").agg(F.max("epoch")).first()[0]
     with cleaned(spark):
-        events = stage(merge.dedupe_events(_log(spark, f"{target}/events").drop("epoch")), "compacting")
+        unique = merge.dedupe_events(_log(spark, f"{target}/events").drop("epoch"))
+        events = stage(unique.withColumn("of", F.lit(newest)), "compacting")
         _write_epoch(compacted, newest, events, current_daily(spark, target).withColumn("moved", F.lit(False)))
     return current_daily(spark, compacted)
 

@@ -41,6 +41,18 @@ def test_empty_null_and_repeated_ids(spark):
     assert rows(event_index.groups_holding(index, table(spark, [("",)], "event_id string"), "g")) == [(2,)]
 
 
+def test_no_nested_loop_join(spark, tmp_path):
+    held = ids(spark, 0, 10, F.lit(1))
+    held.write.parquet(str(tmp_path / "held"))
+    index = event_index.build_index(spark.read.parquet(str(tmp_path / "held")), "g")
+    index.write.parquet(str(tmp_path / "index"))
+    found = event_index.groups_holding(spark.read.parquet(str(tmp_path / "index")), ids(spark, 0, 10), "g")
+    for df in (index, found):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert rows(found) == [(1,)]
+
+
 SIXTY = [str(day("2024-01-01") + dt.timedelta(days=n)) for n in range(60)]
 
 
