@@ -107,3 +107,16 @@ def test_close_of_all_customers_refuses_what_it_cannot_bill(spark, lake):
     with pytest.raises(ValueError):
         month_end.close_period(lake, prices, day("2024-01-01"), day("2024-01-15"), run_id="c", issued_ts=ts("2024-02-01"),
                                customers=versions(spark, *PEOPLE), plans=plans, bill_all=True)
+
+
+def test_a_whole_dimension_load_can_be_repeated(spark, lake):
+    price = table(spark, [("p", "pro", "u", Decimal(1), "USD", day("2024-01-01"), None)],
+                  "product_id string, plan_id string, unit string, unit_price decimal(18,10), currency string, effective_from date, effective_to date")
+    products = table(spark, [(None,) * len(schemas.PRODUCT_DIM)], schemas.PRODUCT_DIM)
+    plans = table(spark, [(None,) * len(schemas.PLAN_DIM)], schemas.PLAN_DIM)
+    for _ in range(2):
+        dimension_load.load_all(
+            lake, snapshot=snapshot(spark, "2024-01-01"), rates=price, products=products, plans=plans, as_of=ts("2024-01-01"),
+            first_day=day("2024-01-01"), last_day=day("2024-01-03"))
+        counted = [lake.read(t).count() for t in (lk.CUSTOMER_DIM, lk.RATE_DIM, lk.PRODUCT_DIM, lk.PLAN_DIM, lk.DATE_DIM)]
+        assert counted == [2, 1, 1, 1, 3]
