@@ -46,26 +46,51 @@ AROUND = rf"\A[^=]*=+(?=[^=]{{{LEAST},}}=*\z)|=+\z"
 E_BINS = 512
 
 
+def running_sum(values: Column) -> Column:
+    """Inclusive running sums of an array of integers by adding at doubling distances: n values take n log n steps."""
+    rounds = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)).cast("double"))).cast("int")
+
+    def step(held: Column, k: Column) -> Column:
+        bound = F.struct(held.alias("held"), F.pow(F.lit(2.0), k).cast("int").alias("back"))
+        return let(bound, lambda t: F.transform(t["held"], lambda x, i: x + F.coalesce(F.get(t["held"], i - t["back"]), F.lit(0))))
+
+    return F.aggregate(F.sequence(F.lit(0), rounds), values, step)
+
+
 def found(text: Column, pattern: str) -> Column:
     """(start, end, match) of all leftmost non-overlapping matches of at least one character, in code points.
 
-    The pieces between matches and the matches themselves alternate; their lengths add up to the positions.
+    The pieces between matches and the matches themselves alternate; running sums of their lengths give the positions.
     """
     empty = F.expr("cast(array() as array<struct<start:int,end:int,match:string>>)")
 
     def placed(p: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), empty.alias("all"))
-
-        def step(a: Column, x: Column) -> Column:
-            begin = a["at"] + F.char_length(x["piece"])
-            end = begin + F.char_length(x["match"])
-            return F.struct(end.alias("at"), F.concat(a["all"], F.array(F.struct(begin.alias("start"), end.alias("end"), x["match"].alias("match")))).alias("all"))
-
-        return F.aggregate(p, start, step, lambda a: a["all"])
+        ends = running_sum(F.transform(p, lambda x: F.char_length(x["piece"]) + F.char_length(x["match"])))
+        return F.zip_with(p, ends, lambda x, end: F.struct((end - F.char_length(x["match"])).alias("start"), end.alias("end"), x["match"].alias("match")))
 
     pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.filter(F.zip_with(pieces, matches, lambda p, m: F.struct(p.alias("piece"), m.alias("match"))), lambda x: x["match"].isNotNull())
-    return F.when(text.rlike(pattern), placed(pairs)).otherwise(empty)
+    return F.when(text.rlike(pattern), let(pairs, placed)).otherwise(empty)
+
+
+def overlaps(spans: Column, base: Column) -> Column:
+    """For each of ``spans``, which are in order and apart, whether a ``base`` span shares a character with it.
+
+    That is so when more base spans start before its end than end by its start. Both counts are running sums over
+    the sorted positions of either side.
+    """
+
+    def before(of_base: str, of_span: str, ties: bool) -> Column:
+        place = lambda side, name, mark, rank: F.transform(side, lambda x: F.struct(x[name].alias("at"), F.lit(rank).alias("rank"), F.lit(mark).alias("base")))
+        both = F.sort_array(F.concat(place(base, of_base, 1, 0 if ties else 2), place(spans, of_span, 0, 1)))
+
+        def counted(events: Column) -> Column:
+            sums = running_sum(F.transform(events, lambda x: x["base"]))
+            return F.filter(F.zip_with(events, sums, lambda x, n: F.when(x["base"] == 0, n)), lambda n: n.isNotNull())
+
+        return let(both, counted)
+
+    return F.zip_with(before("start", "end", False), before("end", "start", True), lambda opened, closed: opened > closed)
 
 
 def base_spans(text: Column) -> Column:
@@ -132,12 +157,21 @@ def _tests(v: Column, k: int, bound: float) -> Column:
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """(start, end, odds) of strings apart from ``base`` spans that are likelier random than text and pass the tests."""
-    free = F.filter(found(text, CANDIDATE), lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    rated = F.transform(free, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), let(body(x["match"]), log2_odds).alias("odds"), body(x["match"]).alias("match")))
-    likely = F.filter(rated, lambda x: (x["odds"] > 0) & passes_battery(x["match"]))
-    number = F.size(free)
-    return F.struct(number.alias("tested"), F.transform(likely, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["odds"].alias("odds"))).alias("likely"))
+    """How many strings lie apart from ``base`` spans, and (start, end, odds) of those likelier random than text that pass the tests."""
+
+    def rated(x: Column) -> Column:
+        return let(body(x["match"]), lambda t: F.struct(x["start"].alias("start"), x["end"].alias("end"), log2_odds(t).alias("odds"), t.alias("match")))
+
+    def judged(spans: Column) -> Column:
+        free = F.filter(F.zip_with(spans, overlaps(spans, base), lambda x, met: F.when(~met, x)), lambda x: x.isNotNull())
+        return let(free, chosen)
+
+    def chosen(free: Column) -> Column:
+        likely = F.filter(F.transform(free, rated), lambda x: (x["odds"] > 0) & passes_battery(x["match"]))
+        kept = F.transform(likely, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["odds"].alias("odds")))
+        return F.struct(F.size(free).alias("tested"), kept.alias("likely"))
+
+    return let(found(text, CANDIDATE), judged)
 
 
 def discovery_bound(scanned: DataFrame, false_share: float) -> float:

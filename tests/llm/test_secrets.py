@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,37 @@ def test_battery_statistics(spark):
     assert row.above and not row.below
 
 
+@pytest.mark.parametrize("size", [0, 1, 2, 3, 7, 8, 9, 1000])
+def test_running_sums(spark, size):
+    values = [random.Random(size).randrange(10) for _ in range(size)]
+    got = spark.createDataFrame([(values,)], "v array<int>").select(secrets.running_sum(F.col("v")).alias("s")).first().s
+    assert got == [sum(values[:i + 1]) for i in range(size)]
+
+
+def test_overlaps_with_spans_that_touch_nest_or_are_apart(spark):
+    pick = random.Random(5)
+    rows = []
+    for n in range(60):
+        cuts = sorted(pick.sample(range(40), 2 * pick.randrange(6)))
+        spans = list(zip(cuts[::2], cuts[1::2]))
+        base = sorted((a, 0, a + pick.randrange(1, 15)) for a in (pick.randrange(40) for _ in range(pick.randrange(6))))
+        rows.append((n, spans, base))
+    kinds = "n int, spans array<struct<start:int,end:int>>, base array<struct<start:int,kind:int,end:int>>"
+    got = spark.createDataFrame(rows, kinds).select("n", secrets.overlaps(F.col("spans"), F.col("base")).alias("met")).collect()
+    for r in got:
+        _, spans, base = rows[r.n]
+        assert r.met == [any(b < end and start < e for b, _, e in base) for start, end in spans]
+
+
+def test_a_text_of_very_many_matches(spark):
+    hexes = random_strings(16_000, "0123456789abcdef", 40, 9)
+    text = " ".join(f"token={h}" if i % 3 == 0 else h for i, h in enumerate(hexes))
+    began = time.monotonic()
+    row = secrets.scan(documents(spark, [(1, text)])).first()
+    assert [tuple(s) for s in row.base_spans] == brute(text)
+    assert time.monotonic() - began < 60
+
+
 def test_no_rows(spark):
     assert secrets.scan(documents(spark, [])).count() == 0
 
