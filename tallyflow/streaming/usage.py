@@ -25,6 +25,8 @@ from ..sources import files
 from ..sources import lake as lk
 
 DAY_KEYS = ("event_date", "customer_id", "product_id", "unit")
+DELIVERY = ("event_id", "event_ts", "raw_hash")  # tells the deliveries of an event apart
+DAILY_COLUMNS = (*DAY_KEYS, *DELIVERY, "quantity")
 
 
 def raw_stream(
@@ -57,33 +59,71 @@ def drain_raw(raw: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
 
 
 def drain_unique(parsed: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Keep the newest delivery of each event, however late the others come.
-
-    Each micro-batch stores its own newest deliveries under its epoch, a replayed epoch overwrites its folder, and
-    ``current_unique`` picks the newest over all epochs by the rule of the batch operator. Nothing is dropped by
-    age and no state grows in memory. The log belongs to one checkpoint.
-    """
+    """Keep the newest delivery of each event, however late the others come; see ``add_unique``."""
     def write(batch: DataFrame, epoch: int) -> None:
-        merge.dedupe_events(batch).write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+        add_unique(batch, epoch, target)
 
     return parsed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
 
+def add_unique(batch: DataFrame, epoch: int, target: str) -> None:
+    """One micro-batch into the log of unique events.
+
+    Its events are looked up in earlier epochs, of which the filters name the few that may hold one. Deliveries that are
+    new or newer are stored under the epoch, and so is the identity of each delivery that they replace. A repeated or older
+    delivery stores nothing, so the log holds little more than one row per event; nothing is dropped by age and no state
+    grows in memory. A replayed epoch sees the same earlier epochs and overwrites its own folders with the same rows. The
+    deliveries are written last, and what they replace counts only with them. Rows without an event id are left out:
+    nothing tells their deliveries apart. The log belongs to one checkpoint; ``compact_unique`` shortens it.
+    """
+    spark = batch.sparkSession
+    with cleaned(spark):
+        source = stage(merge.dedupe_events(batch.where("event_id IS NOT NULL")), "stream-events")
+        changed = _changes(source, _known(spark, target, epoch, source), source.columns).withColumn("of", F.lit(epoch))
+        changes = stage(changed, "stream-changes")
+        _write_unique(target, epoch, changes.where("sign > 0").drop("sign", "moved"), changes.where("sign < 0"))
+
+
+def _write_unique(target: str, epoch: int, events: DataFrame, replaced: DataFrame) -> None:
+    index = build_index(events, "of").drop("of")
+    for name, rows in (("index", index), ("replaced", replaced.select(*DELIVERY)), ("events", events.drop("of"))):
+        rows.write.mode("overwrite").parquet(f"{target}/{name}/epoch={epoch}")
+
+
 def current_unique(spark: SparkSession, target: str) -> DataFrame:
-    return merge.dedupe_events(_log(spark, target).drop("epoch"))
+    """The newest delivery of each event: the log without the deliveries that a later epoch replaced.
+
+    Only those, few beside the events, are matched; the events are not grouped again.
+    """
+    events = _log(spark, f"{target}/events")
+    # One row per micro-batch: epochs whose deliveries are there.
+    whole = [r.epoch for r in events.select("epoch").distinct().collect()]
+    replaced = _log(spark, f"{target}/replaced").where(F.col("epoch").isin(whole)).select(*DELIVERY).distinct()
+    same = (F.col("a.event_id") == F.col("b.event_id")) & F.expr("a.event_ts <=> b.event_ts AND a.raw_hash <=> b.raw_hash")
+    return events.drop("epoch").alias("a").join(replaced.alias("b"), same, "left_anti")
+
+
+def compact_unique(spark: SparkSession, target: str, compacted: str) -> DataFrame:
+    """The log of unique events as one epoch at a new place, by the rules of ``compact_daily``."""
+    newest = _log(spark, f"{target}/events").agg(F.max("epoch")).first()[0]
+    if newest is None:
+        return current_unique(spark, target)
+    with cleaned(spark):
+        events = stage(current_unique(spark, target).withColumn("of", F.lit(newest)), "compacting")
+        _write_unique(compacted, newest, events, events.where("false"))
+    return current_unique(spark, compacted)
 
 
 def _log(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.option("basePath", target).parquet(f"{target}/epoch=*")
 
 
-def _changes(source: DataFrame, known: DataFrame | None) -> DataFrame:
+def _changes(source: DataFrame, known: DataFrame | None, columns: Sequence[str] = DAILY_COLUMNS) -> DataFrame:
     """What new deliveries change: the newest delivery of an event comes with ``sign`` 1, the one it replaces with -1.
 
     ``moved`` marks a replaced delivery that counted for another day, customer, product or unit. A delivery that is
     no newer than the known one changes nothing.
     """
-    columns = [*DAY_KEYS, "event_id", "event_ts", "raw_hash", "quantity"]
     s = source.select(F.col("event_id").alias("s_id"), F.struct(*columns).alias("s"))
     if known is None:
         pairs = s.withColumn("k", F.lit(None).cast(s.schema["s"].dataType))
