@@ -62,6 +62,28 @@ def current_customers(customers: DataFrame) -> DataFrame:
     return customers.where("is_current").agg(F.countDistinct("customer_id").alias("total_customers"))
 
 
+def customer_bitmaps(rows: DataFrame, keys: Sequence[str], number: str = "customer_sk") -> DataFrame:
+    """Exact sets of customers per ``keys`` as bitmaps of 32,768 dense numbers each: ``keys``, ``bucket``, ``bits``.
+
+    Dense numbers fill their bitmaps, and sets of one bucket add up by ``rolled_up`` without the rows. Numbers start at
+    1; rows without one do not count.
+    """
+    counted = rows.where(F.col(number).isNotNull())
+    return counted.groupBy(*keys, F.bitmap_bucket_number(number).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
+    )
+
+
+def rolled_up(bitmaps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bitmaps of coarser ``keys``, from those of finer ones."""
+    return bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def bitmap_counts(bitmaps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct customers per ``keys``; the bitmaps are those of these keys."""
+    return bitmaps.groupBy(*keys).agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).cast("bigint").alias("customers"))
+
+
 def positive_groups(costs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Groups whose summed cost is above zero."""
     return costs.groupBy(*keys).agg(total_amount("cost_amount").alias("cost_amount")).where("cost_amount > 0")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.literals import ntz
+from ..functions.joins import keyed_join
 from ..functions.keys import surrogate_key
 from ..functions.money import total_amount
 from ..operators import (
@@ -329,6 +330,17 @@ def c9_surrogate_keys(spark, d):
     )
 
 
+@query
+def c9_dense_keys(spark, d):
+    """Keys for customers with orders first, then for all; a third load of both adds none."""
+    lake = _new_lake(spark)
+    buyers = sample.table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("customer_id"))
+    everyone = sample.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"))
+    for name, ids in (("buyers", buyers), ("everyone", everyone), ("both", everyone.union(buyers))):
+        dimension_load.assign_customer_keys(lake, ids, name)
+    return lake.read(lk.CUSTOMER_KEYS)
+
+
 @query
 def c10_date_dimension(spark, d):
     return dimensions.date_dimension_of(sample.order_lines(spark, d), "l_shipdate")
@@ -377,6 +389,23 @@ def d6_current_customers(spark, d):
     return usage.current_customers(sample.customers(spark, d))
 
 
+@query
+def d6_distinct_customers_rolled_up(spark, d):
+    """Distinct customers with usage per day; months and the whole are rolled up from the days' bitmaps."""
+    lake, events = _new_lake(spark), sample.events(spark, d)
+    dimension_load.assign_customer_keys(lake, events.select("customer_id"), "all")
+    keyed = keyed_join(events, lake.read(lk.CUSTOMER_KEYS).select("customer_id", "customer_sk"), ["customer_id"])
+    days = stage(usage.customer_bitmaps(keyed, ["event_date"]), "day-bitmaps")
+    months = stage(usage.rolled_up(days.withColumn("month", F.trunc("event_date", "MONTH")), ["month"]), "month-bitmaps")
+    every = usage.rolled_up(months, [])
+    none = F.lit(None).cast("date")
+    return (
+        usage.bitmap_counts(days, ["event_date"]).select(F.lit("day").alias("period"), F.col("event_date").alias("start"), "customers")
+        .union(usage.bitmap_counts(months, ["month"]).select(F.lit("month"), "month", "customers"))
+        .union(usage.bitmap_counts(every, []).select(F.lit("all"), none, "customers"))
+    )
+
+
 @query
 def d7_having_positive_cost(spark, d):
     return usage.positive_groups(sample.costs(spark, d), ["customer_sk"])
@@ -1034,6 +1063,16 @@ def m2_stream_dedup(spark, d):
     return streams.current_unique(spark, target).select("event_id", "event_ts", "customer_id", "product_id", "quantity")
 
 
+@query
+def m2_compacted(spark, d):
+    """The log of unique events as one epoch."""
+    target, checkpoint = scratch_path(spark, "dedup"), scratch_path(spark, "checkpoint")
+    parsed = parse.parse_usage(_stream(spark, _land_usage(spark, d), "run_1"))
+    streams.drain_unique(parsed, target, checkpoint).awaitTermination()
+    compacted = streams.compact_unique(spark, target, scratch_path(spark, "compacted"))
+    return compacted.select("event_id", "event_ts", "customer_id", "product_id", "quantity")
+
+
 @query
 def m3_stream_daily_usage(spark, d):
     target, checkpoint = scratch_path(spark, "daily"), scratch_path(spark, "checkpoint")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.literals import ntz
-from ..operators import dimensions
+from ..operators import dimensions, numbering
 from ..session import stage
 from ..sources import lake as lk
 
@@ -39,6 +39,16 @@ def load_customer_history(lake: lk.Lake, snapshot: DataFrame, as_of: dt_.datetim
     lake.overwrite(lk.CUSTOMER_DIM, dimensions.splice_snapshot(dim, lake.read(lk.CUSTOMERS_SEEN), touched))
 
 
+def assign_customer_keys(lake: lk.Lake, customers: DataFrame, load: str) -> None:
+    """Dense keys for the customers that have none yet, stored under the name of the load that brought them.
+
+    Run again, the load adds nothing. One load at a time: two at once would give out the same numbers.
+    """
+    known = lake.read(lk.CUSTOMER_KEYS)
+    fresh = numbering.new_numbers(known, customers, "customer_id", "customer_sk").withColumn("load", F.lit(load))
+    lake.append_new(lk.CUSTOMER_KEYS, fresh, ["customer_id"])
+
+
 def load_rates(lake: lk.Lake, rates: DataFrame) -> DataFrame:
     """Append the rates that are not stored yet, known by their content; returns what was added."""
     return lake.append_new(lk.RATE_DIM, dimensions.append_rates(rates).dropDuplicates(["rate_sk"]), ["rate_sk"])

@@ -341,6 +341,11 @@ _oracle("c8_stored_prices", "SELECT * EXCLUDE (rate_sk) FROM v_costs_split")
 _oracle("c9_surrogate_keys", f"""
 SELECT rate_id, {_key("product_id", "plan_id", "unit", "effective_to")} AS rate_key,
   {_key("product_id", "plan_id", "unit", "effective_from")} AS version_key FROM v_catalog""")
+_oracle("c9_dense_keys", """
+WITH buyers AS (SELECT DISTINCT cast(o_custkey AS VARCHAR) AS customer_id FROM orders),
+  others AS (SELECT DISTINCT cast(c_custkey AS VARCHAR) AS customer_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders))
+SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS customer_sk, 'buyers' AS load FROM buyers
+UNION ALL SELECT customer_id, (SELECT count(*) FROM buyers) + row_number() OVER (ORDER BY customer_id), 'everyone' FROM others""")
 _oracle("c10_date_dimension", """
 SELECT d AS date_id, cast(year(d) AS INTEGER) AS year, cast(month(d) AS INTEGER) AS month, cast(day(d) AS INTEGER) AS day,
   cast(quarter(d) AS INTEGER) AS quarter, cast(isodow(d) AS INTEGER) AS day_of_week, isodow(d) >= 6 AS is_weekend
@@ -371,6 +376,11 @@ _oracle("d4_monthly_order_cost", _by_month("v_order_costs"))
 _oracle("d5_monthly_product_cost", _by_product("v_costs"))
 _oracle("d5_monthly_order_products", _by_product("v_order_costs"))
 _oracle("d6_current_customers", "SELECT count(DISTINCT customer_id) AS total_customers FROM v_customers WHERE is_current")
+_oracle("d6_distinct_customers_rolled_up", """
+WITH used AS (SELECT DISTINCT cast(ts AS DATE) AS event_date, user_id FROM events)
+SELECT 'day' AS period, event_date AS start, count(DISTINCT user_id) AS customers FROM used GROUP BY ALL
+UNION ALL SELECT 'month', cast(date_trunc('month', event_date) AS DATE), count(DISTINCT user_id) FROM used GROUP BY ALL
+UNION ALL SELECT 'all', NULL, count(DISTINCT user_id) FROM used""")
 _oracle("d7_having_positive_cost", f"SELECT customer_sk, {_sum_amount('cost_amount')} AS cost_amount FROM v_costs GROUP BY 1 HAVING sum(cost_amount) > 0")
 _oracle("d7_having_repeated_key", "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 _AVG_PRICE = "cast(avg(cast(r.unit_price AS DOUBLE)) + 1e-15 AS DECIMAL(18,10))"
@@ -747,6 +757,7 @@ FROM (SELECT o_orderkey, cast(cast(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS
 
 _oracle("m1_stream_ingest", f"SELECT {AS_OF} AS ingest_ts, 'API' AS source, dt, event_id FROM v_landed")
 _oracle("m2_stream_dedup", "SELECT event_id, event_ts, customer_id, product_id, quantity FROM v_unique")
+_oracle("m2_compacted", "SELECT event_id, event_ts, customer_id, product_id, quantity FROM v_unique")
 _oracle("m3_compacted", "SELECT * FROM v_daily_unique")
 _oracle("m4_stream_rejects", "SELECT error_reason, count(*) AS rejected FROM v_defects WHERE error_reason IS NOT NULL GROUP BY 1")
 _oracle("m3_stream_daily_usage", "SELECT * FROM v_daily_unique")

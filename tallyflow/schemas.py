@@ -51,6 +51,7 @@ USAGE_DAILY = _schema(
 CUSTOMERS_SEEN = _schema(
     ("customer_id", S), ("customer_name", S), ("status", S), ("country", S), ("plan_id", S), ("ingest_ts", TS), ("snapshot", S),
 )
+CUSTOMER_KEYS = _schema(("customer_id", S), ("customer_sk", L), ("load", S))
 CUSTOMER_DIM = _schema(
     ("customer_sk", L), ("customer_id", S), ("customer_name", S), ("status", S), ("country", S),
     ("plan_id", S), ("effective_start", TS), ("effective_end", TS), ("is_current", B), ("record_hash", S),

@@ -34,6 +34,7 @@ DAILY_COST = Table("gold/fact_customer_daily_usage", schemas.DAILY_COST, ("date_
 INVOICES = Table("gold/fact_invoices", schemas.INVOICES, ("billing_period_start",))
 LINE_ITEMS = Table("gold/fact_invoice_line_items", schemas.LINE_ITEMS, ("billing_period_start", "line_type"))
 CUSTOMERS_SEEN = Table("silver/customers_seen", schemas.CUSTOMERS_SEEN, ("snapshot",))
+CUSTOMER_KEYS = Table("gold/customer_keys", schemas.CUSTOMER_KEYS, ("load",))
 CUSTOMER_DIM = Table("gold/dim_customer", schemas.CUSTOMER_DIM, ())
 RATE_DIM = Table("gold/dim_rate", schemas.RATE_DIM, ("currency",))
 PRODUCT_DIM = Table("gold/dim_product", schemas.PRODUCT_DIM, ())
