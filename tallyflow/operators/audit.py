@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt_
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,3 +68,17 @@ def after_checkpoint(raw: DataFrame, checkpoints: DataFrame, job: str) -> DataFr
     """Raw rows ingested after the job's checkpoint; all rows where there is none."""
     last = checkpoints.where(F.col("job") == job).agg(F.max("last_ingest_ts")).scalar()
     return raw.where(last.isNull() | (F.col("ingest_ts") > last))
+
+
+def fingerprints(rows: DataFrame, part: str, columns: Sequence[str]) -> DataFrame:
+    """(part, fingerprint) per value of ``part``: the number of its rows and the exclusive-or of their hashes.
+
+    It does not depend on order, so a part that is rebuilt with the same rows keeps its fingerprint.
+    """
+    text = F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.hex(F.bit_xor(F.xxhash64(*columns))))
+    return rows.groupBy(part).agg(text.alias("fingerprint"))
+
+
+def unseen(parts: DataFrame, seen: DataFrame, job: str) -> DataFrame:
+    """Those of ``parts`` (part, fingerprint) that the job has not read as they are now."""
+    return parts.join(seen.where(F.col("job") == job), ["part", "fingerprint"], "left_anti")

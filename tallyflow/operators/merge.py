@@ -12,6 +12,7 @@ from ..functions.literals import ntz
 from ..schemas import USAGE_CLEAN
 from ..sources import lake as lk
 from ..session import stage
+from .audit import fingerprints
 from .dedupe import dedupe_events
 from .event_index import build_index, groups_holding
 
@@ -105,6 +106,8 @@ def merge_into_clean(lake: lk.Lake, incoming: DataFrame, on_match: str = TOUCH_C
         lake.replace_days(lk.USAGE_CLEAN, merged.drop("action"), touched)
     else:
         lake.replace(lk.USAGE_CLEAN, merged.drop("action"))
+    # After the rows: a run that stops before this is repaired when it is run again, as every day it touches gets its state.
+    lake.replace_days(lk.DAY_STATE, fingerprints(merged, "event_date", USAGE_CLEAN.fieldNames()), touched)
     return merged, touched
 
 

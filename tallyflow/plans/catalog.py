@@ -22,7 +22,7 @@ from ..sources import files, sample
 from ..sources import lake as lk
 from ..streaming import usage as streams
 from . import daily as daily_job
-from . import dimension_load, month_end
+from . import dimension_load, late_arrivals, month_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -607,6 +607,20 @@ def g1_late_events(spark, d):
     return _late(spark, d)[0].drop("customer_sk", "billing_period_start")
 
 
+@query
+def g1_late_since_last(spark, d):
+    """Events in time first, then all; the job runs after each load and reads changed days only."""
+    lake = _new_lake(spark)
+    in_time, customers, rates = sample.on_time_events(spark, d), sample.customers(spark, d), sample.rates(spark)
+    bills = sample.billing(spark, d, source=in_time)
+    lake.replace(lk.INVOICES, bills.headers.select("*", ntz(sample.ISSUED).alias("load_ts"), F.lit("close").alias("batch_id")))
+    lake.replace(lk.LINE_ITEMS, bills.lines.withColumn("load_ts", ntz(sample.ISSUED)))
+    for source in (in_time, sample.events(spark, d)):
+        merge.merge_into_clean(lake, source)
+        late_arrivals.reconcile_late(lake, customers, rates, run_id="late", as_of=AS_OF, since_last=True)
+    return lake.read(lk.INVOICES).drop("load_ts", "batch_id")
+
+
 @query
 def g2_late_priced_asrun(spark, d):
     late, bills, customers = _late(spark, d, match_plan=False)

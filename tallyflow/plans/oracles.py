@@ -545,6 +545,7 @@ SELECT i.* REPLACE (cast(subtotal + coalesce(extra, 0) AS DECIMAL(38,10)) AS sub
 FROM v_invoices_in_time i LEFT JOIN (SELECT invoice_id, sum(adjustment_amount) AS extra FROM v_candidates GROUP BY 1) a
   ON a.invoice_id = i.invoice_id"""
 _oracle("g4_adjusted_headers", _ADJUSTED)
+_oracle("g1_late_since_last", _ADJUSTED)
 _oracle("g5_price_differences", f"""
 SELECT * FROM (
   SELECT coalesce(w.invoice_id, b.invoice_id) AS invoice_id, coalesce(w.product_id, b.product_id) AS product_id,

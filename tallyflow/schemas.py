@@ -40,6 +40,8 @@ USAGE_CLEAN = _schema(
     ("load_ts", TS), ("batch_id", S), ("raw_hash", S),
 )
 EVENT_INDEX = _schema(("event_date", D), ("blocks", L), ("block", L), ("bits", T.BinaryType()))
+DAY_STATE = _schema(("event_date", D), ("fingerprint", S))
+SEEN = _schema(("job", S), ("part", S), ("fingerprint", S))
 QUARANTINE = _schema(
     ("ingest_ts", TS), ("dt", D), ("source", S), ("error_reason", S), ("raw", S), ("batch_id", S),
 )

@@ -28,6 +28,7 @@ CUSTOMERS_RAW = Table("bronze/customers_raw", schemas.SNAPSHOT_RAW, ("batch_id",
 PRICING_RAW = Table("bronze/pricing_catalog_raw", schemas.SNAPSHOT_RAW, ("batch_id",))
 USAGE_CLEAN = Table("silver/usage_events_clean", schemas.USAGE_CLEAN, ("event_date",))
 EVENT_INDEX = Table("silver/usage_event_index", schemas.EVENT_INDEX, ("event_date",))
+DAY_STATE = Table("silver/usage_day_state", schemas.DAY_STATE, ("event_date",))
 QUARANTINE = Table("silver/usage_events_quarantine", schemas.QUARANTINE, ("batch_id",))
 USAGE_DAILY = Table("silver/usage_daily_agg", schemas.USAGE_DAILY, ("event_date",))
 DAILY_COST = Table("gold/fact_customer_daily_usage", schemas.DAILY_COST, ("date_id",))
@@ -42,6 +43,7 @@ PLAN_DIM = Table("gold/dim_plan", schemas.PLAN_DIM, ())
 DATE_DIM = Table("gold/dim_date", schemas.DATE_DIM, ())
 BILLING_AUDIT = Table("gold/billing_audit", schemas.BILLING_AUDIT, ("billing_period_start",))
 RUN_AUDIT = Table("ops/pipeline_run_audit", schemas.RUN_AUDIT, ("job",))
+SEEN = Table("ops/parts_seen", schemas.SEEN, ("job",))
 CHECKPOINTS = Table("ops/pipeline_checkpoints", schemas.CHECKPOINTS, ("job",))
 
 
