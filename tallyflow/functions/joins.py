@@ -75,6 +75,32 @@ def skew_join(
     return keyed_join(salted_left, salted_right, [*on, "_salt"], within, how).drop("_salt")
 
 
+def as_of_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], at: str, since: str, spread_on: Sequence[str], salts: int = SALTS
+) -> DataFrame:
+    """Each left row with the newest right row of its keys whose ``since`` is not after the row's ``at``; none: it drops out.
+
+    Both sides are ordered together by time, and the last right row is carried forward: one shuffle, no range residual,
+    no count of keys, and the left side is computed once. Rows of a key are spread over ``salts`` windows, each
+    with all right rows of the key (a dimension), so a key with a third of the left rows is no single task; a window
+    holds one right row in memory. Of right rows with equal keys and ``since`` one wins by its values. Null keys and
+    null times match nothing.
+    """
+    kept = [c for c in right.columns if c not in on]
+    spread = f"cast(pmod(xxhash64({', '.join(spread_on)}), {salts}) AS INT) AS _salt"
+    rows = left.selectExpr(*on, spread, f"`{at}` AS _time", "1 AS _kind", f"struct({', '.join(f'`{c}`' for c in left.columns)}) AS _row")
+    versions = right.selectExpr(
+        *on, f"explode(sequence(0, {salts - 1})) AS _salt", f"`{since}` AS _time", "0 AS _kind", f"struct({', '.join(f'`{c}`' for c in kept)}) AS _version"
+    )
+    known = F.lit(True)
+    for key in on:
+        known = known & F.col(key).isNotNull()
+    both = rows.unionByName(versions, allowMissingColumns=True).where(known & F.col("_time").isNotNull())
+    order = Window.partitionBy(*on, "_salt").orderBy("_time", "_kind", "_version")
+    carried = both.withColumn("_version", F.last("_version", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return carried.where("_kind = 1 AND _version IS NOT NULL").select("_row.*", *[f"_version.`{c}`" for c in kept])
+
+
 def with_details(heads: DataFrame, details: DataFrame, key: str, spread_on: Sequence[str]) -> DataFrame:
     """Each head with its detail rows, heads without details kept; one head may own most of the details.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt_
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.literals import ntz, one_row
@@ -41,10 +41,29 @@ def backfill_rows(days: DataFrame, *, job: str, created_ts: dt_.datetime | str,
 
 def merge_counters(merged: DataFrame) -> DataFrame:
     """Inserted and updated rows of a merge, one row."""
-    return merged.agg(
+    return merged.agg(*_counters())
+
+
+def _counters() -> list[Column]:
+    return [
         F.count_if(F.col("action") == "insert").alias("rows_inserted"),
         F.count_if(F.col("action") == "update").alias("rows_updated"),
-    )
+    ]
+
+
+def watched_merge(merged: DataFrame, name: str = "merge") -> tuple[DataFrame, Observation]:
+    """A merge with its counters, which are there once the rows have been written: no second pass over them.
+
+    The counters sit above the join of the merge, in the stage that writes, where each task counts once.
+    """
+    observation = Observation(name)
+    return merged.observe(observation, *_counters()), observation
+
+
+def observed_counters(spark: SparkSession, observation: Observation) -> DataFrame:
+    """The counters of a written merge, one row. A merge without rows has counted none."""
+    seen = observation.get
+    return spark.range(1).select(*[F.lit(seen.get(n) or 0).cast("bigint").alias(n) for n in ("rows_inserted", "rows_updated")])
 
 
 def checkpoint_row(parsed: DataFrame, *, job: str, updated_ts: dt_.datetime | str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.keys import numeric_key
@@ -12,7 +12,7 @@ from ..functions.literals import ntz
 from ..schemas import USAGE_CLEAN
 from ..sources import lake as lk
 from ..session import stage
-from .audit import fingerprints
+from .audit import fingerprints, watched_merge
 from .dedupe import dedupe_events
 from .event_index import build_index, groups_holding
 
@@ -79,9 +79,16 @@ def days_that_may_hold(lake: lk.Lake, ids: DataFrame) -> list[dt_.date]:
 
 
 def merge_into_clean(lake: lk.Lake, incoming: DataFrame, on_match: str = TOUCH_CHANGED) -> tuple[DataFrame, list[dt_.date]]:
+    """``counted_merge`` without its counters."""
+    return counted_merge(lake, incoming, on_match)[:2]
+
+
+def counted_merge(
+    lake: lk.Lake, incoming: DataFrame, on_match: str = TOUCH_CHANGED
+) -> tuple[DataFrame, list[dt_.date], Observation]:
     """Merge into the stored clean table, rewriting only touched days.
 
-    Returns the rows written (with ``action``) and the days they cover. Event ids are unique over all days. Filters
+    Returns the rows written (with ``action``), the days they cover, and the counters taken while they were written. Event ids are unique over all days. Filters
     stored per day name the days that may hold one of the incoming ids; only of those days ids are read, and only days
     that do hold a matched or a new event are read in full and rewritten.
 
@@ -96,7 +103,8 @@ def merge_into_clean(lake: lk.Lake, incoming: DataFrame, on_match: str = TOUCH_C
     # One row per calendar day touched.
     touched = sorted(r.event_date for r in days.collect())
     before = target.where(F.col("event_date").isin(touched))
-    merged = stage(merge_events(before, source, on_match, incoming_is_unique=True), "merged")
+    watched, counters = watched_merge(merge_events(before, source, on_match, incoming_is_unique=True))
+    merged = stage(watched, "merged")
     held = merged.select("event_date", "event_id")
     if on_match == REPLACE:
         held = held.union(before.select("event_date", "event_id")).distinct()
@@ -108,7 +116,7 @@ def merge_into_clean(lake: lk.Lake, incoming: DataFrame, on_match: str = TOUCH_C
         lake.replace(lk.USAGE_CLEAN, merged.drop("action"))
     # After the rows: a run that stops before this is repaired when it is run again, as every day it touches gets its state.
     lake.replace_days(lk.DAY_STATE, fingerprints(merged, "event_date", USAGE_CLEAN.fieldNames()), touched)
-    return merged, touched
+    return merged, touched, counters
 
 
 def upsert_customers(dim: DataFrame, incoming: DataFrame, as_of: str | dt_.datetime) -> DataFrame:

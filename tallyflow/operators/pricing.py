@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import keyed_join, salted_join, skew_join
+from ..functions.joins import as_of_join, keyed_join, salted_join
 from ..functions.keys import surrogate_key
 from ..functions.literals import date
 from ..functions.money import amount_of
@@ -68,14 +68,12 @@ def daily_cost_model(daily: DataFrame, customers: DataFrame, latest_rates: DataF
 def customer_at(usage: DataFrame, history: DataFrame, *, at: str, spread_on: tuple[str, ...] = ("event_date", "product_id")) -> DataFrame:
     """Usage with the customer version valid at ``at`` (half-open intervals, open versions never end).
 
-    Usage meets the versions of its customer with the interval as residual; a customer with a large share of the
-    usage is spread by ``spread_on``.
+    The versions of a customer do not overlap, so the newest one that has started is the only one that can hold. A
+    customer with a large share of the usage is spread by ``spread_on``.
     """
     versions = history.select("customer_id", "customer_sk", "plan_id", "status", "effective_start", "effective_end")
-    valid = (F.col("r.effective_start") <= F.col(f"l.{at}")) & (
-        F.col("r.effective_end").isNull() | (F.col(f"l.{at}") < F.col("r.effective_end"))
-    )
-    return skew_join(usage, versions, ["customer_id"], spread_on, valid)
+    found = as_of_join(usage, versions, ["customer_id"], at, "effective_start", spread_on)
+    return found.where(F.col("effective_end").isNull() | (F.col(at) < F.col("effective_end")))
 
 
 def base_fee_lines(

@@ -788,6 +788,14 @@ def i2_merge_counters(spark, d):
     return audit.merge_counters(merge.merge_events(*_merge_sides(spark, d), merge.TOUCH_CHANGED))
 
 
+@query
+def i2_observed_counters(spark, d):
+    """The counters come with the one write of the merged rows."""
+    watched, counters = audit.watched_merge(merge.merge_events(*_merge_sides(spark, d), merge.TOUCH_CHANGED))
+    stage(watched, "merged")
+    return audit.observed_counters(spark, counters)
+
+
 @query
 def i3_checkpoint(spark, d):
     return audit.checkpoint_row(parse.parse_usage(_raw(spark, d)), job=daily_job.JOB, updated_ts=AS_OF)

@@ -53,7 +53,7 @@ def bill(
     except Exception as error:
         failed = audit.run_row(
             lake.spark, run_id=run_id, job=JOB, execution_date=as_of.date(), created_ts=as_of, status="FAILED",
-            duration_seconds=time.monotonic() - began, error_message=f"{type(error).__name__}: {error}"[:1000],
+            duration_seconds=time.monotonic() - began, error_message=f"{type(error).__name__}: {error}",
         )
         known = lake.read(lk.RUN_AUDIT).where((F.col("job") == JOB) & ((F.col("run_id") != run_id) | (F.col("task") != "ALL")))
         lake.replace_values(lk.RUN_AUDIT, known.unionByName(failed), [JOB])
@@ -71,7 +71,7 @@ def _bill(
     classified = stage(checked, "classified")
     lake.replace_values(lk.QUARANTINE, parse.quarantined(classified), _batches(classified))
     incoming = merge.as_clean(parse.accepted(classified))
-    merged, days = merge.merge_into_clean(lake, incoming, on_match)
+    merged, days, observed = merge.counted_merge(lake, incoming, on_match)
 
     clean = lake.read(lk.USAGE_CLEAN)
     # Filters on the partition column, so only the rebuilt days are read.
@@ -93,7 +93,7 @@ def _bill(
     )
     lake.replace_days(lk.DAILY_COST, costs, days)
 
-    counters = audit.merge_counters(merged).first()
+    counters = audit.observed_counters(lake.spark, observed).first()
     done = audit.run_row(
         lake.spark, run_id=run_id, job=JOB, execution_date=as_of.date(), created_ts=as_of,
         rows_inserted=counters.rows_inserted, rows_updated=counters.rows_updated, duration_seconds=time.monotonic() - began,

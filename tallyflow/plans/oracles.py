@@ -634,9 +634,11 @@ _AUDIT = f"""
 SELECT DISTINCT 'backfill_' || dt AS run_id, 'daily_usage_billing' AS job, 'ALL' AS task, dt AS execution_date, 'SUCCESS' AS status,
   {AS_OF} AS created_ts FROM v_landed"""
 _oracle("i1_run_audit", _AUDIT)
-_oracle("i2_merge_counters", f"""
+_COUNTERS = f"""
 SELECT count(*) FILTER (WHERE action = 'insert') AS rows_inserted, count(*) FILTER (WHERE action = 'update') AS rows_updated
-FROM ({_merge(True, False)})""")
+FROM ({_merge(True, False)})"""
+_oracle("i2_merge_counters", _COUNTERS)
+_oracle("i2_observed_counters", _COUNTERS)
 _oracle("i3_checkpoint", f"""
 SELECT 'daily_usage_billing' AS job, max(event_ts) AS last_event_ts, max(load_ts) AS last_ingest_ts, max(dt) AS last_dt,
   {AS_OF} AS updated_ts FROM v_landed""")
