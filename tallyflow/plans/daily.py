@@ -55,8 +55,9 @@ def bill(
             lake.spark, run_id=run_id, job=JOB, execution_date=as_of.date(), created_ts=as_of, status="FAILED",
             duration_seconds=time.monotonic() - began, error_message=f"{type(error).__name__}: {error}",
         )
-        known = lake.read(lk.RUN_AUDIT).where((F.col("job") == JOB) & ((F.col("run_id") != run_id) | (F.col("task") != "ALL")))
-        lake.replace_values(lk.RUN_AUDIT, known.unionByName(failed), [JOB])
+        # The audit is stored by run, so no other run's row is written again.
+        known = lake.read(lk.RUN_AUDIT).where((F.col("run_id") == run_id) & ((F.col("job") != JOB) | (F.col("task") != "ALL")))
+        lake.replace_values(lk.RUN_AUDIT, known.unionByName(failed), [run_id])
         raise
 
 
@@ -99,9 +100,9 @@ def _bill(
         rows_inserted=counters.rows_inserted, rows_updated=counters.rows_updated, duration_seconds=time.monotonic() - began,
     )
     # A run that failed before and now succeeds replaces its own row.
-    failures = (F.col("run_id") == run_id) & (F.col("status") == "FAILED")
+    failures = (F.col("run_id") == run_id) & (F.col("job") == JOB) & (F.col("status") == "FAILED")
     if not lake.read(lk.RUN_AUDIT).where(failures).isEmpty():
-        lake.replace_values(lk.RUN_AUDIT, lake.read(lk.RUN_AUDIT).where((F.col("job") == JOB) & ~failures), [JOB])
+        lake.replace_values(lk.RUN_AUDIT, lake.read(lk.RUN_AUDIT).where((F.col("run_id") == run_id) & ~failures), [run_id])
     lake.append_new(lk.RUN_AUDIT, done, audit.RUN_KEY)
     mark = audit.checkpoint_row(classified, job=JOB, updated_ts=as_of)
     lake.replace_values(lk.CHECKPOINTS, audit.advanced(mark, lake.read(lk.CHECKPOINTS)), [JOB])
