@@ -93,11 +93,14 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once.unionByName(again.withColumn("event_ts", F.col("event_ts") + F.expr("INTERVAL 1 SECOND")))
 
 
-def usage_json(deliveries_: DataFrame) -> DataFrame:
-    """Deliveries as landed JSON lines: ``dt`` (day of the load), ``ingest_ts`` and ``value``."""
+def usage_json(deliveries_: DataFrame, with_day: bool = False) -> DataFrame:
+    """Deliveries as landed JSON lines: ``dt`` (day of the load), ``ingest_ts`` and ``value``.
+
+    ``with_day`` keeps their ``event_date``: that of a second delivery is the first one's, also when its second is past midnight.
+    """
     stamp = F.concat(F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
     payload = F.to_json(F.struct(
-        "customer_id", "event_id", stamp.alias("event_timestamp"), "plan_id", "product_id",
+        "customer_id", *(["event_date"] if with_day else []), "event_id", stamp.alias("event_timestamp"), "plan_id", "product_id",
         F.col("quantity").cast("double").alias("quantity"), "region", F.lit("1.0").alias("schema_version"), "unit",
     ))
     return deliveries_.select(F.col("load_ts").cast("date").alias("dt"), F.col("load_ts").alias("ingest_ts"), payload.alias("value"))
