@@ -19,6 +19,7 @@ from .event_index import build_index, groups_holding
 TOUCH = "touch"  # matched: load stamp, batch and hash move, the first payload stays
 TOUCH_CHANGED = "touch_changed"  # as touch, but only where the payload hash differs
 REPLACE = "replace"  # matched: the new payload wins
+NEWEST = "newest"  # matched: the newer delivery wins, by event time and then payload hash, in whatever order they come
 
 _STAMP = ("load_ts", "batch_id", "raw_hash")
 
@@ -56,6 +57,8 @@ def merge_events(
         updates, moved = changed, set(_STAMP)
     elif on_match == REPLACE:
         updates, moved = changed, set(columns)
+    elif on_match == NEWEST:
+        updates, moved = F.struct("s.event_ts", "s.raw_hash") > F.struct("t.event_ts", "t.raw_hash"), set(columns)
     else:
         raise ValueError(f"unknown on_match: {on_match}")
 
@@ -106,10 +109,10 @@ def counted_merge(
     watched, counters = watched_merge(merge_events(before, source, on_match, incoming_is_unique=True))
     merged = stage(watched, "merged")
     held = merged.select("event_date", "event_id")
-    if on_match == REPLACE:
+    if on_match in (REPLACE, NEWEST):
         held = held.union(before.select("event_date", "event_id")).distinct()
     lake.replace(lk.EVENT_INDEX, build_index(held, "event_date"))
-    if on_match == REPLACE:
+    if on_match in (REPLACE, NEWEST):
         # A replaced event may move to another day, so a day it leaves can end up empty.
         lake.replace_days(lk.USAGE_CLEAN, merged.drop("action"), touched)
     else:

@@ -243,7 +243,12 @@ def _accepted(lake: lk.Lake, batch: DataFrame, epoch: int, products: Sequence[st
 def drain_clean(
     raw: DataFrame, lake: lk.Lake, checkpoint: str, on_match: str = merge.TOUCH_CHANGED, products: Sequence[str] | None = PRODUCTS
 ) -> StreamingQuery:
-    """Merge the sound rows of each micro-batch into the clean table. Merging a batch twice changes nothing."""
+    """Merge the sound rows of each micro-batch into the clean table. Merging a batch twice changes nothing.
+
+    Micro-batches come in no order of event time, so with ``merge.REPLACE`` the newest delivery of an event stays.
+    """
+    on_match = merge.NEWEST if on_match == merge.REPLACE else on_match
+
     def upsert(batch: DataFrame, epoch: int) -> None:
         with cleaned(lake.spark):
             merge.merge_into_clean(lake, merge.as_clean(_accepted(lake, batch, epoch, products)), on_match)
