@@ -14,11 +14,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import SPACE, let, staged, words
+from tallyflow.llm.common import SPACE, let, list_side, staged, words
 
 BINS = 2**14
-#: Trusted documents that target model and threshold are fitted on: those with the smallest id hashes.
-TRUSTED_ROWS = 50_000
 #: Pseudo-counts by which the trusted model is drawn towards the raw one.
 PRIOR = 500.0
 UNIT = 2**20
@@ -76,10 +74,10 @@ def measured(docs: DataFrame, text_col: str = "text", with_grams: int | None = N
     return docs.withColumn("_base", let(words(F.col(f"`{text_col}`")), body))
 
 
-def trusted(labels: DataFrame, id_col: str = "doc_id", good_col: str = "quality", rows: int = TRUSTED_ROWS) -> DataFrame:
-    """(_id, _held): at most ``rows`` ids labelled good, those with the smallest hashes; a quarter is held out."""
+def trusted(labels: DataFrame, id_col: str = "doc_id", good_col: str = "quality") -> DataFrame:
+    """(_id, _held): all ids labelled good; a quarter, by hash, is held out of the model for the threshold."""
     good = labels.where(F.col(good_col) >= 1).select(F.col(f"`{id_col}`").alias("_id")).where("_id IS NOT NULL").distinct()
-    return staged(good.orderBy(F.xxhash64("_id"), "_id").limit(rows).withColumn("_held", F.pmod(F.xxhash64(F.lit(1), "_id"), F.lit(4)) == 0), "quality-trusted")
+    return staged(good.withColumn("_held", F.pmod(F.xxhash64(F.lit(1), "_id"), F.lit(4)) == 0), "quality-trusted")
 
 
 def fit(
@@ -87,11 +85,12 @@ def fit(
 ) -> DataFrame:
     """(bin, ratio): log of trusted over raw probability per bin, in units of 2**-20; at most ``bins`` rows.
 
-    Raw counts cover all documents. ``good`` is the list ``trusted`` gives, whose size is bounded: it is broadcast.
+    Raw counts cover all documents, trusted ones all that ``good``, the list ``trusted`` gives, does not hold out. A list
+    too long to be broadcast meets the texts, not their n-grams, in a shuffle.
     """
-    fitted = good.where("NOT _held").select("_id", F.lit(1).cast("long").alias("_good"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), let(words(F.col(f"`{text_col}`")), lambda w: grams(w, bins)).alias("_grams"))
-    rows = rows.join(F.broadcast(fitted), "_id", "left").select(F.coalesce("_good", F.lit(0).cast("long")).alias("_good"), F.explode("_grams").alias("bin"))
+    fitted = list_side(good.where("NOT _held").select("_id", F.lit(1).cast("long").alias("_good")))
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(fitted, "_id", "left")
+    rows = rows.select(F.coalesce("_good", F.lit(0).cast("long")).alias("_good"), F.explode(let(words(F.col("_text")), lambda w: grams(w, bins))).alias("bin"))
     counts = staged(rows.groupBy("bin").agg(F.count(F.lit(1)).alias("raw"), F.sum("_good").alias("good")), "quality-counts")
     raw, target = counts.agg(F.sum("raw"), F.sum("good")).first()
     share = F.col("raw") / F.lit(float(raw or 1))
@@ -116,7 +115,7 @@ def score(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: s
 
 def threshold(scored: DataFrame, good: DataFrame, deviations: float = DEVIATIONS, least_words: int = LEAST_WORDS) -> int:
     """Mean less ``deviations`` standard deviations of the held-out trusted scores; minus one unit where there are none."""
-    held = scored.where(F.col("n_words") >= least_words).join(F.broadcast(good.where("_held")), "_id", "left_semi")
+    held = scored.where(F.col("n_words") >= least_words).join(list_side(good.where("_held").select("_id")), "_id", "left_semi")
     n, total, squares = held.agg(F.count(F.lit(1)), F.sum("_score"), F.sum(F.col("_score").cast("decimal(38,0)") * F.col("_score"))).first()
     if not n:
         return -UNIT
@@ -126,7 +125,7 @@ def threshold(scored: DataFrame, good: DataFrame, deviations: float = DEVIATIONS
 
 def judge(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", good_col: str = "quality", bins: int = BINS,
-    trusted_rows: int = TRUSTED_ROWS, prior: float = PRIOR, deviations: float = DEVIATIONS, least_words: int = LEAST_WORDS, most_repeated: int = MOST_REPEATED,
+    prior: float = PRIOR, deviations: float = DEVIATIONS, least_words: int = LEAST_WORDS, most_repeated: int = MOST_REPEATED,
 ) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept), a row per row of ``docs``.
 
@@ -134,7 +133,7 @@ def judge(
     model is the raw one, all scores are 0 and only the base rules decide. Repeated rows and rows with a null id
     are judged one by one. Other columns are not looked at. An empty table gives no rows.
     """
-    good = trusted(labels, id_col, good_col, trusted_rows)
+    good = trusted(labels, id_col, good_col)
     scored = staged(score(docs, fit(docs, good, id_col, text_col, bins, prior), id_col, text_col, bins), "quality-scored")
     least = threshold(scored, good, deviations, least_words)
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))

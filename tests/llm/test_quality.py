@@ -75,6 +75,21 @@ def test_ratio_by_hand(spark, corpus):
         assert model[b] == pytest.approx(quality.UNIT * math.log((target[b] + 10 * c / n) / (m + 10) / (c / n)), abs=1)
 
 
+def test_all_labels_are_learned_from(spark):
+    """More labels than the 50,000 that were taken before."""
+    labels = spark.range(60_000).selectExpr("id AS doc_id", "1 AS quality")
+    good = quality.trusted(labels)
+    assert good.count() == 60_000
+    assert 14_000 < good.where("_held").count() < 16_000
+
+
+def test_a_long_list_of_labels_gives_the_same(corpus, monkeypatch):
+    """Joined by shuffle instead of broadcast."""
+    short = {tuple(r) for r in quality.judge(*corpus).collect()}
+    monkeypatch.setattr(quality, "list_side", lambda keys: keys)
+    assert {tuple(r) for r in quality.judge(*corpus).collect()} == short
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert quality.judge(empty, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
