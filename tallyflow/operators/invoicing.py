@@ -15,7 +15,7 @@ from ..functions.keys import surrogate_key
 from ..functions.literals import date, ntz
 from ..functions.money import share_of, total_amount, total_quantity
 from ..schemas import AMOUNT, PRICE
-from .usage import monthly_customer_cost, monthly_product_cost, weighted_price
+from .usage import in_months, monthly_customer_cost, monthly_product_cost, weighted_price
 
 
 #: Customers that owe a base fee: all but cancelled ones.
@@ -152,8 +152,12 @@ def usage_lines(
 
 
 def model_lines(costs: DataFrame, headers: DataFrame) -> DataFrame:
-    """Lines per invoice, product and unit with a blended price; zero amounts are skipped."""
-    monthly = monthly_product_cost(costs).where("amount > 0")
+    """Lines per invoice, product and unit with a blended price; zero amounts are skipped.
+
+    Costs are dealt by customer and month once, for the lines and for their invoices. A customer's month holds one row a
+    day, product, unit and rate, and its lines meet their invoice in one task anyway.
+    """
+    monthly = monthly_product_cost(in_months(costs).repartition("customer_sk", "billing_period_start")).where("amount > 0")
     owners = headers.select("invoice_id", "customer_sk", "billing_period_start")
     # Decimal division keeps six decimals here and rounds half up, so no binary rounding enters.
     blended = F.when(F.col("quantity") > 0, F.try_divide("amount", "quantity")).otherwise(F.lit(0))

@@ -36,22 +36,23 @@ def daily_revenue(costs: DataFrame) -> DataFrame:
     return costs.groupBy("date_id").agg(total_amount("cost_amount").alias("daily_total"))
 
 
+def in_months(costs: DataFrame) -> DataFrame:
+    """``costs`` with the first day of their month; left as they are where they have it."""
+    return costs if "billing_period_start" in costs.columns else costs.withColumn("billing_period_start", F.trunc("date_id", "MONTH"))
+
+
 def monthly_customer_cost(costs: DataFrame) -> DataFrame:
     """Cost per customer and calendar month."""
-    return (
-        costs.groupBy(
-            "customer_sk", F.trunc("date_id", "MONTH").alias("billing_period_start"),
-            F.last_day("date_id").alias("billing_period_end"),
-        )
-        .agg(total_amount("cost_amount").alias("subtotal"), F.max("currency").alias("currency"))
+    # Grouped by the keys that lines meet invoices on, so that this join needs no further shuffle.
+    totals = in_months(costs).groupBy("customer_sk", "billing_period_start").agg(
+        total_amount("cost_amount").alias("subtotal"), F.max("currency").alias("currency")
     )
+    return totals.select("customer_sk", "billing_period_start", F.last_day("billing_period_start").alias("billing_period_end"), "subtotal", "currency")
 
 
 def monthly_product_cost(costs: DataFrame) -> DataFrame:
     """Quantity and cost per customer, calendar month, product and unit."""
-    return costs.groupBy(
-        "customer_sk", F.trunc("date_id", "MONTH").alias("billing_period_start"), "product_id", "unit"
-    ).agg(
+    return in_months(costs).groupBy("customer_sk", "billing_period_start", "product_id", "unit").agg(
         total_quantity("total_quantity").alias("quantity"), total_amount("cost_amount").alias("amount"),
         F.max("currency").alias("currency"),
     )

@@ -168,3 +168,18 @@ def test_labels(spark):
         text.money_text(F.col("a"), 4), text.grouped_number(F.col("a")), text.grouped_number(F.lit(1000)), text.short_id(F.col("p")),
     ).first()
     assert tuple(got) == ("Ai Tokens", "Pro", "$1,234,567.50", "-$0.13", "$1234567.5000", "1,234,567.5", "1,000", "prod_ai_")
+
+
+def test_model_lines_meet_their_invoices_without_another_shuffle(spark, tmp_path):
+    """One exchange for the totals of the invoices, one for the lines; the join adds none."""
+    costs = "DATE'2024-01-05' AS date_id, id AS customer_sk, 'p' AS product_id, 'u' AS unit, cast(id AS DECIMAL(28,6)) AS total_quantity, cast(1 AS DECIMAL(38,10)) AS cost_amount, 'USD' AS currency"
+    spark.range(1, 9).selectExpr(*costs.split(", ")).write.parquet(str(tmp_path / "costs"))
+    facts = spark.read.parquet(str(tmp_path / "costs"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = invoicing.model_lines(facts, invoicing.model_headers(facts, issued_ts="2024-02-01 00:00:00"))
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2 and lines.count() == 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
