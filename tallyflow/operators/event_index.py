@@ -53,7 +53,11 @@ def _is_set(bits: Column, place: Column) -> Column:
 
 
 def groups_holding(index: DataFrame, ids: DataFrame, group: str, key: str = "event_id") -> DataFrame:
-    """Groups of the index that may hold one of ``ids``, distinct. An id meets each group once, in the block it would be in."""
+    """Groups of the index that may hold one of ``ids``, distinct. An id meets each group once, in the block it would be in.
+
+    The index grows with all that was ever stored and its bitmaps pack to far less on disk than in memory, so size
+    estimates would send it through the driver: the join is a shuffle, by block.
+    """
     widths = [r.blocks for r in index.select("blocks").distinct().collect()]  # powers of two: some forty at most
     if not widths:
         return index.select(group)
@@ -61,7 +65,7 @@ def groups_holding(index: DataFrame, ids: DataFrame, group: str, key: str = "eve
         key, _bits(key).alias("places"), F.explode(F.array(*[F.lit(w).cast("bigint") for w in sorted(widths)])).alias("blocks")
     )
     wanted = wanted.select("blocks", _block(key, F.col("blocks")).alias("block"), "places").alias("w")
-    met = index.alias("i").join(wanted, (F.col("i.blocks") == F.col("w.blocks")) & (F.col("i.block") == F.col("w.block")))
+    met = index.hint("merge").alias("i").join(wanted, (F.col("i.blocks") == F.col("w.blocks")) & (F.col("i.block") == F.col("w.block")))
     hit = F.lit(True)
     for i in range(PROBES):
         hit = hit & _is_set(F.col("i.bits"), F.col("w.places")[i])

@@ -98,7 +98,7 @@ def current_unique(spark: SparkSession, target: str) -> DataFrame:
     events = _log(spark, f"{target}/events")
     # One row per micro-batch: epochs whose deliveries are there.
     whole = [r.epoch for r in events.select("epoch").distinct().collect()]
-    replaced = _log(spark, f"{target}/replaced").where(F.col("epoch").isin(whole)).select(*DELIVERY).distinct()
+    replaced = _log(spark, f"{target}/replaced").where(F.col("epoch").isin(whole)).select(*DELIVERY).distinct().hint("merge")  # grows with the log
     same = (F.col("a.event_id") == F.col("b.event_id")) & F.expr("a.event_ts <=> b.event_ts AND a.raw_hash <=> b.raw_hash")
     return events.drop("epoch").alias("a").join(replaced.alias("b"), same, "left_anti")
 
@@ -159,7 +159,8 @@ def _known(spark: SparkSession, target: str, epoch: int, ids: DataFrame) -> Data
         raise
     holding = [r.epoch for r in groups_holding(index, ids, "epoch").collect()]  # one row per micro-batch
     stored = _log(spark, f"{target}/events").where(F.col("epoch").isin(holding))
-    return merge.dedupe_events(stored.join(ids.select("event_id"), "event_id", "left_semi"))
+    # By shuffle: the ids of a micro-batch are no list for the driver, and the rows are needed by event id next.
+    return merge.dedupe_events(stored.join(ids.select("event_id").hint("merge"), "event_id", "left_semi"))
 
 
 def drain_daily(parsed: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

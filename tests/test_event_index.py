@@ -132,3 +132,17 @@ def test_repeated_corrected_moved_and_old_deliveries_count_once(spark, tmp_path)
     land(folder, 6, line("a", "2024-01-01T08:00:00", 5), line("b", "2024-01-01T09:00:01", 3))
     streams.drain_daily(parsed(spark, folder), short, checkpoint).awaitTermination()
     assert state(spark, short) == [("2024-01-01", "cust_1", 8, 2, "2024-01-01 09:00:01"), *EXPECTED[1:]]
+
+
+def test_lookups_broadcast_no_table_that_grows_with_the_log(spark, tmp_path):
+    """Small tables, which size estimates would send through the driver."""
+    ids(spark, 0, 10, F.lit(1)).write.parquet(str(tmp_path / "held"))
+    event_index.build_index(spark.read.parquet(str(tmp_path / "held")), "g").write.parquet(str(tmp_path / "index"))
+    found = event_index.groups_holding(spark.read.parquet(str(tmp_path / "index")), ids(spark, 0, 10), "g")
+    target = str(tmp_path / "log")
+    for epoch, quantity in enumerate("12"):
+        streams.add_unique(events(spark, event("a", f"2024-01-0{quantity}", quantity=quantity, raw_hash=quantity)), epoch, target)
+    unique = streams.current_unique(spark, target)
+    assert rows(found) == [(1,)] and unique.count() == 1
+    for df in (found, unique):
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
