@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt_
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,19 +17,21 @@ CUSTOMER_ATTRIBUTES = ("customer_name", "status", "country", "plan_id")
 
 
 def customer_history(
-    snapshots: DataFrame, attributes: Sequence[str] = CUSTOMER_ATTRIBUTES, bucket: Column | None = None
+    snapshots: DataFrame, attributes: Sequence[str] = CUSTOMER_ATTRIBUTES, bucket: Column | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """All customer versions from all snapshots: a version starts where the attribute hash changes.
 
     Intervals are half open. All versions of a customer have the same key, so facts, invoices and names stay
     together when a version changes. ``bucket`` splits a customer's snapshots for the neighbour lookups
-    (default: the day of the snapshot), so a customer with very many snapshots is not one task.
+    (default: the day of the snapshot), so a customer with very many snapshots is not one task. Each lookup reads its
+    rows more than once; jobs pass ``stage`` as ``keep``, so that they are computed once.
     """
     bucket = F.col("ingest_ts").cast("date") if bucket is None else bucket
     hashed = snapshots.select("customer_id", *attributes, "ingest_ts", surrogate_key(*attributes).alias("record_hash"))
-    moments = latest_by(hashed, ["customer_id", "ingest_ts"], [F.desc("record_hash")])
+    moments = keep(latest_by(hashed, ["customer_id", "ingest_ts"], [F.desc("record_hash")]), "moments")
     with_before = with_neighbour(moments, ["customer_id"], "ingest_ts", "record_hash", "_before", bucket)
-    starts = with_before.where(~F.col("_before").eqNullSafe(F.col("record_hash"))).drop("_before")
+    starts = keep(with_before.where(~F.col("_before").eqNullSafe(F.col("record_hash"))).drop("_before"), "starts")
     with_end = with_neighbour(starts, ["customer_id"], "ingest_ts", "ingest_ts", "effective_end", bucket, following=True)
     return with_end.select(
         numeric_key("customer_id").alias("customer_sk"), "customer_id", *attributes,
@@ -69,7 +71,8 @@ def apply_snapshot(
 
 
 def splice_snapshot(
-    dim: DataFrame, seen: DataFrame, touched: DataFrame, attributes: Sequence[str] = CUSTOMER_ATTRIBUTES
+    dim: DataFrame, seen: DataFrame, touched: DataFrame, attributes: Sequence[str] = CUSTOMER_ATTRIBUTES,
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """The history with the versions of ``touched`` customers (one row each) made anew from all that was ever seen of them.
 
@@ -79,7 +82,7 @@ def splice_snapshot(
     """
     ids = touched.select("customer_id").where("customer_id IS NOT NULL")
     logged = seen.join(ids, "customer_id", "left_semi").select("customer_id", *attributes, "ingest_ts")
-    made = customer_history(logged, attributes)
+    made = customer_history(logged, attributes, keep=keep)
     return dim.join(ids, "customer_id", "left_anti").select(*dim.columns).unionByName(made.select(*dim.columns))
 
 

@@ -35,8 +35,9 @@ def load_customer_history(lake: lk.Lake, snapshot: DataFrame, as_of: dt_.datetim
     old = stage(old, "unlogged")
     if not old.isEmpty():
         lake.replace(lk.CUSTOMERS_SEEN, stage(seen.where("snapshot = 'before the log'").unionByName(old), "old-log"))
-    lake.replace_values(lk.CUSTOMERS_SEEN, rows, [name])
-    lake.overwrite(lk.CUSTOMER_DIM, dimensions.splice_snapshot(dim, lake.read(lk.CUSTOMERS_SEEN), touched))
+    lake.clear(lk.CUSTOMERS_SEEN, [name])
+    lake.replace(lk.CUSTOMERS_SEEN, rows)  # staged above: not written a second time first
+    lake.overwrite(lk.CUSTOMER_DIM, dimensions.splice_snapshot(dim, lake.read(lk.CUSTOMERS_SEEN), touched, keep=stage))
 
 
 def assign_customer_keys(lake: lk.Lake, customers: DataFrame, load: str) -> None:

@@ -120,3 +120,13 @@ def test_a_whole_dimension_load_can_be_repeated(spark, lake):
             first_day=day("2024-01-01"), last_day=day("2024-01-03"))
         counted = [lake.read(t).count() for t in (lk.CUSTOMER_DIM, lk.RATE_DIM, lk.PRODUCT_DIM, lk.PLAN_DIM, lk.DATE_DIM)]
         assert counted == [2, 1, 1, 1, 3]
+
+
+def test_a_snapshot_load_computes_its_rows_once(spark, lake, monkeypatch):
+    """Snapshots are laid down before the lookups that read them several times, and the staged load is not staged again."""
+    names = []
+    for module in (dimension_load, lk):
+        kept = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, name, kept=kept: names.append(name) or kept(df, name))
+    dimension_load.load_customer_history(lake, snapshot(spark, "2024-01-01"), "2024-01-01 00:00:00")
+    assert {"moments", "starts"} <= set(names) and "replacing" not in names
