@@ -27,7 +27,8 @@ def load_raw(
     raw = stage(files.ingest_usage(lake.spark, landing, source=source, batch_id=batch_id, ingest_ts=ingest_ts, dt=dt), "landed")
     batches = _batches(raw)
     named = [batch_id] if isinstance(batch_id, str) else []
-    lake.replace_values(lk.USAGE_RAW, raw, [*batches, *named])
+    lake.clear(lk.USAGE_RAW, [*batches, *named])
+    lake.replace(lk.USAGE_RAW, raw)  # staged above: not written a second time first
     return batches
 
 
