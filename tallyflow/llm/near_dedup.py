@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.llm.common import list_side, staged, staged_in_batches, staged_list
 from tallyflow.llm.shingles import mix, shingle_sets, slices
+from tallyflow.session import cleaned, scratch_path
 
 SIZE = 5
 PERCENT = 80
@@ -44,6 +45,8 @@ SPLITS, SPLIT_BYTES, CENTRES = 4, 24, 4
 TEXTS_AT_ONCE, PAIRS_AT_ONCE = 1_000, 100
 #: At similarity 0.8 a pair shares no band once in 2e7; at 0.5 it shares one in 87 of 100 cases.
 BANDS, ROWS = 32, 4
+#: Row ids that may be broadcast: structs with a nullable id, some 100 bytes each.
+ROW_IDS = 500_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -81,19 +84,21 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _signed(size: int, bands: int, rows: int):
-    """Task side: number of shingles, 128-bit digest of the set and band keys of each text; no digest for empty sets."""
+    """Task side: number of shingles, 128-bit digest of the set, band keys and sketch of each text; no digest for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = 1 << (bands * rows - 1).bit_length()
         for batch in batches:
-            counts, digests, keys = [], [], []
+            counts, digests, keys, sketches = [], [], [], []
             for shingles in shingle_sets(batch.column(1), size):
                 counts.append(len(shingles))
                 digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
-                keys.append(band_keys(signature(shingles, bins), bands, rows).view(np.int64) if len(shingles) else None)
+                sig = signature(shingles, bins) if len(shingles) else None
+                keys.append(None if sig is None else band_keys(sig, bands, rows).view(np.int64))
+                sketches.append(None if sig is None else sketch(sig))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["_id", "n_shingles", "_node", "_bands"],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                names=["_id", "n_shingles", "_node", "_bands", "_sketch"],
             )
 
     return run
@@ -104,23 +109,18 @@ def sketch(sig: np.ndarray) -> bytes:
     return (sig >> np.uint64(8)).astype(np.uint8).tobytes()
 
 
-def _sets(size: int, bands: int, rows: int):
-    """Task side: digest, sketch and full shingle set of each text."""
+def _sets(size: int):
+    """Task side: digest and full shingle set of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = 1 << (bands * rows - 1).bit_length()
         for batch in batches:
             for part in slices(batch.column(0)):
-                digests, sizes, sketches, found = [], [], [], []
+                digests, sizes, found = [], [], []
                 for shingles in shingle_sets(part, size):
                     found.append(shingles.tobytes())
                     digests.append(hashlib.blake2b(found[-1], digest_size=16).digest())
                     sizes.append(len(shingles))
-                    sketches.append(sketch(signature(shingles, bins)) if len(shingles) else b"")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(found, pa.binary())],
-                    names=["_node", "_size", "_sketch", "_set"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())], names=["_node", "_size", "_set"])
 
     return run
 
@@ -260,10 +260,12 @@ def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_left", "_right", "_size")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that the full sets confirm; full sets travel only for pairs whose sketches leave it open."""
-    open_pairs = _beside(pairs, sets, "_sketch").mapInArrow(_possible(percent), "a binary, b binary")
-    wide = _beside(staged(open_pairs, "near-open"), sets, "_set").drop("_size")
+def confirm(pairs: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """The pairs (a, b) that the full sets confirm; full sets are made, and travel, only for pairs whose sketches leave it open."""
+    open_pairs = staged(_beside(pairs, sketches, "_sketch").mapInArrow(_possible(percent), "a binary, b binary"), "near-open")
+    wanted = staged_list(open_pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct(), "near-wanted")
+    sets = staged_in_batches(sets_of(wanted), "near-sets", TEXTS_AT_ONCE)
+    wide = _beside(open_pairs, sets, "_set").drop("_size")
     return staged_in_batches(wide.mapInArrow(_confirmed(percent), "a binary, b binary"), "near-links", PAIRS_AT_ONCE)
 
 
@@ -299,9 +301,9 @@ def _unsettled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return current.join(mixed.where("_n > 2 AND _low <> _high").select("_key", "_n"), "_key")  # a bucket of two was one star
 
 
-def _in_parts(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _in_parts(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Distinct open pairs (a, b) across components from the stars of the parts of crowded buckets."""
-    held = members.join(sets.select("_node", "_sketch"), "_node").select("_key", "_n", "_node", "_size", "_root", "_sketch")
+    held = members.join(sketches.select("_node", "_sketch"), "_node").select("_key", "_n", "_node", "_size", "_root", "_sketch")
     parts = held.mapInArrow(_split, "_part long, _draw long, _node binary, _size long, _root binary, _sketch binary")
     ordered = parts.repartition("_part").sortWithinPartitions("_part", "_draw")
     return ordered.mapInArrow(_stars(percent), "a binary, b binary").distinct()
@@ -310,11 +312,11 @@ def _in_parts(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
     """(node, root) of all nodes with a link; None where there is no link.
 
-    ``nodes`` has (_node, _size, _bands); ``sets_of(list of nodes)`` gives their full sets.
+    ``nodes`` has (_node, _size, _bands, _sketch); ``sets_of(list of nodes)`` gives their full sets.
     """
     banded = nodes.select("_node", "_size", F.explode("_bands").alias("_key"))
-    counts = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    members = staged(banded.join(counts, "_key"), "near-members")
+    counts = staged_list(banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "near-shared")
+    members = staged(banded.join(list_side(counts), "_key"), "near-members")  # few bands are shared, the others need not travel
     if members.isEmpty():
         return None
     met = staged_list(members.groupBy("_node").agg(F.sum("_n").alias("_met")), "near-met")
@@ -323,11 +325,11 @@ def _linked(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
     buckets = staged_list(ranked.groupBy("_key").agg(centre).select("_key", "_centre._node", "_centre._size"), "near-buckets")
     starred = members.join(buckets.toDF("_key", "_other", "_beside"), "_key")
     pairs = staged_list(_pairs(starred, percent), "near-pairs")
-    sets = staged_in_batches(sets_of(staged_list(met.select("_node"), "near-candidates")), "near-sets", TEXTS_AT_ONCE)
-    links = confirm(pairs, sets, percent)
+    sketches = staged_list(nodes.select("_node", "_size", "_sketch").join(list_side(met.select("_node")), "_node", "left_semi"), "near-sketches")
+    links = confirm(pairs, sketches, sets_of, percent)
     labels = None if links.isEmpty() else components(links)
-    rest = _in_parts(_unsettled(members, labels), sets, percent).join(pairs, ["a", "b"], "left_anti")
-    more = confirm(staged(rest, "near-rest"), sets, percent)
+    rest = _in_parts(_unsettled(members, labels), sketches, percent).join(pairs, ["a", "b"], "left_anti")
+    more = confirm(staged(rest, "near-rest"), sketches, sets_of, percent)
     if more.isEmpty():
         return labels
     return components(links.unionByName(more))
@@ -346,20 +348,21 @@ def near_groups(
     """
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     kind = texts.schema[0].dataType.simpleString()
-    signed = texts.mapInArrow(_signed(size, bands, rows), f"_id {kind}, n_shingles long, _node binary, _bands array<bigint>")
+    signed = texts.mapInArrow(_signed(size, bands, rows), f"_id {kind}, n_shingles long, _node binary, _bands array<bigint>, _sketch binary")
     signed = staged_in_batches(signed, "near-signed", TEXTS_AT_ONCE)
     nodes = signed.where("_node IS NOT NULL").groupBy("_node").agg(
-        F.min("_id").alias("_id"), F.first("n_shingles").alias("_size"), F.first("_bands").alias("_bands")
+        F.min("_id").alias("_id"), F.first("n_shingles").alias("_size"), F.first("_bands").alias("_bands"), F.first("_sketch").alias("_sketch")
     )
     nodes = staged(nodes, "near-nodes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
+        # Whole texts stay where they are while the list of their ids is short.
         ids = staged_list(nodes.join(wanted, "_node", "left_semi").select("_id").distinct(), "near-ids")
-        rows_of = texts.alias("t").join(ids.alias("i"), F.col("t._id").eqNullSafe(F.col("i._id")), "left_semi").select("_text")
-        found = rows_of.mapInArrow(_sets(size, bands, rows), "_node binary, _size long, _sketch binary, _set binary")
+        rows_of = texts.alias("t").join(list_side(ids, ROW_IDS).alias("i"), F.col("t._id").eqNullSafe(F.col("i._id")), "left_semi").select("_text")
+        found = rows_of.mapInArrow(_sets(size), "_node binary, _size long, _set binary")
         return found.join(wanted, "_node", "left_semi").dropDuplicates(["_node"])
 
-    labels = _linked(nodes.select("_node", "_size", "_bands"), sets_of, percent)
+    labels = _linked(nodes.select("_node", "_size", "_bands", "_sketch"), sets_of, percent)
     if labels is None:
         smallest = nodes.select("_node", F.col("_id").alias("component_id"))
     else:
@@ -385,6 +388,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     rows = staged(docs.select(F.monotonically_increasing_id().alias("_row"), named.alias("_doc")), "near-rows")
     ident = F.struct(F.col(f"_doc.`{id_col}`").isNull().alias("no"), F.col(f"_doc.`{id_col}`").alias("id"), F.col("_row").alias("row"))
-    groups = near_groups(rows.select(ident.alias("_ident"), F.col(f"_doc.`{text_col}`").alias("_text")), "_ident", "_text", **settings)
-    dropped = list_side(staged(groups.where("NOT kept").select(F.col("_ident.row").alias("_row")), "near-dropped"))
+    path = scratch_path(docs.sparkSession, "near-dropped")
+    with cleaned(docs.sparkSession):  # rows and the list of dropped ones stay, all other tables go
+        groups = near_groups(rows.select(ident.alias("_ident"), F.col(f"_doc.`{text_col}`").alias("_text")), "_ident", "_text", **settings)
+        groups.where("NOT kept").select(F.col("_ident.row").alias("_row")).write.parquet(path)
+    dropped = list_side(docs.sparkSession.read.schema("_row long").parquet(path))
     return rows.join(dropped, "_row", "left_anti").select("_doc.*")

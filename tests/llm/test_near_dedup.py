@@ -2,6 +2,7 @@ import math
 import random
 import re
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +10,7 @@ import pytest
 
 from tallyflow.llm import near_dedup, shingles
 from tallyflow.llm.near_dedup import band_keys, near_groups, signature
+from tallyflow.session import shared_folder
 
 
 def brute_set(text, size):
@@ -199,3 +201,18 @@ def test_sketch_cut_is_the_exact_tail():
     other = sketches.copy()
     other[0, int(128 * (0.8 - 5.5 * (0.16 / 128) ** 0.5)):], other[1] = 1, 1
     assert near_dedup._open(sketches, other, np.array([10**6, 10**6]), 80).tolist() == [True, False]
+
+
+def test_full_sets_of_open_pairs_only_and_no_tables_left(spark, rows, monkeypatch):
+    made = {}
+    for name in ("staged", "staged_in_batches"):
+        def seen(df, table, *rest, stage=getattr(near_dedup, name)):
+            out = stage(df, table, *rest)
+            made.setdefault(table, []).append([tuple(r) for r in out.select(*{"near-open": "ab", "near-sets": ["_node"]}[table]).collect()] if table in ("near-open", "near-sets") else out)
+            return out
+        monkeypatch.setattr(near_dedup, name, seen)
+    shared = Path(shared_folder(spark))
+    before = set(shared.iterdir())
+    near_dedup.near_dedup(documents(spark, rows)).collect()
+    assert [{n for (n,) in sets} for sets in made["near-sets"]] == [{n for pair in pairs for n in pair} for pairs in made["near-open"]]
+    assert {p.name.rsplit("-", 1)[0] for p in set(shared.iterdir()) - before} == {"near-rows", "near-dropped"}
