@@ -3,6 +3,9 @@
 Texts are cut into windows of ``WINDOW`` bytes that together cover every byte. In a window one network reads forwards
 and one backwards; at each position both states give probabilities of the languages. A document's probabilities
 are the mean over all its positions that hold a letter byte. The network is small enough to travel with the task.
+
+The network starts on the driver from a bounded sample. Then it learns from all labelled texts, whole: they are dealt into shards
+by id hash, each shard takes the network once over all windows of its texts, and the networks of the shards are averaged.
 """
 
 from __future__ import annotations
@@ -16,13 +19,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyflow.llm.common import staged, staged_in_batches
+from tallyflow.llm.common import in_slices, staged, staged_in_batches
 
 WINDOW, HIDDEN = 64, 8
-#: The training sample: at most this many documents per language, those with the smallest id hashes, and windows
+#: The sample of the start: at most this many documents per language, those with the smallest id hashes, and windows
 #: of each, spread evenly over its text.
 SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 150, 12
 STEPS, BATCH, RATE = 350, 128, 0.02
+#: The pass over all labelled texts: rows of a shard, windows of a step, and its rate.
+SHARD_ROWS, STEP_WINDOWS, PASS_RATE = 8_000, 512, 0.001
+#: Windows of no language in each step, where the network learns them.
+OTHERS_AT_ONCE = 64
 #: Windows computed at once.
 AT_ONCE = 2048
 #: Texts that a Python worker holds at once.
@@ -31,6 +38,8 @@ UNKNOWN = "und"
 #: Bytes of text for which the least score of a language is learned, and the share of clean texts that may lie below
 #: three times that score.
 LENGTHS, LOW_SHARE = (8, 16, 32, 64, 128, 256, 512), 0.01
+#: Scores are counted in so many steps.
+SCORE_STEPS = 10_000
 
 _LETTER = np.zeros(256, dtype=np.float32)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
@@ -92,24 +101,41 @@ class Network:
         p /= p.sum(axis=1, keepdims=True)
         return p, both
 
-    def gradients(self, text: np.ndarray, mask: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross-entropy over all positions of the mask, and its gradient by backpropagation through time."""
+    def copy(self, flat: np.ndarray | None = None) -> Network:
+        """A network of the same shape, with the weights of ``flat`` where given."""
+        out, at = Network(self.languages, self.hidden), 0
+        flat = self.flat() if flat is None else flat
+        for name in sorted(self.weights):
+            w = self.weights[name]
+            out.weights[name] = flat[at:at + w.size].reshape(w.shape).astype(w.dtype)
+            at += w.size
+        return out
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.weights[name].ravel() for name in sorted(self.weights)])
+
+    def gradients(self, text: np.ndarray, mask: np.ndarray, labels: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean cross-entropy over all positions of the mask, and its gradient by backpropagation through time.
+
+        ``weight`` is what a position of each window counts.
+        """
         k, n = self.hidden, len(labels)
         traces: tuple[list, list] = ([], [])
         p, both = self.probabilities(text, mask, traces)
-        count = mask.sum()
+        share = mask if weight is None else mask * weight
+        count = share.sum()
         right = p[:, labels, np.arange(n)]
-        loss = float(-(np.log(np.maximum(right, 1e-30)) * mask).sum() / count)
+        loss = float(-(np.log(np.maximum(right, 1e-30)) * share).sum() / count)
         d = p.copy()
         d[:, labels, np.arange(n)] -= 1
-        d *= (mask / count)[:, None, :]
+        d *= (share / count)[:, None, :]
         grads = {name: np.zeros_like(w) for name, w in self.weights.items()}
         grads["o"] = np.einsum("tln,thn->lh", d, both, optimize=True)
         grads["p"] = d.sum(axis=(0, 2))[:, None]
         above = self.weights["o"].T @ d
         for i, way in enumerate("fb"):
             wh = self.weights["h" + way]
-            inputs = np.zeros((256, 3 * k), dtype=wh.dtype)
+            inputs = np.empty((3 * k, len(text), n), dtype=wh.dtype)
             dh = np.zeros((k, n), dtype=wh.dtype)
             for t, h, zr, back, a in reversed(traces[i]):
                 z, r = zr[:k], zr[k:]
@@ -118,40 +144,58 @@ class Network:
                 dz = dh * (h - a) * 2 * z * (1 - z)  # of the half-scale input: derivative of 0.5 + 0.5 tanh
                 dr = da * back * 2 * r * (1 - r)
                 du = np.concatenate([dz, dr, da * r])
-                np.add.at(inputs, text[t], np.concatenate([dz, dr, da]).T)
+                inputs[:k, t], inputs[k:2 * k, t], inputs[2 * k:, t] = dz, dr, da
                 grads["h" + way] += du @ h.T
                 grads["c" + way] += (da * r).sum(axis=1, keepdims=True)
                 dh = dh * z + wh.T @ du
-            grads["x" + way] = inputs.T.copy()
+            at = text.ravel()
+            grads["x" + way] = np.stack([np.bincount(at, row.ravel(), 256) for row in inputs]).astype(wh.dtype)
         return loss, grads
 
 
+class Adam:
+    """Steps of a network against its gradients."""
+
+    def __init__(self, net: Network):
+        self.net, self.steps = net, 0
+        self.one = {name: np.zeros_like(w) for name, w in net.weights.items()}
+        self.two = {name: np.zeros_like(w) for name, w in net.weights.items()}
+
+    def step(self, grads: dict[str, np.ndarray], pace: float) -> None:
+        self.steps += 1
+        one, two, step = self.one, self.two, self.steps
+        size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        for name, g in grads.items():
+            g = g * min(1.0, 5.0 / max(size, 1e-12))
+            one[name] = 0.9 * one[name] + 0.1 * g
+            two[name] = 0.99 * two[name] + 0.01 * g * g
+            self.net.weights[name] -= (pace * (one[name] / (1 - 0.9**step)) / (np.sqrt(two[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+
+
 def train(windows: list[bytes], labels: np.ndarray, languages: int, steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = 7) -> Network:
     """Adam on random batches, languages equally often; the same sample and seed give the same network."""
     net, draw = Network(languages, seed=seed), np.random.default_rng(seed)
-    text = np.zeros((len(windows), WINDOW), dtype=np.uint8)
-    for i, w in enumerate(windows):
-        text[i, :len(w)] = np.frombuffer(w, dtype=np.uint8)
-    mask = np.arange(WINDOW)[None, :] < np.array([len(w) for w in windows])[:, None]
+    text, mask = _laid_out(windows)
     of = [np.flatnonzero(labels == k) for k in range(languages)]
-    one = {name: np.zeros_like(w) for name, w in net.weights.items()}
-    two = {name: np.zeros_like(w) for name, w in net.weights.items()}
+    adam = Adam(net)
     for step in range(1, steps + 1):
         pick = np.concatenate([draw.choice(members, max(1, batch // languages)) for members in of])
         some, kept = np.ascontiguousarray(text[pick].T), np.ascontiguousarray(mask[pick].T.astype(np.float32))
-        _, grads = net.gradients(some, kept, labels[pick])
-        size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-        pace = rate * min(1.0, 2.0 * (1 - step / (steps + 1)))
-        for name, g in grads.items():
-            g = g * min(1.0, 5.0 / max(size, 1e-12))
-            one[name] = 0.9 * one[name] + 0.1 * g
-            two[name] = 0.99 * two[name] + 0.01 * g * g
-            net.weights[name] -= (pace * (one[name] / (1 - 0.9**step)) / (np.sqrt(two[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        adam.step(net.gradients(some, kept, labels[pick])[1], rate * min(1.0, 2.0 * (1 - step / (steps + 1))))
     return net
 
 
-def document_probabilities(net: Network, column: pa.Array) -> np.ndarray:
-    """(texts, languages): mean position probabilities over letter bytes; zeros where there are none."""
+def _laid_out(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, steps) bytes and which of them are inside."""
+    text = np.zeros((len(windows), WINDOW), dtype=np.uint8)
+    for i, w in enumerate(windows):
+        text[i, :len(w)] = np.frombuffer(w, dtype=np.uint8)
+    return text, np.arange(WINDOW)[None, :] < np.array([len(w) for w in windows])[:, None]
+
+
+def _windows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Windows that together cover every byte of the texts, AT_ONCE at a time: the text each is of, (steps, windows) bytes, and
+    which of them are inside the text."""
     column = column.cast(pa.large_binary())
     if column.null_count:
         column = column.fill_null(b"")
@@ -159,7 +203,6 @@ def document_probabilities(net: Network, column: pa.Array) -> np.ndarray:
     offsets = np.frombuffer(places, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
     data = np.frombuffer(values, dtype=np.uint8) if values is not None else np.empty(0, dtype=np.uint8)
     parts = -(-np.diff(offsets) // WINDOW)
-    total, weight = np.zeros((len(column), net.languages)), np.zeros(len(column))
     ends = np.cumsum(parts)
     ranks, steps = np.arange(len(column)), np.arange(WINDOW)
     for low in range(0, int(ends[-1]) if len(ends) else 0, AT_ONCE):
@@ -167,8 +210,13 @@ def document_probabilities(net: Network, column: pa.Array) -> np.ndarray:
         owner = ranks[np.searchsorted(ends, number, "right")]
         start = offsets[owner] + (number - (ends[owner] - parts[owner])) * WINDOW
         at = start[None, :] + steps[:, None]
-        inside = at < offsets[owner + 1][None, :]
-        text = data[np.minimum(at, len(data) - 1)]
+        yield owner, data[np.minimum(at, len(data) - 1)], at < offsets[owner + 1][None, :]
+
+
+def document_probabilities(net: Network, column: pa.Array) -> np.ndarray:
+    """(texts, languages): mean position probabilities over letter bytes; zeros where there are none."""
+    total, weight = np.zeros((len(column), net.languages)), np.zeros(len(column))
+    for owner, text, inside in _windows(column):
         full = inside.all()
         mask = None if full else inside.astype(np.float32)
         p, _ = net.probabilities(text, mask)
@@ -201,21 +249,28 @@ def _evenly(windows: int):
     return run
 
 
-def learning_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, documents: int, windows: int) -> dict[str, list[tuple[int, bytes]]]:
-    """(id hash, window) lists by language, of a bounded sample of rows that are not held out and have text and lang.
-
-    Rows per language are counted first; each language then gives the share of its rows, by id hash, that holds
-    ``documents`` rows on average, cut to ``documents``. Empty when no row can be learned from.
-    """
+def labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(_id, _text, _lang) of the rows to learn from: not held out, with a language, and a letter in the text."""
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"), F.col(f"`{lang_col}`").cast("string").alias("_lang"))
     rows = rows.where(F.col("_id").isNotNull() & F.col("_lang").isNotNull() & F.col("_text").isNotNull() & ~held_out(F.col("_id")))
-    counts = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per language
-    if not counts:
-        return {}
+    return rows.where(F.col("_text").rlike(r"\p{L}"))
+
+
+def language_counts(rows: DataFrame) -> dict[str, tuple[int, int]]:
+    """Labelled rows and their windows by language, of all rows."""
+    counted = rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.ceil(F.octet_length("_text") / WINDOW)).alias("windows"))
+    return {r["_lang"]: (r["n"], r["windows"]) for r in counted.collect()}  # one row per language
+
+
+def learning_sample(rows: DataFrame, counts: dict[str, tuple[int, int]], documents: int, windows: int) -> dict[str, list[tuple[int, bytes]]]:
+    """(id hash, window) lists by language, of a bounded sample of labelled rows, for the start of the network.
+
+    Each language gives the share of its rows, by id hash, that holds ``documents`` rows on average, cut to ``documents``.
+    """
     scale = 2**30
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(scale, int(scale * 1.5 * documents / n) + 1)))])
+    share = F.create_map(*[x for k, (n, _) in counts.items() for x in (F.lit(k), F.lit(min(scale, int(scale * 1.5 * documents / n) + 1)))])
     draw = F.pmod(F.xxhash64("_id"), F.lit(scale)).cast("long")
-    picked = rows.select("_lang", draw.alias("_draw"), "_text").where((F.col("_draw") < share[F.col("_lang")]) & F.col("_text").rlike(r"\p{L}"))
+    picked = rows.select("_lang", draw.alias("_draw"), "_text").where(F.col("_draw") < share[F.col("_lang")])
     sample = staged(picked.mapInArrow(_evenly(windows), "lang string, draw long, cut binary"), "language-sample").collect()
     by_lang: dict[str, list] = {}
     for r in sample:
@@ -224,12 +279,85 @@ def learning_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
 
 
 def fit(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    documents: int = SAMPLE_DOCUMENTS, windows: int = SAMPLE_WINDOWS, steps: int = STEPS,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", documents: int = SAMPLE_DOCUMENTS,
+    windows: int = SAMPLE_WINDOWS, steps: int = STEPS, others: list[bytes] | None = None,
 ) -> tuple[Network, list[str]] | None:
-    """Network and its languages, from a bounded sample; None when no row can be learned from."""
-    sample = learning_sample(docs, id_col, text_col, lang_col, documents, windows)
-    return trained(sample, steps) if sample else None
+    """Network and its languages, from all labelled rows; None when there are none. Windows of ``others`` make one more output.
+
+    ``documents``, ``windows`` and ``steps`` are those of its start.
+    """
+    rows = labelled(docs, id_col, text_col, lang_col)
+    counts = language_counts(rows)
+    if not counts:
+        return None
+    net, names = trained(learning_sample(rows, counts, documents, windows), steps, others)
+    balance = np.array([sum(w for _, w in counts.values()) / (len(names) * counts[name][1]) for name in names])
+    shards = -(-sum(n for n, _ in counts.values()) // SHARD_ROWS)
+    order = F.xxhash64("_id")
+    dealt = rows.select(F.pmod(order, F.lit(shards)).cast("int").alias("_shard"), "_lang", "_text", order.alias("_order"))
+    dealt = dealt.repartitionById(shards, F.col("_shard")).sortWithinPartitions("_shard", "_order", "_text")
+    learned = dealt.select("_shard", "_lang", "_text").mapInArrow(_shard_networks(net, names, balance, others), "windows long, weights array<double>")
+    parts = staged_in_batches(learned, "language-shards", TEXTS_AT_ONCE)
+    each = parts.select("windows", F.posexplode("weights").alias("at", "weight")).groupBy("at")
+    mean = each.agg((F.sum(F.col("windows") * F.col("weight")) / F.sum("windows")).alias("weight")).collect()  # one row per weight of the network
+    return net.copy(np.array([weight for _, weight in sorted(tuple(r) for r in mean)])), names
+
+
+class Learner:
+    """A network that learns from windows as they come, STEP_WINDOWS at a step, however they are brought."""
+
+    def __init__(self, start: Network, balance: np.ndarray, others: list[bytes] | None):
+        self.net = start.copy()
+        self.adam, self.balance, self.windows = Adam(self.net), balance.astype(np.float32), 0
+        self.others = [part.T for part in _laid_out(others)] if others else None
+        self.waiting = (np.empty((WINDOW, 0), np.uint8), np.empty((WINDOW, 0), bool), np.empty(0, np.int64))
+
+    def add(self, *some: np.ndarray) -> None:
+        """(steps, windows) bytes, which of them are inside, and the labels of the windows."""
+        self.waiting = tuple(np.concatenate(two, axis=-1) for two in zip(self.waiting, some))
+        while len(self.waiting[2]) >= STEP_WINDOWS:
+            self._step(*(x[..., :STEP_WINDOWS] for x in self.waiting))
+            self.waiting = tuple(x[..., STEP_WINDOWS:] for x in self.waiting)
+
+    def _step(self, text: np.ndarray, inside: np.ndarray, labels: np.ndarray) -> None:
+        weight = self.balance[labels]
+        if self.others is not None:
+            pick = (self.windows // STEP_WINDOWS * OTHERS_AT_ONCE + np.arange(OTHERS_AT_ONCE)) % self.others[0].shape[1]
+            text, inside = (np.concatenate([x, y[:, pick]], axis=1) for x, y in zip((text, inside), self.others))
+            weight = np.append(weight, np.full(OTHERS_AT_ONCE, len(labels) / (len(self.balance) * OTHERS_AT_ONCE), np.float32))
+        self.windows += len(labels)
+        labels = np.append(labels, np.full(text.shape[1] - len(labels), len(self.balance)))
+        self.adam.step(self.net.gradients(np.ascontiguousarray(text), inside.astype(np.float32), labels, weight)[1], PASS_RATE)
+
+    def done(self) -> pa.RecordBatch:
+        if len(self.waiting[2]):
+            self._step(*self.waiting)
+        return pa.RecordBatch.from_arrays([pa.array([self.windows], pa.int64()), pa.array([self.net.flat()], pa.list_(pa.float64()))], names=["windows", "weights"])
+
+
+def _shard_networks(start: Network, names: list[str], balance: np.ndarray, others: list[bytes] | None):
+    """Task side: the network of each shard after all windows of its texts (shard, lang, text); rows come shard by shard, in order."""
+    place = {name: k for k, name in enumerate(names)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, learner = None, None
+        for batch in batches:
+            for part in in_slices(batch, 2):
+                shards = part.column(0).to_numpy()
+                edges = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+                for low, high in zip(edges, edges[1:]):
+                    if shards[low] != current:
+                        if learner is not None:
+                            yield learner.done()
+                        current, learner = shards[low], Learner(start, balance, others)
+                    some = part.slice(low, high - low)
+                    labels = np.array([place[name] for name in some.column(1).to_pylist()])
+                    for owner, text, inside in _windows(some.column(2)):
+                        learner.add(text, inside, labels[owner])
+        if learner is not None:
+            yield learner.done()
+
+    return run
 
 
 def trained(sample: dict[str, list[tuple[int, bytes]]], steps: int, others: list[bytes] | None = None) -> tuple[Network, list[str]]:
@@ -259,34 +387,48 @@ def no_language(count: int, seed: int = 7) -> list[bytes]:
     return out
 
 
-def score_floors(model: tuple[Network, list[str]], sample: dict[str, list[tuple[int, bytes]]]) -> list[tuple[int, float]]:
-    """(bytes, floor): texts of so many bytes and more need that score, a third of what 99 of 100 sample texts of the length reach."""
+def score_floors(model: tuple[Network, list[str]], rows: DataFrame) -> list[tuple[int, float]]:
+    """(bytes, floor): texts of so many bytes and more need that score, a third of what 99 of 100 labelled texts reach by so many first bytes.
+
+    All labelled rows that have as many bytes count; their scores are counted in SCORE_STEPS steps.
+    """
     net, names = model
-    texts: dict[tuple[str, int], bytes] = {}
-    for name in names:
-        for draw, cut in sample[name]:
-            texts[name, draw] = texts.get((name, draw), b"") + cut
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [text.encode()[:LENGTHS[-1]] for text in batch.column(0).to_pylist()]
+            for size in LENGTHS:
+                cuts = [t[:size] for t in texts if len(t) >= size and _LETTER[np.frombuffer(t[:size], dtype=np.uint8)].any()]
+                if cuts:
+                    best = document_probabilities(net, pa.array(cuts, pa.binary()))[:, :len(names)].max(axis=1)
+                    steps, n = np.unique((best * SCORE_STEPS).astype(int), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([size] * len(n), pa.int32()), pa.array(steps, pa.int32()), pa.array(n, pa.int64())], names=["size", "step", "n"])
+
+    first = rows.select(F.substring("_text", 1, LENGTHS[-1]).alias("_text"))  # characters, so as many bytes or more
+    counted = first.mapInArrow(run, "size int, step int, n long").groupBy("size", "step").agg(F.sum("n").alias("n")).collect()  # a row per length and step
     out = []
     for size in LENGTHS:
-        cuts = [t[:size] for t in texts.values() if len(t) >= size and _LETTER[np.frombuffer(t[:size], dtype=np.uint8)].any()]
-        if cuts:
-            best = document_probabilities(net, pa.array(cuts, pa.binary()))[:, :len(names)].max(axis=1)
-            out.append((size, float(np.quantile(best, LOW_SHARE)) / 3))
+        mine = sorted((r["step"], r["n"]) for r in counted if r["size"] == size)
+        if mine:
+            below = np.cumsum([n for _, n in mine])
+            out.append((size, mine[int(np.searchsorted(below, LOW_SHARE * below[-1]))][0] / SCORE_STEPS / 3))
     return out
 
 
-def with_language(docs: DataFrame, model: tuple[Network, list[str]] | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_lang_pred`` and ``_lang_score`` behind its own columns.
+def with_language(docs: DataFrame, model: tuple[Network, list[str]] | None, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with ``_lang_pred`` and ``_lang_score`` behind its own columns; without ``keep_text`` its texts are not stored again.
 
     Null texts, texts without a letter, and all texts where there was nothing to learn from, are ``und`` with score
     0. Ties go to the language first by name. Whole texts are read; a task holds one Arrow batch.
     """
     width = len(docs.columns)
-    schema = T.StructType([*docs.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_lang_score", T.DoubleType())])
+    kept = [i for i, c in enumerate(docs.columns) if keep_text or c != text_col]
+    schema = T.StructType([*(docs.schema.fields[i] for i in kept), T.StructField("_lang_pred", T.StringType()), T.StructField("_lang_score", T.DoubleType())])
     place = docs.columns.index(text_col)
     ready = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.col(f"`{text_col}`").rlike(r"\p{L}"), F.lit(False)).alias("_read"))
     if model is None:
-        return ready.withColumn("_lang_pred", F.lit(UNKNOWN)).withColumn("_lang_score", F.lit(0.0)).drop("_read")
+        plain = ready.select(*[F.col(f"`{docs.columns[i]}`") for i in kept])
+        return plain.withColumn("_lang_pred", F.lit(UNKNOWN)).withColumn("_lang_score", F.lit(0.0))
     net, names = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,8 +438,8 @@ def with_language(docs: DataFrame, model: tuple[Network, list[str]] | None, text
             score = np.clip(p[np.arange(len(best)), best], 0.0, 1.0)
             known = batch.column(width).to_numpy(zero_copy_only=False)
             labels = [names[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist())]
-            columns = [*batch.columns[:width], pa.array(labels, pa.string()), pa.array(np.where(known, score, 0.0), pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:width], "_lang_pred", "_lang_score"])
+            columns = [*(batch.column(i) for i in kept), pa.array(labels, pa.string()), pa.array(np.where(known, score, 0.0), pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[i] for i in kept), "_lang_pred", "_lang_score"])
 
     return staged_in_batches(ready.mapInArrow(run, schema), "language-read", TEXTS_AT_ONCE)
 
@@ -309,7 +451,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     held out; a null lang is not learned from. An empty table gives no rows.
     """
     model = fit(docs, id_col, text_col, lang_col, **settings)
-    read = with_language(docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")), model, "_text")
+    read = with_language(docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")), model, "_text", keep_text=False)
     return read.select(F.col("_id").alias(id_col), held_out(F.col("_id")).alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score"))
 
 
@@ -322,12 +464,11 @@ def known_language(
     ``und`` rows go, and scores below ``least`` or below the floor of the text's length. The network here has one output
     more, for what is no language, so such texts score low. Where nothing can be learned, all rows with a letter stay.
     """
-    sample = learning_sample(docs, id_col, text_col, lang_col, documents, windows)
-    if not sample:
+    model = fit(docs, id_col, text_col, lang_col, documents, windows, steps, no_language(documents * windows))
+    if model is None:
         return docs.where(F.col(f"`{text_col}`").rlike(r"\p{L}"))
-    model = trained(sample, steps, no_language(documents * windows))
     floor = F.lit(least)
-    for size, score in score_floors(model, sample):
+    for size, score in score_floors(model, labelled(docs, id_col, text_col, lang_col)):
         floor = F.when(F.octet_length(F.col(f"`{text_col}`")) >= size, F.lit(max(least, score))).otherwise(floor)
     read = with_language(docs, model, text_col)
     return read.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= floor)).select(*[F.col(f"`{c}`") for c in docs.columns])

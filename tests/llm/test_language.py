@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyflow.llm import language
 from tallyflow.llm.language import Network, document_probabilities, identify, known_language
@@ -122,3 +123,22 @@ def test_texts_of_no_language_go(spark):
 def test_letters_stay_where_nothing_can_be_learned(spark):
     docs = documents(spark, [(1, "abc", None, None), (2, "12", None, None), (3, None, None, None)])
     assert [r.doc_id for r in known_language(docs).collect()] == [1]
+
+
+def test_all_labelled_texts_are_learned_from_whole(spark, rows, monkeypatch):
+    docs = documents(spark, rows)
+    monkeypatch.setattr(language, "SHARD_ROWS", 50)
+    seen, stage = [], language.staged_in_batches
+    monkeypatch.setattr(language, "staged_in_batches", lambda df, *rest: seen.append(stage(df, *rest)) or seen[-1])
+    learn = lambda df: language.fit(df, documents=5, steps=20)[0].flat()
+    one = learn(docs)
+    taught = [t for i, t, lang, _ in rows if i is not None and zlib.crc32(str(i).encode()) % 4 != 2 and lang and any(c.isalpha() for c in t or "")]
+    assert sum(r.windows for r in seen[0].collect()) == sum(-(-len(t.encode()) // language.WINDOW) for t in taught)
+    assert seen[0].count() > 1  # shards
+    assert learn(docs.repartition(5)) == pytest.approx(one, abs=1e-5)
+    # texts outside the sample of the start get other ends
+    labelled = language.labelled(docs, "doc_id", "text", "lang")
+    sample = language.learning_sample(labelled, language.language_counts(labelled), 5, language.SAMPLE_WINDOWS)
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(2**30)).isin([draw for some in sample.values() for draw, _ in some])
+    other = docs.withColumn("text", F.when(drawn | (F.octet_length("text") % language.WINDOW > 40), F.col("text")).otherwise(F.concat("text", F.lit(" qqqqqq"))))
+    assert abs(learn(other) - one).max() > 1e-4
