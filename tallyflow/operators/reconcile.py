@@ -11,6 +11,7 @@ from ..functions.joins import keyed_join, skew_join
 from ..functions.keys import surrogate_key
 from ..functions.money import amount_of, total_amount, total_quantity
 from ..schemas import AMOUNT, PRICE, TOTAL_QUANTITY
+from ..session import stage
 from .pricing import with_rate
 
 EVENT_COLUMNS = ("event_id", "event_date", "customer_id", "product_id", "unit", "quantity", "load_ts")
@@ -31,7 +32,8 @@ def late_events(events: DataFrame, invoices: DataFrame, customers: DataFrame) ->
     )
     # Nothing loaded before the first invoice was issued can be late: cut it before the shuffle.
     first_issue = issued.agg(F.min("issued_ts")).scalar()
-    stamped = events.where(F.col("load_ts") > first_issue).select(*EVENT_COLUMNS)
+    # Staged, as the skew join reads it twice: ``events`` may be a whole batch that is still to be deduplicated.
+    stamped = stage(events.where(F.col("load_ts") > first_issue).select(*EVENT_COLUMNS), "stamped")
     joined = skew_join(stamped, periods, ["customer_id"], ["event_id"], late)
     return joined.select(
         "event_id", "event_date", "customer_id", "product_id", "quantity", "unit", "invoice_id", "customer_sk",

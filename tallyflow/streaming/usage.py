@@ -235,7 +235,8 @@ def _accepted(lake: lk.Lake, batch: DataFrame, epoch: int, products: Sequence[st
     classified = parse.classify_usage(batch, products or ())
     if products is None:
         classified = classified.withColumn("error_reason", F.when(F.col("error_reason") != "unknown_product", F.col("error_reason")))
-    classified = stage(classified, "stream-batch")
+    # Only the quarantine takes payloads.
+    classified = stage(classified.withColumn("payload", F.when(F.col("error_reason").isNotNull(), F.col("payload"))), "stream-batch")
     rejects = parse.quarantined(classified).withColumn("batch_id", F.concat_ws("-", "batch_id", F.lit(str(epoch))))
     lake.replace_values(lk.QUARANTINE, rejects, [r[0] for r in rejects.select("batch_id").distinct().collect()])
     return parse.accepted(classified)

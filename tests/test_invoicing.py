@@ -97,6 +97,15 @@ def late_setting(spark):
     return people, catalog, headers, lines, happened.unionByName(after)
 
 
+def test_late_events_read_their_events_once(spark):
+    people, _, headers, _, everything = late_setting(spark)
+    read = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: read.add(1) or x).asNondeterministic()
+    late = reconcile.late_events(everything.withColumn("customer_id", seen("customer_id")), headers, people)
+    assert rows(late.select("event_id")) == [("l1",), ("l2",)]
+    assert read.value <= everything.count()
+
+
 def test_late_events_are_found_once(spark):
     people, catalog, headers, lines, everything = late_setting(spark)
     late = reconcile.late_events(everything, headers, people)
