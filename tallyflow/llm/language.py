@@ -30,14 +30,18 @@ STEPS, BATCH, RATE = 350, 128, 0.02
 SHARD_ROWS, STEP_WINDOWS, PASS_RATE = 8_000, 512, 0.001
 #: Windows of no language in each step, where the network learns them.
 OTHERS_AT_ONCE = 64
-#: Windows computed at once.
-AT_ONCE = 2048
+#: Windows computed at once; their states fit a core's cache.
+AT_ONCE = 512
 #: Texts that a Python worker holds at once.
 TEXTS_AT_ONCE = 2_000
 UNKNOWN = "und"
 #: Bytes of text for which the least score of a language is learned, and the share of clean texts that may lie below
 #: three times that score.
 LENGTHS, LOW_SHARE = (8, 16, 32, 64, 128, 256, 512), 0.01
+#: Steps whose inputs are fetched at once.
+STEPS_AT_ONCE = 8
+#: What stands for a byte outside of the text, and symbols in all.
+OUTSIDE, SYMBOLS = 256, 257
 #: Scores are counted in so many steps.
 SCORE_STEPS = 10_000
 
@@ -63,43 +67,11 @@ class Network:
         self.weights["o"] = 0.3 * normal(languages, 2 * hidden)
         self.weights["p"] = np.zeros((languages, 1), dtype=np.float32)
 
-    def states(self, text: np.ndarray, mask: np.ndarray | None, way: str, trace: list | None = None) -> np.ndarray:
-        """States (steps, hidden, windows) of one direction; ``text`` is (steps, windows), states stay 0 off the mask."""
-        k, (steps, n) = self.hidden, text.shape
-        wx, wh, c = (self.weights[name + way] for name in "xhc")
-        out = np.empty((steps, k, n), dtype=wx.dtype)
-        h = np.zeros((k, n), dtype=wx.dtype)
-        for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
-            g = wx.take(text[t], axis=1)
-            u = wh @ h
-            zr = g[:2 * k] + u[:2 * k]
-            np.tanh(zr, out=zr)
-            zr *= 0.5
-            zr += 0.5
-            back = u[2 * k:] + c
-            a = back * zr[k:]
-            a += g[2 * k:]
-            np.tanh(a, out=a)
-            new = out[t]
-            np.subtract(h, a, out=new)
-            new *= zr[:k]
-            new += a
-            if mask is not None:
-                new *= mask[t]
-            if trace is not None:
-                trace.append((t, h, zr, back, a))
-            h = new
-        return out
-
-    def probabilities(self, text: np.ndarray, mask: np.ndarray | None, traces: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(steps, languages, windows) probabilities of every position, and the states of both directions."""
-        both = np.concatenate([self.states(text, mask, w, traces[i] if traces else None) for i, w in enumerate("fb")], axis=1)
-        p = self.weights["o"] @ both
-        p += self.weights["p"]
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        return p, both
+    def states(self, text: np.ndarray, mask: np.ndarray | None, way: str) -> np.ndarray:
+        """States (steps, hidden, windows) of one direction; ``text`` is (steps, windows), states are 0 off the mask."""
+        both = Passes(self).states(text, mask)
+        out = both[:, 0] if way == "f" else both[::-1, 1]
+        return out.transpose(0, 2, 1) if mask is None else out.transpose(0, 2, 1) * mask[:, None, :]
 
     def copy(self, flat: np.ndarray | None = None) -> Network:
         """A network of the same shape, with the weights of ``flat`` where given."""
@@ -114,44 +86,166 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([self.weights[name].ravel() for name in sorted(self.weights)])
 
+    def gradients(self, text: np.ndarray, mask: np.ndarray, labels: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
+        """``Passes.gradients`` of one batch."""
+        return Passes(self).gradients(text, mask, labels, weight)
+
+
+class Passes:
+    """What a network reads in windows, and its gradients. The arrays are kept and used again for the next windows.
+
+    Both directions go at once: step s reads place s forwards and place -1 - s backwards. Hidden units run along the last
+    axis, so that the input of a byte is one row. A mask is the first bytes of each window. Off the mask stands OUTSIDE,
+    whose rows leave a state of 0 at 0, so the backward direction starts where the text ends; the forward one runs on behind it, where nothing counts.
+    """
+
+    def __init__(self, net: Network):
+        self.net, self.kept = net, {}
+
+    def _array(self, name: str, *shape: int) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.kept or self.kept[name].size < size:
+            self.kept[name] = np.empty(size, self.net.weights["o"].dtype)
+        return self.kept[name][:size].reshape(shape)
+
+    def _weights(self) -> tuple[np.ndarray, np.ndarray]:
+        """Input rows of both directions' symbols by gate, (3, 2 * SYMBOLS, hidden), and recurrent weights (3, 2, hidden in, hidden out)."""
+        w, k = self.net.weights, self.net.hidden
+        rows = np.zeros((3, 2, SYMBOLS, k), w["o"].dtype)
+        rows[1, :, OUTSIDE] = -40.0  # closes gate r
+        for i, way in enumerate("fb"):
+            rows[:, i, :256] = w["x" + way].reshape(3, k, 256).transpose(0, 2, 1)
+        recurrent = np.stack([w["h" + way].reshape(3, k, k) for way in "fb"], axis=1)
+        return rows.reshape(3, 2 * SYMBOLS, k), np.ascontiguousarray(recurrent.transpose(0, 1, 3, 2))
+
+    def states(self, text: np.ndarray, mask: np.ndarray | None, trace: bool = False) -> np.ndarray:
+        """States (steps, direction, windows, hidden) after each step; ``trace`` keeps what gradients need."""
+        k, (steps, n) = self.net.hidden, text.shape
+        rows, recurrent = self._weights()
+        bias = self._array("bias", 2, n, k)
+        bias[:] = np.stack([self.net.weights["c" + way].T for way in "fb"])
+        symbols = np.empty((steps, 2, n), dtype=np.intp)
+        symbols[:, 0] = text
+        if mask is not None:
+            np.copyto(symbols[:, 0], OUTSIDE, where=mask == 0)
+        np.add(symbols[::-1, 0], SYMBOLS, out=symbols[:, 1])
+        states, sums = self._array("states", steps + 1, 2, n, k), self._array("sums", 3, 2, n, k)
+        gates, backs = self._traced(steps, n) if trace else (self._array("gates", 3, min(steps, STEPS_AT_ONCE), 2, n, k), None)
+        states[0], sums_zr, sums_n, half = 0, sums[:2], sums[2], np.full((), 0.5, states.dtype)
+        for low in range(0, steps, STEPS_AT_ONCE):
+            some = symbols[low:low + STEPS_AT_ONCE]
+            here = gates[:, low:low + len(some)] if trace else gates[:, :len(some)]
+            for gate in range(3):
+                rows[gate].take(some, axis=0, out=here[gate], mode="clip")
+            for t, (zr, a) in enumerate(zip(here[:2].swapaxes(0, 1), here[2]), low):
+                h, new, back = states[t], states[t + 1], backs[t] if trace else sums_n
+                np.matmul(h, recurrent, out=sums)
+                zr += sums_zr
+                np.tanh(zr, out=zr)
+                zr *= half
+                zr += half
+                np.add(sums_n, bias, out=back)
+                np.multiply(back, zr[1], out=sums_n)
+                a += sums_n
+                np.tanh(a, out=a)
+                np.subtract(h, a, out=new)
+                new *= zr[0]
+                new += a
+        self.symbols = symbols
+        return states[1:]
+
+    def _traced(self, steps: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Gates z, r and n of each step, and the recurrent part of n."""
+        return self._array("gates", 3, steps, 2, n, self.net.hidden), self._array("backs", steps, 2, n, self.net.hidden)
+
+    def probabilities(self, text: np.ndarray, mask: np.ndarray | None, trace: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(steps, languages, windows) probabilities of every position, and the states."""
+        k, (steps, n), w = self.net.hidden, text.shape, self.net.weights
+        both = self.states(text, mask, trace)
+        p, other = (self._array(name, steps, self.net.languages, n) for name in ("p", "other"))
+        np.matmul(w["o"][:, :k], both[:, 0].transpose(0, 2, 1), out=p)
+        np.matmul(w["o"][:, k:], both[::-1, 1].transpose(0, 2, 1), out=other)
+        p += other
+        p += w["p"]
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(axis=1, keepdims=True)
+        return p, both
+
     def gradients(self, text: np.ndarray, mask: np.ndarray, labels: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross-entropy over all positions of the mask, and its gradient by backpropagation through time.
 
         ``weight`` is what a position of each window counts.
         """
-        k, n = self.hidden, len(labels)
-        traces: tuple[list, list] = ([], [])
-        p, both = self.probabilities(text, mask, traces)
+        k, (steps, n), w = self.net.hidden, text.shape, self.net.weights
+        d, both = self.probabilities(text, mask, True)
+        (gates, backs), states = self._traced(steps, n), self._array("states", steps + 1, 2, n, k)
         share = mask if weight is None else mask * weight
         count = share.sum()
-        right = p[:, labels, np.arange(n)]
-        loss = float(-(np.log(np.maximum(right, 1e-30)) * share).sum() / count)
-        d = p.copy()
-        d[:, labels, np.arange(n)] -= 1
+        truth = (labels == np.arange(self.net.languages)[:, None]).astype(d.dtype)
+        loss = float(-(np.log(np.maximum(np.einsum("tln,ln->tn", d, truth), 1e-30)) * share).sum() / count)
+        d -= truth
         d *= (share / count)[:, None, :]
-        grads = {name: np.zeros_like(w) for name, w in self.weights.items()}
-        grads["o"] = np.einsum("tln,thn->lh", d, both, optimize=True)
-        grads["p"] = d.sum(axis=(0, 2))[:, None]
-        above = self.weights["o"].T @ d
+        grads = {"p": d.sum(axis=(0, 2))[:, None]}
+        grads["o"] = np.concatenate([np.matmul(d, both[:, 0]).sum(axis=0), np.matmul(d[::-1], both[:, 1]).sum(axis=0)], axis=1)
+        ahead, behind = d.transpose(0, 2, 1), d[::-1].transpose(0, 2, 1)
+        # of the half-scale inputs of z and r: 0.5 + 0.5 tanh has the derivative 2 z (1 - z); the 2 is put in where they are summed
+        twice = np.array([2, 2, 1], w["o"].dtype)[:, None, None]
+        recurrent = np.stack([w["h" + way].reshape(3, k, k) for way in "fb"], axis=1) * twice[:, None]
+        sums, dh, carried = (self._array(name, *shape, 2, n, k) for name, shape in (("sums", (3,)), ("dh", ()), ("carried", ())))
+        one, every, most = np.ones((), d.dtype), np.ones(n, d.dtype), min(steps, STEPS_AT_ONCE)
+        weights, biases = np.zeros((3, 2, k, k), d.dtype), np.zeros((2, k), d.dtype)
+        dh[:] = 0
+        for low in reversed(range(0, steps, STEPS_AT_ONCE)):
+            z, r, a = gates[:, low:low + most]
+            back, above, of_z, of_r = backs[low:low + most], *(self._array(name, most, 2, n, k)[:len(a)] for name in ("above", "of_z", "of_r"))
+            np.matmul(ahead[low:low + most], w["o"][:, :k], out=above[:, 0])
+            np.matmul(behind[low:low + most], w["o"][:, k:], out=above[:, 1])
+            # what the gradient of a state gives for z (half), n, and from there r (half)
+            np.subtract(one, z, out=of_r)
+            np.subtract(states[low:low + len(a)], a, out=of_z)
+            of_z *= of_r
+            of_z *= z
+            a *= a
+            np.subtract(one, a, out=a)
+            a *= of_r
+            np.subtract(one, r, out=of_r)
+            of_r *= r
+            of_r *= back
+            for i in range(len(a) - 1, -1, -1):
+                dh += above[i]
+                np.multiply(dh, z[i], out=carried)
+                np.multiply(of_z[i], dh, out=z[i])
+                np.multiply(a[i], dh, out=back[i])  # of the input of n
+                np.multiply(back[i], r[i], out=a[i])  # of its recurrent part
+                np.multiply(of_r[i], back[i], out=r[i])
+                np.matmul(gates[:, low + i], recurrent, out=sums)
+                np.add(sums[0], sums[1], out=dh)
+                dh += sums[2]
+                dh += carried
+            weights += np.matmul(gates[:, low:low + most].swapaxes(-1, -2), states[low:low + len(a)]).sum(axis=1)
+            biases += np.matmul(every, a).sum(axis=0)
+        weights *= twice[:, None]
+        inputs = self._by_symbol([gates[0], gates[1], backs]) * twice
         for i, way in enumerate("fb"):
-            wh = self.weights["h" + way]
-            inputs = np.empty((3 * k, len(text), n), dtype=wh.dtype)
-            dh = np.zeros((k, n), dtype=wh.dtype)
-            for t, h, zr, back, a in reversed(traces[i]):
-                z, r = zr[:k], zr[k:]
-                dh = (dh + above[t, i * k:(i + 1) * k]) * mask[t]
-                da = dh * (1 - z) * (1 - a * a)
-                dz = dh * (h - a) * 2 * z * (1 - z)  # of the half-scale input: derivative of 0.5 + 0.5 tanh
-                dr = da * back * 2 * r * (1 - r)
-                du = np.concatenate([dz, dr, da * r])
-                inputs[:k, t], inputs[k:2 * k, t], inputs[2 * k:, t] = dz, dr, da
-                grads["h" + way] += du @ h.T
-                grads["c" + way] += (da * r).sum(axis=1, keepdims=True)
-                dh = dh * z + wh.T @ du
-            at = text.ravel()
-            grads["x" + way] = np.stack([np.bincount(at, row.ravel(), 256) for row in inputs]).astype(wh.dtype)
+            grads["h" + way] = weights[:, i].reshape(3 * k, k)
+            grads["c" + way] = biases[i][:, None]
+            grads["x" + way] = inputs[:, i * SYMBOLS:i * SYMBOLS + 256].transpose(0, 2, 1).reshape(3 * k, 256)
         return loss, grads
 
+    def _by_symbol(self, gates: list[np.ndarray]) -> np.ndarray:
+        """(3, 2 * SYMBOLS, hidden) sums of three (steps, direction, windows, hidden) by symbol and direction."""
+        k, keys = self.net.hidden, self.symbols.ravel().astype(np.uint16)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
+        out, ones, some = np.zeros((3, 2 * SYMBOLS, k), gates[0].dtype), np.ones(int(np.diff(edges).max()), gates[0].dtype), self._array("some", 3, len(keys), k)
+        for gate in range(3):
+            gates[gate].reshape(-1, k).take(order, axis=0, out=some[gate], mode="clip")
+        for key, low, high in zip(keys[edges[:-1]].tolist(), edges[:-1].tolist(), edges[1:].tolist()):
+            np.matmul(ones[:high - low], some[:, low:high], out=out[:, key])
+        return out
+
 
 class Adam:
     """Steps of a network against its gradients."""
@@ -177,11 +271,11 @@ def train(windows: list[bytes], labels: np.ndarray, languages: int, steps: int =
     net, draw = Network(languages, seed=seed), np.random.default_rng(seed)
     text, mask = _laid_out(windows)
     of = [np.flatnonzero(labels == k) for k in range(languages)]
-    adam = Adam(net)
+    adam, passes = Adam(net), Passes(net)
     for step in range(1, steps + 1):
         pick = np.concatenate([draw.choice(members, max(1, batch // languages)) for members in of])
         some, kept = np.ascontiguousarray(text[pick].T), np.ascontiguousarray(mask[pick].T.astype(np.float32))
-        adam.step(net.gradients(some, kept, labels[pick])[1], rate * min(1.0, 2.0 * (1 - step / (steps + 1))))
+        adam.step(passes.gradients(some, kept, labels[pick])[1], rate * min(1.0, 2.0 * (1 - step / (steps + 1))))
     return net
 
 
@@ -201,27 +295,29 @@ def _windows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         column = column.fill_null(b"")
     _, places, values = column.buffers()
     offsets = np.frombuffer(places, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
-    data = np.frombuffer(values, dtype=np.uint8) if values is not None else np.empty(0, dtype=np.uint8)
-    parts = -(-np.diff(offsets) // WINDOW)
+    data = np.frombuffer(values, dtype=np.uint8)[offsets[0]:offsets[-1]] if values is not None else np.empty(0, dtype=np.uint8)
+    cuts = np.lib.stride_tricks.sliding_window_view(np.append(data, np.zeros(WINDOW, dtype=np.uint8)), WINDOW)
+    offsets, sizes = offsets - offsets[0], np.diff(offsets)
+    parts = -(-sizes // WINDOW)
     ends = np.cumsum(parts)
-    ranks, steps = np.arange(len(column)), np.arange(WINDOW)
+    ranks, steps = np.arange(len(column)), np.arange(WINDOW, dtype=np.int16)[:, None]
     for low in range(0, int(ends[-1]) if len(ends) else 0, AT_ONCE):
         number = np.arange(low, min(low + AT_ONCE, int(ends[-1])))
         owner = ranks[np.searchsorted(ends, number, "right")]
-        start = offsets[owner] + (number - (ends[owner] - parts[owner])) * WINDOW
-        at = start[None, :] + steps[:, None]
-        yield owner, data[np.minimum(at, len(data) - 1)], at < offsets[owner + 1][None, :]
+        place = (number - (ends[owner] - parts[owner])) * WINDOW
+        lengths = np.minimum(sizes[owner] - place, WINDOW).astype(np.int16)
+        yield owner, np.ascontiguousarray(cuts[offsets[owner] + place].T), steps < lengths
 
 
 def document_probabilities(net: Network, column: pa.Array) -> np.ndarray:
     """(texts, languages): mean position probabilities over letter bytes; zeros where there are none."""
-    total, weight = np.zeros((len(column), net.languages)), np.zeros(len(column))
+    total, weight, passes = np.zeros((len(column), net.languages)), np.zeros(len(column)), Passes(net)
     for owner, text, inside in _windows(column):
         full = inside.all()
         mask = None if full else inside.astype(np.float32)
-        p, _ = net.probabilities(text, mask)
+        p, _ = passes.probabilities(text, mask)
         letters = _LETTER[text] if full else _LETTER[text] * mask
-        np.add.at(total, owner, np.einsum("tln,tn->nl", p, letters))
+        np.add.at(total, owner, np.einsum("tln,tn->ln", p, letters).T)
         np.add.at(weight, owner, letters.sum(axis=0))
     return total / np.maximum(weight, 1)[:, None]
 
@@ -308,7 +404,7 @@ class Learner:
 
     def __init__(self, start: Network, balance: np.ndarray, others: list[bytes] | None):
         self.net = start.copy()
-        self.adam, self.balance, self.windows = Adam(self.net), balance.astype(np.float32), 0
+        self.adam, self.passes, self.balance, self.windows = Adam(self.net), Passes(self.net), balance.astype(np.float32), 0
         self.others = [part.T for part in _laid_out(others)] if others else None
         self.waiting = (np.empty((WINDOW, 0), np.uint8), np.empty((WINDOW, 0), bool), np.empty(0, np.int64))
 
@@ -327,7 +423,7 @@ class Learner:
             weight = np.append(weight, np.full(OTHERS_AT_ONCE, len(labels) / (len(self.balance) * OTHERS_AT_ONCE), np.float32))
         self.windows += len(labels)
         labels = np.append(labels, np.full(text.shape[1] - len(labels), len(self.balance)))
-        self.adam.step(self.net.gradients(np.ascontiguousarray(text), inside.astype(np.float32), labels, weight)[1], PASS_RATE)
+        self.adam.step(self.passes.gradients(np.ascontiguousarray(text), inside.astype(np.float32), labels, weight)[1], PASS_RATE)
 
     def done(self) -> pa.RecordBatch:
         if len(self.waiting[2]):

@@ -1,5 +1,6 @@
 import base64
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -142,3 +143,30 @@ def test_all_labelled_texts_are_learned_from_whole(spark, rows, monkeypatch):
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(2**30)).isin([draw for some in sample.values() for draw, _ in some])
     other = docs.withColumn("text", F.when(drawn | (F.octet_length("text") % language.WINDOW > 40), F.col("text")).otherwise(F.concat("text", F.lit(" qqqqqq"))))
     assert abs(learn(other) - one).max() > 1e-4
+
+
+def test_passes_use_their_arrays_again():
+    draw = np.random.default_rng(3)
+    net, letters = Network(4), draw.integers(32, 128, (language.WINDOW, 512)).astype(np.uint8)
+    mask = (np.arange(language.WINDOW)[:, None] < draw.integers(1, language.WINDOW + 1, 512)).astype(np.float32)
+    labels, weight = np.arange(512) % 4, draw.uniform(0.5, 2, 512).astype(np.float32)
+    passes = language.Passes(net)
+    passes.gradients(letters, mask, labels, weight)
+    tracemalloc.start()
+    loss, grads = passes.gradients(letters, mask, labels, weight)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 6e6  # a trace alone has 10 MB
+    # fewer windows in between, and a changed network: as with new arrays
+    part, _ = passes.gradients(letters[:, :100], mask[:, :100], labels[:100])
+    assert part == net.gradients(letters[:, :100], mask[:, :100], labels[:100])[0]
+    again, same = passes.gradients(letters, mask, labels, weight)
+    assert again == loss and all((grads[name] == same[name]).all() for name in grads)
+    net.weights["hf"] *= 0.5
+    assert passes.gradients(letters, mask, labels, weight)[0] == net.gradients(letters, mask, labels, weight)[0] != loss
+
+
+def test_windows_of_a_slice_hold_its_bytes_alone():
+    texts = ["a" * 70, None, "", "b" * 64, "é" * 40, "c"]
+    got = [(int(o), bytes(text[inside[:, i], i])) for owner, text, inside in language._windows(pa.array(["x" * 1000, *texts]).slice(1, 5)) for i, o in enumerate(owner)]
+    assert got == [(0, b"a" * 64), (0, b"a" * 6), (3, b"b" * 64), (4, "é".encode() * 32), (4, "é".encode() * 8)]
