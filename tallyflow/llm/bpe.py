@@ -8,10 +8,11 @@ Each match of the splitting pattern is encoded by itself; ids decode by looking
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -83,43 +84,57 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
 
 
 class Codec:
-    """Encoder and decoder of one task."""
+    """Encoder and decoder of one task.
 
-    def __init__(self, model: bytes, tokens: Sequence[bytes], pattern: str):
+    What a piece gives is remembered by kind, as much of it as ``kinds`` names: its ids as 32-bit numbers, the same as decimals joined
+    by commas (written), and the bytes that they decode to (decoded). A text's are its pieces' put together.
+    """
+
+    def __init__(self, model: bytes, tokens: Sequence[bytes], pattern: str, kinds: Sequence[str] = ("ids", "written")):
         import regex
         import sentencepiece
 
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.tokens = tokens
+        self.tokens, self.decimals = tokens, [str(i) for i in range(self.processor.get_piece_size())]
         self.split = regex.compile(pattern).findall
-        self.letters = {b: c for b, c in enumerate(byte_characters()) if chr(b) != c}
-        self.cache: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.letters = "".join(byte_characters())
+        self.cache: dict[str, dict] = {kind: {} for kind in kinds}
 
-    def _learn(self, pieces: list[str], into: dict) -> None:
+    def _learn(self, pieces: list[str], into: dict[str, dict]) -> None:
         for at in range(0, len(pieces), ENCODE_AT_ONCE):
             some = pieces[at:at + ENCODE_AT_ONCE]
-            mapped = [p.encode().decode("latin-1").translate(self.letters) for p in some]
-            for piece, ids in zip(some, self.processor.encode(mapped, num_threads=1)):
-                into[piece] = (tuple(ids), ",".join(map(str, ids)))
+            # all at once: a call of the library starts a thread; byte FF is in no UTF-8 and stands for itself
+            mapped = codecs.charmap_decode(b"\xff".join([p.encode() for p in some]), "strict", self.letters)[0].split("\xff")
+            found = self.processor.encode(mapped, num_threads=1)
+            for kind, known in into.items():
+                if kind == "ids":
+                    made = [array("i", ids).tobytes() for ids in found]
+                elif kind == "written":
+                    made = [",".join([self.decimals[i] for i in ids]) for ids in found]
+                else:
+                    made = [b"".join([self.tokens[i] for i in ids]) for ids in found]
+                known.update(zip(some, made))
+
+    def read(self, texts: Sequence[str]) -> dict[str, list]:
+        """What each text gives, by kind. Pieces that no text had before are learned together."""
+        pieces, known = [self.split(text) for text in texts], self.cache
+        distinct, old = set().union(*pieces), next(iter(known.values()))
+        new = distinct.difference(old)
+        if len(old) + len(new) > CACHE_ENTRIES:
+            for table in known.values():
+                table.clear()
+            new = distinct
+        apart = new if len(new) > CACHE_ENTRIES else {p for p in new if len(p) > CACHED_LENGTH}  # not remembered
+        self._learn(list(new - apart), known)
+        if apart:
+            known = {kind: {p: table[p] for p in distinct - apart} for kind, table in known.items()}
+            self._learn(list(apart), known)
+        return {kind: [("," if kind == "written" else b"").join(map(table.__getitem__, some)) for some in pieces] for kind, table in known.items()}
 
     def encode(self, text: str) -> tuple[list[int], str]:
         """Ids of a text, and the same as decimals joined by commas."""
-        pieces = self.split(text)
-        cache = self.cache
-        new = set(pieces).difference(cache)
-        if new:
-            if len(cache) + len(new) > CACHE_ENTRIES:
-                cache.clear()
-                new = set(pieces)
-            known = cache if max(map(len, new)) <= CACHED_LENGTH and len(new) <= CACHE_ENTRIES else dict(cache)
-            self._learn(list(new), known)
-        else:
-            known = cache
-        found = [known[p] for p in pieces]
-        return list(chain.from_iterable([ids for ids, _ in found])), ",".join([s for _, s in found])
-
-    def decode(self, ids: Sequence[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        got = self.read([text])
+        return np.frombuffer(got["ids"][0], np.int32).tolist(), got["written"][0]
 
 
 def tokenise(
@@ -136,22 +151,20 @@ def tokenise(
     tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
     shipped = docs.sparkSession.sparkContext.broadcast((serialise(ranks), tokens))  # size fixed by the vocabulary
     wanted = tuple(outputs)
-    decoding = "decoded" in wanted or "decoded_sha256" in wanted
+    kinds = [kind for kind, some in (("ids", ("ids",)), ("written", ("ids_sha256", "n_tokens")), ("decoded", ("decoded", "decoded_sha256"))) if {*some} & {*wanted}]
     fields = docs.select(F.col(f"`{id_col}`").alias(id_col)).schema
     schema = ", ".join([f"`{id_col}` {fields[0].dataType.simpleString()}", *(OUTPUTS[o] for o in wanted)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(*shipped.value, pattern)
+        codec = Codec(*shipped.value, pattern, kinds)
+        make = {
+            "n_tokens": ("written", lambda ids: ids.count(",") + 1 if ids else 0), "ids": ("ids", lambda ids: np.frombuffer(ids, np.int32)),
+            "ids_sha256": ("written", lambda ids: hashlib.sha256(ids.encode()).hexdigest()),
+            "decoded": ("decoded", lambda text: text), "decoded_sha256": ("decoded", lambda text: hashlib.sha256(text).hexdigest()),
+        }
         for batch in (part for whole in batches for part in in_slices(whole, 1)):
-            columns: dict[str, list] = {o: [] for o in wanted}
-            for text in batch.column(1):
-                ids, joined = codec.encode(text.as_py() or "")
-                decoded = codec.decode(ids) if decoding else b""
-                for name in wanted:
-                    columns[name].append(
-                        len(ids) if name == "n_tokens" else np.array(ids, np.int32) if name == "ids" else decoded if name == "decoded"
-                        else hashlib.sha256(joined.encode() if name == "ids_sha256" else decoded).hexdigest()
-                    )
+            got = codec.read([text or "" for text in batch.column(1).to_pylist()])
+            columns = {o: [make[o][1](value) for value in got[make[o][0]]] for o in wanted}
             made = (list_array(columns[o], pa.int32()) if o == "ids" else pa.array(columns[o], _ARROW[o]) for o in wanted)
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=[id_col, *wanted])
 

@@ -62,3 +62,20 @@ def test_every_white_space_character_splits_as_the_pattern_says(reference):
     codec = bpe.Codec(bpe.serialise(bpe.read_ranks(vocabulary_path())), [], split_pattern())
     text = "".join(f"a{chr(c)}b{chr(c)}{chr(c)}c" for c in range(0x3001) if not 0xD800 <= c < 0xE000)
     assert codec.encode(text)[0] == reference.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("entries, length", [(100_000, 64), (300, 4), (3, 64)])
+def test_new_pieces_of_many_texts_are_encoded_in_one_call(reference, monkeypatch, entries, length):
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", entries)
+    monkeypatch.setattr(bpe, "CACHED_LENGTH", length)
+    ranks = bpe.read_ranks(vocabulary_path())
+    codec = bpe.Codec(bpe.serialise(ranks), sorted(ranks, key=ranks.get), split_pattern(), ("ids", "written", "decoded"))
+    calls, encode = [], codec.processor.encode
+    codec.processor.encode = lambda pieces, **settings: calls.append(pieces) or encode(pieces, **settings)
+    for some in (texts(), texts()[20:] + ["one word more \x7f\xa0\xad"], ["", ""], texts()[::-1]):
+        before, got = len(calls), codec.read(some)
+        assert [list(memoryview(x).cast("i")) for x in got["ids"]] == [reference.encode_ordinary(t) for t in some]
+        assert got["written"] == [",".join(map(str, reference.encode_ordinary(t))) for t in some] and got["decoded"] == [t.encode() for t in some]
+        assert len(calls) - before <= 2  # those to remember and the others
+        assert all(len(table) <= entries and max(map(len, table), default=0) <= length for table in codec.cache.values())
+    assert entries < 100_000 or len(codec.cache["ids"]) > 1000
