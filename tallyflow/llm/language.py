@@ -40,6 +40,8 @@ UNKNOWN = "und"
 LENGTHS, LOW_SHARE = (8, 16, 32, 64, 128, 256, 512), 0.01
 #: Steps whose inputs are fetched at once.
 STEPS_AT_ONCE = 8
+#: Rows of a byte that are summed at once.
+GROUP = 16
 #: What stands for a byte outside of the text, and symbols in all.
 OUTSIDE, SYMBOLS = 256, 257
 #: Scores are counted in so many steps.
@@ -235,15 +237,20 @@ class Passes:
 
     def _by_symbol(self, gates: list[np.ndarray]) -> np.ndarray:
         """(3, 2 * SYMBOLS, hidden) sums of three (steps, direction, windows, hidden) by symbol and direction."""
-        k, keys = self.net.hidden, self.symbols.ravel().astype(np.uint16)
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
-        out, ones, some = np.zeros((3, 2 * SYMBOLS, k), gates[0].dtype), np.ones(int(np.diff(edges).max()), gates[0].dtype), self._array("some", 3, len(keys), k)
+        k, symbols = self.net.hidden, self.symbols.ravel()
+        counts = np.bincount(symbols, minlength=2 * SYMBOLS)
+        # rows in order of their symbol, each symbol filled up to whole groups by rows of 0; one product sums the rows of a group
+        short = -counts % GROUP
+        order = np.argsort(np.concatenate([symbols, np.repeat(np.arange(2 * SYMBOLS), short)]).astype(np.uint16), kind="stable")
+        fillers, present = np.flatnonzero(order >= len(symbols)), np.flatnonzero(counts)
+        groups = (counts + short)[present] // GROUP
+        firsts = np.cumsum(groups) - groups
+        out, some = np.zeros((3, 2 * SYMBOLS, k), gates[0].dtype), self._array("some", len(order), k)
+        summing = np.tile(np.eye(k, dtype=out.dtype), (GROUP, 1))
         for gate in range(3):
-            gates[gate].reshape(-1, k).take(order, axis=0, out=some[gate], mode="clip")
-        for key, low, high in zip(keys[edges[:-1]].tolist(), edges[:-1].tolist(), edges[1:].tolist()):
-            np.matmul(ones[:high - low], some[:, low:high], out=out[:, key])
+            gates[gate].reshape(-1, k).take(order, axis=0, out=some, mode="clip")
+            some[fillers] = 0
+            out[gate, present] = np.add.reduceat(some.reshape(-1, GROUP * k) @ summing, firsts, axis=0)
         return out
 
 
