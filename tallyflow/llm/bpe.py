@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 
 from tallyflow.llm.common import in_slices, list_array
 
+#: Texts in an Arrow batch where the encoded rows are stored; both the executor and its Python worker hold a batch whole.
+TEXTS_AT_ONCE = 1_000
+#: Bytes of text whose pieces are Python strings at once.
+SLICE = 1 << 18
 #: Pieces of at most this length are remembered by a task, at most CACHE_ENTRIES of them.
 CACHED_LENGTH, CACHE_ENTRIES = 64, 100_000
 #: sentencepiece looks at inputs as a whole; longer pre-tokens would still be exact, but only this many are sent at once.
@@ -162,7 +166,7 @@ def tokenise(
             "ids_sha256": ("written", lambda ids: hashlib.sha256(ids.encode()).hexdigest()),
             "decoded": ("decoded", lambda text: text), "decoded_sha256": ("decoded", lambda text: hashlib.sha256(text).hexdigest()),
         }
-        for batch in (part for whole in batches for part in in_slices(whole, 1)):
+        for batch in (part for whole in batches for part in in_slices(whole, 1, SLICE)):
             got = codec.read([text or "" for text in batch.column(1).to_pylist()])
             columns = {o: [make[o][1](value) for value in got[make[o][0]]] for o in wanted}
             made = (list_array(columns[o], pa.int32()) if o == "ids" else pa.array(columns[o], _ARROW[o]) for o in wanted)

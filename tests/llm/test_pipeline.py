@@ -8,7 +8,8 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from tallyflow.llm.bpe import read_ranks
+from tallyflow.llm import common
+from tallyflow.llm.bpe import TEXTS_AT_ONCE, read_ranks
 from tallyflow.llm.common import staged
 from tallyflow.llm.queries import split_pattern, vocabulary_path
 from test_mixing import targets
@@ -88,3 +89,11 @@ def test_empty_table(spark):
     for _, function in corpus_pipeline.STAGES:
         docs = staged(function(spark, docs, SF_DIR), "stage")
     assert docs.count() == 0
+
+
+def test_tokens_are_made_in_small_batches(spark, monkeypatch):
+    setting, rows, real = "spark.sql.execution.arrow.maxRecordsPerBatch", [], common.staged
+    monkeypatch.setattr(common, "staged", lambda df, name: rows.append(int(spark.conf.get(setting))) or real(df, name))
+    docs, before = spark.read.parquet(f"{SF_DIR}/documents.parquet"), spark.conf.get(setting)
+    assert corpus_pipeline.tokens(spark, docs, SF_DIR).count() == docs.count()
+    assert rows == [TEXTS_AT_ONCE] and spark.conf.get(setting) == before
